@@ -133,8 +133,8 @@ def small_distinct(c: Column | str) -> Column:
 
 def distinct_days(day: Column | str) -> Column:
     """Distinct days in 0..63 as one 64-bit mask per group."""
-    return F.bit_count(F.coalesce(
-        F.bit_or(F.shiftleft(F.lit(1).cast("bigint"), as_col(day).cast("int"))), F.lit(0)))
+    bit = F.call_function("shiftleft", F.lit(1).cast("bigint"), as_col(day).cast("int"))
+    return F.bit_count(F.coalesce(F.bit_or(bit), F.lit(0).cast("bigint")))
 
 
 def flag_sum(condition: Column) -> Column:

@@ -6,9 +6,20 @@ import os
 import tempfile
 import uuid
 
+from types import ModuleType
+
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 
 
+def ship(module: ModuleType) -> None:
+    """Send a module's functions to the executors with the task, not by import.
+
+    The few functions that run in Python workers then need nothing installed there.
+    """
+    cloudpickle.register_pickle_by_value(module)
+
+
 def build_session(app: str = "opspark", master: str | None = None, **conf) -> SparkSession:
     """A session with the settings the operators are tuned for.
 

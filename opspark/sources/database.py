@@ -7,6 +7,7 @@ Where a JDBC driver is on the classpath, use ``jdbc_read`` and ``jdbc_write``.
 from __future__ import annotations
 
 import importlib
+import sys
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -14,6 +15,9 @@ from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
 from opspark.functions.columns import as_col
+from opspark.session import ship
+
+ship(sys.modules[__name__])
 
 
 def split_ranges(low: int, high: int, n: int) -> list[tuple[int, int]]:

@@ -7,6 +7,7 @@ every value is coerced to a declared type where it is read.
 
 from __future__ import annotations
 
+import sys
 import tomllib
 from collections.abc import Iterator
 
@@ -16,6 +17,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from opspark.functions.columns import coerce_value
+from opspark.session import ship
+
+ship(sys.modules[__name__])
 
 # One row per record of any kind: the kinds are told apart by ``record``, so a
 # single pass over the files yields all the tables.
