@@ -105,11 +105,12 @@ def budget_curve(df: DataFrame, y: str, score: str, key: Sequence[str],
     one = ranked.agg(
         F.count("*").alias("n"), F.sum(y).alias("positives"),
         *[flag_sum((F.col("_rank") <= budget_size(b, F.col("_all"))) & (F.col(y) == 1))
-          .alias(str(b)) for b in budgets])
-    long = one.unpivot(["n", "positives"], [str(b) for b in budgets], "budget", "hits")
-    budget = F.col("budget").cast("double")
+          .alias(f"_hits{i}") for i, b in enumerate(budgets)])
+    rows = F.explode(F.array(*[
+        F.struct(F.lit(float(b)).alias("budget"), F.col(f"_hits{i}").alias("hits"))
+        for i, b in enumerate(budgets)]))
     n, pos, k = F.col("n"), F.col("positives"), F.col("contacted")
-    return (long.withColumn("budget", budget)
+    return (one.select("n", "positives", rows.alias("r")).select("n", "positives", "r.*")
             .withColumn("contacted", budget_size(F.col("budget"), n))
             .withColumn("precision", F.col("hits") / k)
             .withColumn("recall", F.when(pos > 0, F.col("hits") / pos))
@@ -174,20 +175,23 @@ def ranking_comparison(df: DataFrame, orders: Mapping[str, str], key: Sequence[s
     whole = df.agg(F.count("*").alias("n"), F.sum(loss).alias("loss"))
     k = budget_size(budget, whole.select("n").scalar())
     ranked = ranked.withColumn("_k", k)
-    first = F.col(f"pos_{names[0]}") <= F.col("_k")
+    ranked = ranked.withColumns({f"_in_{n}": F.col(f"pos_{n}") <= F.col("_k") for n in names})
+    first, fields = F.col(f"_in_{names[0]}"), ("reached", "realised", "hits", "contacted", "shared")
     aggs = []
     for n in names:
-        inside = F.col(f"pos_{n}") <= F.col("_k")
-        aggs.append(F.struct(
-            F.sum(F.when(inside, F.col(loss))).alias("reached"),
-            F.sum(F.when(inside, F.col(value) * F.col(label))).alias("realised"),
-            F.sum(F.when(inside, F.col(label))).alias("hits"),
-            flag_sum(inside).alias("contacted"),
-            flag_sum(inside & first).alias("shared")).alias(n))
-    one = ranked.agg(*aggs)
+        inside = F.col(f"_in_{n}")
+        aggs += [
+            F.sum(F.when(inside, F.col(loss))).alias(f"_{n}_reached"),
+            F.sum(F.when(inside, F.col(value) * F.col(label))).alias(f"_{n}_realised"),
+            F.sum(F.when(inside, F.col(label))).alias(f"_{n}_hits"),
+            flag_sum(inside).alias(f"_{n}_contacted"),
+            flag_sum(inside & first).alias(f"_{n}_shared")]
+    rows = F.explode(F.array(*[F.struct(
+        F.lit(n).alias("ranked_by"), *[F.col(f"_{n}_{f}").alias(f) for f in fields])
+        for n in names]))
+    one = ranked.agg(*aggs).select(rows.alias("r")).select("r.*")
     total = whole.select("loss").scalar()
-    return (one.unpivot([], names, "ranked_by", "s").select("ranked_by", "s.*")
-            .withColumn("share_of_total", F.when(total != 0, F.col("reached") / total))
+    return (one.withColumn("share_of_total", F.when(total != 0, F.col("reached") / total))
             .withColumn("precision", F.col("hits") / F.col("contacted"))
             .withColumn("overlap", F.col("shared") / F.col("contacted")))
 

@@ -1 +1,57 @@
-"""Placeholder."""
+"""Streams over the event table: what they end with equals the batch result."""
+
+from __future__ import annotations
+
+import uuid
+
+from pyspark.sql import functions as F
+
+from opspark.functions.columns import to_cents
+from opspark.session import scratch_path
+from opspark.streaming.streams import (
+    run_available, run_to_files, running_agg, stream_json, stream_source, windowed_agg)
+from opspark.workload.bindings import ACT_SQL
+from opspark.workload.registry import query
+
+EVENTS = ("event_id bigint, ts timestamp, user_id bigint, event_type string, value double, "
+          "props string")
+
+
+def _events(spark, sf_dir):
+    return stream_source(spark, f"{sf_dir}/events*.parquet", EVENTS)
+
+
+def _run(spark, df, name):
+    return run_available(df, f"{name}_{uuid.uuid4().hex[:8]}", scratch_path(spark, name))
+
+
+@query("""
+SELECT event_type, count(*) AS n, sum(CAST(round(value * 100) AS BIGINT))::BIGINT AS cents
+FROM events GROUP BY 1""")
+def stream_running_agg(spark, sf_dir):
+    """Running totals per key in complete mode, available now."""
+    totals = running_agg(_events(spark, sf_dir), ["event_type"], [
+        F.count("*").alias("n"), F.sum(to_cents("value")).alias("cents")])
+    return _run(spark, totals, "running_agg")
+
+
+@query("WITH " + ACT_SQL + "SELECT k, count(*) AS n, sum(cents)::BIGINT AS cents FROM act GROUP BY k")
+def stream_json_agg(spark, sf_dir):
+    """JSON messages of a stream, parsed and totalled."""
+    messages = _events(spark, sf_dir).select(to_cents("value").alias("cents"), "props")
+    totals = running_agg(stream_json(messages, "props", "k int", ["cents"]), ["k"], [
+        F.count("*").alias("n"), F.sum("cents").alias("cents")])
+    return _run(spark, totals, "json_agg")
+
+
+@query("""
+WITH d AS (SELECT date_trunc('day', ts) AS day, event_type, count(*) AS n FROM events GROUP BY 1, 2)
+SELECT strftime(day, '%Y-%m-%d') AS day, event_type, n FROM d
+WHERE day + INTERVAL 1 DAY <= (SELECT max(ts) - INTERVAL 1 HOUR FROM events)""")
+def stream_daily(spark, sf_dir):
+    """Event-time days that the watermark has closed, written exactly once."""
+    daily = windowed_agg(_events(spark, sf_dir), "ts", "1 day", "1 hour", ["event_type"],
+                         [F.count("*").alias("n")])
+    daily = daily.select(F.date_format("window.start", "yyyy-MM-dd").alias("day"),
+                         "event_type", "n")
+    return run_to_files(daily, scratch_path(spark, "daily"), scratch_path(spark, "daily-state"))
