@@ -97,11 +97,12 @@ def windowed(df: DataFrame, by: Sequence[str], order: Sequence[Column | str],
 def blocked(df: DataFrame, by: Sequence[str], order: Sequence[Column | str],
             measures: Sequence[Measure], blocks: int | None = None) -> DataFrame:
     """The two-level form: scan inside range blocks, then carry between blocks."""
-    spark = df.sparkSession
-    blocks = blocks or int(spark.conf.get("spark.sql.shuffle.partitions"))
     by, sort = list(by), _sort(order)
-    # The block number is data from here on: it is read back, never recomputed.
-    placed = cut(df.repartitionByRange(blocks, *[F.col(b) for b in by], *sort)
+    # Without a number adaptive execution sizes the blocks to the data, joining
+    # only neighbours, so they stay in order. The block number is data from here
+    # on: it is read back, never recomputed.
+    ranges = [blocks] if blocks else []
+    placed = cut(df.repartitionByRange(*ranges, *[F.col(b) for b in by], *sort)
                    .withColumn(BLOCK, F.spark_partition_id()))
 
     keys = [BLOCK, *by]

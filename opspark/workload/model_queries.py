@@ -1 +1,184 @@
-"""Placeholder."""
+"""Models over the prior-window features. Fits differ in the last digits, so rows only.
+
+Tree sizes are small here; the library defaults are the full ones.
+"""
+
+from __future__ import annotations
+
+from pyspark.ml import PipelineModel
+from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.sql import functions as F
+
+from opspark.functions.columns import log_target, invert_log
+from opspark.operators.activity import (
+    CORE_FEATURES, EXTENDED_FEATURES, FORWARD_LEAKS, LIFETIME_FEATURES, entity_features,
+    prior_features)
+from opspark.operators.joins import group_mean_baseline
+from opspark.operators.quality import null_indicators, one_hot, recorded_share
+from opspark.operators.ranking import rank_auc
+from opspark.operators.split import hash_fold
+from opspark.plans.calibration import calibrate as calibrate_scores
+from opspark.plans.clustering import compare, prepare, sweep_k
+from opspark.plans.models import (
+    SMALL_SIZE, ablation, as_doubles, category_pipeline, classifier, evaluate_regression, fit_classifier,
+    importance as importance_of, importance_by_source, numeric_pipeline, regressor, score,
+    scorecard as card_of, vector_slots)
+from opspark.session import cut
+from opspark.workload.bindings import COLUMNS, KEYS, act, book, table
+from opspark.workload.quality_queries import MIN_ROWS
+from opspark.workload.registry import query
+
+REFERENCE_SITE = "view"
+
+
+def _features(spark, sf_dir):
+    """(features as doubles with label and fold, indicators, site dummies); stored for the fits."""
+    g = prior_features(act(spark, sf_dir), COLUMNS, min_rows=MIN_ROWS)
+    g = hash_fold(g.withColumn("label", F.col("lapsed").cast("double")), KEYS)
+    g = cut(as_doubles(g, CORE_FEATURES))
+    g, indicators = null_indicators(g, CORE_FEATURES)
+    g, dummies = one_hot(g, "site", REFERENCE_SITE)
+    return g, indicators, dummies
+
+
+@query()
+def ml_prep(spark, sf_dir):
+    """Median fill, indicators, dummies and standardised vectors."""
+    g, indicators, dummies = _features(spark, sf_dir)
+    prep, _ = numeric_pipeline(CORE_FEATURES, indicators, dummies, scale=True)
+    return prep.fit(g).transform(g).select(*KEYS, vector_to_array("features").alias("features"))
+
+
+@query()
+def ml_category_prep(spark, sf_dir):
+    """Index, one-hot and scale without centring."""
+    c = table(spark, sf_dir, "customer").withColumn("nation", F.col("c_nationkey").cast("string"))
+    prep = category_pipeline(["c_mktsegment", "nation"], ["c_acctbal"])
+    return prep.fit(c).transform(c).select("c_custkey", vector_to_array("features").alias("features"))
+
+
+@query()
+def lapse_models(spark, sf_dir):
+    """Four classifiers beside the recency ranking that needs no training."""
+    g, indicators, dummies = _features(spark, sf_dir)
+    train, test = g.filter("fold = 'train'"), g.filter("fold = 'test'")
+    out = rank_auc(test, "lapsed", "p_recency_days", KEYS).withColumn("model", F.lit("recency"))
+    for kind in ("logistic", "tree", "forest", "gbt"):
+        model, _ = fit_classifier(train, kind, CORE_FEATURES, indicators, dummies,
+                                  size=SMALL_SIZE, forbidden=FORWARD_LEAKS)
+        scored = cut(score(model, test, [*KEYS, "lapsed"]))
+        out = out.unionByName(rank_auc(scored, "lapsed", "risk", KEYS).withColumn(
+            "model", F.lit(kind)))
+    return out
+
+
+@query()
+def extended_model(spark, sf_dir):
+    """The richer features, at the sites that record them for most entities."""
+    g, _, _ = _features(spark, sf_dir)
+    kept = recorded_share(g, "site", "resources_recorded").select("site")
+    rich = as_doubles(g.join(kept, "site", "left_semi"), EXTENDED_FEATURES)
+    model, _ = fit_classifier(rich.filter("fold = 'train'"), "forest",
+                              CORE_FEATURES + EXTENDED_FEATURES, size=SMALL_SIZE)
+    scored = cut(score(model, rich.filter("fold = 'test'"), [*KEYS, "lapsed"]))
+    return rank_auc(scored, "lapsed", "risk", KEYS)
+
+
+@query()
+def model_scorecard(spark, sf_dir):
+    """Every metric of one model, and its ranking metrics per site in one pass."""
+    g, indicators, dummies = _features(spark, sf_dir)
+    model, _ = fit_classifier(g.filter("fold = 'train'"), "logistic", CORE_FEATURES, indicators,
+                              dummies)
+    scored = cut(score(model, g.filter("fold = 'test'"), [*KEYS, "lapsed"]))
+    return card_of(scored, "lapsed", "risk", KEYS, "site")
+
+
+@query()
+def lapse_scores(spark, sf_dir):
+    """The score table: one row per entity with its fold, label and risk."""
+    g, indicators, dummies = _features(spark, sf_dir)
+    model, _ = fit_classifier(g.filter("fold = 'train'"), "forest", CORE_FEATURES, indicators,
+                              dummies, size=SMALL_SIZE)
+    return score(model, g, [*KEYS, "fold", "label", "p_rows", "p_recency_days", "p_late_share"])
+
+
+@query()
+def value_models(spark, sf_dir):
+    """Weekly value by four regressors on the log scale, against the site's mean."""
+    b = hash_fold(book(spark, sf_dir), KEYS).withColumn("target", log_target("weekly"))
+    cols = ["p_rows", "w1_rows", "recency"]
+    prep, _ = numeric_pipeline(cols, scale=True)
+    b = cut(as_doubles(b, cols))
+    ready = prep.fit(b.filter("fold = 'train'")).transform(b)
+    train, test = ready.filter("fold = 'train'"), ready.filter("fold = 'test'")
+    span = train.agg(F.min("target").alias("lo"), F.max("target").alias("hi")).first()
+    test = group_mean_baseline(train, test, ["site"], "weekly")
+    out = None
+    for kind in ("linear", "tree", "forest", "gbt"):
+        model = regressor(kind, SMALL_SIZE, "target", reg=0.1 if kind == "linear" else 0.0).fit(train)
+        pred = model.transform(test).withColumn("pred", invert_log("prediction", *span))
+        row = evaluate_regression(pred, "weekly", "pred", "baseline").withColumn(
+            "model", F.lit(kind))
+        out = row if out is None else out.unionByName(row)
+    return out
+
+
+@query()
+def importance(spark, sf_dir):
+    """Forest importance, one-hot slots summed back to the column they came from."""
+    c = table(spark, sf_dir, "customer").withColumn(
+        "nation", F.col("c_nationkey").cast("string"))
+    orders = table(spark, sf_dir, "orders").groupBy(F.col("o_custkey").alias("c_custkey")).agg(
+        F.count("*").cast("double").alias("n_orders"))
+    c = c.join(orders, "c_custkey", "left").na.fill(0.0, ["n_orders"]).withColumn(
+        "label", (F.col("n_orders") > 9).cast("double"))
+    c = cut(c)
+    prep = category_pipeline(["c_mktsegment", "nation"], ["c_acctbal"]).fit(c)
+    ready = prep.transform(c)
+    slots = vector_slots(ready, "raw_vector")
+    sources = {s: ("c_mktsegment" if s.startswith("c_mktsegment_vec") else
+                   "nation" if s.startswith("nation_vec") else s) for s in slots}
+    model = PipelineModel(stages=[classifier("forest", SMALL_SIZE).fit(ready)])
+    return importance_by_source(importance_of(model, slots, ready, sources))
+
+
+@query()
+def leakage_ablation(spark, sf_dir):
+    """One model on a floor, on lifetime rates that saw the label week, and on prior features."""
+    g, _, _ = _features(spark, sf_dir)
+    life = entity_features(act(spark, sf_dir), COLUMNS, min_rows=1).select(
+        *KEYS, *LIFETIME_FEATURES)
+    both = cut(as_doubles(g.join(life, KEYS, "left"), LIFETIME_FEATURES))
+    return ablation(both, "label", KEYS, {
+        "floor": ["p_rows", "p_tenure_days"], "lifetime": LIFETIME_FEATURES,
+        "prior": CORE_FEATURES}, size=SMALL_SIZE)
+
+
+@query()
+def calibrate(spark, sf_dir):
+    """Weighted, unweighted and isotonic probabilities: how far each is off, per fold."""
+    g, indicators, dummies = _features(spark, sf_dir)
+    _, report = calibrate_scores(g, "label", KEYS, CORE_FEATURES, indicators, dummies,
+                                 size=SMALL_SIZE)
+    return report
+
+
+def _vectors(spark, sf_dir):
+    return cut(table(spark, sf_dir, "embeddings").select("vec_id", array_to_vector(
+        F.col("embedding").cast("array<double>")).alias("features")))
+
+
+@query()
+def kmeans_sweep(spark, sf_dir):
+    """Silhouette, cost and shares for k = 2 to 8."""
+    return sweep_k(_vectors(spark, sf_dir), max_iter=10)
+
+
+@query()
+def kmeans_compare(spark, sf_dir):
+    """K-means beside bisecting k-means on the style features of the entities."""
+    g, _, _ = _features(spark, sf_dir)
+    style = ["p_voluntary_rate", "p_raise_rate", "p_fold_rate", "p_show_rate", "p_aggression",
+             "p_avg_invested", "p_distinct_stakes", "p_max_stake"]
+    return compare(cut(prepare(g, style, KEYS)), 4, KEYS, max_iter=10)
