@@ -74,27 +74,36 @@ def roc_auc(df: DataFrame, y: str, p: str, by: Sequence[str] = (),
     s = scanned.groupBy(*by).agg(
         F.sum("_n").alias("n"), F.sum("_pos").alias("positives"),
         F.sum(F.col("_pos") * twice_rank).alias("_ranks"))
-    pos = F.col("positives")
-    pairs = pos * (F.col("n") - pos)
-    return s.withColumn("roc_auc", F.when(
-        pairs > 0, (F.col("_ranks") - pos * (pos + 1)) / (pairs * 2))).drop("_ranks")
+    return s.withColumn("roc_auc", _auc()).drop("_ranks")
+
+
+def _auc() -> Column:
+    """From n, positives and twice the rank sum of the positives; null with one class only."""
+    pos, n = F.col("positives"), F.col("n")
+    pairs = pos * (n - pos)
+    return F.when(pairs > 0, (F.col("_ranks") - pos * (pos + 1)) / (pairs * 2))
 
 
 def rank_auc(df: DataFrame, y: str, p: str, key: Sequence[str], by: Sequence[str] = (),
              hot_rows: int = HOT_ROWS) -> DataFrame:
     """ROC-AUC and average precision (hits so far over rank, at every hit), per group."""
     by = list(by)
-    ranked = running(df.select(*by, *[k for k in key if k not in by], y, p),
-                     [F.desc(p), *key], [Measure("_rank", "count"), Measure("_hits", "sum", y)],
-                     by=by, hot_rows=hot_rows)
-    ap = ranked.groupBy(*by).agg(
-        F.sum(F.when(F.col(y) == 1, F.col("_hits") / F.col("_rank"))).alias("_ap"),
-        F.sum(y).alias("_pos")).select(*by, F.when(
-            F.col("_pos") > 0, F.col("_ap") / F.col("_pos")).alias("avg_precision"))
-    auc = roc_auc(df, y, p, by, hot_rows)
-    if by:
-        return auc.join(ap, by)
-    return auc.withColumn("avg_precision", ap.scalar())
+    ranked = running(df.select(*by, *[k for k in key if k not in by], y, p), [F.desc(p), *key], [
+        Measure("_rank", "count"), Measure("_hits", "sum", y),
+        Measure("_all", "count", total=True)], by=by, hot_rows=hot_rows)
+    # One row per score: its rows hold ranks (last - n + 1)..last from the top, so
+    # their average rank from the bottom is all + 1 minus the middle of those.
+    levels = ranked.groupBy(*by, p).agg(
+        F.count("*").alias("_n"), F.sum(y).alias("_pos"), F.max("_rank").alias("_last"),
+        F.max("_all").alias("_all"),
+        F.sum(F.when(F.col(y) == 1, F.col("_hits") / F.col("_rank"))).alias("_ap"))
+    twice_rank = (F.col("_all") + 1) * 2 - (F.col("_last") * 2 - F.col("_n") + 1)
+    s = levels.groupBy(*by).agg(
+        F.sum("_n").alias("n"), F.sum("_pos").alias("positives"),
+        F.sum(F.col("_pos") * twice_rank).alias("_ranks"), F.sum("_ap").alias("_ap"))
+    pos = F.col("positives")
+    return s.withColumn("roc_auc", _auc()).withColumn(
+        "avg_precision", F.when(pos > 0, F.col("_ap") / pos)).drop("_ranks", "_ap")
 
 
 def budget_curve(df: DataFrame, y: str, score: str, key: Sequence[str],
@@ -159,10 +168,12 @@ def best_f1(df: DataFrame, y: str, score: str, by: Sequence[str] = (),
     return best.select(*by, "b.*")
 
 
-def with_positions(df: DataFrame, orders: Mapping[str, str], key: Sequence[str]) -> DataFrame:
+def with_positions(df: DataFrame, orders: Mapping[str, str], key: Sequence[str],
+                   totals: Sequence[Measure] = ()) -> DataFrame:
     """One global position column per named order (descending, ties by key)."""
     for name, col in orders.items():
-        df = running(df, [F.desc(col), *key], [Measure(f"pos_{name}", "count")])
+        df = running(df, [F.desc(col), *key], [Measure(f"pos_{name}", "count"), *totals])
+        totals = ()
     return df
 
 
@@ -171,13 +182,12 @@ def ranking_comparison(df: DataFrame, orders: Mapping[str, str], key: Sequence[s
     """Lists of one size by several orders: what each reaches, and its overlap with the first."""
     names = list(orders)
     used = list(dict.fromkeys([*key, *orders.values(), loss, value, label]))
-    ranked = with_positions(df.select(*used), orders, key)
-    whole = df.agg(F.count("*").alias("n"), F.sum(loss).alias("loss"))
-    k = budget_size(budget, whole.select("n").scalar())
-    ranked = ranked.withColumn("_k", k)
+    ranked = with_positions(df.select(*used), orders, key, [
+        Measure("_all", "count", total=True), Measure("_total", "sum", loss, total=True)])
+    ranked = ranked.withColumn("_k", budget_size(budget, F.col("_all")))
     ranked = ranked.withColumns({f"_in_{n}": F.col(f"pos_{n}") <= F.col("_k") for n in names})
     first, fields = F.col(f"_in_{names[0]}"), ("reached", "realised", "hits", "contacted", "shared")
-    aggs = []
+    aggs = [F.max("_total").alias("_total")]
     for n in names:
         inside = F.col(f"_in_{n}")
         aggs += [
@@ -189,11 +199,11 @@ def ranking_comparison(df: DataFrame, orders: Mapping[str, str], key: Sequence[s
     rows = F.explode(F.array(*[F.struct(
         F.lit(n).alias("ranked_by"), *[F.col(f"_{n}_{f}").alias(f) for f in fields])
         for n in names]))
-    one = ranked.agg(*aggs).select(rows.alias("r")).select("r.*")
-    total = whole.select("loss").scalar()
+    one = ranked.agg(*aggs).select("_total", rows.alias("r")).select("_total", "r.*")
+    total = F.col("_total")
     return (one.withColumn("share_of_total", F.when(total != 0, F.col("reached") / total))
             .withColumn("precision", F.col("hits") / F.col("contacted"))
-            .withColumn("overlap", F.col("shared") / F.col("contacted")))
+            .withColumn("overlap", F.col("shared") / F.col("contacted")).drop("_total"))
 
 
 def reach_curve(df: DataFrame, order: str, key: Sequence[str], loss: str,

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from opspark.functions.columns import as_col, flag_sum
 from opspark.operators.scan import HOT_ROWS, Measure, running
+from opspark.session import measured
 
 
 def rollup(df: DataFrame, keys: Sequence[str], aggs: Mapping[str, Column]) -> DataFrame:
@@ -99,8 +100,9 @@ def segment_profile(df: DataFrame, segment: str, cols: Sequence[str],
     if signed:
         aggs += [F.avg(F.when(F.col(signed) < 0, 1).otherwise(0)).alias("share_negative"),
                  F.count(signed).alias(f"n_{signed}")]
-    total = df.agg(F.count("*").alias("t")).scalar()
-    return df.groupBy(segment).agg(*aggs).withColumn("share", F.col("n") / total)
+    table = measured(df.groupBy(segment).agg(*aggs))
+    total = table.agg(F.sum("n").alias("t")).scalar()
+    return table.withColumn("share", F.col("n") / total)
 
 
 def slice_table(df: DataFrame, by: Sequence[str] | str, risk: str, value: str, loss: str,
@@ -108,15 +110,15 @@ def slice_table(df: DataFrame, by: Sequence[str] | str, risk: str, value: str, l
                 threshold: float = 0.5) -> DataFrame:
     """Who holds the value at risk, cut by any dimension."""
     keys = [by] if isinstance(by, str) else list(by)
-    total = df.agg(F.sum(loss).alias("t")).scalar()
     aggs = [F.count("*").alias("entities"),
             flag_sum(F.col(risk) >= threshold).alias("flagged"),
             F.sum(label).alias("positives"), F.sum(value).alias("value"),
             F.sum(loss).alias("expected_loss"), F.avg(risk).alias("mean_risk")]
     if measured_value:
         aggs.append(F.sum(measured_value).alias("measured_value"))
-    out = (df.groupBy(*keys).agg(*aggs)
-           .withColumn("positive_rate", F.col("positives") / F.col("entities"))
+    table = measured(df.groupBy(*keys).agg(*aggs))
+    total = table.agg(F.sum("expected_loss").alias("t")).scalar()
+    out = (table.withColumn("positive_rate", F.col("positives") / F.col("entities"))
            .withColumn("share_of_loss", F.when(total != 0, F.col("expected_loss") / total))
            .withColumn("loss_rate", F.when(F.col("value") != 0,
                                            F.col("expected_loss") / F.col("value")))

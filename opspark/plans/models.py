@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from opspark.functions.columns import positive_probability
 from opspark.operators.metrics import class_weights, confusion, skill
 from opspark.operators.ranking import best_f1, budget_curve, rank_auc
-from opspark.session import cut
+from opspark.session import cut, measured
 
 SEED = 42
 
@@ -186,8 +186,9 @@ def vector_slots(df: DataFrame, col: str) -> list[str]:
 
 def importance_by_source(imp: DataFrame) -> DataFrame:
     """One-hot slots summed back to the column they came from, with their share."""
-    total = imp.agg(F.sum(F.abs("weight")).alias("t")).scalar()
-    return imp.groupBy("source").agg(F.sum(F.abs("weight")).alias("weight")).withColumn(
+    table = measured(imp.groupBy("source").agg(F.sum(F.abs("weight")).alias("weight")))
+    total = table.agg(F.sum("weight").alias("t")).scalar()
+    return table.withColumn(
         "share", F.when(total > 0, F.col("weight") / total))
 
 

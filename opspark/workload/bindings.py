@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from opspark.functions.columns import flag_sum, to_cents
 from opspark.operators.activity import ActivityColumns, site_window
-from opspark.session import measured
+from opspark.session import cut, measured
 
 # Saturdays and Sundays of the month the events cover.
 WEEKEND = (6, 7, 13, 14, 20, 21, 27, 28)
@@ -144,7 +144,8 @@ def book(spark: SparkSession, sf_dir: str) -> DataFrame:
         .alias("weekly_measured"),
         (flag_sum(~prior) == 0).cast("int").alias("lapsed"))
     older = F.floor((F.col("p_rows") - F.col("w1_rows")) * 60 / F.col("p_rows"))
-    return (g.filter(F.col("p_rows") > 0)
+    # Gold grain, and every ranking reads it several times: stored once.
+    return cut(g.filter(F.col("p_rows") > 0)
             .withColumn("risk_pct", F.least(F.col("recency") * 8 + older, F.lit(100)))
             .withColumn("risk", F.col("risk_pct") / 100)
             .withColumn("loss", F.col("risk_pct") * F.col("weekly")))

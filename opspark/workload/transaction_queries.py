@@ -18,6 +18,7 @@ from opspark.operators.joins import value_table
 from opspark.operators.replay import derive_fee, net_result, return_excess
 from opspark.operators.value import expected_loss, naive_value
 from opspark.functions.keys import hash_percent
+from opspark.session import cut
 from opspark.workload.bindings import POT_SQL, pot, table
 from opspark.workload.quality_queries import BIN_SQL
 from opspark.workload.registry import fixed, fixed_sql, query
@@ -58,7 +59,8 @@ priced AS (SELECT *, CASE WHEN observed THEN fee_points END AS seen_points,
 def observed(spark, sf_dir):
     txns, lines = pot(spark, sf_dir)
     txns = observed_columns(txns, "fee_units", "total_units", "unit", CAP)
-    return txns.withColumn("bin", widening_bucket("total_units")), lines
+    # The transaction table is stored once: fit, apply and window all read it.
+    return cut(txns.withColumn("bin", widening_bucket("total_units"))), lines
 
 
 def priced_txns(spark, sf_dir):
