@@ -15,14 +15,27 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from opspark.functions.columns import coerce_value
 from opspark.session import ship
 
 ship(sys.modules[__name__])
 
-# One row per record of any kind: the kinds are told apart by ``record``, so a
-# single pass over the files yields all the tables.
+# One row per document; its participants and action lines stay nested until the
+# JVM unfolds them, so few and small Python objects cross to it.
+SEAT = T.StructType([
+    T.StructField("seat", T.IntegerType()),
+    T.StructField("player", T.StringType()),
+    T.StructField("stack", T.DoubleType()),
+    T.StructField("payout", T.DoubleType()),
+])
+ACTION = T.StructType([
+    T.StructField("order", T.IntegerType()),
+    T.StructField("actor", T.IntegerType()),
+    T.StructField("verb", T.StringType()),
+    T.StructField("target", T.DoubleType()),
+])
 RAW_SCHEMA = T.StructType([
     T.StructField("path", T.StringType()),
     T.StructField("record", T.StringType()),
@@ -37,19 +50,12 @@ RAW_SCHEMA = T.StructType([
     T.StructField("n_players", T.IntegerType()),
     T.StructField("seat_count", T.IntegerType()),
     T.StructField("unit", T.DoubleType()),
-    T.StructField("seat", T.IntegerType()),
-    T.StructField("player", T.StringType()),
-    T.StructField("stack", T.DoubleType()),
-    T.StructField("payout", T.DoubleType()),
-    T.StructField("order", T.IntegerType()),
-    T.StructField("verb", T.StringType()),
-    T.StructField("target", T.DoubleType()),
     T.StructField("problem", T.StringType()),
+    T.StructField("seats", T.ArrayType(SEAT)),
+    T.StructField("actions", T.ArrayType(ACTION)),
 ])
-_ARROW = pa.schema([
-    (f.name, {"string": pa.string(), "int": pa.int32(), "double": pa.float64()}
-     [f.dataType.simpleString()]) for f in RAW_SCHEMA.fields])
-ROWS_PER_BATCH = 20_000
+_ARROW = to_arrow_schema(RAW_SCHEMA)
+DOCS_PER_BATCH = 2_000
 
 
 def _number(x, digits=4):
@@ -68,62 +74,62 @@ def _at(values, i):
     return values[i] if values and i < len(values) else None
 
 
-def _records(path: str, local_id: str, doc: dict) -> Iterator[dict]:
-    """The typed rows of one document: itself, its participants, its action lines."""
-    base = {"path": path, "local_id": local_id, "txn_id": _text(doc.get("hand"))}
+def _seats(doc: dict, players: list) -> list[dict]:
+    stacks, payouts = doc.get("starting_stacks"), doc.get("winnings")
+    return [{"seat": i + 1, "player": _text(p), "stack": _number(_at(stacks, i)),
+             "payout": _number(_at(payouts, i))} for i, p in enumerate(players)]
+
+
+def _actions(doc: dict, n: int, blinds: list) -> list[dict]:
+    """Forced money first, then the action lines; only board cards matter of the dealing."""
+    found = [(i + 1, verb, _number(amount))
+             for verb, amounts in (("ante", doc.get("antes") or []), ("post", blinds))
+             for i, amount in enumerate(amounts[:n])]
+    for line in doc.get("actions") or []:
+        word = line.split()
+        if word[0] != "d":
+            found.append((int(word[0][1:]), word[1],
+                          _number(word[2]) if word[1] == "cbr" else None))
+        elif word[1] == "db":
+            found.append((None, "board", None))
+    return [{"order": i, "actor": actor, "verb": verb, "target": target}
+            for i, (actor, verb, target) in enumerate(found, start=1)]
+
+
+def _record(path: str, local_id: str, doc: dict) -> dict:
+    """One document, coerced to the declared types; a problem keeps its parts out."""
     blinds = doc.get("blinds_or_straddles") or []
     unit = _number(_at(blinds, 1)) or None
     players = doc.get("players") or []
-    problem = "no_id" if base["txn_id"] is None else None if unit else "no_unit"
-    yield {**base, "record": "txn", "venue": _text(doc.get("venue")),
-           "table_id": _text(doc.get("table")), "year": _whole(doc.get("year")),
-           "month": _whole(doc.get("month")), "day": _whole(doc.get("day")),
-           "time": _text(doc.get("time")), "n_players": len(players),
+    txn_id = _text(doc.get("hand"))
+    problem = "no_id" if txn_id is None else None if unit else "no_unit"
+    row = {"path": path, "record": "txn", "local_id": local_id, "txn_id": txn_id,
+           "venue": _text(doc.get("venue")), "table_id": _text(doc.get("table")),
+           "year": _whole(doc.get("year")), "month": _whole(doc.get("month")),
+           "day": _whole(doc.get("day")), "time": _text(doc.get("time")),
+           "n_players": len(players),
            "seat_count": _whole(doc.get("seat_count") or len(players)),
            "unit": unit, "problem": problem}
-    if problem:
-        return
-    stacks, payouts = doc.get("starting_stacks"), doc.get("winnings")
-    for i, player in enumerate(players):
-        yield {**base, "record": "seat", "seat": i + 1, "player": _text(player), "unit": unit,
-               "stack": _number(_at(stacks, i)), "payout": _number(_at(payouts, i))}
-    order = 0
-    for verb, amounts in (("ante", doc.get("antes") or []), ("post", blinds)):
-        for i, amount in enumerate(amounts[:len(players)]):
-            order += 1
-            yield {**base, "record": "action", "order": order, "seat": i + 1,
-                   "verb": verb, "target": _number(amount)}
-    for line in doc.get("actions") or []:
-        word = line.split()
-        if word[0] == "d":
-            if word[1] != "db":
-                continue
-            seat, verb, target = None, "board", None
-        else:
-            seat, verb = int(word[0][1:]), word[1]
-            target = _number(word[2]) if verb == "cbr" else None
-        order += 1
-        yield {**base, "record": "action", "order": order, "seat": seat,
-               "verb": verb, "target": target}
+    if not problem:
+        row["seats"] = _seats(doc, players)
+        row["actions"] = _actions(doc, len(players), blinds)
+    return row
 
 
 def _parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    out: list[dict] = []
     for batch in batches:
-        for path, content in zip(batch["path"].to_pylist(), batch["content"].to_pylist()):
+        for path, content in zip(batch["path"], batch["content"]):
+            path = path.as_py()
             # A file is all or nothing, as one that cannot be read has no records.
             try:
-                docs = tomllib.loads(content.decode("utf-8"))
-                rows = [r for k, d in docs.items() for r in _records(path, k, d)]
+                docs = tomllib.loads(content.as_py().decode("utf-8"))
+                rows = [_record(path, k, d) for k, d in docs.items()]
             except (ValueError, TypeError, AttributeError, IndexError) as error:
                 rows = [{"path": path, "record": "file",
                          "problem": f"unreadable: {type(error).__name__}"}]
-            out += rows
-            while len(out) >= ROWS_PER_BATCH:
-                yield pa.RecordBatch.from_pylist(out[:ROWS_PER_BATCH], schema=_ARROW)
-                out = out[ROWS_PER_BATCH:]
-    if out:
-        yield pa.RecordBatch.from_pylist(out, schema=_ARROW)
+            for start in range(0, len(rows), DOCS_PER_BATCH):
+                yield pa.RecordBatch.from_pylist(rows[start:start + DOCS_PER_BATCH],
+                                                 schema=_ARROW)
 
 
 def with_path_meta(df: DataFrame, path: str = "path") -> DataFrame:
@@ -144,7 +150,7 @@ def with_path_meta(df: DataFrame, path: str = "path") -> DataFrame:
 
 
 def read_logs(spark: SparkSession, path: str, pattern: str = "*") -> DataFrame:
-    """Every record of every file under ``path``, one row each, with path columns.
+    """Every document of every file under ``path``, one row each, with path columns.
 
     Files are the unit of work: executors stream them, and each yields its rows
     in bounded batches. A file that cannot be read becomes one ``file`` row.
@@ -159,24 +165,21 @@ def ingest_logs(spark: SparkSession, path: str, pattern: str = "*",
                 stage: str | None = None) -> dict[str, DataFrame]:
     """The typed tables txns, seats and actions, and what was set aside.
 
-    With ``stage`` the parsed rows are first written there, partitioned by kind:
-    the files are then parsed once however many of the tables are used.
+    With ``stage`` the parsed documents are first written there: the files are
+    then parsed once however many of the tables are used.
     """
     raw = read_logs(spark, path, pattern)
     if stage:
-        raw.write.mode("overwrite").partitionBy("record").parquet(stage)
+        raw.write.mode("overwrite").parquet(stage)
         raw = spark.read.schema(raw.schema).parquet(stage)
-    kind = F.col("record")
-    bad = F.col("problem").isNotNull()
+    good, bad = raw.filter(F.col("problem").isNull()), raw.filter(F.col("problem").isNotNull())
     return {
-        "txns": raw.filter((kind == "txn") & ~bad).select(
+        "txns": good.select(
             "uid", "txn_id", "site", "venue", "venue_dir", "stake", "unit", "table_id", "year",
             "month", "day", "time", "n_players", "seat_count"),
-        "seats": raw.filter(kind == "seat").select(
-            "uid", "txn_id", "site", "seat", "player", "stack", "payout", "unit"),
-        "actions": raw.filter(kind == "action").select(
-            "uid", "order", F.col("seat").alias("actor"), "verb", "target"),
-        "quarantined": raw.filter(bad).select("path", "record", "local_id", "problem"),
+        "seats": good.select("uid", "txn_id", "site", "unit", F.inline("seats")),
+        "actions": good.select("uid", F.inline("actions")),
+        "quarantined": bad.select("path", "record", "local_id", "problem"),
     }
 
 
