@@ -1,8 +1,8 @@
 """Attribute a shared fee to the participants who built the transaction.
 
-Shares come from per-transaction totals joined back, not from a window: the
-totals are combined map-side, and the join back is one adaptive execution can
-split when one transaction owns a large part of the rows.
+Shares come from per-transaction totals joined back, not from a window over the
+transaction: the totals are combined map-side, and rows of a transaction that
+owns a large part of the table are joined to its one total without a shuffle.
 """
 
 from __future__ import annotations
@@ -13,7 +13,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from opspark.functions.columns import flag_sum
-from opspark.session import measured
+from opspark.operators.joins import skew_join
+from opspark.operators.scan import HOT_ROWS
+from opspark.session import cut, measured
 
 WINDOW_DAYS = 7
 
@@ -22,18 +24,25 @@ def _share(amount, whole, n):
     return F.when(whole > 0, amount / whole).otherwise(F.lit(1.0) / n)
 
 
-def contribution_share(df: DataFrame, txn: str, amount: str) -> DataFrame:
+def hot_totals(totals: DataFrame, txn: str, n: str, hot_rows: int) -> DataFrame | None:
+    """The transactions of very many rows, from totals that already hold the counts."""
+    hot = measured(totals.filter(F.col(n) > hot_rows).select(txn))
+    return None if hot.isEmpty() else hot
+
+
+def contribution_share(df: DataFrame, txn: str, amount: str,
+                       hot_rows: int = HOT_ROWS) -> DataFrame:
     """Adds share (of the transaction's total; equal split if that is 0) and n."""
     paid = F.coalesce(F.col(amount), F.lit(0))
-    totals = df.groupBy(txn).agg(F.sum(paid).alias("_whole"), F.count("*").alias("n"))
-    return (df.join(totals, txn)
+    totals = cut(df.groupBy(txn).agg(F.sum(paid).alias("_whole"), F.count("*").alias("n")))
+    return (skew_join(df, totals, [txn], hot=hot_totals(totals, txn, "n", hot_rows))
             .withColumn("share", _share(paid, F.col("_whole"), F.col("n"))).drop("_whole"))
 
 
 def attribute_fee(parts: DataFrame, txns: DataFrame, txn: str, keys: Sequence[str],
                   amount: str, fee_used: str, fee_observed: str, day: str,
-                  window: DataFrame, site: str = "site",
-                  recent_days: int = WINDOW_DAYS) -> DataFrame:
+                  window: DataFrame, site: str = "site", recent_days: int = WINDOW_DAYS,
+                  hot_rows: int = HOT_ROWS) -> DataFrame:
     """Fee per entity: whole period, prior window and its last days.
 
     ``txns`` has site, day, the fee to use (measured or estimated) and the
@@ -42,10 +51,10 @@ def attribute_fee(parts: DataFrame, txns: DataFrame, txn: str, keys: Sequence[st
     """
     parts = parts.select(txn, *[k for k in keys if k != site], F.coalesce(
         F.col(amount), F.lit(0)).alias("_paid"))
-    totals = parts.groupBy(txn).agg(F.sum("_paid").alias("_whole"), F.count("*").alias("_n"))
+    totals = cut(parts.groupBy(txn).agg(F.sum("_paid").alias("_whole"), F.count("*").alias("_n")))
     per_txn = (txns.select(txn, site, day, fee_used, fee_observed)
                .join(measured(window.select(site, "cutoff")), site).join(totals, txn))
-    j = parts.join(per_txn, txn)
+    j = skew_join(parts, per_txn, [txn], hot=hot_totals(totals, txn, "_n", hot_rows))
 
     age = F.col("cutoff") - F.col(day)
     prior = F.col(day) <= F.col("cutoff")

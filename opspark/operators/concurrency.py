@@ -31,14 +31,19 @@ def concurrency(df: DataFrame, keys: Sequence[str], bucket: str, resource: str,
                                 F.avg("_n").alias(f"{prefix}avg_resources")))
 
 
+def distinct_count(df: DataFrame, keys: Sequence[str], value: str, out: str) -> DataFrame:
+    """Distinct known values per entity, collapsed before they are counted."""
+    return (df.filter(F.col(value).isNotNull()).select(*keys, value).distinct()
+            .groupBy(*keys).agg(F.count("*").alias(out)))
+
+
 def distinct_resources(df: DataFrame, keys: Sequence[str], resource: str,
                        bucket: str | None = None, prefix: str = "") -> DataFrame:
     """Distinct resources per entity, and with ``bucket`` its distinct active buckets.
 
     A row without a resource does not count as one, but its bucket was active.
     """
-    known = (df.filter(F.col(resource).isNotNull()).select(*keys, resource).distinct()
-             .groupBy(*keys).agg(F.count("*").alias(f"{prefix}distinct_resources")))
+    known = distinct_count(df, keys, resource, f"{prefix}distinct_resources")
     if bucket is None:
         return known
     active = (df.select(*keys, bucket).distinct()

@@ -8,9 +8,37 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from opspark.operators.scan import HOT_ROWS, hot_keys, split_hot
 from opspark.session import measured
 
 MIN_SITE_COVERAGE = 0.01
+SMALL_ROWS = 100_000
+
+
+def skew_join(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner",
+              hot: DataFrame | None = None) -> DataFrame:
+    """A join in which one key may own a large part of the left rows.
+
+    ``hot`` holds those keys (there are few: each has more than a fixed number of
+    rows). Their rows meet the few right rows they need without a shuffle, so
+    they stay spread as they were; all other rows take the ordinary join. The
+    right side has to be one row per key, or a few.
+    """
+    if hot is None:
+        return left.join(right, list(keys), how)
+    cold_rows, hot_part = split_hot(left, keys, hot)
+    _, needed = split_hot(right, keys, hot)
+    return cold_rows.join(right, list(keys), how).unionByName(
+        hot_part.join(measured(needed), list(keys), how))
+
+
+def lookup_join(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "left",
+                hot_rows: int = HOT_ROWS) -> DataFrame:
+    """Join an already measured lookup. Only a large one needs the hot keys looked for:
+    a small one is broadcast by its size, and the left rows do not move at all."""
+    hot = None if right.limit(SMALL_ROWS + 1).count() <= SMALL_ROWS else hot_keys(
+        left, keys, hot_rows)
+    return skew_join(left, right, keys, how, hot)
 
 
 def duplicate_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -18,18 +46,24 @@ def duplicate_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     return df.groupBy(*keys).agg(F.count("*").alias("n")).filter(F.col("n") > 1)
 
 
-def drop_colliding(df: DataFrame, keys: Sequence[str],
-                   *others: DataFrame) -> tuple[list[DataFrame], DataFrame]:
+def drop_colliding(df: DataFrame, keys: Sequence[str], *others: DataFrame,
+                   hot_rows: int = HOT_ROWS) -> tuple[list[DataFrame], DataFrame]:
     """Drop every row of a key that repeats in ``df``, from ``df`` and ``others``.
 
     Returns the cleaned tables and a one-row report (colliding_keys, dropped_rows).
-    The row count comes from the key counts, so no join is needed for it.
+    The row count comes from the key counts, so no join is needed for it. Keys
+    with very many rows are dropped first, against a list too short to shuffle
+    for, so those rows are never brought together.
     """
     dup = measured(duplicate_keys(df, keys))
     report = dup.agg(F.count("*").alias("colliding_keys"),
                      F.coalesce(F.sum("n"), F.lit(0)).alias("dropped_rows"))
     bare = dup.select(*keys)
-    return [t.join(bare, list(keys), "left_anti") for t in (df, *others)], report
+    hot = measured(dup.filter(F.col("n") > hot_rows).select(*keys))
+    tables = [df, *others]
+    if not hot.isEmpty():
+        tables = [t.join(hot, list(keys), "left_anti") for t in tables]
+    return [t.join(bare, list(keys), "left_anti") for t in tables], report
 
 
 def attach_rollup(parent: DataFrame, rollup: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -38,12 +72,13 @@ def attach_rollup(parent: DataFrame, rollup: DataFrame, keys: Sequence[str]) ->
 
 
 def seat_join(parts: DataFrame, txns: DataFrame, key: str, part_cols: Sequence[str],
-              txn_cols: Sequence[str]) -> DataFrame:
+              txn_cols: Sequence[str], hot_rows: int = HOT_ROWS) -> DataFrame:
     """Participant rows with their transaction's attributes.
 
     Both sides are cut to the named columns first, so only those are shuffled.
     """
-    return parts.select(key, *part_cols).join(txns.select(key, *txn_cols), key)
+    return skew_join(parts.select(key, *part_cols), txns.select(key, *txn_cols), [key],
+                     hot=hot_keys(parts, [key], hot_rows))
 
 
 def with_lookup(df: DataFrame, small: DataFrame, keys: Sequence[str] | str,

@@ -21,7 +21,10 @@ from pyspark.sql import functions as F
 
 from opspark.functions.columns import (
     DERIVED_FEE_CAP, DERIVED_FEE_FLOOR, DERIVED_FEE_TOLERANCE, as_col, flag_sum)
+from opspark.operators.attribute import hot_totals
+from opspark.operators.joins import skew_join
 from opspark.operators.scan import HOT_ROWS, Measure, blocked, hot_keys, split_hot, windowed
+from opspark.session import cut
 
 # Names of the rounds; later rounds keep the last name.
 ROUND_NAMES = ("preflop", "flop", "turn", "river")
@@ -108,7 +111,8 @@ def participant_actions(replayed: DataFrame, c: LogColumns = LogColumns()) -> Da
         flag_sum((F.col("kind") == "call") & later).alias("later_calls")))
 
 
-def return_excess(df: DataFrame, txn: str, actor: str, amount: str) -> DataFrame:
+def return_excess(df: DataFrame, txn: str, actor: str, amount: str,
+                  hot_rows: int = HOT_ROWS) -> DataFrame:
     """Give the unmatched part of the largest contribution back to its owner.
 
     Adds invested, excess (what this row got back) and total. The top two rows
@@ -121,14 +125,15 @@ def return_excess(df: DataFrame, txn: str, actor: str, amount: str) -> DataFrame
                F.max(F.when(F.col("_r") == 1, F.col(amount))).alias("_top1"),
                F.max(F.when(F.col("_r") == 2, F.col(amount))).alias("_top2"),
                F.max(F.when(F.col("_r") == 1, F.col(actor))).alias("_owner")))
-    sums = df.groupBy(txn).agg(F.sum(amount).alias("_sum"))
+    sums = df.groupBy(txn).agg(F.sum(amount).alias("_sum"), F.count("*").alias("_n"))
     over = F.coalesce(F.col("_top1") - F.col("_top2"), F.lit(0))
-    per = sums.join(top, txn).select(txn, "_owner", over.alias("_over"),
-                                     (F.col("_sum") - over).alias("total"))
+    per = cut(sums.join(top, txn).select(txn, "_owner", "_n", over.alias("_over"),
+                                         (F.col("_sum") - over).alias("total")))
     excess = F.when(F.col(actor) == F.col("_owner"), F.col("_over")).otherwise(F.lit(0))
-    return (df.join(per, txn).withColumn("excess", excess)
+    joined = skew_join(df, per, [txn], hot=hot_totals(per, txn, "_n", hot_rows))
+    return (joined.withColumn("excess", excess)
             .withColumn("invested", F.col(amount) - F.col("excess"))
-            .drop("_owner", "_over"))
+            .drop("_owner", "_over", "_n"))
 
 
 def derive_fee(txns: DataFrame, total: str, payouts: str, cap: float = DERIVED_FEE_CAP,

@@ -68,6 +68,10 @@ def prefix_scan(df: DataFrame, prefix: str, col: str = "row_key") -> DataFrame:
 
 
 def key_layout(df: DataFrame, key: Sequence[str], clustering: Sequence) -> DataFrame:
-    """Rows of a key together and in clustering order, ready to be written."""
-    return df.repartition(*[F.col(k) for k in key]).sortWithinPartitions(
-        *[F.col(k) for k in key], *clustering)
+    """Rows of a key side by side and in clustering order, ready to be written.
+
+    Ranges over key and clustering together: a very large key spans several files
+    in a row instead of filling one task.
+    """
+    order = [*[F.col(k) for k in key], *clustering]
+    return df.repartitionByRange(*order).sortWithinPartitions(*order)
