@@ -49,13 +49,12 @@ def shared_folder(spark: SparkSession) -> str:
 
     Only when the session names none (a local test run) is one made here.
     """
+    context = spark.sparkContext
     folder = spark.conf.get("spark.checkpoint.dir", None)
-    if folder:
-        return folder
-    folder = spark.sparkContext.getCheckpointDir()
     if not folder:
-        folder = tempfile.mkdtemp(prefix="opspark-")
-        spark.sparkContext.setCheckpointDir(folder)
+        folder = context.getCheckpointDir() or tempfile.mkdtemp(prefix="opspark-")
+    if not context.getCheckpointDir():
+        context.setCheckpointDir(folder)
     return folder
 
 

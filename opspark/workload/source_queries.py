@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from opspark.functions.columns import to_cents
-from opspark.operators.modal import latest_per_key
+from opspark.operators.modal import latest_per_key as latest_of
 from opspark.operators.quality import quarantine
 from opspark.operators.quality import quarantine_counts as count_reasons
 from opspark.operators.replay import derive_fee, participant_actions, replay, return_excess
@@ -121,10 +121,10 @@ def coerce(spark, sf_dir):
 
 
 @query("WITH " + ACT_SQL + """
-SELECT CASE WHEN k % 17 = 0 THEN 'no_id' ELSE 'no_unit' END AS reason, count(*) AS n
-FROM act WHERE k % 17 = 0 OR cents < 100 GROUP BY 1""")
+SELECT CASE WHEN k < 6 THEN 'no_id' ELSE 'no_unit' END AS reason, count(*) AS n
+FROM act WHERE k < 6 OR cents < 100 GROUP BY 1""")
 def quarantine_counts(spark, sf_dir):
-    _, bad = quarantine(act(spark, sf_dir), [("no_id", F.col("k") % 17 == 0),
+    _, bad = quarantine(act(spark, sf_dir), [("no_id", F.col("k") < 6),
                                             ("no_unit", F.col("cents") < 100)])
     return count_reasons(bad)
 
@@ -265,10 +265,10 @@ def json_props(spark, sf_dir):
 SELECT user_id, event_id, CAST(r AS INT) AS rank FROM (
   SELECT user_id, event_id, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id) AS r
   FROM events) WHERE r <= 3""")
-def latest_events(spark, sf_dir):
+def latest_per_key(spark, sf_dir):
     """The three newest events of every user."""
     e = table(spark, sf_dir, "events").select("user_id", "event_id", "ts")
-    return latest_per_key(e, ["user_id"], [F.desc("ts"), "event_id"], 3).drop("ts")
+    return latest_of(e, ["user_id"], [F.desc("ts"), "event_id"], 3).drop("ts")
 
 
 @query("""

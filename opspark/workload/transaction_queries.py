@@ -221,7 +221,7 @@ RISK_SQL = """(('0x' || substr(md5(site || ':' || player || ':7'), 1, 8))::BIGIN
 
 @query(FEE_SQL + f""",
 e AS (SELECT site, player, p_rows, {RISK_SQL} AS risk, w1_fee, p_fee_observed, p_rows_observed,
-             w1_rows, CASE WHEN player % 3 <> 0 THEN player % 4 END AS segment FROM fees
+             w1_rows, CASE WHEN p_rows_observed >= 25 THEN CAST(w1_rows >= 28 AS INT) END AS segment FROM fees
       WHERE p_rows > 0)
 SELECT site, player, p_rows, risk, segment, {fixed_sql("coalesce(w1_fee, 0) / 100", 1)} AS weekly,
        {fixed_sql("risk * coalesce(w1_fee, 0) / 100", 1)} AS expected_loss,
@@ -230,12 +230,12 @@ SELECT site, player, p_rows, risk, segment, {fixed_sql("coalesce(w1_fee, 0) / 10
 FROM e""")
 def value_at_risk(spark, sf_dir):
     """Features, scores, fees and segments joined; expected loss and the naive estimate."""
-    fees = fees_by_player(spark, sf_dir).filter("p_rows > 0")
+    fees = cut(fees_by_player(spark, sf_dir).filter("p_rows > 0"))
     keys = ["site", "player"]
     features = fees.select(*keys, "p_rows")
     scores = fees.select(*keys, (hash_percent(keys, 7) / 100).alias("risk"))
-    segments = fees.filter(F.col("player") % 3 != 0).select(
-        *keys, (F.col("player") % 4).alias("segment"))
+    segments = fees.filter("p_rows_observed >= 25").select(
+        *keys, (F.col("w1_rows") >= 28).cast("int").alias("segment"))
     money = fees.select(*keys, "w1_fee", "p_fee_observed", "p_rows_observed", "w1_rows")
     t = expected_loss(value_table(features, scores, money, segments, keys), "risk", "w1_fee")
     t = naive_value(t, "p_fee_observed", "p_rows_observed", "w1_rows")

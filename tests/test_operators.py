@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from opspark.functions.columns import band, finite, invert_log, plausible, widening_bucket
 from opspark.operators.activity import ActivityColumns, prior_core, prior_features, site_window
+from opspark.operators.benchmark import reduce_counts, reduce_counts_rdd
 from opspark.operators.checks import check_attribution, check_counts, check_reconcile
 from opspark.operators.concurrency import concurrency, distinct_resources, resource_use
 from opspark.operators.estimate import apply_cells, fit_cells
@@ -264,6 +265,11 @@ def test_values(spark):
     assert s["few"]["entities"] == 2 and round(s["few"]["vs_first"], 6) == round(6 / 38, 6)
 
 
+def test_counts_by_pairs(spark):
+    df = spark.range(50).withColumn("k", F.col("id") % 4)
+    assert rows(reduce_counts_rdd(df, "k")) == rows(reduce_counts(df, "k"))
+
+
 def test_fold_is_stable(spark):
     df = hash_fold(spark.range(1000), ["id"])
     n = df.filter("fold = 'test'").count()
