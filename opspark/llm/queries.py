@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from opspark.llm.minhash import near_duplicates
+from opspark.llm.substring import remove_repeats
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -26,7 +27,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 # Fixed pattern: words are runs of anything but a blank and the characters 9 to 13.
-WORDS_SQL = r"list_filter(regexp_split_to_array({}, '[\x20\x09-\x0D]+'), x -> x <> '')"
+WORDS_SQL = r"list_filter(regexp_split_to_array({}, '[\x20\x09-\x0D]+'), lambda x: x <> '')"
 LOWER_SQL = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
 
@@ -36,7 +37,7 @@ WITH RECURSIVE w AS (
 s AS (
   SELECT DISTINCT doc_id, unnest(CASE WHEN len(ws) = 0 OR ws IS NULL THEN [] WHEN len(ws) < 5
     THEN [array_to_string(ws, ' ')]
-    ELSE list_transform(range(1, len(ws) - 3), i -> array_to_string(ws[i:i + 4], ' ')) END) AS sh
+    ELSE list_transform(range(1, len(ws) - 3), lambda i: array_to_string(ws[i:i + 4], ' ')) END) AS sh
   FROM w),
 n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
 c AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c FROM s a JOIN s b USING (sh)
@@ -49,3 +50,23 @@ FROM documents d LEFT JOIN n USING (doc_id)
 JOIN (SELECT a, min(b) AS b FROM r GROUP BY a) m ON m.a = d.doc_id""")
 def op1_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
+
+
+@query(f"""
+WITH w AS (
+  SELECT doc_id, coalesce({WORDS_SQL.format("text")}, []) AS ws FROM documents),
+s AS (
+  SELECT doc_id, unnest(range(1, len(ws) - 18)) AS p,
+         unnest(list_transform(range(1, len(ws) - 18), lambda i: md5(array_to_string(ws[i:i + 19], ' '))))
+           AS k
+  FROM w WHERE len(ws) >= 20),
+f AS (SELECT doc_id, p, row_number() OVER (PARTITION BY k ORDER BY doc_id, p) AS rn FROM s),
+g AS (SELECT DISTINCT doc_id, unnest(range(p, p + 20)) AS p FROM f WHERE rn > 1),
+a AS (SELECT doc_id, unnest(ws) AS word, unnest(range(1, len(ws) + 1)) AS p FROM w),
+k AS (SELECT doc_id, string_agg(word, ' ' ORDER BY p) AS kept, count(*) AS n
+      FROM a ANTI JOIN g USING (doc_id, p) GROUP BY doc_id)
+SELECT w.doc_id, len(ws)::BIGINT AS n_words, (len(ws) - coalesce(k.n, 0))::BIGINT AS n_removed,
+       sha256(coalesce(kept, '')) AS kept_sha256
+FROM w LEFT JOIN k USING (doc_id)""")
+def op8_substring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return remove_repeats(table(spark, sf_dir, "documents"), with_text=False).drop("kept_text")
