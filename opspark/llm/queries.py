@@ -5,9 +5,12 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from opspark.llm.bpe import decode, encode
 from opspark.llm.minhash import near_duplicates
 from opspark.llm.substring import remove_repeats
+from opspark.llm.token_files import check_sequences, write_sequences
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -26,6 +29,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def tokenizer(name: str) -> str:
+    """Where an installed public tokenizer file is."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
 # Fixed pattern: words are runs of anything but a blank and the characters 9 to 13.
 WORDS_SQL = r"list_filter(regexp_split_to_array({}, '[\x20\x09-\x0D]+'), lambda x: x <> '')"
 LOWER_SQL = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
@@ -70,3 +80,18 @@ SELECT w.doc_id, len(ws)::BIGINT AS n_words, (len(ws) - coalesce(k.n, 0))::BIGIN
 FROM w LEFT JOIN k USING (doc_id)""")
 def op8_substring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return remove_repeats(table(spark, sf_dir, "documents"), with_text=False).drop("kept_text")
+
+
+@query()
+def op6_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = tokenizer("word_bpe_49k.json")
+    both = decode(encode(table(spark, sf_dir, "documents"), path), path)
+    return both.select("doc_id", F.size("ids").cast("long").alias("n_tokens"),
+                       F.sha2(F.array_join("ids", " "), 256).alias("ids_sha256"),
+                       F.sha2(F.col("decoded"), 256).alias("decoded_sha256"))
+
+
+@query()
+def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return check_sequences(write_sequences(table(spark, sf_dir, "documents"),
+                                           tokenizer("byte_bpe_50k.json")))
