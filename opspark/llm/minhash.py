@@ -30,10 +30,10 @@ from opspark.llm.graph import components
 
 SHINGLE = 5
 PERCENT = 85  # links have 100 * intersection >= PERCENT * union
-# At a similarity of 0.85, 32 coordinates miss 14 collisions, or 256 miss 192, for
+# At a similarity of 0.85, 32 coordinates miss 14 collisions, or 512 miss 398, for
 # about one pair in 10^7 and one in 10^5; pairs well above the limit never do.
 POSTED, MATCH = 32, 14
-FINE, FINE_MATCH = 256, 192
+FINE, FINE_MATCH = 512, 398
 BLOCK = 512
 
 _random = np.random.default_rng(20240229)
