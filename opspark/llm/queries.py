@@ -4,11 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from opspark.llm.bpe import decode, encode
 from opspark.llm.minhash import near_duplicates
+from opspark.llm.quality_rules import screen
+from opspark.llm.secrets import BASE, find_secrets, span_text
 from opspark.llm.substring import remove_repeats
 from opspark.llm.token_files import check_sequences, write_sequences
 
@@ -36,6 +38,11 @@ def tokenizer(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def count_kind(spans: str, kind: str) -> Column:
+    return (F.size(F.filter(spans, lambda x: x["kind"] == F.lit(kind))).cast("long")
+            .alias(f"n_{kind}"))
+
+
 # Fixed pattern: words are runs of anything but a blank and the characters 9 to 13.
 WORDS_SQL = r"list_filter(regexp_split_to_array({}, '[\x20\x09-\x0D]+'), lambda x: x <> '')"
 LOWER_SQL = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
@@ -95,3 +102,46 @@ def op6_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return check_sequences(write_sequences(table(spark, sf_dir, "documents"),
                                            tokenizer("byte_bpe_50k.json")))
+
+
+@query()
+def op5_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = find_secrets(table(spark, sf_dir, "documents"))
+    base = F.filter("spans", lambda x: x["rank"] < len(BASE))
+    return found.select(
+        "doc_id", *[count_kind("spans", k) for k in BASE],
+        F.sha2(span_text(base), 256).alias("base_sha256"),
+        span_text(F.col("spans")).alias("spans"))
+
+
+@query(f"""
+WITH w AS (
+  SELECT doc_id, source, coalesce(text, '') AS text, coalesce({WORDS_SQL.format("text")}, []) AS ws
+  FROM documents),
+t AS (SELECT doc_id, unnest(range(1, len(ws) - 1)) AS p,
+             unnest(list_transform(range(1, len(ws) - 1), lambda i: ws[i:i + 2])) AS k
+      FROM w WHERE len(ws) >= 3),
+u AS (SELECT doc_id, p, count(*) OVER (PARTITION BY doc_id, k) AS n FROM t),
+r AS (SELECT doc_id, count(DISTINCT q) AS n FROM (
+        SELECT doc_id, unnest([p, p + 1, p + 2]) AS q FROM u WHERE n > 1) GROUP BY doc_id),
+l AS (SELECT doc_id, source, md5(text) AS copy, unnest(string_split(text, chr(10))) AS line FROM w),
+g AS (SELECT doc_id, source, copy, line, {WORDS_SQL.format("line")} AS ls FROM l),
+d AS (SELECT doc_id, sum(n - 1)::BIGINT AS n FROM (
+        SELECT doc_id, line, count(*) AS n FROM g WHERE len(ls) > 0 GROUP BY 1, 2) GROUP BY 1),
+m AS (SELECT *, {LOWER_SQL.replace("text", "array_to_string(ls, ' ')", 1)} AS norm FROM g
+      WHERE len(ls) > 0),
+c AS (SELECT source, norm, count(DISTINCT copy) AS n FROM m GROUP BY 1, 2),
+h AS (SELECT source, count(DISTINCT md5(text)) AS size FROM w GROUP BY 1),
+o AS (SELECT source, norm FROM c JOIN h USING (source) WHERE n > 20 AND n > size * 0.1),
+x AS (SELECT doc_id, sum(len(ls)) AS lost FROM m SEMI JOIN o USING (source, norm) GROUP BY 1),
+f AS (
+  SELECT w.doc_id, len(ws)::BIGINT AS n_words, length(array_to_string(ws, ''))::BIGINT AS word_chars,
+         length(regexp_replace(text, '[^#*$%&|<>]', '', 'g'))::BIGINT AS n_symbols,
+         coalesce(d.n, 0)::BIGINT AS n_dup_lines, coalesce(r.n, 0)::BIGINT AS n_repeat_words,
+         coalesce(lost, 0)::BIGINT AS n_lost
+  FROM w LEFT JOIN d USING (doc_id) LEFT JOIN r USING (doc_id) LEFT JOIN x USING (doc_id))
+SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed,
+       NOT (n_words < 50 OR 100 * n_repeat_words > 50 * n_words) AND n_lost <= 0.5 * n_words AS kept
+FROM f""")
+def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return screen(table(spark, sf_dir, "documents")).drop("clean_text")
