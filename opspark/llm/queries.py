@@ -13,6 +13,7 @@ from opspark.llm.quality_rules import screen
 from opspark.llm.secrets import BASE, find_secrets, span_text
 from opspark.llm.substring import remove_repeats
 from opspark.llm.token_files import check_sequences, write_sequences
+from opspark.llm.warc import read_archives, write_archives
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -145,3 +146,24 @@ SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed,
 FROM f""")
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return screen(table(spark, sf_dir, "documents")).drop("clean_text")
+
+
+# SHA-1 in base 32, from its hexadecimal form: five digits are four characters.
+BASE32_SQL = """array_to_string(list_transform(range(0, 8), lambda i: array_to_string(list_transform(
+  range(0, 4), lambda j: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1 + CAST(
+    (CAST('0x' || substr(sha1({0}), 1 + 5 * i, 5) AS BIGINT) >> (15 - 5 * j)) & 31 AS INT), 1)),
+  '')), '')"""
+
+
+@query(f"""
+WITH p AS (SELECT page_id, coalesce(html, '') AS html FROM pages),
+t AS (SELECT html, max(page_id) AS top FROM p GROUP BY html)
+SELECT page_id, octet_length(encode(html))::BIGINT AS payload_bytes,
+       {BASE32_SQL.format("html")} AS payload_digest,
+       CASE WHEN page_id = top THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id <> top THEN top END AS refers_to
+FROM p JOIN t USING (html)""")
+def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    archives = write_archives(table(spark, sf_dir, "pages"))
+    return read_archives(archives).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
