@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 
 from opspark.llm.common import worker_cache
 
-MEMO = 300_000
+MEMO = 200_000
 # The characters with the Unicode property White_Space.
 SPACES = ("\\t\\n\\x0b\\x0c\\r\\x20\\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029"
           "\\u202f\\u205f\\u3000")
@@ -192,11 +192,13 @@ def decode(encoded: DataFrame, tokenizer_path: str) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tok = _loaded(source)
         for batch in batches:
-            texts = [None if ids is None else tok.decode(ids)
-                     for ids in batch.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), pa.array(texts, pa.string())],
-                ["doc_id", "ids", "decoded"])
+            for at in range(0, batch.num_rows, 256):  # a few documents' ids as Python objects
+                part = batch.slice(at, 256)
+                texts = [tok.decode(ids.values.to_numpy().tolist()) if ids.is_valid else None
+                         for ids in part.column(1)]
+                yield pa.RecordBatch.from_arrays(
+                    [part.column(0), part.column(1), pa.array(texts, pa.string())],
+                    ["doc_id", "ids", "decoded"])
 
     return encoded.select("doc_id", "ids").mapInArrow(
         run, "doc_id long, ids array<int>, decoded string")
