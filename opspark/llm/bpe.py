@@ -15,6 +15,7 @@ from __future__ import annotations
 import hashlib
 import heapq
 import json
+import struct
 import unicodedata
 from collections.abc import Iterator
 from itertools import chain
@@ -27,10 +28,14 @@ from pyspark.sql import functions as F
 
 from opspark.llm.common import worker_cache
 
-MEMO = 200_000
+MEMO = 150_000
 # The characters with the Unicode property White_Space.
 SPACES = ("\\t\\n\\x0b\\x0c\\r\\x20\\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029"
           "\\u202f\\u205f\\u3000")
+# Fixed value: the pieces of a word; letters alone are one piece, and none crosses white space.
+PIECES = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+# What str.split() splits at beyond the property White_Space.
+SEPARATORS = "\x1c\x1d\x1e\x1f"
 
 
 def byte_letters() -> list[str]:
@@ -46,6 +51,26 @@ def _listed(part: dict | None, kind: str) -> list[dict]:
     return part[kind] if part["type"] == "Sequence" else [part]
 
 
+class Memo(dict):
+    """Results by word, in two generations: what is used again survives, the rest goes."""
+
+    def __init__(self, make, limit: int = MEMO, longest: int = 64):
+        super().__init__()
+        self.make, self.limit, self.longest, self.old = make, limit, longest, {}
+
+    def __missing__(self, word: str) -> bytes:
+        value = self.old.get(word)
+        if value is None:
+            value = self.make(word)
+            if len(word) > self.longest:
+                return value
+        if len(self) >= self.limit:
+            self.old = dict(self)
+            self.clear()
+        self[word] = value
+        return value
+
+
 class Tokenizer:
     """Tables of one file; ``encode`` gives ids, ``decode`` text."""
 
@@ -58,8 +83,8 @@ class Tokenizer:
         self.vocab: dict[str, int] = model["vocab"]
         self.suffix = model.get("end_of_word_suffix") or ""
         pairs = [m.split(" ") if isinstance(m, str) else m for m in model["merges"]]
-        self.merges = {(self.vocab[a], self.vocab[b]): (rank, self.vocab[a + b])
-                       for rank, (a, b) in enumerate(pairs)}
+        self.ranks = {self.vocab[a] << 32 | self.vocab[b]: r for r, (a, b) in enumerate(pairs)}
+        self.made = [self.vocab[a + b] for a, b in pairs]
         self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
         if any(t["lstrip"] or t["rstrip"] or t["single_word"] or t["normalized"]
                for t in spec["added_tokens"]):
@@ -75,72 +100,90 @@ class Tokenizer:
         if (split["type"], level["type"]) != ("Split", "ByteLevel") or not split["invert"] \
                 or split["behavior"] != "Removed" or level["use_regex"] or level["add_prefix_space"]:
             raise ValueError("unsupported pre-tokenizer")
-        self.pieces = regex.compile(split["pattern"]["Regex"].replace("\\s", SPACES))
-        self.spaces = regex.compile(f"[{SPACES}]+")
+        if split["pattern"]["Regex"] != PIECES:
+            raise ValueError("unsupported pre-tokenizer pattern")
+        self.pieces = regex.compile(PIECES.replace("\\s", SPACES))
+        self.words = regex.compile(f"[^{SPACES}]+")
         self.letters = byte_letters()
-        self.memo: dict[str, tuple[int, ...]] = {}
+        self.inner = [self.vocab.get(c) for c in self.letters]
+        self.final = [self.vocab.get(c + self.suffix) for c in self.letters]
+        self.memo, self.piece_memo = Memo(self.word), Memo(self.piece)
         self.strings = {i: s for s, i in chain(self.vocab.items(), self.special.items())}
         if spec["decoder"] is not None:
             raise ValueError("unsupported decoder")
 
-    def merge(self, piece: str) -> tuple[int, ...]:
-        """Ids of one piece."""
-        letters = [self.letters[b] for b in piece.encode("utf-8", "replace")]
-        letters[-1] += self.suffix
-        ids = [self.vocab[s] for s in letters if s in self.vocab]
-        n, merges = len(ids), self.merges
-        left, right = list(range(-1, n - 1)), [*range(1, n), -1]
+    def merge(self, piece: str) -> list[int]:
+        """Ids of one piece. A queue entry is rank * 2^shift + place, so ranks go first."""
+        raw = piece.encode("utf-8", "replace")
+        ids = [self.inner[b] for b in raw]
+        ids[-1] = self.final[raw[-1]]
+        if None in ids:
+            ids = [i for i in ids if i is not None]
+        n, rank_of = len(ids), self.ranks.get
+        shift = n.bit_length()
+        low = (1 << shift) - 1
         queue = []
         for i in range(n - 1):
-            found = merges.get((ids[i], ids[i + 1]))
-            if found:
-                queue.append((found[0], i, found[1]))
+            rank = rank_of(ids[i] << 32 | ids[i + 1])
+            if rank is not None:
+                queue.append(rank << shift | i)
+        if not queue:
+            return ids
         heapq.heapify(queue)
+        left, right = list(range(-1, n - 1)), list(range(1, n + 1))
+        ids.append(-1)  # after the last symbol: no pair with it has a rank
         while queue:
-            rank, i, new = heapq.heappop(queue)
+            entry = heapq.heappop(queue)
+            i = entry & low
             j = right[i]
-            if ids[i] < 0 or j < 0 or merges.get((ids[i], ids[j]), (0, -1))[1] != new:
+            rank = entry >> shift
+            if ids[i] < 0 or j >= n or rank_of(ids[i] << 32 | ids[j]) != rank:
                 continue  # stale: one of the two symbols is no longer what it was
-            ids[i], ids[j] = new, -1
+            ids[i] = new = self.made[rank]
+            ids[j] = -1
             right[i] = after = right[j]
-            if after >= 0:
+            if after < n:
                 left[after] = i
-                found = merges.get((new, ids[after]))
-                if found:
-                    heapq.heappush(queue, (found[0], i, found[1]))
+                rank = rank_of(new << 32 | ids[after])
+                if rank is not None:
+                    heapq.heappush(queue, rank << shift | i)
             before = left[i]
             if before >= 0:
-                found = merges.get((ids[before], new))
-                if found:
-                    heapq.heappush(queue, (found[0], before, found[1]))
-        return tuple(i for i in ids if i >= 0)
+                rank = rank_of(ids[before] << 32 | new)
+                if rank is not None:
+                    heapq.heappush(queue, rank << shift | before)
+        return [i for i in ids if i >= 0]
 
     def normalize(self, text: str) -> str:
         for step in self.steps:
             if step == "NFC":
                 text = text if text.isascii() else unicodedata.normalize("NFC", text)
-            elif step == "Replace":
-                text = self.spaces.sub(" ", text)
-            else:  # character by character, so no special form at the end of a word
+            elif step == "Lowercase":  # character by character, so no special form at the end of a word
                 text = text.replace("Σ", "σ").lower()
         return text
 
+    def piece(self, piece: str) -> bytes:
+        ids = self.merge(piece)
+        return struct.pack(f"<{len(ids)}i", *ids)
+
+    def word(self, word: str) -> bytes:
+        """Little-endian ids of a run without white space."""
+        word = self.normalize(word)
+        if word.isalpha():  # letters alone are one piece
+            return self.piece_memo[word]
+        return b"".join(map(self.piece_memo.__getitem__, self.pieces.findall(word)))
+
     def encode(self, text: str) -> np.ndarray:
-        memo, merge, out = self.memo, self.merge, []
+        """Neither a piece nor a normal form crosses white space, so words are independent."""
+        out = []
         for part in (self.cut.split(text) if self.cut else [text]):
             if part in self.special:
-                out.append((self.special[part],))
-                continue
-            for piece in self.pieces.findall(self.normalize(part)):
-                ids = memo.get(piece)
-                if ids is None:
-                    if len(memo) >= MEMO:
-                        memo.clear()
-                    ids = merge(piece)
-                    if len(piece) <= 64:
-                        memo[piece] = ids
-                out.append(ids)
-        return np.fromiter(chain.from_iterable(out), np.int32)
+                out.append(struct.pack("<i", self.special[part]))
+            elif not any(map(part.__contains__, SEPARATORS)):
+                out.extend(map(self.memo.__getitem__, part.split()))
+            else:  # characters that str.split() takes for white space, but the file does not
+                out.extend(map(self.memo.__getitem__, self.words.findall(part)))
+        return np.frombuffer(b"".join(out), "<i4")
 
     def decode(self, ids: list[int]) -> str:
         return " ".join(map(self.strings.__getitem__, ids))
