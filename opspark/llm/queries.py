@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from opspark.llm.bpe import decode, encode
+from opspark.llm.decontaminate import leaks
 from opspark.llm.minhash import near_duplicates
 from opspark.llm.quality_rules import screen
 from opspark.llm.secrets import BASE, find_secrets, span_text
@@ -167,3 +168,8 @@ def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     archives = write_archives(table(spark, sf_dir, "pages"))
     return read_archives(archives).select(
         "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+@query()
+def op4_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))

@@ -222,6 +222,7 @@ def check_sequences(manifest: DataFrame) -> DataFrame:
             if out:
                 yield batch_of(READ, **dict(zip(READ.names, zip(*out))))
 
-    return manifest.select("path", "base").repartition("path").mapInArrow(
+    # One task per file: by number, as adaptive execution would join such small rows.
+    return manifest.select("path", "base").repartition(max(1, manifest.count())).mapInArrow(
         run, "doc_id long, start long, n_tokens long, ids_crc32 long")
 

@@ -233,6 +233,7 @@ def read_archives(manifest: DataFrame, split_bytes: int = SPLIT_BYTES) -> DataFr
                 if out:
                     yield batch_of(READ, **dict(zip(READ.names, zip(*out))))
 
-    return (ranges.repartition("path", "start").mapInArrow(
+    # One task per range: by number, as adaptive execution would join such small rows.
+    return (ranges.repartition(max(1, ranges.count())).mapInArrow(
         run, "page_id long, url string, record_type string, payload_bytes long, "
         "payload_digest string, refers_to long, path string, offset long, payload binary"))
