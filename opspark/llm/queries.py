@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from opspark.llm.bpe import decode, encode
 from opspark.llm.decontaminate import leaks
 from opspark.llm.minhash import near_duplicates
+from opspark.llm import pii
 from opspark.llm.quality_rules import screen
 from opspark.llm.secrets import BASE, find_secrets, span_text
 from opspark.llm.substring import remove_repeats
@@ -173,3 +174,12 @@ def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def op4_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query()
+def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.personal_data(table(spark, sf_dir, "documents"))
+    base = F.filter("spans", lambda s: s["rank"] < len(pii.KINDS))
+    return found.select("doc_id", *[count_kind("spans", k) for k in pii.KINDS],
+                        F.sha2(span_text(base), 256).alias("base_sha256"),
+                        span_text(F.col("spans")).alias("spans"))
