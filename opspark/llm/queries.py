@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from opspark.llm.bpe import decode, encode
 from opspark.llm.decontaminate import leaks
+from opspark.llm.lm import score, train
 from opspark.llm.minhash import near_duplicates
 from opspark.llm import pii
 from opspark.llm.quality_rules import screen
@@ -183,3 +184,9 @@ def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", *[count_kind("spans", k) for k in pii.KINDS],
                         F.sha2(span_text(base), 256).alias("base_sha256"),
                         span_text(F.col("spans")).alias("spans"))
+
+
+@query()
+def op2_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return score(docs, train(docs))
