@@ -23,6 +23,7 @@ import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from opspark.llm.common import batch_of, grouped, mix, split_words, stored, word_hash
@@ -282,3 +283,18 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                     F.when(F.col("n_shingles") > 0, F.col("component_id"))
                     .otherwise(F.col("doc_id")).alias("component_id"))
             .withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id"))))
+
+
+def keep_first(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows of ``docs`` without near duplicates: of each group the least id stays.
+
+    Of rows that share an id the one with the least text stays. Rows without an id
+    cannot be told apart and stay.
+    """
+    named = docs.filter(F.col(id_col).isNotNull())
+    kept = near_duplicates(named, id_col, text_col).filter("kept").select(
+        F.col("doc_id").alias(id_col)).distinct()
+    rank = F.row_number().over(W.partitionBy(id_col).orderBy(text_col))
+    first = (named.join(kept, id_col, "left_semi").withColumn("_rank", rank)
+             .filter("_rank = 1").drop("_rank"))
+    return first.select(*docs.columns).unionByName(docs.filter(F.col(id_col).isNull()))

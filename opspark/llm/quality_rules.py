@@ -116,6 +116,24 @@ def frequent_lines(docs: DataFrame, host_col: str, text_col: str, rules: Rules)
     return stored(over.groupBy("host").agg(F.collect_list("line").alias("lines")), "frequent")
 
 
+def judge(text: str | None, lines: list[int] | None, rules: Rules):
+    """(figures, base_failed, words lost, kept, text without the frequent lines)."""
+    got = figures(text)
+    n, repeat = got[0], got[4]
+    failed = n < rules.min_words or 100 * repeat > rules.max_repeat_pct * n
+    lost, clean = 0, text
+    if lines and text:
+        frequent, left = set(lines), []
+        for line in text.split("\n"):
+            raw = line.encode("utf-8", "replace")
+            if line_key(raw) in frequent:
+                lost += len(raw.split())
+            else:
+                left.append(line)
+        clean = "\n".join(left) if lost else text
+    return got, failed, lost, not failed and lost <= rules.lost_share * n, clean
+
+
 def screen(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
            host_col: str = "source", rules: Rules = Rules()) -> DataFrame:
     """One row per row of ``docs``: the figures, the verdict and the cleaned text.
@@ -137,20 +155,7 @@ def screen(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         for batch in batches:
             out = []
             for doc_id, text, lines in zip(*(c.to_pylist() for c in batch.columns)):
-                got = figures(text)
-                n, repeat = got[0], got[4]
-                failed = n < rules.min_words or 100 * repeat > rules.max_repeat_pct * n
-                lost, clean = 0, text
-                if lines and text:
-                    frequent_here, left = set(lines), []
-                    for line in text.split("\n"):
-                        raw = line.encode("utf-8", "replace")
-                        if line_key(raw) in frequent_here:
-                            lost += len(raw.split())
-                        else:
-                            left.append(line)
-                    clean = "\n".join(left) if lost else text
-                kept = not failed and lost <= rules.lost_share * n
+                got, failed, lost, kept, clean = judge(text, lines, rules)
                 out.append((doc_id, *got, failed, lost, kept, clean))
             if out:
                 yield batch_of(schema, **dict(zip(schema.names, zip(*out))))
@@ -162,3 +167,28 @@ def screen(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
             .mapInArrow(run, "doc_id long, n_words long, word_chars long, n_symbols long, "
                         "n_dup_lines long, n_repeat_words long, base_failed boolean, "
                         "n_lost long, kept boolean, clean_text string"))
+
+
+def keep_good(docs: DataFrame, text_col: str = "text", host_col: str = "source",
+              rules: Rules = Rules()) -> DataFrame:
+    """The rows of ``docs`` that pass, with the frequent lines taken out of their text.
+
+    Columns stay as they are; rows are judged as in ``screen``.
+    """
+    frequent = frequent_lines(docs, host_col, text_col, rules).select(
+        F.col("host").alias("_host"), F.col("lines").alias("_lines"))
+    at, n = docs.columns.index(text_col), len(docs.columns)
+    joined = docs.join(frequent, F.coalesce(F.col(host_col).cast("string"), F.lit(""))
+                       == F.col("_host"), "left").drop("_host")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            text = batch.column(at)
+            done = [judge(t, lines, rules) for t, lines in zip(
+                text.to_pylist(), batch.column(n).to_pylist())]
+            columns = [*batch.columns[:n]]
+            columns[at] = pa.array([d[4] for d in done], text.type)
+            out = pa.RecordBatch.from_arrays(columns, batch.schema.names[:n])
+            yield out.filter(pa.array([d[3] for d in done], pa.bool_()))
+
+    return joined.mapInArrow(run, docs.schema)
