@@ -23,7 +23,7 @@ __all__ = [
     "DERIVED_FEE_FLOOR", "MIN_NULL_RATE",
     "as_col", "finite", "safe_ratio", "floor_ratio", "per_unit", "plausible",
     "widening_bucket", "band", "calendar_flag", "time_parts", "to_cents", "coerce_value",
-    "log_target", "invert_log", "small_distinct", "distinct_days", "flag_sum", "positive_probability",
+    "log_target", "invert_log", "small_distinct", "flag_sum", "positive_probability",
 ]
 
 
@@ -131,12 +131,6 @@ def small_distinct(c: Column | str) -> Column:
     return F.size(F.collect_set(as_col(c)))
 
 
-def distinct_days(day: Column | str) -> Column:
-    """Distinct days in 0..63 as one 64-bit mask per group."""
-    bit = F.call_function("shiftleft", F.lit(1).cast("bigint"), as_col(day).cast("int"))
-    return F.bit_count(F.coalesce(F.bit_or(bit), F.lit(0).cast("bigint")))
-
-
 def flag_sum(condition: Column) -> Column:
     """How many rows meet a condition; a null condition does not count."""
     return F.sum(F.when(condition, 1).otherwise(0))

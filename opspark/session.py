@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import atexit
 import os
+import re
+import shutil
 import tempfile
 import uuid
 
@@ -47,12 +50,17 @@ def build_session(app: str = "opspark", master: str | None = None, **conf) -> Sp
 def shared_folder(spark: SparkSession) -> str:
     """The folder every executor can reach, as named by ``spark.checkpoint.dir``.
 
-    Only when the session names none (a local test run) is one made here.
+    Only where the session names none and runs on this machine alone (a local test
+    run) is one made here; it is removed when Python ends. On a cluster a missing
+    setting is an error: a machine's own folder is not seen by the others.
     """
     context = spark.sparkContext
-    folder = spark.conf.get("spark.checkpoint.dir", None)
+    folder = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if not folder:
-        folder = context.getCheckpointDir() or tempfile.mkdtemp(prefix="opspark-")
+        if not re.fullmatch(r"local(\[.*\])?", context.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        folder = tempfile.mkdtemp(prefix="opspark-")
+        atexit.register(shutil.rmtree, folder, ignore_errors=True)
     if not context.getCheckpointDir():
         context.setCheckpointDir(folder)
     return folder
@@ -63,6 +71,13 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return os.path.join(shared_folder(spark), "opspark", f"{name}-{uuid.uuid4().hex}")
 
 
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written once to the shared folder and read back, column by column."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def cut(df: DataFrame) -> DataFrame:
     """Write ``df`` to the checkpoint folder and return the stored copy.
 

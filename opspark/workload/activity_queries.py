@@ -4,9 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from opspark.operators.activity import entity_core, entity_features
-from opspark.operators.activity import prior_core, prior_features as build_prior
-from opspark.operators.activity import site_window
+from opspark.operators.activity import entity_figures, feature_table, site_window
 from opspark.operators.checks import check_counts as compare_counts
 from opspark.operators.checks import check_split as split_check
 from opspark.operators.checks import check_windows as compare_windows
@@ -16,11 +14,11 @@ from opspark.operators.modal import modal_value as modal_of
 from opspark.operators.replay import LogColumns, replay
 from opspark.operators.rollup import pooled_rate as pool
 from opspark.session import measured
-from opspark.workload.bindings import ACT_SQL, COLUMNS, KEYS, act
+from opspark.workload.bindings import ACT_SQL, KEYS, LIFETIME, PRIOR, WEEKEND, act
 from opspark.workload.quality_queries import MIN_ROWS
 from opspark.workload.registry import query
 
-_WEEKEND = ", ".join(str(d) for d in COLUMNS.weekend)
+_WEEKEND = ", ".join(str(d) for d in WEEKEND)
 
 USE_SQL = """
 busy0 AS (SELECT site, player, bucket, count(DISTINCT resource) AS n FROM {src} GROUP BY ALL),
@@ -61,7 +59,7 @@ FROM core JOIN busy USING (site, player) JOIN places USING (site, player) JOIN f
 WHERE rows >= 5""")
 def player_features(spark, sf_dir):
     """The lifetime table: one row per entity of enough rows."""
-    return entity_features(act(spark, sf_dir), COLUMNS, min_rows=MIN_ROWS)
+    return feature_table(act(spark, sf_dir), LIFETIME, "rows", MIN_ROWS)
 
 
 PRIOR_SQL = "WITH " + ACT_SQL + """,
@@ -116,7 +114,7 @@ JOIN flags USING (site) LEFT JOIN label USING (site, player)"""
 @query(PRIOR_SQL)
 def prior_features(spark, sf_dir):
     """The leak-free table: features up to each site's cutoff, label after it."""
-    return build_prior(act(spark, sf_dir), COLUMNS, min_rows=MIN_ROWS)
+    return feature_table(act(spark, sf_dir), PRIOR, "p_rows", MIN_ROWS)
 
 
 @query("WITH " + ACT_SQL + """,
@@ -153,7 +151,7 @@ def pooled_rate(spark, sf_dir):
     """Entity rates weighted by rows give back the rate over all rows."""
     from opspark.workload.registry import fixed
 
-    core = entity_core(act(spark, sf_dir), COLUMNS)
+    core = entity_figures(act(spark, sf_dir), LIFETIME)
     pooled = pool(core, {"v": "voluntary_rate", "r": "raise_rate"}, "rows", ["site"])
     return pooled.select("site", "n", fixed("v").alias("voluntary_ppm"),
                          fixed("r").alias("raise_ppm"))
@@ -217,7 +215,7 @@ UNION ALL SELECT 'p_distinct_stakes', stakes_off, 0, stakes_off = 0 FROM j""")
 def check_counts(spark, sf_dir):
     """Prior rows and stakes per entity from two independent builds must agree."""
     a = act(spark, sf_dir)
-    core = prior_core(a, COLUMNS).filter("p_rows > 0")
+    core = entity_figures(a, PRIOR).filter("p_rows > 0")
     prior = a.join(measured(site_window(a, "site", "day")), "site").filter("day <= cutoff")
     return compare_counts(core, modal_of(prior, KEYS, "stake"), KEYS,
                           {"p_rows": "total", "p_distinct_stakes": "n_values"})
@@ -233,7 +231,7 @@ UNION ALL SELECT 'cutoff', e, 0, e = 0 FROM j""")
 def check_windows(spark, sf_dir):
     """The windows inside a feature table are the windows measured on the rows."""
     a = act(spark, sf_dir)
-    inside = prior_core(a, COLUMNS).groupBy("site").agg(
+    inside = entity_figures(a, PRIOR).groupBy("site").agg(
         F.max("site_last_day").alias("site_last_day"), F.max("cutoff").alias("cutoff"))
     return compare_windows(inside, site_window(a, "site", "day"))
 
@@ -246,4 +244,4 @@ SELECT 'prior + label' AS "check", got, (SELECT count(*) FROM events) AS want,
 def check_split(spark, sf_dir):
     a = act(spark, sf_dir)
     total = a.agg(F.count("*").alias("n")).scalar()
-    return split_check(prior_core(a, COLUMNS), "p_rows", "label_rows", total)
+    return split_check(entity_figures(a, PRIOR), "p_rows", "label_rows", total)

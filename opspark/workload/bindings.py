@@ -8,18 +8,113 @@ Money is whole cents, so sums do not depend on the order of the rows.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from opspark.functions.columns import flag_sum, to_cents
-from opspark.operators.activity import ActivityColumns, site_window
+from opspark.operators.activity import (
+    Derived, Distinct, Figure, Spec, Use, floored, ratio, site_window)
 from opspark.session import cut, measured
 
 # Saturdays and Sundays of the month the events cover.
 WEEKEND = (6, 7, 13, 14, 20, 21, 27, 28)
-COLUMNS = ActivityColumns(weekend=WEEKEND)
 KEYS = ["site", "player"]
 
+# Windows as days back from the cutoff.
+WINDOWS = {"all": "true", "prior": "age >= 0", "label": "age < 0", "late": "age BETWEEN 0 AND 6",
+           "before": "age BETWEEN 7 AND 13", "last3": "age BETWEEN 0 AND 2"}
+KNOWN = ("prior", "late", "before", "last3")
+RATES = {"voluntary": "voluntary_rate", "raised": "raise_rate", "folded": "fold_rate",
+         "showed": "show_rate"}
+FINITE_STACK = "CASE WHEN NOT isnan(stack) AND abs(stack) <> double('inf') THEN stack END"
+BIG = "seats >= 3"
+
+
+def _style(prefix: str, window: str, tag: str) -> list[Figure]:
+    """Figures that a lifetime table and a prior-window table share."""
+    def name(n):
+        return prefix + n
+
+    return [
+        *[Figure(name(n), "mean", f"int({c})", window=window, tags=(tag,)) for c, n in RATES.items()],
+        Figure(name("bets"), "sum", "bets", window=window),
+        Figure(name("calls"), "sum", "calls", window=window),
+        Figure(name("avg_invested"), "mean", "invested", window=window, tags=(tag,)),
+        Figure(name("avg_stack"), "mean", FINITE_STACK, window=window, tags=("rich",)),
+        Figure(name("money_rows"), where="money_ok", window=window, tags=("rich",)),
+        Figure(name("avg_net"), "mean", "net", "money_ok", window),
+        Figure(name("max_stake"), "max", "stake", window=window, tags=(tag,)),
+        Figure(name("forced_rows_all"), where="forced", window=window),
+        Figure(name("forced_voluntary_all"), where="forced AND voluntary", window=window),
+        Figure(name("forced_rows"), where=f"forced AND {BIG}", window=window),
+        Figure(name("forced_voluntary"), where=f"forced AND {BIG} AND voluntary", window=window),
+        Figure(name("closing_rows"), where=f"closing AND {BIG}", window=window),
+        Figure(name("rows_3plus"), where=BIG, window=window),
+    ]
+
+
+def _ratios(prefix: str, rows: str, tag: str) -> list[Derived]:
+    def p(text):
+        return re.sub(r"@", prefix, text)
+
+    return [
+        Derived(p("@voluntary_gap"), p("@voluntary_rate - @raise_rate"), (tag,)),
+        Derived(p("@aggression"), floored(p("@bets"), p("@calls")), (tag,)),
+        Derived(p("@forced_voluntary_rate"), ratio(p("@forced_voluntary"), p("@forced_rows")), (tag,)),
+        Derived(p("@closing_share"), ratio(p("@closing_rows"), p("@rows_3plus")), (tag,)),
+        Derived(p("@money_coverage"), ratio(p("@money_rows"), rows), ("rich",)),
+        Derived(p("@net_per_100"), p("@avg_net * 100"), ("rich",)),
+    ]
+
+
+LIFETIME = Spec(
+    windows=WINDOWS, known=KNOWN, window_columns=["site_last_day"],
+    figures=[Figure("rows"), Figure("prior_rows", window="prior"),
+             Figure("label_rows", window="label"), Figure("first_day", "min", "day"),
+             Figure("last_day", "max", "day"), *_style("", "all", "lifetime")],
+    distinct=[Distinct("days_active", "day"), Distinct("distinct_stakes", "stake", tags=("lifetime",))],
+    use=Use("max_resources", "avg_resources", "distinct_resources", "active_buckets"),
+    derived=[*_ratios("", "rows", "lifetime"), Derived("rows_per_day", "rows / days_active"),
+             Derived("span_days", "last_day - first_day + 1"),
+             Derived("days_since_last", "site_last_day - last_day")])
+
+PRIOR = Spec(
+    windows=WINDOWS, known=KNOWN, window_columns=["cutoff", "site_last_day", "site_first_day"],
+    figures=[
+        Figure("p_rows", window="prior", tags=("core",)), Figure("label_rows", window="label"),
+        Figure("p_first_day", "min", "day", window="prior"),
+        Figure("p_last_day", "max", "day", window="prior"),
+        Figure("p_rows_w1", window="late", tags=("core",)),
+        Figure("p_rows_w2", window="before", tags=("core",)),
+        Figure("p_rows_last3", window="last3", tags=("core",)),
+        Figure("p_weekend_rows", where=f"day IN {WEEKEND}", window="prior"),
+        *_style("p_", "prior", "core"),
+        Figure("p_avg_seats", "mean", "seats", window="prior", tags=("core",)),
+        Figure("p_min_stake", "min", "stake", window="prior", tags=("core",)),
+        Figure("p_min_stack", "min", FINITE_STACK, window="prior", tags=("rich",))],
+    distinct=[Distinct("p_days_active", "day", "prior", ("core",)),
+              Distinct("p_distinct_stakes", "stake", "prior", ("core",))],
+    use=Use("p_max_resources", "p_avg_resources", "p_distinct_resources", "p_active_buckets",
+            window="prior", tags=("rich",), active_tags=("core",)),
+    derived=[
+        *_ratios("p_", "p_rows", "core"),
+        Derived("p_recency_days", "cutoff - p_last_day", ("core",)),
+        Derived("p_tenure_days", "cutoff - p_first_day + 1", ("core",)),
+        Derived("p_prior_span_days", "cutoff - site_first_day + 1", ("core",)),
+        Derived("p_rows_per_active_day", ratio("p_rows", "p_days_active"), ("core",)),
+        Derived("p_active_day_share", ratio("p_days_active", "p_tenure_days"), ("core",)),
+        Derived("p_rows_per_bucket", ratio("p_rows", "p_active_buckets"), ("core",)),
+        Derived("p_late_share", ratio("p_rows_w1", "p_rows"), ("core",)),
+        Derived("p_w1_w2_ratio", floored("p_rows_w1", "p_rows_w2"), ("core",)),
+        Derived("p_last3_share", ratio("p_rows_last3", "p_rows"), ("core",)),
+        Derived("p_weekend_share", ratio("p_weekend_rows", "p_rows"), ("core",)),
+        Derived("p_stake_range", "p_max_stake - p_min_stake", ("core",)),
+        Derived("stacks_recorded", "p_avg_stack IS NOT NULL"),
+        Derived("money_recorded", "p_money_rows > 0"),
+        Derived("lapsed", "int(label_rows = 0)")])
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")

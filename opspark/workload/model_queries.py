@@ -10,9 +10,7 @@ from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import functions as F
 
 from opspark.functions.columns import log_target, invert_log
-from opspark.operators.activity import (
-    CORE_FEATURES, EXTENDED_FEATURES, FORWARD_LEAKS, LIFETIME_FEATURES, entity_features,
-    prior_features)
+from opspark.operators.activity import feature_table
 from opspark.operators.joins import group_mean_baseline
 from opspark.operators.quality import null_indicators, one_hot, recorded_share
 from opspark.operators.ranking import rank_auc
@@ -24,19 +22,22 @@ from opspark.plans.models import (
     importance as importance_of, importance_by_source, numeric_pipeline, regressor, score,
     scorecard as card_of, vector_slots)
 from opspark.session import cut
-from opspark.workload.bindings import COLUMNS, KEYS, act, book, table
+from opspark.workload.bindings import KEYS, LIFETIME, PRIOR, act, book, table
 from opspark.workload.quality_queries import MIN_ROWS
 from opspark.workload.registry import query
 
 REFERENCE_SITE = "view"
+CORE, RICH = PRIOR.tagged("core"), PRIOR.tagged("rich")
+HINDSIGHT = LIFETIME.tagged("lifetime")
+LEAKS = [*PRIOR.later(), *LIFETIME.later()]
 
 
 def _features(spark, sf_dir):
     """(features as doubles with label and fold, indicators, site dummies); stored for the fits."""
-    g = prior_features(act(spark, sf_dir), COLUMNS, min_rows=MIN_ROWS)
+    g = feature_table(act(spark, sf_dir), PRIOR, "p_rows", MIN_ROWS)
     g = hash_fold(g.withColumn("label", F.col("lapsed").cast("double")), KEYS)
-    g = cut(as_doubles(g, CORE_FEATURES))
-    g, indicators = null_indicators(g, CORE_FEATURES)
+    g = cut(as_doubles(g, CORE))
+    g, indicators = null_indicators(g, CORE)
     g, dummies = one_hot(g, "site", REFERENCE_SITE)
     return g, indicators, dummies
 
@@ -45,7 +46,7 @@ def _features(spark, sf_dir):
 def ml_prep(spark, sf_dir):
     """Median fill, indicators, dummies and standardised vectors."""
     g, indicators, dummies = _features(spark, sf_dir)
-    prep, _ = numeric_pipeline(CORE_FEATURES, indicators, dummies, scale=True)
+    prep, _ = numeric_pipeline(CORE, indicators, dummies, scale=True)
     return prep.fit(g).transform(g).select(*KEYS, vector_to_array("features").alias("features"))
 
 
@@ -64,8 +65,8 @@ def lapse_models(spark, sf_dir):
     train, test = g.filter("fold = 'train'"), g.filter("fold = 'test'")
     out = rank_auc(test, "lapsed", "p_recency_days", KEYS).withColumn("model", F.lit("recency"))
     for kind in ("logistic", "tree", "forest", "gbt"):
-        model, _ = fit_classifier(train, kind, CORE_FEATURES, indicators, dummies,
-                                  size=SMALL_SIZE, forbidden=FORWARD_LEAKS)
+        model, _ = fit_classifier(train, kind, CORE, indicators, dummies,
+                                  size=SMALL_SIZE, forbidden=LEAKS)
         scored = cut(score(model, test, [*KEYS, "lapsed"]))
         out = out.unionByName(rank_auc(scored, "lapsed", "risk", KEYS).withColumn(
             "model", F.lit(kind)))
@@ -77,9 +78,9 @@ def extended_model(spark, sf_dir):
     """The richer features, at the sites that record them for most entities."""
     g, _, _ = _features(spark, sf_dir)
     kept = recorded_share(g, "site", "resources_recorded").select("site")
-    rich = as_doubles(g.join(kept, "site", "left_semi"), EXTENDED_FEATURES)
+    rich = as_doubles(g.join(kept, "site", "left_semi"), RICH)
     model, _ = fit_classifier(rich.filter("fold = 'train'"), "forest",
-                              CORE_FEATURES + EXTENDED_FEATURES, size=SMALL_SIZE)
+                              CORE + RICH, size=SMALL_SIZE)
     scored = cut(score(model, rich.filter("fold = 'test'"), [*KEYS, "lapsed"]))
     return rank_auc(scored, "lapsed", "risk", KEYS)
 
@@ -88,7 +89,7 @@ def extended_model(spark, sf_dir):
 def model_scorecard(spark, sf_dir):
     """Every metric of one model, and its ranking metrics per site in one pass."""
     g, indicators, dummies = _features(spark, sf_dir)
-    model, _ = fit_classifier(g.filter("fold = 'train'"), "logistic", CORE_FEATURES, indicators,
+    model, _ = fit_classifier(g.filter("fold = 'train'"), "logistic", CORE, indicators,
                               dummies)
     scored = cut(score(model, g.filter("fold = 'test'"), [*KEYS, "lapsed"]))
     return card_of(scored, "lapsed", "risk", KEYS, "site")
@@ -98,7 +99,7 @@ def model_scorecard(spark, sf_dir):
 def lapse_scores(spark, sf_dir):
     """The score table: one row per entity with its fold, label and risk."""
     g, indicators, dummies = _features(spark, sf_dir)
-    model, _ = fit_classifier(g.filter("fold = 'train'"), "forest", CORE_FEATURES, indicators,
+    model, _ = fit_classifier(g.filter("fold = 'train'"), "forest", CORE, indicators,
                               dummies, size=SMALL_SIZE)
     return score(model, g, [*KEYS, "fold", "label", "p_rows", "p_recency_days", "p_late_share"])
 
@@ -147,19 +148,19 @@ def importance(spark, sf_dir):
 def leakage_ablation(spark, sf_dir):
     """One model on a floor, on lifetime rates that saw the label week, and on prior features."""
     g, _, _ = _features(spark, sf_dir)
-    life = entity_features(act(spark, sf_dir), COLUMNS, min_rows=1).select(
-        *KEYS, *LIFETIME_FEATURES)
-    both = cut(as_doubles(g.join(life, KEYS, "left"), LIFETIME_FEATURES))
+    life = feature_table(act(spark, sf_dir), LIFETIME, "rows", 1).select(
+        *KEYS, *HINDSIGHT)
+    both = cut(as_doubles(g.join(life, KEYS, "left"), HINDSIGHT))
     return ablation(both, "label", KEYS, {
-        "floor": ["p_rows", "p_tenure_days"], "lifetime": LIFETIME_FEATURES,
-        "prior": CORE_FEATURES}, size=SMALL_SIZE)
+        "floor": ["p_rows", "p_tenure_days"], "lifetime": HINDSIGHT,
+        "prior": CORE}, size=SMALL_SIZE)
 
 
 @query()
 def calibrate(spark, sf_dir):
     """Weighted, unweighted and isotonic probabilities: how far each is off, per fold."""
     g, indicators, dummies = _features(spark, sf_dir)
-    _, report = calibrate_scores(g, "label", KEYS, CORE_FEATURES, indicators, dummies,
+    _, report = calibrate_scores(g, "label", KEYS, CORE, indicators, dummies,
                                  size=SMALL_SIZE)
     return report
 

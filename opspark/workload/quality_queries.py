@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from opspark.functions.columns import (
     band, calendar_flag, finite, flag_sum, plausible, time_parts as parts_of_time, to_cents,
     widening_bucket)
-from opspark.operators.activity import prior_core, prior_features, site_window as window_of
+from opspark.operators.activity import entity_figures, feature_table, site_window as window_of
 from opspark.operators.concurrency import concurrency, distinct_with_sentinel
 from opspark.operators.joins import (
     attach_rollup, checked_join as join_checked, drop_colliding, group_mean_baseline as mean_lookup,
@@ -21,7 +21,7 @@ from opspark.operators.rollup import child_rollup
 from opspark.operators.split import hash_fold as fold_by_hash
 from opspark.operators.split import population_report, time_split as split_by_time
 from opspark.workload.bindings import (
-    ACT_SQL, COLUMNS, KEYS, POT_SQL, WEEKEND, act, pot, table)
+    ACT_SQL, KEYS, POT_SQL, PRIOR, WEEKEND, act, pot, table)
 from opspark.workload.registry import fixed, fixed_sql, query
 
 # Entities have about a dozen events in the given tables, so few rows are asked for.
@@ -257,7 +257,7 @@ SELECT count(*) AS seen, count(*) FILTER (p >= 10) AS kept,
 FROM p WHERE p > 0""")
 def population_filter(spark, sf_dir):
     """How many entities only a rule that looks into the label window would keep."""
-    return population_report(prior_core(act(spark, sf_dir), COLUMNS), "p_rows", "label_rows", 10)
+    return population_report(entity_figures(act(spark, sf_dir), PRIOR), "p_rows", "label_rows", 10)
 
 
 @query("WITH " + ACT_SQL + """,
@@ -269,7 +269,7 @@ SELECT site, count(*) AS n, sum(lapsed)::BIGINT AS positives, avg(lapsed) AS pre
        avg(recency) AS mean_p_recency_days, avg(p_rows) AS mean_p_rows
 FROM p WHERE p_rows >= 5 GROUP BY site""")
 def class_balance(spark, sf_dir):
-    g = prior_features(act(spark, sf_dir), COLUMNS, min_rows=MIN_ROWS)
+    g = feature_table(act(spark, sf_dir), PRIOR, "p_rows", MIN_ROWS)
     return balance(g, ["site"], "lapsed", ["p_recency_days", "p_rows"])
 
 

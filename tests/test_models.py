@@ -3,7 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from opspark.operators.activity import CORE_FEATURES, EXTENDED_FEATURES, FORWARD_LEAKS
+from opspark.workload.model_queries import CORE, LEAKS, RICH
 from opspark.operators.metrics import class_weights
 from opspark.operators.quality import null_indicators
 from opspark.operators.ranking import rank_auc
@@ -43,7 +43,7 @@ def test_classifiers_rank_well(table, kind):
 def test_leaks_are_refused(table):
     with pytest.raises(ValueError):
         fit_classifier(table, "tree", ["x"], forbidden=["x"])
-    assert_no_leak(CORE_FEATURES + EXTENDED_FEATURES, FORWARD_LEAKS)
+    assert_no_leak(CORE + RICH, LEAKS)
 
 
 def test_class_weights_balance(table):

@@ -7,7 +7,8 @@ from conftest import rows
 from pyspark.sql import functions as F
 
 from opspark.functions.columns import band, finite, invert_log, plausible, widening_bucket
-from opspark.operators.activity import ActivityColumns, prior_core, prior_features, site_window
+from opspark.operators import activity
+from opspark.operators.activity import entity_figures, feature_table, site_window
 from opspark.operators.benchmark import reduce_counts, reduce_counts_rdd
 from opspark.operators.checks import check_attribution, check_counts, check_reconcile
 from opspark.operators.concurrency import concurrency, distinct_resources, resource_use
@@ -23,6 +24,7 @@ from opspark.operators.ranking import (
 from opspark.operators.segments import agreement, name_by_rules, nearest_prototype
 from opspark.operators.split import hash_fold, population_report
 from opspark.operators.value import naive_value, sensitivity
+from opspark.workload.bindings import LIFETIME, PRIOR, act
 
 
 def seats(spark, data):
@@ -44,7 +46,7 @@ def test_windows_are_per_site(spark):
     df = seats(spark, F2)
     assert rows(site_window(df, "site", "day"), "site", "site_last_day", "cutoff") == [
         ("X", 20, 13), ("Y", 26, 19)]
-    g = {r["player"]: r for r in prior_features(df, ActivityColumns(), min_rows=1).collect()}
+    g = {r["player"]: r for r in feature_table(df, PRIOR, "p_rows", 1).collect()}
     assert set(g) == {"u", "v", "z"}
     u, v, z = g["u"], g["v"], g["z"]
     assert (u["p_rows"], u["p_recency_days"], u["p_tenure_days"], u["p_rows_w1"], u["p_rows_w2"],
@@ -54,8 +56,43 @@ def test_windows_are_per_site(spark):
     assert (z["p_rows"], z["p_recency_days"], z["lapsed"]) == (1, 0, 0)
 
 
+@pytest.mark.parametrize("days", [[1, 65, 66], list(range(1, 366, 3)), [400]])
+def test_any_number_of_days(spark, days):
+    df = seats(spark, [("X", "u", d) for d in days] + [("X", "w", max(days) + 7)])
+    (r,) = feature_table(df, PRIOR, "p_rows", 1).filter("player = 'u'").collect()
+    assert (r["p_days_active"], r["p_rows"]) == (len(days), len(days))
+    (r,) = feature_table(df, LIFETIME, "rows", 1).filter("player = 'u'").collect()
+    assert (r["days_active"], r["span_days"]) == (len(days), max(days) - min(days) + 1)
+
+
+def test_roles_come_from_the_declarations():
+    leaks = set(PRIOR.later())
+    assert {"label_rows", "lapsed", "site_last_day"} <= leaks
+    assert not leaks & {*PRIOR.tagged("core"), *PRIOR.tagged("rich")}
+    assert {"rows", "days_active", "days_since_last", "money_coverage"} <= set(LIFETIME.later())
+
+
+def test_the_log_is_read_twice(spark, sf, monkeypatch):
+    reads = []
+
+    def count(name):
+        real = getattr(activity, name)
+
+        def spy(df, *rest):
+            plan = df._jdf.queryExecution().optimizedPlan().toString()
+            reads.append(plan.count("Relation [event_id"))
+            return real(df, *rest)
+        return spy
+
+    for name in ("measured", "stored"):
+        monkeypatch.setattr(activity, name, count(name))
+    out = feature_table(act(spark, sf), PRIOR, "p_rows", 5)
+    assert sum(reads) <= 2 + 1  # the window, the collapse and the stored window it joins
+    assert "Relation [event_id" not in out._jdf.queryExecution().optimizedPlan().toString()
+
+
 def test_population_rules_differ(spark):
-    core = prior_core(seats(spark, F2), ActivityColumns())
+    core = entity_figures(seats(spark, F2), PRIOR)
     (r,) = population_report(core, "p_rows", "label_rows", 3).collect()
     assert (r["seen"], r["kept"], r["kept_by_lifetime"], r["leaked"]) == (3, 0, 1, 1)
 

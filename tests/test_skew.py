@@ -82,9 +82,12 @@ def test_cells(parts):
 
 
 def test_wide_aggregate_is_a_hash_aggregate(spark, sf):
-    from opspark.operators.activity import prior_core
-    from opspark.workload.bindings import COLUMNS, act
-
-    plan = prior_core(act(spark, sf), COLUMNS)._jdf.queryExecution().executedPlan().toString()
-    assert "HashAggregate" in plan
-    assert "ObjectHashAggregate" not in plan and "SortAggregate" not in plan
+    from opspark.operators.activity import collapse, entity_figures, site_window
+    from opspark.workload.bindings import PRIOR, act
+
+    rows = act(spark, sf)
+    window = site_window(rows, "site", "day")
+    for df in (collapse(rows, PRIOR, window), entity_figures(rows, PRIOR, window)):
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert "HashAggregate" in plan
+        assert "ObjectHashAggregate" not in plan and "SortAggregate" not in plan
