@@ -7,7 +7,7 @@ owns a large part of the table are joined to its one total without a shuffle.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -39,41 +39,38 @@ def contribution_share(df: DataFrame, txn: str, amount: str,
             .withColumn("share", _share(paid, F.col("_whole"), F.col("n"))).drop("_whole"))
 
 
-def attribute_fee(parts: DataFrame, txns: DataFrame, txn: str, keys: Sequence[str],
-                  amount: str, fee_used: str, fee_observed: str, day: str,
-                  window: DataFrame, site: str = "site", recent_days: int = WINDOW_DAYS,
+# Conditions on ``age``, the days from a transaction back to its site's cutoff.
+WINDOWS = {"p": "age >= 0", "w1": f"age BETWEEN 0 AND {WINDOW_DAYS - 1}", "all": "true"}
+
+
+def attribute_fee(parts: DataFrame, txns: DataFrame, txn: str, keys: Sequence[str], amount: str,
+                  fees: Mapping[str, str], whole: str, n: str, day: str, window: DataFrame,
+                  site: str = "site", windows: Mapping[str, str] = WINDOWS,
                   hot_rows: int = HOT_ROWS) -> DataFrame:
-    """Fee per entity: whole period, prior window and its last days.
+    """Every fee, in every window, by every split rule, summed per entity in one pass.
 
-    ``txns`` has site, day, the fee to use (measured or estimated) and the
-    measured fee (null if none). ``window`` has the cutoff of each site. Every
-    figure comes contributed-share and equal-split.
+    ``txns`` has one row per transaction: site, day, the fees (suffix -> column,
+    null where there is none), and the total ``whole`` and row count ``n`` of its
+    parts, which are known from building it. Columns, for window W and fee F:
+    ``W_fee F`` by contributed share, ``W_fee F _equal`` in equal parts, ``W_rows F``
+    (rows whose transaction has the fee), and ``W_rows``, ``W_invested``.
     """
-    parts = parts.select(txn, *[k for k in keys if k != site], F.coalesce(
-        F.col(amount), F.lit(0)).alias("_paid"))
-    totals = cut(parts.groupBy(txn).agg(F.sum("_paid").alias("_whole"), F.count("*").alias("_n")))
-    per_txn = (txns.select(txn, site, day, fee_used, fee_observed)
-               .join(measured(window.select(site, "cutoff")), site).join(totals, txn))
-    j = skew_join(parts, per_txn, [txn], hot=hot_totals(totals, txn, "_n", hot_rows))
-
-    age = F.col("cutoff") - F.col(day)
-    prior = F.col(day) <= F.col("cutoff")
-    recent = prior & (age <= recent_days - 1)
-    share = _share(F.col("_paid"), F.col("_whole"), F.col("_n"))
-    used, seen = F.col(fee_used), F.coalesce(F.col(fee_observed), F.lit(0))
-    has = F.col(fee_observed).isNotNull()
-    equal = used / F.col("_n")
-    return j.groupBy(*keys).agg(
-        F.sum(F.when(prior, used * share)).alias("p_fee"),
-        F.sum(F.when(prior, seen * share)).alias("p_fee_observed"),
-        F.sum(F.when(prior, equal)).alias("p_fee_equal"),
-        flag_sum(prior).alias("p_rows"),
-        flag_sum(prior & has).alias("p_rows_observed"),
-        F.sum(F.when(prior, F.col("_paid"))).alias("p_invested"),
-        F.sum(F.when(recent, used * share)).alias("w1_fee"),
-        F.sum(F.when(recent, seen * share)).alias("w1_fee_observed"),
-        flag_sum(recent).alias("w1_rows"),
-        flag_sum(recent & has).alias("w1_rows_observed"),
-        F.sum(used * share).alias("all_fee"),
-        F.sum(equal).alias("all_fee_equal"),
-        F.count("*").alias("all_rows"))
+    per_txn = (txns.select(txn, site, day, whole, n, *fees.values())
+               .join(measured(window.select(site, "cutoff")), site)
+               .withColumn("age", F.col("cutoff") - F.col(day)))
+    rows = skew_join(parts.select(txn, *[k for k in keys if k != site],
+                                  F.coalesce(amount, F.lit(0)).alias("_paid")),
+                     per_txn, [txn], hot=hot_totals(txns, txn, n, hot_rows))
+    rules = {"": _share(F.col("_paid"), F.col(whole), F.col(n)), "_equal": F.lit(1.0) / F.col(n)}
+    sums = []
+    for w, condition in windows.items():
+        here = F.expr(condition)
+        sums += [flag_sum(here).alias(f"{w}_rows"),
+                 F.sum(F.when(here, F.col("_paid"))).alias(f"{w}_invested")]
+        for name, fee in fees.items():
+            value = F.coalesce(fee, F.lit(0))
+            sums += [F.sum(F.when(here, value * rule)).alias(f"{w}_fee{name}{suffix}")
+                     for suffix, rule in rules.items()]
+            if name:
+                sums.append(flag_sum(here & F.col(fee).isNotNull()).alias(f"{w}_rows{name}"))
+    return rows.groupBy(*keys).agg(*sums)

@@ -35,15 +35,17 @@ def mean_median_gap(df: DataFrame, key: str, value: str, min_n: int = 40,
 
 
 def mean_median_gap_sql(df: DataFrame, key: str, value: str, min_n: int = 40,
-                        limit: int = 8, view: str = "gap_source") -> DataFrame:
-    """The same report as SQL text over a view, with the sketch percentile."""
-    df.select(F.col(key).alias("k"), F.col(value).alias("v")).createOrReplaceTempView(view)
+                        limit: int = 8) -> DataFrame:
+    """The same report as SQL text; the median is exact, from counts of equal values."""
     return df.sparkSession.sql(f"""
-        SELECT k AS {key}, count(*) AS n, avg(v) AS mean,
-               percentile_approx(v, 0.5, 1000000) AS median,
-               avg(v) - percentile_approx(v, 0.5, 1000000) AS gap
-        FROM {view} GROUP BY k HAVING count(*) > {int(min_n)}
-        ORDER BY gap DESC, k LIMIT {int(limit)}""")
+        WITH c AS (SELECT {key} AS k, {value} AS v, count(*) AS n FROM {{rows}} GROUP BY 1, 2),
+        u AS (SELECT k, v, sum(n) OVER (PARTITION BY k ORDER BY v) AS upto,
+                     sum(n) OVER (PARTITION BY k) AS total FROM c WHERE v IS NOT NULL),
+        m AS (SELECT k, min(v) AS median FROM u WHERE 2 * upto >= total GROUP BY k),
+        s AS (SELECT {key} AS k, count(*) AS n, avg({value}) AS mean FROM {{rows}} GROUP BY 1)
+        SELECT s.k AS {key}, n, mean, median, mean - median AS gap
+        FROM s JOIN m ON s.k = m.k WHERE n > {int(min_n)}
+        ORDER BY gap DESC, 1 LIMIT {int(limit)}""", rows=df)
 
 
 def correlations(df: DataFrame, pairs: Sequence[tuple[str, str]]) -> DataFrame:
@@ -63,13 +65,6 @@ def reduce_mean(df: DataFrame, key: str, value: str) -> DataFrame:
     return pair.select(key, "n", F.when(F.col("n") > 0, F.col("_s") / F.col("n")).alias("mean"))
 
 
-def reduce_counts_rdd(df: DataFrame, key: str) -> DataFrame:
-    """The key/value form of ``reduce_counts``; combines map-side, but row by row in Python."""
-    pairs = df.select(key).rdd.map(lambda r: (r[0], 1)).reduceByKey(lambda a, b: a + b)
-    kind = df.schema[key].dataType.simpleString()
-    return df.sparkSession.createDataFrame(pairs, f"{key} {kind}, n bigint")
-
-
 def filter_group_total_sort(df: DataFrame, predicate: Column, key: str,
                             value: str) -> DataFrame:
     """The four-verb dataflow: filter, group, total, sort."""

@@ -12,7 +12,6 @@ from opspark.operators.scan import HOT_ROWS, hot_keys, split_hot
 from opspark.session import measured
 
 MIN_SITE_COVERAGE = 0.01
-SMALL_ROWS = 100_000
 
 
 def skew_join(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner",
@@ -34,11 +33,9 @@ def skew_join(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str =
 
 def lookup_join(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "left",
                 hot_rows: int = HOT_ROWS) -> DataFrame:
-    """Join an already measured lookup. Only a large one needs the hot keys looked for:
-    a small one is broadcast by its size, and the left rows do not move at all."""
-    hot = None if right.limit(SMALL_ROWS + 1).count() <= SMALL_ROWS else hot_keys(
-        left, keys, hot_rows)
-    return skew_join(left, right, keys, how, hot)
+    """Join an already measured lookup; hot keys of the left side stay spread, whatever
+    the lookup's size turns out to be."""
+    return skew_join(left, right, keys, how, hot_keys(left, keys, hot_rows))
 
 
 def duplicate_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:

@@ -75,19 +75,17 @@ def recorded_share(df: DataFrame, site: str, flag: str, minimum: float = 0.5) ->
             .filter(F.col("share") > minimum))
 
 
-def null_rates(df: DataFrame, cols: Sequence[str]) -> dict[str, float]:
-    """Share of nulls per column: one pass, one row to the driver."""
-    row = df.agg(*[F.avg(F.col(c).isNull().cast("int")).alias(c) for c in cols]).first()
-    return {c: row[c] or 0.0 for c in cols}
-
-
 def null_indicators(df: DataFrame, cols: Sequence[str],
                     min_rate: float = MIN_NULL_RATE) -> tuple[DataFrame, list[str]]:
-    """A ``_missing`` column for every column with nulls above the rate."""
-    gappy = [c for c, rate in null_rates(df, cols).items() if rate > min_rate]
-    names = [f"{c}_missing" for c in gappy]
-    return df.withColumns({n: F.col(c).isNull().cast("double")
-                           for n, c in zip(names, gappy)}) if gappy else df, names
+    """``df`` with a 0/1 column beside each column that has gaps worth a feature.
+
+    One pass counts rows and known values; only columns whose share of gaps is
+    over ``min_rate`` get an indicator.
+    """
+    seen = df.select(F.count(F.lit(1)), *map(F.count, cols)).first()
+    flags = {f"{c}_missing": F.when(F.isnull(c), 1.0).otherwise(0.0)
+             for c, known in zip(cols, seen[1:]) if seen[0] - known > min_rate * seen[0]}
+    return df.select("*", *[flag.alias(name) for name, flag in flags.items()]), list(flags)
 
 
 def null_profile(df: DataFrame, exclude: Sequence[str] = ()) -> DataFrame:
@@ -97,16 +95,25 @@ def null_profile(df: DataFrame, exclude: Sequence[str] = ()) -> DataFrame:
     return one.unpivot([], cols, "column", "rate")
 
 
+def levels_of(df: DataFrame, col: str) -> list[str]:
+    """The known values of a column in order, as a fitted indexer holds them."""
+    from pyspark.ml.feature import StringIndexer
+
+    text = df.select(F.col(col).cast("string").alias(col))
+    return list(StringIndexer(inputCol=col, outputCol="_i", handleInvalid="skip",
+                              stringOrderType="alphabetAsc").fit(text).labels)
+
+
 def one_hot(df: DataFrame, col: str, reference: str, prefix: str | None = None,
-            max_levels: int = 1000) -> tuple[DataFrame, list[str]]:
-    """One 0/1 column per level except the reference level."""
-    rows = df.select(col).distinct().limit(max_levels + 1).collect()
-    if len(rows) > max_levels:
-        raise ValueError(f"{col} has more than {max_levels} levels: index it instead")
-    levels = sorted(str(r[0]) for r in rows if r[0] is not None and str(r[0]) != reference)
-    names = {f"{prefix or col}_{v}": v for v in levels}
-    return df.withColumns({n: F.coalesce((F.col(col).cast("string") == v).cast("double"),
-                                         F.lit(0.0)) for n, v in names.items()}), list(names)
+            levels: Sequence[str] | None = None) -> tuple[DataFrame, list[str]]:
+    """A 0/1 column for each level but the reference; unknown values are 0 in all.
+
+    ``levels``, where the caller knows them, saves the pass that finds them.
+    """
+    shown = [v for v in (levels or levels_of(df, col)) if v != reference]
+    value = F.coalesce(F.col(col).cast("string"), F.lit(reference))
+    columns = {f"{prefix or col}_{v}": F.when(value == v, 1.0).otherwise(0.0) for v in shown}
+    return df.withColumns(columns), list(columns)
 
 
 def coverage_by_site(df: DataFrame, site: str, fee: str, total: str, unit: str,
@@ -115,17 +122,20 @@ def coverage_by_site(df: DataFrame, site: str, fee: str, total: str, unit: str,
 
     fee and total are in the transaction's unit; money is fee times unit.
     """
-    has, ok = F.col(fee).isNotNull(), plausible(fee, total, cap)
     money = F.col(fee) * F.col(unit)
-    return (df.groupBy(site).agg(
-        F.count("*").alias("rows"),
-        flag_sum(has).alias("with_figure"),
-        flag_sum(ok).alias("plausible"),
-        F.coalesce(F.sum(F.when(has, money)), F.lit(0)).alias("money_with_figure"),
-        F.coalesce(F.sum(F.when(ok, money)), F.lit(0)).alias("money_plausible"))
-        .withColumn("money_dropped", F.col("money_with_figure") - F.col("money_plausible"))
-        .withColumn("coverage", F.col("plausible") / F.col("rows"))
-        .withColumn("excluded", F.col("coverage") < minimum))
+    # Every row is one of: no figure, a figure beyond belief, a plausible one.
+    kinds = {"figure": F.col(fee).isNotNull(), "good": plausible(fee, total, cap)}
+    seen = df.select(site, *[F.when(c, 1).alias(f"_{k}") for k, c in kinds.items()],
+                     *[F.when(c, money).alias(f"_{k}_money") for k, c in kinds.items()])
+    names = {"figure": ("with_figure", "money_with_figure"), "good": ("plausible", "money_plausible")}
+    sums = [F.count("*").alias("rows")]
+    for k, (count, amount) in names.items():
+        sums += [F.count(f"_{k}").alias(count),
+                 F.coalesce(F.sum(f"_{k}_money"), F.lit(0)).alias(amount)]
+    share = F.col("plausible") / F.col("rows")
+    return seen.groupBy(site).agg(*sums).select(
+        "*", (F.col("money_with_figure") - F.col("money_plausible")).alias("money_dropped"),
+        share.alias("coverage"), (share < minimum).alias("excluded"))
 
 
 def class_balance(df: DataFrame, keys: Sequence[str], label: str,

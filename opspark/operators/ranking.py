@@ -223,8 +223,11 @@ def reach_curve(df: DataFrame, order: str, key: Sequence[str], loss: str,
     sampled = ranked.withColumn("point", point).filter(
         F.col("_rank") == F.least(F.greatest(
             F.floor(F.col("point") * n / steps + 0.5), F.lit(1)), n))
-    return sampled.select("point", F.col("_rank").alias("depth"),
-                          (F.col("_rank") / n).alias("share"), "reached")
+    curve = sampled.select("point", F.col("_rank").alias("depth"),
+                           (F.col("_rank") / n).alias("share"), "reached")
+    origin = df.sparkSession.range(1).select(F.lit(0).alias("point"), F.lit(0).alias("depth"),
+                                             F.lit(0.0).alias("share"), F.lit(0).alias("reached"))
+    return curve.unionByName(origin)
 
 
 def order_dimension(df: DataFrame, dim: str, value: str) -> DataFrame:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from fractions import Fraction
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -74,10 +75,15 @@ def group_percentiles(df: DataFrame, keys: Sequence[str], value: str,
     scanned = running(counts, [value], [
         Measure("_upto", "sum", "_n"), Measure("_all", "sum", "_n", total=True)],
         by=keys, hot_rows=hot_rows)
+    def rank(p: float) -> Column:
+        """ceil(p * n), at least 1, in whole numbers."""
+        share = Fraction(p).limit_denominator(10**6)
+        return F.greatest(F.expr(f"({share.numerator} * _all + {share.denominator - 1}) "
+                                 f"div {share.denominator}"), F.lit(1))
+
     return scanned.groupBy(*keys).agg(*[
-        F.min(F.when(F.col("_upto") >= F.greatest(
-            F.ceil(F.lit(float(p)) * F.col("_all") - F.lit(1e-9)), F.lit(1)), F.col(value)))
-        .alias(n) for n, p in points.items()])
+        F.min(F.when(F.col("_upto") >= rank(p), F.col(value))).alias(n)
+        for n, p in points.items()])
 
 
 def summary_stats(df: DataFrame, cols: Sequence[str], hot_rows: int = HOT_ROWS) -> DataFrame:

@@ -7,6 +7,8 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from opspark.session import measured
+
 
 def agreement(pairs: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     """Purity of labeling b against a: rows sharing the commonest a inside each b."""
@@ -50,7 +52,7 @@ def name_by_rules(profile: DataFrame, cluster: str, rules: Sequence[tuple[str, s
     A cluster taken by an earlier rule is out of the later ones; the remainder
     gets ``rest``. The profile has one row per cluster.
     """
-    named = profile.withColumn("name", F.lit(None).cast("string"))
+    named = measured(profile).withColumn("name", F.lit(None).cast("string"))
     for name, col in rules:
         free = F.col("name").isNull()
         pick = named.agg(F.max_by(F.when(free, F.col(cluster)), F.when(

@@ -32,8 +32,8 @@ def isotonic(train: DataFrame, df: DataFrame, label: str, p: str, out: str) -> D
 
 def calibrate(df: DataFrame, label: str, key: Sequence[str], cols: Sequence[str],
               indicators: Sequence[str] = (), dummies: Sequence[str] = (), tol: float = TOLERANCE,
-              size: Mapping[str, tuple[int, int]] = FULL_SIZE,
-              bins: int = 10) -> tuple[DataFrame, DataFrame]:
+              size: Mapping[str, tuple[int, int]] = FULL_SIZE, bins: int = 10, *,
+              forbidden: Sequence[str]) -> tuple[DataFrame, DataFrame]:
     """(scored table with risk_weighted, risk_uncal, risk_cal; report per stage and fold).
 
     ``df`` has a fold column. The weighted model is the one whose probabilities
@@ -42,8 +42,10 @@ def calibrate(df: DataFrame, label: str, key: Sequence[str], cols: Sequence[str]
     """
     train = df.filter("fold = 'train'")
     keep = [*key, "fold", label]
-    weighted, _ = fit_classifier(train, "gbt", cols, indicators, dummies, label, True, size)
-    plain, _ = fit_classifier(train, "gbt", cols, indicators, dummies, label, False, size)
+    weighted, _ = fit_classifier(train, "gbt", cols, indicators, dummies, label, True, size,
+                                 forbidden=forbidden)
+    plain, _ = fit_classifier(train, "gbt", cols, indicators, dummies, label, False, size,
+                              forbidden=forbidden)
     both = score(plain, weighted_scores(weighted, df), [*keep, "risk_weighted"], "risk_uncal")
     both = cut(both)
     test = both.filter("fold = 'test'")

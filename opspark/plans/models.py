@@ -23,8 +23,6 @@ SEED = 42
 
 # Model sizes as (iterations or trees, depth).
 FULL_SIZE = {"gbt": (120, 5), "forest": (150, 8), "tree": (1, 8)}
-QUICK_SIZE = {"gbt": (30, 5), "forest": (40, 8), "tree": (1, 8)}
-SMALL_SIZE = {"gbt": (5, 3), "forest": (8, 4), "tree": (1, 4)}
 FULL_REGRESSION = {"gbt": (60, 5), "forest": (100, 10), "tree": (1, 8)}
 
 
@@ -103,9 +101,13 @@ def assert_no_leak(features: Sequence[str], forbidden: Sequence[str]) -> None:
 def fit_classifier(train: DataFrame, kind: str, cols: Sequence[str],
                    indicators: Sequence[str] = (), dummies: Sequence[str] = (),
                    label: str = "label", weighted: bool = True,
-                   size: Mapping[str, tuple[int, int]] = FULL_SIZE,
-                   forbidden: Sequence[str] = ()) -> tuple[PipelineModel, list[str]]:
-    """Prepare and fit on ``train``; balanced weights come from it alone."""
+                   size: Mapping[str, tuple[int, int]] = FULL_SIZE, *,
+                   forbidden: Sequence[str]) -> tuple[PipelineModel, list[str]]:
+    """Prepare and fit on ``train``; balanced weights come from it alone.
+
+    ``forbidden`` names the columns that give the label away; every caller has to
+    say which they are.
+    """
     assert_no_leak(cols, forbidden)
     prep, slots = numeric_pipeline(cols, indicators, dummies, scale=kind == "logistic")
     if weighted:
@@ -194,15 +196,18 @@ def importance_by_source(imp: DataFrame) -> DataFrame:
 
 def ablation(df: DataFrame, label: str, key: Sequence[str],
              feature_sets: Mapping[str, Sequence[str]], kind: str = "gbt",
-             size: Mapping[str, tuple[int, int]] = FULL_SIZE) -> DataFrame:
+             size: Mapping[str, tuple[int, int]] = FULL_SIZE, *,
+             forbidden: Sequence[str], leaky: Sequence[str] = ()) -> DataFrame:
     """The same model and split on several feature sets: what the leak is worth.
 
-    ``df`` has a fold column. One fit per set, a handful of them.
+    ``df`` has a fold column. One fit per set, a handful of them. Only the sets
+    named in ``leaky`` may use forbidden columns.
     """
     out = None
     train, test = df.filter("fold = 'train'"), df.filter("fold = 'test'")
     for name, cols in feature_sets.items():
-        model, _ = fit_classifier(train, kind, cols, label=label, size=size)
+        model, _ = fit_classifier(train, kind, cols, label=label, size=size,
+                                  forbidden=() if name in leaky else forbidden)
         scored = cut(score(model, test, [*key, label]))
         row = rank_auc(scored, label, "risk", key).select(
             F.lit(name).alias("features"), F.lit(len(cols)).alias("n_features"),

@@ -48,20 +48,26 @@ def windowed_agg(stream: DataFrame, time: str, size: str, late: str, keys: Seque
             .groupBy(F.window(time, size).alias("window"), *keys).agg(*aggs))
 
 
-def run_available(df: DataFrame, name: str, checkpoint: str, mode: str = "complete",
-                  timeout: int = 600) -> DataFrame:
-    """Process what is there, stop, and return the in-memory result table.
+def run_available(df: DataFrame, path: str, checkpoint: str,
+                  timeout: int | None = None) -> DataFrame:
+    """Process what is there, stop, and return all totals.
 
-    The table lives on the driver: use it for totals over a few keys. Many keys
-    go to ``run_to_files``.
+    Each batch's totals replace the Parquet table at ``path``, written by the
+    executors; a batch that is done again after a failure replaces them alike.
     """
-    query = (df.writeStream.outputMode(mode).format("memory").queryName(name)
+    def put(totals: DataFrame, batch: int) -> None:
+        totals.write.mode("overwrite").parquet(path)
+
+    query = (df.writeStream.outputMode("complete").foreachBatch(put)
              .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
     _finish(query, timeout)
-    return df.sparkSession.table(name)
+    if query.lastProgress is None:  # nothing was there
+        df.sparkSession.createDataFrame([], df.schema).write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def run_to_files(df: DataFrame, path: str, checkpoint: str, timeout: int = 600) -> DataFrame:
+def run_to_files(df: DataFrame, path: str, checkpoint: str,
+                 timeout: int | None = None) -> DataFrame:
     """Process what is there into a Parquet table, each closed row exactly once."""
     query = (df.writeStream.outputMode("append").format("parquet").option("path", path)
              .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
@@ -69,7 +75,10 @@ def run_to_files(df: DataFrame, path: str, checkpoint: str, timeout: int = 600)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def _finish(query, timeout: int) -> None:
-    if not query.awaitTermination(timeout):
+def _finish(query, timeout: int | None) -> None:
+    """Wait for the end; a limit is the caller's choice, as a backlog has no natural one."""
+    if timeout is None:
+        query.awaitTermination()
+    elif not query.awaitTermination(timeout):
         query.stop()
         raise TimeoutError(f"stream {query.name or query.id} still running after {timeout} s")

@@ -37,6 +37,8 @@ SALES_SQL = """WITH sales AS (
   FROM orders JOIN customer ON o_custkey = c_custkey)"""
 
 
+PRIORITIES = ["1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW"]
+
 @query(SALES_SQL + """
 SELECT c_mktsegment, count(*) AS n, avg(cents) AS mean, quantile_disc(cents, 0.25) AS p25,
        quantile_disc(cents, 0.5) AS median, quantile_disc(cents, 0.75) AS p75,
@@ -166,52 +168,52 @@ def status_pivot(spark, sf_dir):
 
 
 @query("WITH " + POT_SQL + """
-SELECT site, avg(CAST(is_final AS INT)) FILTER (stake = '1-URGENT') AS "1-URGENT",
-       avg(CAST(is_final AS INT)) FILTER (stake = '3-MEDIUM') AS "3-MEDIUM",
-       avg(CAST(is_final AS INT)) FILTER (stake = '5-LOW') AS "5-LOW"
+SELECT site, """ + ", ".join(f"""avg(CAST(is_final AS INT)) FILTER (stake = '{p}') AS "{p}\"""" for p in PRIORITIES) + """
 FROM txns GROUP BY site""")
 def rate_pivot(spark, sf_dir):
     txns, _ = pot(spark, sf_dir)
-    return outcome_matrix(txns, "site", "stake", ["1-URGENT", "3-MEDIUM", "5-LOW"],
+    return outcome_matrix(txns, "site", "stake", PRIORITIES,
                           F.col("is_final").cast("int"))
 
 
 def _vectors(spark, sf_dir):
     return table(spark, sf_dir, "embeddings").select(
-        "label", *[F.element_at("embedding", i + 1).cast("double").alias(f"x{i}")
-                   for i in range(3)])
+        "label", *[F.element_at("embedding", i + 1).cast("double").alias(x)
+                   for i, x in enumerate(AXES)])
 
 
-VEC_SQL = """WITH v AS (SELECT label, embedding[1]::DOUBLE AS x0, embedding[2]::DOUBLE AS x1,
-                        embedding[3]::DOUBLE AS x2 FROM embeddings)"""
+AXES = [f"x{i}" for i in range(64)]  # all components of an embedding
+VEC_SQL = "WITH v AS (SELECT label, " + ", ".join(
+    f"embedding[{i + 1}]::DOUBLE AS {x}" for i, x in enumerate(AXES)) + " FROM embeddings)"
 
 
 @query(VEC_SQL + f"""
-SELECT label, count(*) AS n, {fixed_sql("avg(x0)")} AS avg_x0, {fixed_sql("avg(x1)")} AS avg_x1,
+SELECT label, count(*) AS n, {", ".join(f"{fixed_sql(f'avg({x})')} AS avg_{x}" for x in AXES)},
        {fixed_sql("avg(x1)")} AS outcome_rate, avg(CAST(x2 < 0 AS INT)) AS share_negative,
        count(x2) AS n_x2, count(*) / (SELECT count(*) FROM v) AS share
 FROM v GROUP BY label""")
 def segment_profile(spark, sf_dir):
-    p = profile_of(_vectors(spark, sf_dir), "label", ["x0", "x1"], "x1", "x2")
-    return p.withColumns({c: fixed(c) for c in ("avg_x0", "avg_x1", "outcome_rate")})
+    p = profile_of(_vectors(spark, sf_dir), "label", AXES, "x1", "x2")
+    return p.withColumns({c: fixed(c) for c in [*[f"avg_{x}" for x in AXES], "outcome_rate"]})
 
 
-PROTOTYPES = {"low": [-0.1, -0.1, -1.0], "middle": [0.0, 0.0, 0.0], "high": [0.1, 0.1, 1.0]}
+# Levels of all axes but the last, and of the last, whose scale is damped.
+PROTOTYPES = {"low": (-0.1, -1.0), "middle": (0.0, 0.0), "high": (0.1, 1.0)}
 
 
-@query(VEC_SQL + """,
-c AS (SELECT label, avg(x0) AS a, avg(x1) AS b, avg(x2) AS c FROM v GROUP BY label),
-p AS (SELECT * FROM (VALUES ('low', 0, -0.1, -0.1, -1.0), ('middle', 1, 0.0, 0.0, 0.0),
-        ('high', 2, 0.1, 0.1, 1.0)) t(name, i, pa, pb, pc)),
-d AS (SELECT label, name, i, power(a - pa, 2) + power(b - pb, 2) + power((c - pc) / 12, 2) AS d
-      FROM c, p),
+@query(VEC_SQL + ", c AS (SELECT label, " + ", ".join(f"avg({x}) AS {x}" for x in AXES) + """
+  FROM v GROUP BY label),
+p AS (SELECT * FROM (VALUES """ + ", ".join(
+    f"('{n}', {i}, {a}, {b})" for i, (n, (a, b)) in enumerate(PROTOTYPES.items())) + """) t(name, i, pa, pb)),
+d AS (SELECT label, name, i, """ + " + ".join(f"power({x} - pa, 2)" for x in AXES[:-1]) + f"""
+        + power(({AXES[-1]} - pb) / 12, 2) AS d FROM c, p),
 m AS (SELECT label, min_by(name, row(d, i)) AS nearest, min(d) AS d FROM d GROUP BY label)
 """ + f"SELECT label, nearest, {fixed_sql('sqrt(d)')} AS distance FROM m")
 def nearest_prototype(spark, sf_dir):
     """The closest of three fixed prototypes to each cluster's centre; one axis damped."""
-    centres = _vectors(spark, sf_dir).groupBy("label").agg(
-        *[F.avg(f"x{i}").alias(f"x{i}") for i in range(3)])
-    n = nearest(centres, "label", ["x0", "x1", "x2"], PROTOTYPES, [1, 1, 12])
+    centres = _vectors(spark, sf_dir).groupBy("label").agg(*[F.avg(x).alias(x) for x in AXES])
+    points = {n: [a] * (len(AXES) - 1) + [b] for n, (a, b) in PROTOTYPES.items()}
+    n = nearest(centres, "label", AXES, points, [1] * (len(AXES) - 1) + [12])
     return n.select("label", "nearest", fixed("distance").alias("distance"))
 
 

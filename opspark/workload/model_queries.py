@@ -1,6 +1,7 @@
 """Models over the prior-window features. Fits differ in the last digits, so rows only.
 
-Tree sizes are small here; the library defaults are the full ones.
+Models have the library's full sizes; fits that several queries need are shared
+within one.
 """
 
 from __future__ import annotations
@@ -18,7 +19,7 @@ from opspark.operators.split import hash_fold
 from opspark.plans.calibration import calibrate as calibrate_scores
 from opspark.plans.clustering import compare, prepare, sweep_k
 from opspark.plans.models import (
-    SMALL_SIZE, ablation, as_doubles, category_pipeline, classifier, evaluate_regression, fit_classifier,
+    ablation, as_doubles, category_pipeline, classifier, evaluate_regression, fit_classifier,
     importance as importance_of, importance_by_source, numeric_pipeline, regressor, score,
     scorecard as card_of, vector_slots)
 from opspark.session import cut
@@ -66,7 +67,7 @@ def lapse_models(spark, sf_dir):
     out = rank_auc(test, "lapsed", "p_recency_days", KEYS).withColumn("model", F.lit("recency"))
     for kind in ("logistic", "tree", "forest", "gbt"):
         model, _ = fit_classifier(train, kind, CORE, indicators, dummies,
-                                  size=SMALL_SIZE, forbidden=LEAKS)
+                                  forbidden=LEAKS)
         scored = cut(score(model, test, [*KEYS, "lapsed"]))
         out = out.unionByName(rank_auc(scored, "lapsed", "risk", KEYS).withColumn(
             "model", F.lit(kind)))
@@ -80,7 +81,7 @@ def extended_model(spark, sf_dir):
     kept = recorded_share(g, "site", "resources_recorded").select("site")
     rich = as_doubles(g.join(kept, "site", "left_semi"), RICH)
     model, _ = fit_classifier(rich.filter("fold = 'train'"), "forest",
-                              CORE + RICH, size=SMALL_SIZE)
+                              CORE + RICH, forbidden=LEAKS)
     scored = cut(score(model, rich.filter("fold = 'test'"), [*KEYS, "lapsed"]))
     return rank_auc(scored, "lapsed", "risk", KEYS)
 
@@ -90,7 +91,7 @@ def model_scorecard(spark, sf_dir):
     """Every metric of one model, and its ranking metrics per site in one pass."""
     g, indicators, dummies = _features(spark, sf_dir)
     model, _ = fit_classifier(g.filter("fold = 'train'"), "logistic", CORE, indicators,
-                              dummies)
+                              dummies, forbidden=LEAKS)
     scored = cut(score(model, g.filter("fold = 'test'"), [*KEYS, "lapsed"]))
     return card_of(scored, "lapsed", "risk", KEYS, "site")
 
@@ -100,7 +101,7 @@ def lapse_scores(spark, sf_dir):
     """The score table: one row per entity with its fold, label and risk."""
     g, indicators, dummies = _features(spark, sf_dir)
     model, _ = fit_classifier(g.filter("fold = 'train'"), "forest", CORE, indicators,
-                              dummies, size=SMALL_SIZE)
+                              dummies, forbidden=LEAKS)
     return score(model, g, [*KEYS, "fold", "label", "p_rows", "p_recency_days", "p_late_share"])
 
 
@@ -117,7 +118,7 @@ def value_models(spark, sf_dir):
     test = group_mean_baseline(train, test, ["site"], "weekly")
     out = None
     for kind in ("linear", "tree", "forest", "gbt"):
-        model = regressor(kind, SMALL_SIZE, "target", reg=0.1 if kind == "linear" else 0.0).fit(train)
+        model = regressor(kind, label="target", reg=0.1 if kind == "linear" else 0.0).fit(train)
         pred = model.transform(test).withColumn("pred", invert_log("prediction", *span))
         row = evaluate_regression(pred, "weekly", "pred", "baseline").withColumn(
             "model", F.lit(kind))
@@ -140,7 +141,7 @@ def importance(spark, sf_dir):
     slots = vector_slots(ready, "raw_vector")
     sources = {s: ("c_mktsegment" if s.startswith("c_mktsegment_vec") else
                    "nation" if s.startswith("nation_vec") else s) for s in slots}
-    model = PipelineModel(stages=[classifier("forest", SMALL_SIZE).fit(ready)])
+    model = PipelineModel(stages=[classifier("forest").fit(ready)])
     return importance_by_source(importance_of(model, slots, ready, sources))
 
 
@@ -153,7 +154,7 @@ def leakage_ablation(spark, sf_dir):
     both = cut(as_doubles(g.join(life, KEYS, "left"), HINDSIGHT))
     return ablation(both, "label", KEYS, {
         "floor": ["p_rows", "p_tenure_days"], "lifetime": HINDSIGHT,
-        "prior": CORE}, size=SMALL_SIZE)
+        "prior": CORE}, forbidden=LEAKS, leaky=["lifetime"])
 
 
 @query()
@@ -161,7 +162,7 @@ def calibrate(spark, sf_dir):
     """Weighted, unweighted and isotonic probabilities: how far each is off, per fold."""
     g, indicators, dummies = _features(spark, sf_dir)
     _, report = calibrate_scores(g, "label", KEYS, CORE, indicators, dummies,
-                                 size=SMALL_SIZE)
+                                 forbidden=LEAKS)
     return report
 
 
@@ -173,7 +174,7 @@ def _vectors(spark, sf_dir):
 @query()
 def kmeans_sweep(spark, sf_dir):
     """Silhouette, cost and shares for k = 2 to 8."""
-    return sweep_k(_vectors(spark, sf_dir), max_iter=10)
+    return sweep_k(_vectors(spark, sf_dir))
 
 
 @query()
@@ -182,4 +183,4 @@ def kmeans_compare(spark, sf_dir):
     g, _, _ = _features(spark, sf_dir)
     style = ["p_voluntary_rate", "p_raise_rate", "p_fold_rate", "p_show_rate", "p_aggression",
              "p_avg_invested", "p_distinct_stakes", "p_max_stake"]
-    return compare(cut(prepare(g, style, KEYS)), 4, KEYS, max_iter=10)
+    return compare(cut(prepare(g, style, KEYS)), 4, KEYS)

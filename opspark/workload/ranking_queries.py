@@ -138,7 +138,7 @@ n AS (SELECT count(*) AS n FROM book),
 g AS (SELECT i, least(greatest(CAST(floor(i * n / 120 + 0.5) AS BIGINT), 1), n) AS depth, n
       FROM n, range(1, 121) t(i))
 SELECT CAST(i AS INT) AS point, depth, depth / n AS share, reached::BIGINT AS reached
-FROM g JOIN r ON rn = depth""")
+FROM g JOIN r ON rn = depth UNION ALL SELECT 0, 0, 0.0, 0""")
 def reach_curve(spark, sf_dir):
     return reach_of(book(spark, sf_dir), "loss", KEYS, "loss")
 

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import functions as F
 
 from opspark.functions.columns import to_cents
@@ -22,7 +20,7 @@ def _events(spark, sf_dir):
 
 
 def _run(spark, df, name):
-    return run_available(df, f"{name}_{uuid.uuid4().hex[:8]}", scratch_path(spark, name))
+    return run_available(df, scratch_path(spark, name), scratch_path(spark, f"{name}-state"))
 
 
 @query("""
@@ -55,3 +53,15 @@ def stream_daily(spark, sf_dir):
     daily = daily.select(F.date_format("window.start", "yyyy-MM-dd").alias("day"),
                          "event_type", "n")
     return run_to_files(daily, scratch_path(spark, "daily"), scratch_path(spark, "daily-state"))
+
+
+@query("""
+SELECT strftime(date_trunc('day', ts), '%Y-%m-%d') AS day, event_type, count(*) AS n,
+       sum(CAST(round(value * 100) AS BIGINT))::BIGINT AS cents
+FROM events GROUP BY 1, 2""")
+def stream_daily_all(spark, sf_dir):
+    """Every event-time day, open ones too: the complete result, equal to the batch one."""
+    daily = windowed_agg(_events(spark, sf_dir), "ts", "1 day", "1 hour", ["event_type"],
+                         [F.count("*").alias("n"), F.sum(to_cents("value")).alias("cents")])
+    return _run(spark, daily.select(F.date_format("window.start", "yyyy-MM-dd").alias("day"),
+                                    "event_type", "n", "cents"), "daily_all")

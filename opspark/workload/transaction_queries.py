@@ -194,8 +194,9 @@ COUNTS = ["p_rows", "p_rows_observed", "p_invested", "w1_rows", "w1_rows_observe
 
 def fees_by_player(spark, sf_dir):
     txns, lines = priced_txns(spark, sf_dir)
-    return attribute(lines, txns, "txn", ["site", "player"], "cents", "used_points",
-                     "seen_points", "day", site_window(txns, "site", "day"))
+    return attribute(lines, txns, "txn", ["site", "player"], "cents",
+                     {"": "used_points", "_observed": "seen_points"}, "total_cents", "n_rows",
+                     "day", site_window(txns, "site", "day"))
 
 
 @query(FEE_SQL + "SELECT site, player, " + ", ".join(COUNTS) + ", " + ", ".join(

@@ -11,7 +11,10 @@ from opspark.operators.split import hash_fold
 from opspark.plans.calibration import calibrate
 from opspark.plans.clustering import compare, prepare, sweep_k
 from opspark.plans.models import (
-    SMALL_SIZE, assert_no_leak, fit_classifier, importance, score, scorecard)
+    assert_no_leak, fit_classifier, importance, score, scorecard)
+
+
+SMALL_SIZE = {"gbt": (5, 3), "forest": (8, 4), "tree": (1, 4)}  # for the tests' speed
 
 
 @pytest.fixture(scope="module")
@@ -30,7 +33,7 @@ def test_classifiers_rank_well(table, kind):
     df, indicators = null_indicators(table, ["x", "z"])
     assert indicators == ["z_missing"]
     model, slots = fit_classifier(df.filter("fold = 'train'"), kind, ["x", "z"], indicators,
-                                  size=SMALL_SIZE)
+                                  size=SMALL_SIZE, forbidden=["site"])
     scored = score(model, df.filter("fold = 'test'"), ["k", "site", "label"])
     assert rank_auc(scored, "label", "risk", ["k"]).first()["roc_auc"] > 0.9
     weights = {r["feature"]: abs(r["weight"]) for r in importance(model, slots, df).collect()}
@@ -54,7 +57,7 @@ def test_class_weights_balance(table):
 def test_isotonic_only_when_needed(table):
     for tol, chosen in ((1.0, "unweighted"), (0.0, "isotonic")):
         df, report = calibrate(table.fillna(0.0), "label", ["k"], ["x", "z"], tol=tol,
-                               size=SMALL_SIZE, bins=5)
+                               size=SMALL_SIZE, bins=5, forbidden=[])
         stages = [r["stage"] for r in report.collect()]
         assert stages == ["weighted", "unweighted", f"{chosen} train", f"{chosen} test"]
         assert df.filter("risk_cal between 0 and 1").count() == 600

@@ -45,7 +45,6 @@ def test_joins(parts, txns):
 def test_large_lookup_splits_hot_keys(parts, txns, monkeypatch):
     import opspark.operators.joins as joins
 
-    monkeypatch.setattr(joins, "SMALL_ROWS", 10)
     want = rows(parts.join(txns.filter("txn > 5"), ["txn"], "left"), "txn", "actor", "site")
     got = lookup_join(parts, txns.filter("txn > 5"), ["txn"], "left", hot_rows=500)
     assert rows(got, "txn", "actor", "site") == want
@@ -59,9 +58,13 @@ def test_per_transaction_figures(parts, op):
 
 
 def test_attribution(parts, txns):
+    totals = parts.groupBy("txn").agg(F.sum("paid").alias("whole"), F.count("*").alias("n"))
+    full = txns.join(totals, "txn").persist()
+
     def run(hot):
-        out = attribute_fee(parts, txns, "txn", ["site", "actor"], "paid", "used", "seen", "day",
-                            site_window(txns, "site", "day"), hot_rows=hot)
+        out = attribute_fee(parts, full, "txn", ["site", "actor"], "paid",
+                            {"": "used", "_observed": "seen"}, "whole", "n", "day",
+                            site_window(full, "site", "day"), hot_rows=hot)
         return [tuple(round(v, 6) if isinstance(v, float) else v for v in r) for r in rows(out)]
 
     assert run(500) == run(10_000)

@@ -166,7 +166,7 @@ def test_stream_equals_batch(spark, tmp_path):
     for i in range(3):
         df.filter(F.col("id") % 3 == i).write.mode("append").parquet(path)
     stream = stream_source(spark, path, "k bigint, id bigint", files_per_batch=1)
-    out = run_available(running_agg(stream, ["k"], [F.sum("id").alias("s")]), "eq_test",
+    out = run_available(running_agg(stream, ["k"], [F.sum("id").alias("s")]), str(tmp_path / "out"),
                         str(tmp_path / "cp"))
     assert rows(out) == rows(df.groupBy("k").agg(F.sum("id").alias("s")))
 
