@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from opspark.llm.bpe import decode, encode
+from opspark.llm.bpe import round_trip
 from opspark.llm.common import stored
 from opspark.llm.decontaminate import decontaminate
 from opspark.llm.minhash import keep_first
@@ -50,8 +50,7 @@ def pii(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def bpe_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """doc_id, n_tokens, ids and the digest of the text that the ids decode to."""
-    path = tokenizer(TOKENIZER)
-    return decode(encode(docs, path), path).select(
+    return round_trip(docs, tokenizer(TOKENIZER)).select(
         "doc_id", F.size("ids").cast("long").alias("n_tokens"), "ids",
         F.sha2(F.col("decoded"), 256).alias("decoded_sha256"))
 

@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 
 from opspark.llm.common import worker_cache
 
-MEMO = 150_000
+MEMO = 120_000
 # The characters with the Unicode property White_Space.
 SPACES = ("\\t\\n\\x0b\\x0c\\r\\x20\\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029"
           "\\u202f\\u205f\\u3000")
@@ -203,6 +203,43 @@ def _loaded(source) -> Tokenizer:
     return worker_cache(f"bpe-{hashlib.sha1(text.encode()).hexdigest()}", lambda: Tokenizer(text))
 
 
+IDS, DECODED = "doc_id long, ids array<int>", "doc_id long, ids array<int>, decoded string"
+
+
+def _with_ids(tok: Tokenizer, part: pa.RecordBatch) -> list[pa.Array]:
+    ids = [tok.encode(t) if t else np.empty(0, np.int32) for t in part.column(1).to_pylist()]
+    ends = np.cumsum([0, *map(len, ids)]).astype(np.int32)
+    return [part.column(0), pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(ids)))]
+
+
+def _with_text(tok: Tokenizer, columns: list[pa.Array]) -> list[pa.Array]:
+    texts = [tok.decode(ids.values.to_numpy().tolist()) if ids.is_valid else None
+             for ids in columns[1]]
+    return [*columns, pa.array(texts, pa.string())]
+
+
+def _map(df: DataFrame, tokenizer_path: str, steps: list, schema: str) -> DataFrame:
+    """Apply ``steps`` to a few documents at a time, whose ids alone are held."""
+    source = df.sparkSession.sparkContext.broadcast(tokenizer_source(tokenizer_path))
+    names = [c.split()[0] for c in schema.split(", ")]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tok = _loaded(source)
+        for batch in batches:
+            for at in range(0, batch.num_rows, 128):
+                part = batch.slice(at, 128)
+                for step in steps:
+                    part = step(tok, part)
+                yield pa.RecordBatch.from_arrays(part, names)
+
+    return df.mapInArrow(run, schema)
+
+
+def _texts(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    return docs.select(F.col(id_col).cast("long").alias("doc_id"),
+                       F.col(text_col).cast("string").alias("text"))
+
+
 def encode(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id",
            text_col: str = "text") -> DataFrame:
     """doc_id and ids array<int> of every row's whole text (null: empty, no ids).
@@ -210,38 +247,16 @@ def encode(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id",
     Rows are independent: repeated rows and ids give repeated results; a null id
     stays null. Further columns are ignored.
     """
-    source = docs.sparkSession.sparkContext.broadcast(tokenizer_source(tokenizer_path))
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tok = _loaded(source)
-        for batch in batches:
-            for at in range(0, batch.num_rows, 512):  # bounded results
-                part = batch.slice(at, 512)
-                ids = [tok.encode(t) if t else np.empty(0, np.int32)
-                       for t in part.column(1).to_pylist()]
-                ends = np.cumsum([0, *map(len, ids)]).astype(np.int32)
-                lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(ids)))
-                yield pa.RecordBatch.from_arrays([part.column(0), lists], ["doc_id", "ids"])
-
-    return (docs.select(F.col(id_col).cast("long").alias("doc_id"),
-                        F.col(text_col).cast("string").alias("text"))
-            .mapInArrow(run, "doc_id long, ids array<int>"))
+    return _map(_texts(docs, id_col, text_col), tokenizer_path, [_with_ids], IDS)
 
 
 def decode(encoded: DataFrame, tokenizer_path: str) -> DataFrame:
     """``encoded`` (doc_id, ids) with the decoded text beside; null ids give null."""
-    source = encoded.sparkSession.sparkContext.broadcast(tokenizer_source(tokenizer_path))
+    return _map(encoded.select("doc_id", "ids"), tokenizer_path,
+                [lambda tok, part: _with_text(tok, part.columns)], DECODED)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tok = _loaded(source)
-        for batch in batches:
-            for at in range(0, batch.num_rows, 256):  # a few documents' ids as Python objects
-                part = batch.slice(at, 256)
-                texts = [tok.decode(ids.values.to_numpy().tolist()) if ids.is_valid else None
-                         for ids in part.column(1)]
-                yield pa.RecordBatch.from_arrays(
-                    [part.column(0), part.column(1), pa.array(texts, pa.string())],
-                    ["doc_id", "ids", "decoded"])
-
-    return encoded.select("doc_id", "ids").mapInArrow(
-        run, "doc_id long, ids array<int>, decoded string")
+
+def round_trip(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id",
+               text_col: str = "text") -> DataFrame:
+    """``decode(encode(docs))`` in one pass: the ids need not leave the worker in between."""
+    return _map(_texts(docs, id_col, text_col), tokenizer_path, [_with_ids, _with_text], DECODED)

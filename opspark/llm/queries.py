@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from opspark.llm.bpe import decode, encode
+from opspark.llm.bpe import round_trip
 from opspark.llm.decontaminate import leaks
 from opspark.llm.lm import score, train
 from opspark.llm.minhash import near_duplicates
@@ -95,8 +95,7 @@ def op8_substring(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query()
 def op6_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    path = tokenizer("word_bpe_49k.json")
-    both = decode(encode(table(spark, sf_dir, "documents"), path), path)
+    both = round_trip(table(spark, sf_dir, "documents"), tokenizer("word_bpe_49k.json"))
     return both.select("doc_id", F.size("ids").cast("long").alias("n_tokens"),
                        F.sha2(F.array_join("ids", " "), 256).alias("ids_sha256"),
                        F.sha2(F.col("decoded"), 256).alias("decoded_sha256"))

@@ -9,7 +9,7 @@ import pytest
 from llm_cases import odd_docs
 from tokenizers import Tokenizer as Library
 
-from opspark.llm.bpe import Tokenizer, decode, encode, tokenizer_source
+from opspark.llm.bpe import Tokenizer, decode, encode, round_trip, tokenizer_source
 from opspark.llm.token_files import (check_sequences, open_sequences, sequence, write_sequences)
 
 WORD = public_tokenizers.path("word_bpe_49k.json")
@@ -37,6 +37,8 @@ def test_ids_and_text_equal_the_library(docs):
         found[r.doc_id].append(list(r.ids))
         assert r.decoded == lib.decode(list(r.ids), skip_special_tokens=False)
     assert {i: sorted(v) for i, v in found.items()} == want
+    once = round_trip(docs, WORD).collect()
+    assert sorted(map(repr, once)) == sorted(map(repr, got))
 
 
 def test_stale_entries_are_skipped():
