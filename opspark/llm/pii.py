@@ -8,14 +8,15 @@ makes the matcher try a stretch twice.
 Then the information-theoretic step. An entity c is one value (an address, a
 number). Its contexts are the distinct stretches of ``REACH`` characters on both
 sides of its mentions; copies of a passage are one context. A term t stands next to
-c in n(c, t) of them. With n(t), the distinct corpus lines that hold t, p(c|t) =
-n(c, t) / n(t) estimates how surely t leads to c, and p(c) = n(c) / lines. The term
+c in n(c, t) of them. With n(t), the distinct corpus lines that hold t (or contexts,
+where those are more), p(c|t) = n(c, t) / n(t) estimates how surely t leads to c, and
+p(c) = n(c) / distinct lines. The term
 discloses the share log2(p(c|t) / p(c)) / -log2 p(c) of the entity's information. A
 term over ``DISCLOSED`` with ``SUPPORT`` contexts is generalised in every document
 that names the entity.
 
-Corpus counts are needed only for terms that have the support, so the corpus' words
-are reduced to those by a join before they are shuffled. Rows without any candidate
+Corpus counts are needed only for terms that the contexts alone leave in question, so
+the corpus' words are reduced to those by a join before they are shuffled. Rows without any candidate
 character sequence are never split at all.
 """
 
@@ -126,20 +127,26 @@ def disclosing_terms(mentions: DataFrame, texts: DataFrame, support: int = SUPPO
     contexts = mentions.select("entity", F.xxhash64("before", "after").alias("ctx"),
                                _context_terms(F.col("before"), F.col("after")).alias("terms"))
     n_entity = contexts.groupBy("entity").agg(F.count_distinct("ctx").alias("n_c"))
-    both = (contexts.select("entity", "ctx", F.explode("terms").alias("term"))
-            .groupBy("entity", "term").agg(F.count_distinct("ctx").alias("n_ct"))
+    beside = contexts.select("entity", "ctx", F.explode("terms").alias("term"))
+    n_beside = beside.groupBy("term").agg(F.count_distinct("ctx").alias("n_m"))
+    both = (beside.groupBy("entity", "term").agg(F.count_distinct("ctx").alias("n_ct"))
             .filter(F.col("n_ct") >= support))
-    both = stored(both.join(n_entity, "entity"), "cooccurrence")
     lines = texts.select(F.explode(F.split("text", "\n")).alias("line")).filter(
         F.col("line") != "")
-    held = lines.select(F.xxhash64("line").alias("h"), F.explode(_terms(F.col("line"))).alias("term"))
-    wanted = stored(both.select("term").distinct(), "terms")  # its size is known from here on
-    n_term = held.join(wanted, "term").groupBy("term").agg(F.count_distinct("h").alias("n_t"))
     total = lines.agg(F.count_distinct(F.xxhash64("line"))).first()[0]
     p_c = F.col("n_c") / F.greatest(F.lit(total), F.col("n_c") + 1)
-    p_ct = F.least(F.col("n_ct") / F.col("n_t"), F.lit(1.0))
-    share = F.log2(p_ct / p_c) / -F.log2(p_c)
-    return both.join(n_term, "term").filter(share >= disclosed).select("entity", "term")
+
+    def share(n_t: Column) -> Column:
+        return F.log2((F.col("n_ct") / n_t) / p_c) / -F.log2(p_c)
+
+    # n(t) is n_m at least: most terms cannot disclose anything, whatever the corpus holds.
+    both = stored(both.join(n_entity, "entity").join(n_beside, "term")
+                  .filter(share(F.col("n_m")) >= disclosed), "cooccurrence")
+    held = lines.select(F.xxhash64("line").alias("h"), F.explode(_terms(F.col("line"))).alias("term"))
+    wanted = stored(both.select("term").distinct(), "terms")  # its size is known from here on
+    n_term = held.join(wanted, "term").groupBy("term").agg(F.count_distinct("h").alias("n_l"))
+    return (both.join(n_term, "term")
+            .filter(share(F.greatest("n_l", "n_m")) >= disclosed).select("entity", "term"))
 
 
 def find_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
