@@ -50,7 +50,7 @@ def sensitivity(df: DataFrame,
         F.count(F.when(keep if keep is not None else F.lit(True), 1)).alias("entities"),
         F.sum(F.when(keep if keep is not None else F.lit(True), as_col(amount))).alias("total"))
         .alias(n) for n, (keep, amount) in variants.items()])
-    base = F.col("base")
-    return (one.withColumn("base", F.col(f"`{names[0]}`.total"))
-            .unpivot(["base"], names, "variant", "s").select("variant", "base", "s.*")
-            .withColumn("vs_first", F.when(base != 0, F.col("total") / base)).drop("base"))
+    base = F.col("_first")
+    return (one.withColumn("_first", F.col(f"`{names[0]}`.total"))
+            .unpivot(["_first"], names, "variant", "s").select("variant", "_first", "s.*")
+            .withColumn("vs_first", F.when(base != 0, F.col("total") / base)).drop("_first"))
