@@ -31,64 +31,73 @@ def as_doubles(df: DataFrame, cols: Sequence[str]) -> DataFrame:
 
 
 def numeric_pipeline(cols: Sequence[str], indicators: Sequence[str] = (),
-                     dummies: Sequence[str] = (), scale: bool = False,
-                     out: str = "features") -> tuple[Pipeline, list[str]]:
-    """Median impute, assemble, optionally standardise; and the slot names."""
-    filled = [f"{c}_i" for c in cols]
-    slots = [*filled, *indicators, *dummies]
-    stages = [Imputer(strategy="median", inputCols=list(cols), outputCols=filled),
-              VectorAssembler(inputCols=slots, outputCol="raw_vector" if scale else out,
-                              handleInvalid="keep")]
-    if scale:
-        stages.append(StandardScaler(inputCol="raw_vector", outputCol=out,
-                                     withMean=True, withStd=True))
-    return Pipeline(stages=stages), slots
+                     dummies: Sequence[str] = (), scale: bool = False, out: str = "features",
+                     median_error: float = 0.001) -> tuple[Pipeline, list[str]]:
+    """Gaps filled with medians, one vector, on request centred and scaled; and the slot names.
+
+    ``median_error`` is the rank error that MLlib's median may have.
+    """
+    filled = {c: f"{c}_i" for c in cols}
+    slots = [*filled.values(), *indicators, *dummies]
+    vector = "raw_vector" if scale else out
+    plan = [Imputer(inputCols=list(filled), outputCols=list(filled.values()), strategy="median",
+                    relativeError=median_error), _assemble(slots, vector, handleInvalid="keep")]
+    return Pipeline(stages=plan + ([_scaled(vector, out, centre=True)] if scale else [])), slots
+
+
+def _assemble(slots: Sequence[str], out: str, **options) -> VectorAssembler:
+    return VectorAssembler(inputCols=list(slots), outputCol=out, **options)
+
+
+def _scaled(vector: str, out: str, centre: bool) -> StandardScaler:
+    return StandardScaler(inputCol=vector, outputCol=out, withStd=True, withMean=centre)
 
 
 def category_pipeline(cats: Sequence[str], nums: Sequence[str],
                       out: str = "features") -> Pipeline:
-    """Index (unseen levels kept), one-hot, assemble, scale without centring."""
-    index = [StringIndexer(inputCol=c, outputCol=f"{c}_idx", handleInvalid="keep") for c in cats]
-    hot = OneHotEncoder(inputCols=[f"{c}_idx" for c in cats],
-                        outputCols=[f"{c}_vec" for c in cats])
-    vector = VectorAssembler(inputCols=[*[f"{c}_vec" for c in cats], *nums],
-                             outputCol="raw_vector")
-    return Pipeline(stages=[*index, hot, vector, StandardScaler(
-        inputCol="raw_vector", outputCol=out, withStd=True, withMean=False)])
+    """Categories by frequency and one-hot (unseen levels kept), numbers, scaled, not centred."""
+    plan, vectors = [], [f"{c}_vec" for c in cats]
+    for c, vec in zip(cats, vectors):
+        plan += [StringIndexer(inputCol=c, outputCol=f"{c}_idx", handleInvalid="keep"),
+                 OneHotEncoder(inputCol=f"{c}_idx", outputCol=vec)]
+    return Pipeline(stages=[*plan, _assemble([*vectors, *nums], "raw_vector"),
+                            _scaled("raw_vector", out, centre=False)])
+
+
+# Tree models by task and kind, with the name of the parameter that counts trees.
+TREES = {
+    "classify": {"gbt": (GBTClassifier, "maxIter"), "forest": (RandomForestClassifier, "numTrees"),
+                 "tree": (DecisionTreeClassifier, None)},
+    "predict": {"gbt": (GBTRegressor, "maxIter"), "forest": (RandomForestRegressor, "numTrees"),
+                "tree": (DecisionTreeRegressor, None)},
+}
+
+
+def _trees(task: str, kind: str, size: Mapping[str, tuple[int, int]], **columns):
+    if kind not in TREES[task]:
+        raise ValueError(f"unknown model {kind}")
+    make, counted = TREES[task][kind]
+    trees, depth = size[kind]
+    return make(maxDepth=depth, seed=SEED, **({counted: trees} if counted else {}), **columns)
 
 
 def classifier(kind: str, size: Mapping[str, tuple[int, int]] = FULL_SIZE,
                weight: str | None = None, label: str = "label", features: str = "features"):
     """logistic, gbt, forest or tree."""
-    common = {"featuresCol": features, "labelCol": label}
-    if weight:
-        common["weightCol"] = weight
+    columns = {"featuresCol": features, "labelCol": label,
+               **({"weightCol": weight} if weight else {})}
     if kind == "logistic":
-        return LogisticRegression(maxIter=100, regParam=0.01, elasticNetParam=0.0, **common)
-    rounds, depth = size[kind]
-    if kind == "gbt":
-        return GBTClassifier(maxIter=rounds, maxDepth=depth, stepSize=0.1, seed=SEED, **common)
-    if kind == "forest":
-        return RandomForestClassifier(numTrees=rounds, maxDepth=depth, seed=SEED, **common)
-    if kind == "tree":
-        return DecisionTreeClassifier(maxDepth=depth, seed=SEED, **common)
-    raise ValueError(f"unknown classifier {kind}")
+        return LogisticRegression(regParam=0.01, **columns)
+    return _trees("classify", kind, size, **columns)
 
 
 def regressor(kind: str, size: Mapping[str, tuple[int, int]] = FULL_REGRESSION,
               label: str = "label", features: str = "features", reg: float = 0.0):
     """linear (ridge with ``reg``), gbt, forest or tree."""
-    common = {"featuresCol": features, "labelCol": label}
+    columns = {"featuresCol": features, "labelCol": label}
     if kind == "linear":
-        return LinearRegression(maxIter=100, regParam=reg, elasticNetParam=0.0, **common)
-    rounds, depth = size[kind]
-    if kind == "gbt":
-        return GBTRegressor(maxIter=rounds, maxDepth=depth, seed=SEED, **common)
-    if kind == "forest":
-        return RandomForestRegressor(numTrees=rounds, maxDepth=depth, seed=SEED, **common)
-    if kind == "tree":
-        return DecisionTreeRegressor(maxDepth=depth, seed=SEED, **common)
-    raise ValueError(f"unknown regressor {kind}")
+        return LinearRegression(regParam=reg, **columns)
+    return _trees("predict", kind, size, **columns)
 
 
 def assert_no_leak(features: Sequence[str], forbidden: Sequence[str]) -> None:

@@ -15,14 +15,17 @@ from opspark.operators.activity import feature_table
 from opspark.operators.joins import group_mean_baseline
 from opspark.operators.quality import null_indicators, one_hot, recorded_share
 from opspark.operators.ranking import rank_auc
+from opspark.operators.scan import Measure, running
 from opspark.operators.split import hash_fold
-from opspark.plans.calibration import calibrate as calibrate_scores
+from opspark.operators.metrics import confusion
+from opspark.plans.calibration import calibrate as calibrate_scores, isotonic
 from opspark.plans.clustering import compare, prepare, sweep_k
 from opspark.plans.models import (
     ablation, as_doubles, category_pipeline, classifier, evaluate_regression, fit_classifier,
     importance as importance_of, importance_by_source, numeric_pipeline, regressor, score,
     scorecard as card_of, vector_slots)
 from opspark.session import cut
+from opspark.workload.activity_queries import PRIOR_SQL
 from opspark.workload.bindings import KEYS, LIFETIME, PRIOR, act, book, table
 from opspark.workload.quality_queries import MIN_ROWS
 from opspark.workload.registry import query
@@ -43,20 +46,82 @@ def _features(spark, sf_dir):
     return g, indicators, dummies
 
 
-@query()
-def ml_prep(spark, sf_dir):
-    """Median fill, indicators, dummies and standardised vectors."""
-    g, indicators, dummies = _features(spark, sf_dir)
-    prep, _ = numeric_pipeline(CORE, indicators, dummies, scale=True)
-    return prep.fit(g).transform(g).select(*KEYS, vector_to_array("features").alias("features"))
+def _joined(vector, n: int):
+    """The first ``n`` slots of a vector as whole numbers of 1/10000, comma-joined."""
+    slots = F.slice(vector_to_array(vector), 1, n)
+    return F.array_join(F.transform(slots, lambda x: F.floor(x * 1e4 + 0.37).cast("bigint")), ",")
 
 
-@query()
+PREP_SQL = "WITH f AS (WITH " + PRIOR_SQL.replace("WITH ", "", 1) + "), m AS (SELECT " + ", ".join(
+    f"quantile_disc({c}::DOUBLE, 0.5) AS {c}" for c in CORE) + " FROM f), i AS (SELECT site, player, " + ", ".join(
+    f"coalesce(f.{c}::DOUBLE, m.{c}) AS {c}" for c in CORE) + " FROM f, m), s AS (SELECT " + ", ".join(
+    f"avg({c}) AS a_{c}, stddev_samp({c}) AS s_{c}" for c in CORE) + """ FROM i)
+SELECT site, player, concat_ws(',', """ + ", ".join(
+    f"CAST(floor(CASE WHEN s_{c} > 0 THEN ({c} - a_{c}) / s_{c} ELSE 0 END * 1e4 + 0.37) AS BIGINT)"
+    for c in CORE) + ") AS features FROM i, s"
+
+
+@query(PREP_SQL)
+def ml_prep(spark, sf_dir):
+    """Median fill, indicators, dummies and standardised vectors; the declared features of each."""
+    g, indicators, dummies = _features(spark, sf_dir)
+    prep, _ = numeric_pipeline(CORE, indicators, dummies, scale=True, median_error=1e-7)
+    return prep.fit(g).transform(g).select(*KEYS, _joined("features", len(CORE)).alias("features"))
+
+
+@query("""
+WITH c AS (SELECT c_custkey, c_mktsegment AS seg, CAST(c_nationkey AS VARCHAR) AS nation, c_acctbal
+           FROM customer),
+t AS (SELECT count(*)::DOUBLE AS n, stddev_samp(c_acctbal) AS s FROM c),
+l AS (SELECT 0 AS kind, seg AS v, count(*)::DOUBLE AS k FROM c GROUP BY seg
+      UNION ALL SELECT 1, nation, count(*)::DOUBLE FROM c GROUP BY nation),
+o AS (SELECT *, row_number() OVER (PARTITION BY kind ORDER BY k DESC, v) AS i,
+             sqrt(k * (n - k) / (n * (n - 1))) AS s FROM l, (SELECT n FROM t)),
+x AS (SELECT c_custkey, kind, i, CASE WHEN o.v = CASE kind WHEN 0 THEN seg ELSE nation END
+        THEN 1 / s ELSE 0 END AS value FROM c, o
+      UNION ALL SELECT c_custkey, 2, 0, c_acctbal / s FROM c, t)
+SELECT c_custkey, string_agg(CAST(CAST(floor(value * 1e4 + 0.37) AS BIGINT) AS VARCHAR), ',' ORDER BY kind, i)
+  AS features FROM x GROUP BY c_custkey""")
 def ml_category_prep(spark, sf_dir):
     """Index, one-hot and scale without centring."""
     c = table(spark, sf_dir, "customer").withColumn("nation", F.col("c_nationkey").cast("string"))
     prep = category_pipeline(["c_mktsegment", "nation"], ["c_acctbal"])
-    return prep.fit(c).transform(c).select("c_custkey", vector_to_array("features").alias("features"))
+    return prep.fit(c).transform(c).select("c_custkey", _joined("features", 10**6).alias("features"))
+
+
+FOLD_SQL = "WITH f AS (WITH " + PRIOR_SQL.replace("WITH ", "", 1) + """),
+t AS (SELECT * FROM f WHERE ('0x' || substr(md5(site || ':' || player || ':42'), 1, 8))::BIGINT % 100 < 25),
+n AS (SELECT count(*) AS n, sum(lapsed)::BIGINT AS p FROM t),
+k AS (SELECT * FROM (VALUES ('logistic'), ('tree'), ('forest')) v(kind))
+"""
+
+
+@query(FOLD_SQL + """
+SELECT kind || ' ' || c AS "check", CASE c WHEN 'positives' THEN p ELSE n END AS got
+FROM k, n, (VALUES ('scored'), ('positives'), ('in range'), ('confusion total')) v(c)
+UNION ALL SELECT 'importance total', 1000000
+UNION ALL SELECT 'falls of the isotonic map', 0""")
+def check_models(spark, sf_dir):
+    """What any fit must satisfy: every test row scored once, counts that add up, a monotone map."""
+    g, indicators, dummies = _features(spark, sf_dir)
+    train, test = g.filter("fold = 'train'"), g.filter("fold = 'test'")
+    rows = []
+    for kind in ("logistic", "tree", "forest"):
+        model, slots = fit_classifier(train, kind, CORE, indicators, dummies, forbidden=LEAKS)
+        scored = cut(score(model, test, [*KEYS, "lapsed"]))
+        c = confusion(scored.withColumn("hit", (F.col("risk") >= 0.5).cast("int")), "lapsed",
+                      "hit").first()
+        r = scored.agg(F.count("*"), F.sum("lapsed"), F.count(F.when(
+            F.col("risk").between(0, 1), 1))).first()
+        rows += [(f"{kind} scored", r[0]), (f"{kind} positives", r[1]), (f"{kind} in range", r[2]),
+                 (f"{kind} confusion total", c["tp"] + c["fp"] + c["tn"] + c["fn"])]
+    share = importance_by_source(importance_of(model, slots, g)).agg(F.sum("share")).first()[0]
+    mapped = isotonic(scored, scored, "lapsed", "risk", "mapped")
+    points = mapped.groupBy("risk").agg(F.max("mapped").alias("mapped"))
+    falls = running(points, ["risk"], [Measure("before", "max", "mapped", inclusive=False)]).filter(
+        F.col("mapped") < F.col("before") - 1e-9).count()
+    rows += [("importance total", round(share * 1e6)), ("falls of the isotonic map", falls)]
+    return spark.createDataFrame(rows, "check string, got long")
 
 
 @query()
