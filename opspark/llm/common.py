@@ -42,7 +42,7 @@ def worker_cache(name: str, make):
 class WordHash(dict):
     """64-bit hashes of words. A bounded memo: when full it starts afresh."""
 
-    def __init__(self, limit: int = 400_000):
+    def __init__(self, limit: int = 250_000):
         super().__init__()
         self.limit = limit
 
@@ -67,6 +67,13 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
+def slices(batches: Iterator[pa.RecordBatch], rows: int = 1000) -> Iterator[pa.RecordBatch]:
+    """The batches in parts of a few rows, so that few texts are Python objects at a time."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)
+
+
 def grouped(batches: Iterator[pa.RecordBatch], key: str) -> Iterator[pa.Table]:
     """Runs of equal ``key`` from batches sorted by it, across batch borders."""
     held: list[pa.RecordBatch] = []

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from opspark.llm.common import worker_cache
+from opspark.llm.common import slices, worker_cache
 
 ERROR_PCT = 10
 BLOCK_CHARS = 8_000_000
@@ -152,7 +152,7 @@ def flag_leaks(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_c
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             block, key = source.value
             finder = worker_cache(f"items-{key}", lambda: Finder(block, error_pct))
-            for batch in batches:
+            for batch in slices(batches):
                 held = batch.column(batch.num_columns - 1).to_pylist()
                 leaks = []
                 for text, before in zip(batch.column(at).to_pylist(), held):

@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from opspark.llm.common import batch_of, stored, worker_cache
+from opspark.llm.common import batch_of, slices, stored, worker_cache
 
 SIDE = 2  # words on each side
 
@@ -187,7 +187,7 @@ COUNTS = pa.schema([("word", pa.binary()), ("n", pa.int64())])
 
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     seen: Counter = Counter()
-    for batch in batches:
+    for batch in slices(batches):
         for text in batch.column(0).to_pylist():
             if text:
                 seen.update(text.lower().encode("utf-8", "replace").split())
@@ -229,7 +229,7 @@ def train(docs: DataFrame, text_col: str = "text", shape: Shape = Shape(), round
             model, done = source.value, 0
             net, symbols = Network(model.shape, model.values.copy()), Symbols(model.words, model.shape)
             square = np.full(len(net.values), 1e-4, np.float32)
-            for batch in batches:
+            for batch in slices(batches):
                 for ctx, target, _ in chunks(batch.column(0).to_pylist(), symbols, model.shape):
                     _, g = net.forward(ctx, target, grad=True)
                     square += g * g
@@ -265,7 +265,7 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id",
         model = source.value
         net, symbols = worker_cache(f"lm-{model.key()}", lambda: (
             Network(model.shape, model.values), Symbols(model.words, model.shape)))
-        for batch in batches:
+        for batch in slices(batches):
             n = batch.num_rows
             total, count = np.zeros(n), np.zeros(n, np.int64)
             for ctx, target, own in chunks(batch.column(1).to_pylist(), symbols, model.shape):

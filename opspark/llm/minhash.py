@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from opspark.llm.common import batch_of, grouped, mix, split_words, stored, word_hash
+from opspark.llm.common import batch_of, grouped, mix, slices, split_words, stored, word_hash
 from opspark.llm.graph import components
 
 SHINGLE = 5
@@ -80,7 +80,7 @@ def _digest(found: np.ndarray) -> tuple[int, int]:
 
 
 def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in slices(batches):
         out = []
         for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
             found = shingles(text)
@@ -96,7 +96,7 @@ POSTS = pa.schema([("key", pa.int64()), ("nid", pa.int64())])
 def post(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """One row per posted coordinate: key = coordinate * 2^32 + value."""
     lane = np.arange(POSTED, dtype=np.int64) << 32
-    for batch in batches:
+    for batch in slices(batches):
         nid = batch.column(0).to_numpy()
         keys = [lane + np.frombuffer(s, "<u4", POSTED).astype(np.int64)
                 for s in batch.column(1).to_pylist()]
@@ -171,7 +171,7 @@ SETS = pa.schema([("nid", pa.int64()), ("found", pa.binary())])
 
 
 def full_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in slices(batches):
         rows = batch.to_pydict()
         out = {}
         for nid, d1, d2, text in zip(rows["nid"], rows["d1"], rows["d2"], rows["text"]):

@@ -23,7 +23,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from opspark.llm.common import batch_of, mix, stored, word_hash
+from opspark.llm.common import batch_of, mix, slices, stored, word_hash
 from opspark.llm.substring import M1, M2
 
 SYMBOLS = b"#*$%&|<>"
@@ -90,7 +90,7 @@ LINES = pa.schema([("host", pa.string()), ("copy", pa.int64()), ("line", pa.int6
 
 def _lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Distinct line hashes of each document; line null: the document itself."""
-    for batch in batches:
+    for batch in slices(batches):
         host, copy, line = [], [], []
         for h, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
             raw = (text or "").encode("utf-8", "replace")
@@ -152,7 +152,7 @@ def screen(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         ("clean_text", pa.string())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             out = []
             for doc_id, text, lines in zip(*(c.to_pylist() for c in batch.columns)):
                 got, failed, lost, kept, clean = judge(text, lines, rules)
@@ -182,7 +182,7 @@ def keep_good(docs: DataFrame, text_col: str = "text", host_col: str = "source",
                        == F.col("_host"), "left").drop("_host")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             text = batch.column(at)
             done = [judge(t, lines, rules) for t, lines in zip(
                 text.to_pylist(), batch.column(n).to_pylist())]

@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from opspark.llm.common import worker_cache
+from opspark.llm.common import slices, worker_cache
 
 # Kinds in their order, keywords and patterns.
 KINDS = ("assign", "access", "hex", "github", "npm")
@@ -103,7 +103,7 @@ def find_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
                                ("stop", pa.int64()), ("kind", pa.string())]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             spans = [[{"start": s, "rank": k, "stop": e, "kind": KINDS[k]} for s, k, e in scan(t)]
                      if t else [] for t in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(spans, kind)],

@@ -27,7 +27,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from opspark.llm.common import batch_of, mix, split_words, stored, word_hash
+from opspark.llm.common import batch_of, mix, slices, split_words, stored, word_hash
 
 WINDOW = 20
 LAST = 2**63 - 1  # the place of a row without an id: after all others
@@ -88,7 +88,7 @@ def find_anchors(window: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = word_hash()
-        for batch in batches:
+        for batch in slices(batches):
             parts = []
             for doc, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 h = hashes.of(split_words(text))
@@ -113,7 +113,7 @@ PACKED = pa.schema([("doc", pa.int64()), ("tag", pa.int64()), ("doc_id", pa.int6
 def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Texts compressed before they are shuffled."""
     squeeze = zstandard.ZstdCompressor(level=3)
-    for batch in batches:
+    for batch in slices(batches):
         ids, texts = batch.column(1).to_pylist(), batch.column(2).to_pylist()
         texts = [t or "" for t in texts]
         yield batch_of(PACKED, doc=batch.column(0), tag=[_tag(t) for t in texts], doc_id=ids,
@@ -132,7 +132,7 @@ def put_up(window: int):
     """The windows of the anchors that have to be compared one by one."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = word_hash()
-        for batch in batches:
+        for batch in slices(batches):
             rows, parts = batch.to_pydict(), []
             for doc, tag, packed, at in zip(rows["doc"], rows["tag"], rows["packed"], rows["at"]):
                 h = hashes.of(unpack(packed))
@@ -160,7 +160,7 @@ RESULT = pa.schema([("doc_id", pa.int64()), ("n_words", pa.int64()), ("n_removed
 def cut_out(window: int, with_text: bool):
     """Words outside the spans of each document; a span is start * 2^32 + end."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             rows, out = batch.to_pydict(), []
             for doc_id, packed, spans in zip(rows["doc_id"], rows["packed"], rows["spans"]):
                 words = unpack(packed)
