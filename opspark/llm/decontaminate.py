@@ -3,8 +3,13 @@
 An item of m characters may differ in k = error_pct % of m edits. Cut into k + 1
 pieces, a copy with at most k edits keeps at least one piece unchanged, so an
 Aho-Corasick pass over a document for all pieces misses no copy. Around each hit
-the item's edit distance to the best-fitting stretch is computed with Myers'
-bit-parallel recurrence, one machine word of any length (a Python integer).
+the edit distance to the best-fitting stretch is computed with Myers' bit-parallel
+recurrence, one machine word of any length (a Python integer).
+
+The same pigeonhole holds for any run of s pieces with at most s - 1 edits: of its
+two halves one is within its own budget. So a hit is verified from the piece
+outwards, over runs of 2, 4, 8, ... pieces up to the whole item, each with one edit
+less than it has pieces. Chance hits end at the first, short run; no copy is lost.
 
 Texts and items are compared in normal form: lower case, letters and digits only,
 single blanks. Items are sent to the tasks in blocks of bounded size; several
@@ -40,15 +45,20 @@ def pieces(item: str, error_pct: int = ERROR_PCT) -> tuple[int, list[tuple[int,
     return k, [(a, item[a:b]) for a, b in zip(edges, edges[1:])]
 
 
-def myers(item: str, text: str, limit: int) -> tuple[int, int] | None:
-    """(distance, end) of the stretch of ``text`` nearest to ``item``, if within ``limit``.
-
-    The first end with the least distance. The distance may start anywhere.
-    """
-    m = len(item)
+def masks(item: str) -> dict[str, int]:
+    """Character -> bits of its places in ``item``."""
     at: dict[str, int] = {}
     for i, c in enumerate(item):
         at[c] = at.get(c, 0) | 1 << i
+    return at
+
+
+def myers(m: int, at: dict[str, int], text: str, limit: int) -> tuple[int, int] | None:
+    """(distance, end) of the stretch of ``text`` nearest to the item, if within ``limit``.
+
+    The item is given by its length and ``masks``. The stretch may start anywhere;
+    the first end with the least distance is returned.
+    """
     full, top = (1 << m) - 1, 1 << (m - 1)
     up, down, score, best = full, 0, m, None
     for j, c in enumerate(text):
@@ -71,18 +81,36 @@ def myers(item: str, text: str, limit: int) -> tuple[int, int] | None:
     return best
 
 
+def runs(parts: list[tuple[int, str]], item: str) -> list[list[tuple[int, int, int, dict]]]:
+    """For each piece the runs of pieces around it, smallest first, the whole item last.
+
+    A run is (places before the piece, length, budget, masks).
+    """
+    around: list[list] = [[] for _ in parts]
+
+    def halve(lo: int, hi: int) -> None:
+        start, end = parts[lo][0], parts[hi - 1][0] + len(parts[hi - 1][1])
+        bits = masks(item[start:end])
+        for j in range(lo, hi):
+            around[j].insert(0, (parts[j][0] - start, end - start, hi - lo - 1, bits))
+        if hi - lo > 2:
+            halve(lo, (lo + hi) // 2)
+            halve((lo + hi) // 2, hi)
+
+    halve(0, len(parts))
+    return around
+
+
 class Finder:
     """The automaton of one block of items."""
 
     def __init__(self, items: list[tuple[int, str]], error_pct: int):
-        self.items, self.budget = [t for _, t in items], []
         self.ids = [i for i, _ in items]
-        spots: dict[str, list[tuple[int, int]]] = {}
-        for n, text in enumerate(self.items):
-            k, parts = pieces(text, error_pct)
-            self.budget.append(k)
-            for place, part in parts:
-                spots.setdefault(part, []).append((n, place))
+        spots: dict[str, list[tuple[int, list]]] = {}
+        for n, (_, text) in enumerate(items):
+            _, parts = pieces(text, error_pct)
+            for (_, part), path in zip(parts, runs(parts, text)):
+                spots.setdefault(part, []).append((n, path))
         self.tree = ahocorasick.Automaton()
         for part, where in spots.items():
             self.tree.add_word(part, (len(part), where))
@@ -90,20 +118,23 @@ class Finder:
 
     def find(self, text: str) -> list[tuple[int, int, int]]:
         """(item_id, distance, end in the normal form) of each item that the text holds."""
-        text, found, tried = normal(text), {}, set()
+        text, found, failed = normal(text), {}, set()
         for last, (size, where) in self.tree.iter(text) if len(self.tree) else ():
-            for n, place in where:
-                if n in found:
-                    continue
-                k, item = self.budget[n], self.items[n]
-                begin = last - size + 1 - place - k
-                if (n, begin) in tried:  # another piece has led to this window
+            first = last - size + 1
+            for n, path in where:
+                whole = first - path[-1][0]
+                if n in found or (n, whole) in failed:
                     continue
-                tried.add((n, begin))
-                a, b = max(0, begin), begin + 2 * k + len(item)
-                got = myers(item, text[a:b], k)
-                if got:
+                for before, length, budget, bits in path:
+                    a = max(0, first - before - budget)
+                    got = myers(length, bits, text[a:first - before + length + budget], budget)
+                    if got is None:
+                        break
+                else:
                     found[n] = (self.ids[n], got[0], a + got[1])
+                    continue
+                if length == path[-1][1]:  # the whole item was tried at this place
+                    failed.add((n, whole))
         return sorted(found.values())
 
 

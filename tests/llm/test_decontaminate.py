@@ -5,7 +5,8 @@ import random
 import pytest
 from llm_cases import odd_docs
 
-from opspark.llm.decontaminate import Finder, decontaminate, leaks, myers, normal, pieces
+from opspark.llm.decontaminate import (
+    Finder, decontaminate, leaks, masks, myers, normal, pieces)
 
 
 def plain(item, text):
@@ -38,7 +39,7 @@ def test_distance_is_exact(seed):
             text = text[:at] + edited(rng, item, rng.randrange(6)) + text[at:]
         want = plain(item, text)
         for limit in (0, 3, len(item)):
-            got = myers(item, text, limit)
+            got = myers(len(item), masks(item), text, limit)
             if text:
                 assert (got[0] if got else None) == (want if want <= limit else None)
 
