@@ -32,10 +32,11 @@ def skew_join(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str =
 
 
 def lookup_join(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "left",
-                hot_rows: int = HOT_ROWS) -> DataFrame:
-    """Join an already measured lookup; hot keys of the left side stay spread, whatever
-    the lookup's size turns out to be."""
-    return skew_join(left, right, keys, how, hot_keys(left, keys, hot_rows))
+                hot_rows: int | None = None) -> DataFrame:
+    """Join an already measured lookup: broadcast by its size, else shuffled, where
+    adaptive execution splits a hot key. With ``hot_rows`` hot keys are looked for
+    beforehand and stay spread in either case."""
+    return skew_join(left, right, keys, how, hot_keys(left, keys, hot_rows) if hot_rows else None)
 
 
 def duplicate_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -69,13 +70,16 @@ def attach_rollup(parent: DataFrame, rollup: DataFrame, keys: Sequence[str]) ->
 
 
 def seat_join(parts: DataFrame, txns: DataFrame, key: str, part_cols: Sequence[str],
-              txn_cols: Sequence[str], hot_rows: int = HOT_ROWS) -> DataFrame:
+              txn_cols: Sequence[str], hot_rows: int | None = None) -> DataFrame:
     """Participant rows with their transaction's attributes.
 
-    Both sides are cut to the named columns first, so only those are shuffled.
+    Both sides are cut to the named columns first, so only those are shuffled. The
+    key is nearly unique, so rows are not counted beforehand: adaptive execution
+    splits a transaction that turns out large. With ``hot_rows`` such transactions
+    are looked for and kept spread from the start.
     """
     return skew_join(parts.select(key, *part_cols), txns.select(key, *txn_cols), [key],
-                     hot=hot_keys(parts, [key], hot_rows))
+                     hot=hot_keys(parts, [key], hot_rows) if hot_rows else None)
 
 
 def with_lookup(df: DataFrame, small: DataFrame, keys: Sequence[str] | str,

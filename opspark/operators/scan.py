@@ -27,7 +27,10 @@ from pyspark.sql import functions as F
 from opspark.functions.columns import as_col
 from opspark.session import cut, measured
 
+# A group above HOT_ROWS takes the block form; blocks are to hold about BLOCK_ROWS.
+# Both are plan parameters: rows are the same on either side of them.
 HOT_ROWS = 2_000_000
+BLOCK_ROWS = 2_000_000
 BLOCK = "_block"
 
 
@@ -94,13 +97,22 @@ def windowed(df: DataFrame, by: Sequence[str], order: Sequence[Column | str],
         for m in measures])
 
 
+def blocks_for(rows: int, df: DataFrame) -> int | None:
+    """Blocks that keep each near BLOCK_ROWS, or None where the session's partitions do."""
+    needed = -(-rows // BLOCK_ROWS)
+    usual = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return needed if needed > usual else None
+
+
 def blocked(df: DataFrame, by: Sequence[str], order: Sequence[Column | str],
             measures: Sequence[Measure], blocks: int | None = None) -> DataFrame:
     """The two-level form: scan inside range blocks, then carry between blocks."""
     by, sort = list(by), _sort(order)
     # Without a number adaptive execution sizes the blocks to the data, joining
-    # only neighbours, so they stay in order. The block number is data from here
+    # only neighbours, so they stay in order; beyond what its shuffle partitions
+    # can hold, the row count sets the number. The block number is data from here
     # on: it is read back, never recomputed.
+    blocks = blocks or blocks_for(df.count(), df)
     ranges = [blocks] if blocks else []
     placed = cut(df.repartitionByRange(*ranges, *[F.col(b) for b in by], *sort)
                    .withColumn(BLOCK, F.spark_partition_id()))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from opspark.functions.columns import to_cents
@@ -28,6 +30,11 @@ from opspark.workload.bindings import ACT_SQL, POT_SQL, act, pot, table
 from opspark.workload.registry import query
 
 
+# Names of this process in the catalog, so that two runs do not overwrite each other.
+_RUN = uuid.uuid4().hex[:8]
+CATALOG = {n: f"opspark_{n}_{_RUN}" for n in ("database", "layout", "external")}
+
+
 def _log_text(orders):
     """One TOML document per order: two participants, a raise, a call, an uncalled bet."""
     key = F.col("o_orderkey")
@@ -173,9 +180,9 @@ def csv_roundtrip(spark, sf_dir):
 SELECT c_nationkey, count(*) AS n, max(c_acctbal) AS top FROM customer GROUP BY 1""")
 def managed_table(spark, sf_dir):
     customers = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey", "c_acctbal")
-    register_table(customers, "opspark_demo", "customers", scratch_path(spark, "warehouse"))
+    register_table(customers, CATALOG["database"], "customers", scratch_path(spark, "warehouse"))
     return spark.sql("SELECT c_nationkey, count(*) AS n, max(c_acctbal) AS top "
-                     "FROM opspark_demo.customers GROUP BY c_nationkey")
+                     f"FROM {CATALOG['database']}.customers GROUP BY c_nationkey")
 
 
 @query("""
@@ -183,12 +190,12 @@ SELECT c_nationkey, count(*) AS n, sum(CAST(round(c_acctbal * 100) AS BIGINT))::
 FROM customer WHERE c_mktsegment = 'BUILDING' GROUP BY 1""")
 def partition_pruned(spark, sf_dir):
     """SQL over a partitioned and bucketed table; only one partition is read."""
-    write_layout(table(spark, sf_dir, "customer"), "opspark_customer_layout", "c_mktsegment",
+    write_layout(table(spark, sf_dir, "customer"), CATALOG["layout"], "c_mktsegment",
                  "c_nationkey", 8, "c_nationkey", scratch_path(spark, "layout"))
-    return spark.sql("""
+    return spark.sql(f"""
         SELECT c_nationkey, count(*) AS n,
                sum(cast(round(c_acctbal * 100) AS bigint)) AS cents
-        FROM opspark_customer_layout WHERE c_mktsegment = 'BUILDING' GROUP BY c_nationkey""")
+        FROM {CATALOG["layout"]} WHERE c_mktsegment = 'BUILDING' GROUP BY c_nationkey""")
 
 
 @query("""
@@ -198,7 +205,7 @@ def attach_table(spark, sf_dir):
     path = scratch_path(spark, "external")
     write_parquet(table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderstatus"),
                   path, by=["o_orderstatus"])
-    t = attach(spark, "opspark_orders_external", path,
+    t = attach(spark, CATALOG["external"], path,
                "o_orderkey bigint, o_custkey bigint, o_orderstatus string", ["o_orderstatus"])
     return t.groupBy("o_orderstatus").agg(
         F.count("*").alias("n"), F.max("o_orderkey").alias("last_key"))

@@ -80,3 +80,22 @@ def test_summary_and_sketch(spark):
     (a,) = group_percentiles(df.withColumn("g", F.lit(1)), ["g"], "v", {"m": .5},
                              exact=False).collect()
     assert a["m"] == 50
+
+
+def test_blocks_grow_with_the_rows(spark, monkeypatch):
+    from opspark.operators import scan
+
+    df = spark.range(10).toDF("id")
+    assert scan.blocks_for(10**6, df) is None
+    assert scan.blocks_for(10**11, df) == 10**11 // scan.BLOCK_ROWS
+    monkeypatch.setattr(scan, "BLOCK_ROWS", 10)
+    out = scan.running(spark.range(500).toDF("id"), ["id"], [scan.Measure("s", "sum", "id")])
+    assert [r["s"] for r in out.orderBy("id").collect()] == [i * (i + 1) // 2 for i in range(500)]
+
+
+def test_joins_on_a_nearly_unique_key_count_nothing(spark):
+    from opspark.operators.joins import seat_join
+
+    df = spark.range(10).selectExpr("id AS txn", "id AS a")
+    plan = seat_join(df, df, "txn", ["a"], [])._jdf.queryExecution().optimizedPlan().toString()
+    assert "Aggregate" not in plan
