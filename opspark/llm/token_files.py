@@ -31,18 +31,21 @@ from opspark.llm.common import batch_of, stored, worker_cache
 from opspark.llm.files import file_system
 from opspark.session import scratch_path
 
-SEQ_LEN, ROWS, MEMO = 2048, 128, 300_000
+SEQ_LEN, ROWS, MEMO = 2048, 128, 200_000
 
 
 class Chunks:
-    """Ids of a text through the tokenizers library, each distinct chunk encoded once.
+    """Ids of texts through the tokenizers library, each distinct chunk encoded once.
 
-    A chunk is a word with at most one blank before it, or a run of white space:
-    the library's own pieces never cross such a border, so chunk by chunk it gives
-    the same ids as the whole text. Texts with a special token go to it whole.
+    A chunk is a word with at most one blank before it, or a run of white space; a
+    run of letters before a punctuation mark is a chunk too. The library's own pieces
+    never cross such a border, so chunk by chunk it gives the same ids as the whole
+    text. Texts with a special token go to it whole. The memo has two generations:
+    chunks that are used again survive, the others go.
     """
 
-    CUT = re.compile(f"\\x20?[^{SPACES}]+|[{SPACES}]+(?![^{SPACES}])|[{SPACES}]+")
+    CUT = re.compile(f"\\x20?[A-Za-zÀ-ÖØ-öø-ÿ]+(?=[,.;:!?|*#$%&)]|[{SPACES}]|\\Z)"
+                     f"|\\x20?[^{SPACES}]+|[{SPACES}]+(?![^{SPACES}])|[{SPACES}]+")
 
     def __init__(self, source: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # the cores are shared with other tasks
@@ -55,6 +58,7 @@ class Chunks:
         size = self.tok.get_vocab_size(with_added_tokens=True)
         self.dtype = np.dtype("<u2" if size <= 65536 else "<u4")
         self.memo: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
 
     def _whole(self, texts: list[str]) -> list[bytes]:
         return [np.array(e.ids, self.dtype).tobytes()
@@ -62,19 +66,21 @@ class Chunks:
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Little-endian ids of each text."""
-        memo, out = self.memo, []
-        if len(memo) >= MEMO:
-            memo.clear()
-        for text in texts:
-            if any(s in text for s in self.special):
-                out.append(self._whole([text])[0])
-                continue
-            chunks = self.CUT.findall(text)
-            new = [c for c in set(chunks) if c not in memo]
-            if new:
-                memo.update(zip(new, self._whole(new)))
-            out.append(b"".join(map(memo.__getitem__, chunks)))
-        return out
+        if len(self.memo) >= MEMO:
+            self.memo, self.old = {}, self.memo
+        memo, old = self.memo, self.old
+        cuts = [None if any(s in t for s in self.special) else self.CUT.findall(t) for t in texts]
+        unseen = set().union(*filter(None, cuts)) - memo.keys()
+        fresh = []
+        for chunk in unseen:
+            if chunk in old:
+                memo[chunk] = old[chunk]
+            else:
+                fresh.append(chunk)
+        if fresh:
+            memo.update(zip(fresh, self._whole(fresh)))
+        return [self._whole([t])[0] if c is None else b"".join(map(memo.__getitem__, c))
+                for t, c in zip(texts, cuts)]
 
 
 MANIFEST = pa.schema([("part", pa.int64()), ("path", pa.string()), ("docs", pa.int64()),
