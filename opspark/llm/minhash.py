@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from opspark.llm.common import batch_of, grouped, mix, slices, split_words, stored, word_hash
+from opspark.llm.common import batch_of, grouped, mix, slices, stored, word_hash
 from opspark.llm.graph import components
 
 SHINGLE = 5
