@@ -10,14 +10,14 @@ number). Its contexts are the distinct stretches of ``REACH`` characters on both
 sides of its mentions; copies of a passage are one context. A term t stands next to
 c in n(c, t) of them. With n(t), the distinct corpus lines that hold t (or contexts,
 where those are more), p(c|t) = n(c, t) / n(t) estimates how surely t leads to c, and
-p(c) = n(c) / distinct lines. The term
-discloses the share log2(p(c|t) / p(c)) / -log2 p(c) of the entity's information. A
-term over ``DISCLOSED`` with ``SUPPORT`` contexts is generalised in every document
-that names the entity.
+p(c) = n(c) / distinct lines. The term discloses the share
+log2(p(c|t) / p(c)) / -log2 p(c) of the entity's information. A term over
+``DISCLOSED`` with ``SUPPORT`` contexts is generalised in every document that names
+the entity.
 
 Corpus counts are needed only for terms that the contexts alone leave in question, so
-the corpus' words are reduced to those by a join before they are shuffled. Rows without any candidate
-character sequence are never split at all.
+the corpus' words are reduced to those by a join before they are shuffled. Rows
+without any candidate character sequence are never split at all.
 """
 
 from __future__ import annotations
