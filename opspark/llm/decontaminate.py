@@ -31,7 +31,7 @@ from opspark.llm.common import slices, worker_cache
 
 ERROR_PCT = 10
 BLOCK_CHARS = 8_000_000
-NOT_WORD = re.compile(r"[\W_]+")
+NOT_WORD = re.compile(r"[\W_]{2,}|[^\w\x20]|_")  # a single blank is what it becomes
 
 
 def normal(text: str | None) -> str:
@@ -93,24 +93,44 @@ def runs(parts: list[tuple[int, str]], item: str) -> list[list[tuple[int, int, i
         bits = masks(item[start:end])
         for j in range(lo, hi):
             around[j].insert(0, (parts[j][0] - start, end - start, hi - lo - 1, bits))
-        if hi - lo > 2:
-            halve(lo, (lo + hi) // 2)
-            halve((lo + hi) // 2, hi)
+        middle = (lo + hi) // 2
+        for a, b in ((lo, middle), (middle, hi)):
+            if 1 < b - a < hi - lo:
+                halve(a, b)
 
     halve(0, len(parts))
     return around
 
 
+def twin(item: str, place: int, size: int, run: tuple[int, int, int, dict]):
+    """(shift, text) tests of which a run of two pieces passes one, or none for other runs.
+
+    The piece is unchanged, so the one edit is in its neighbour: one half of that is
+    unchanged too, at its place if it adjoins the piece, else within one of it.
+    """
+    before, length, budget, _ = run
+    if budget != 1:
+        return ()
+    if before:  # the neighbour is on the left
+        other, at = item[place - before:place], -before
+        half = len(other) // 2
+        return ((at + half, other[half:]), *((at + d, other[:half]) for d in (-1, 0, 1)))
+    other = item[place + size:place + length]
+    half = len(other) // 2
+    return ((size, other[:half]), *((size + half + d, other[half:]) for d in (-1, 0, 1)))
+
+
 class Finder:
     """The automaton of one block of items."""
 
     def __init__(self, items: list[tuple[int, str]], error_pct: int):
         self.ids = [i for i, _ in items]
-        spots: dict[str, list[tuple[int, list]]] = {}
+        spots: dict[str, list[tuple[int, list, tuple]]] = {}
         for n, (_, text) in enumerate(items):
             _, parts = pieces(text, error_pct)
-            for (_, part), path in zip(parts, runs(parts, text)):
-                spots.setdefault(part, []).append((n, path))
+            for (place, part), path in zip(parts, runs(parts, text)):
+                tests = twin(text, place, len(part), path[0])
+                spots.setdefault(part, []).append((n, path, tests))
         self.tree = ahocorasick.Automaton()
         for part, where in spots.items():
             self.tree.add_word(part, (len(part), where))
@@ -121,10 +141,13 @@ class Finder:
         text, found, failed = normal(text), {}, set()
         for last, (size, where) in self.tree.iter(text) if len(self.tree) else ():
             first = last - size + 1
-            for n, path in where:
+            for n, path, tests in where:
                 whole = first - path[-1][0]
                 if n in found or (n, whole) in failed:
                     continue
+                if tests and not any(first + shift >= 0 and text.startswith(part, first + shift)
+                                     for shift, part in tests):
+                    continue
                 for before, length, budget, bits in path:
                     a = max(0, first - before - budget)
                     got = myers(length, bits, text[a:first - before + length + budget], budget)
