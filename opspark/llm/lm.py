@@ -4,10 +4,14 @@ A small network predicts each token from the two before and the two after it. Th
 sum of the log-probabilities of all tokens, each with itself masked, is the
 document's pseudo-log-likelihood.
 
-Vocabulary: the most frequent words of the whole corpus have symbols of their own;
-every other word falls into a bucket by hash, so no token is left out. The output
-is two-level (a class, then a member of it), which costs two short softmaxes in
-place of one over all symbols.
+Vocabulary: every word of at least sqrt(tokens) / ``LEAST`` occurrences in the whole
+corpus (and at least the ``FIRST`` most frequent) has a symbol of its own, so the
+network grows with the corpus. Every other word falls into a bucket by hash, which
+the network predicts; within it, the word has its share of the bucket's tokens,
+p(word | bucket) = n(word) / (n(bucket) + 1). The 1 stands for words that the corpus
+does not hold. The counts are a stored table that Spark joins with the documents'
+words. The output is two-level (a class, then a member of it; as many classes as
+members), which costs two short softmaxes in place of one over all symbols.
 
 Training: from common start values, each task makes one pass over all its rows by
 stochastic gradient steps in numpy (Adagrad). The tasks' parameters are averaged by
@@ -19,10 +23,11 @@ sampled: all rows are counted, trained on and scored.
 from __future__ import annotations
 
 import hashlib
+import math
 import zlib
 from collections import Counter
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, field, replace
 
 import numpy as np
 import pyarrow as pa
@@ -32,6 +37,7 @@ from pyspark.sql import functions as F
 from opspark.llm.common import batch_of, slices, stored, worker_cache
 
 SIDE = 2  # words on each side
+LEAST, FIRST = 8, 960
 
 
 @dataclass(frozen=True)
@@ -56,6 +62,12 @@ class Shape:
                 "wm": (self.classes, self.hidden, self.members), "bm": (self.classes, self.members)}
 
 
+def shape_for(words: int) -> Shape:
+    """The shape with a symbol for each of ``words`` words and a bucket for 15 of them."""
+    side = max(2, math.ceil(math.sqrt(words + max(1, words // 15))))
+    return Shape(side, side, side * side - words)
+
+
 def start_values(shape: Shape, seed: int = 7) -> np.ndarray:
     rng = np.random.default_rng(seed)
     parts = []
@@ -123,6 +135,10 @@ class Network:
         return back, np.concatenate([v.ravel() for v in g.values()]) / n
 
 
+def words_of(text: str | None) -> list[bytes]:
+    return text.lower().encode("utf-8", "replace").split() if text else []
+
+
 class Symbols(dict):
     """Word -> symbol; words beyond the vocabulary by hash. A bounded memo."""
 
@@ -141,9 +157,13 @@ class Symbols(dict):
         return value
 
     def of(self, text: str | None) -> np.ndarray:
-        words = text.lower().encode("utf-8", "replace").split() if text else []
+        words = words_of(text)
         return np.fromiter(map(self.__getitem__, words), np.int32, len(words))
 
+    def rare(self, text: str | None) -> Counter:
+        """The words of ``text`` that have no symbol of their own, and how often."""
+        return Counter(w for w in words_of(text) if w not in self.known)
+
 
 def chunks(texts: list[str | None], symbols: Symbols, shape: Shape):
     """(contexts, targets, number of the text of each) in chunks of bounded size."""
@@ -198,30 +218,67 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield batch_of(COUNTS, word=list(seen), n=list(seen.values()))
 
 
-def vocabulary(texts: DataFrame, size: int) -> list[bytes]:
-    """The ``size`` most frequent lower-case words of ``texts`` (text); ties by word."""
+def word_counts(texts: DataFrame) -> DataFrame:
+    """(word, n) of every lower-case word of ``texts`` (text), stored."""
     counts = texts.mapInArrow(_count, "word binary, n long").groupBy("word").agg(
         F.sum("n").alias("n"))
+    return stored(counts, "words")
+
+
+def vocabulary(counts: DataFrame, size: int | None, tokens: int) -> list[bytes]:
+    """The ``size`` most frequent words; ties by word. Without a size as the module states."""
+    if size is None:
+        least = max(2, math.ceil(math.sqrt(tokens) / LEAST))
+        size = max(FIRST, counts.filter(F.col("n") >= least).count())
     return [bytes(r.word) for r in counts.orderBy(F.desc("n"), "word").limit(size).collect()]
 
 
 @dataclass
 class Model:
+    """A network, its words, the tokens of each bucket, and the other words' counts."""
+
     shape: Shape
     words: list[bytes]
     values: np.ndarray
+    totals: np.ndarray
+    counts: DataFrame | None = field(default=None, compare=False)  # (word, n); stays on the driver
 
     def key(self) -> str:
-        return hashlib.sha1(self.values.tobytes() + b" ".join(self.words)).hexdigest()
+        return hashlib.sha1(self.values.tobytes() + self.totals.tobytes()
+                            + b" ".join(self.words)).hexdigest()
+
+    def __getstate__(self) -> dict:
+        return vars(self) | {"counts": None}
+
+
+def start_model(texts: DataFrame, shape: Shape | None) -> tuple[Model, int]:
+    """A model with its vocabulary and counts, the network at its start values; all tokens."""
+    counts = word_counts(texts)
+    tokens = counts.agg(F.sum("n")).first()[0] or 0
+    words = vocabulary(counts, shape and shape.symbols - shape.buckets, tokens)
+    shape = shape or shape_for(len(words))
+    known = stored(counts.sparkSession.createDataFrame([(w,) for w in words], "word binary"), "known")
+    rare = counts.join(known, "word", "left_anti")
+    bucket = F.pmod(F.crc32("word"), F.lit(shape.buckets))
+    totals = np.zeros(shape.buckets)
+    for r in rare.groupBy(bucket.alias("b")).agg(F.sum("n").alias("n")).collect():
+        totals[r.b] = r.n
+    # A word of one occurrence has the logarithm 0, as one that is not in the table.
+    many = stored(rare.filter("n > 1"), "rare")
+    return Model(shape, words, start_values(shape), totals, many), tokens
 
 
 WEIGHTS = pa.schema([("tokens", pa.int64()), ("part", pa.list_(pa.float32()))])
 
 
-def train(docs: DataFrame, text_col: str = "text", shape: Shape = Shape(), rounds: int = 1) -> Model:
-    """A model of all texts of ``docs``; without any token it keeps its start values."""
+def train(docs: DataFrame, text_col: str = "text", shape: Shape | None = None,
+          rounds: int = 1) -> Model:
+    """A model of all texts of ``docs``; without any token it keeps its start values.
+
+    Without a ``shape`` its size follows from the corpus.
+    """
     texts = docs.select(F.col(text_col).cast("string").alias("text"))
-    model = Model(shape, vocabulary(texts, shape.symbols - shape.buckets), start_values(shape))
+    model, _ = start_model(texts, shape)
     for _ in range(rounds):
         source = docs.sparkSession.sparkContext.broadcast(model)
 
@@ -244,12 +301,13 @@ def train(docs: DataFrame, text_col: str = "text", shape: Shape = Shape(), round
             return model
         mean = (parts.select("tokens", F.posexplode("part").alias("i", "v")).groupBy("i")
                 .agg(F.sum(F.col("v") * (F.col("tokens") / total)).alias("v")).orderBy("i"))
-        model = Model(shape, model.words, np.array([r.v for r in mean.collect()], np.float32))
+        model = replace(model, values=np.array([r.v for r in mean.collect()], np.float32))
     return model
 
 
-SCORES = pa.schema([("doc_id", pa.int64()), ("n_tokens", pa.int64()), ("score", pa.float64()),
-                    ("mean_score", pa.float64())])
+SCORES = pa.schema([("uid", pa.int64()), ("doc_id", pa.int64()), ("n_tokens", pa.int64()),
+                    ("score", pa.float64()), ("words", pa.list_(pa.binary())),
+                    ("times", pa.list_(pa.int32()))])
 
 
 def score(docs: DataFrame, model: Model, id_col: str = "doc_id",
@@ -265,20 +323,33 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id",
         model = source.value
         net, symbols = worker_cache(f"lm-{model.key()}", lambda: (
             Network(model.shape, model.values), Symbols(model.words, model.shape)))
+        # The bucket's part of log p(word | bucket); log n(word) comes from the table.
+        within = np.concatenate([np.zeros(symbols.first), -np.log(model.totals + 1)])
         for batch in slices(batches):
-            n = batch.num_rows
+            n, texts = batch.num_rows, batch.column(2).to_pylist()
             total, count = np.zeros(n), np.zeros(n, np.int64)
-            for ctx, target, own in chunks(batch.column(1).to_pylist(), symbols, model.shape):
+            for ctx, target, own in chunks(texts, symbols, model.shape):
                 for at in range(0, len(target), model.shape.chunk):
                     cut = slice(at, at + model.shape.chunk)
                     logp, _ = net.forward(ctx[cut], target[cut])
-                    total += np.bincount(own[cut], logp, n)
+                    total += np.bincount(own[cut], logp + within[target[cut]], n)
                     count += np.bincount(own[cut], minlength=n)
-            mean = [t / c if c else None for t, c in zip(total.tolist(), count.tolist())]
+            rare = [symbols.rare(t) for t in texts]
             if n:
-                yield batch_of(SCORES, doc_id=batch.column(0), n_tokens=count, score=total,
-                               mean_score=mean)
-
-    return (docs.select(F.col(id_col).cast("long").alias("doc_id"),
-                        F.col(text_col).cast("string").alias("text"))
-            .mapInArrow(run, "doc_id long, n_tokens long, score double, mean_score double"))
+                yield batch_of(SCORES, uid=batch.column(0), doc_id=batch.column(1), n_tokens=count,
+                               score=total, words=[list(r) for r in rare],
+                               times=[list(r.values()) for r in rare])
+
+    rows = stored(docs.select(F.monotonically_increasing_id().alias("uid"),
+                              F.col(id_col).cast("long").alias("doc_id"),
+                              F.col(text_col).cast("string").alias("text"))
+                  .mapInArrow(run, "uid long, doc_id long, n_tokens long, score double, "
+                              "words array<binary>, times array<int>"), "scored")
+    held = rows.select("uid", F.explode(F.arrays_zip("words", "times")).alias("x")).select(
+        "uid", F.col("x.words").alias("word"), F.col("x.times").alias("times"))
+    more = (held.join(model.counts, "word").groupBy("uid")
+            .agg(F.sum(F.col("times") * F.log("n")).alias("more")))
+    total = F.col("score") + F.coalesce("more", F.lit(0.0))
+    return rows.select("uid", "doc_id", "n_tokens", "score").join(more, "uid", "left").select(
+        "doc_id", "n_tokens", total.alias("score"),
+        F.when(F.col("n_tokens") > 0, total / F.col("n_tokens")).alias("mean_score"))

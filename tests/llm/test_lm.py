@@ -1,11 +1,13 @@
 """The network's gradient, its exact scores, and held-out likelihood."""
 
 import random
+import zlib
 
 import numpy as np
 from llm_cases import odd_docs
 
-from opspark.llm.lm import SIDE, Network, Shape, Symbols, chunks, score, start_values, train
+from opspark.llm.lm import (
+    FIRST, SIDE, Network, Shape, Symbols, chunks, score, shape_for, start_model, start_values, train)
 
 SMALL = Shape(classes=4, members=4, buckets=4, width=3, hidden=5, chunk=64, step=0.3)
 
@@ -77,3 +79,36 @@ def test_odd_rows(spark):
     assert [(r.score, r.mean_score) for r in got if r.n_tokens == 0][0] == (0.0, None)
     none = docs.limit(0)
     assert score(none, train(none, shape=SMALL)).count() == 0
+
+
+def test_words_of_one_bucket_are_told_apart(spark):
+    one = Shape(classes=2, members=2, buckets=3, width=3, hidden=5)
+    texts = ["the " * 9 + "rare", "the rare rare rare", "the the once"]
+    model = train(spark.createDataFrame([(i, t) for i, t in enumerate(texts)],
+                                        "doc_id long, text string"), shape=one)
+    assert model.words == [b"the"]
+    bucket = {w: zlib.crc32(w.encode()) % 3 for w in ("rare", "once", "never", *map(str, range(99)))}
+    other = next(w for w in bucket if w.isdigit() and bucket[w] == bucket["rare"])
+    df = spark.createDataFrame([(0, "the rare"), (1, f"the {other}"), (2, None)],
+                               "doc_id long, text string")
+    got = {r.doc_id: r for r in score(df, model).collect()}
+    assert abs(got[0].score - got[1].score - np.log(4)) < 1e-4  # n(rare) = 4, and 1 for a new word
+    total = 4 + (bucket["once"] == bucket["rare"])
+    ctx = np.array([[4, 4, 1 + bucket["rare"], 4], [4, 0, 4, 4]])
+    plain = Network(one, model.values).forward(ctx, np.array([0, 1 + bucket["rare"]]))[0].sum()
+    assert abs(got[0].score - (plain + np.log(4 / (total + 1)))) < 1e-4
+    assert got[2].mean_score is None
+
+
+def test_the_vocabulary_follows_the_corpus(spark):
+    rng = random.Random(3)
+    words = [f"w{i}" for i in range(3000)]
+    docs = spark.createDataFrame([(i, " ".join(rng.choices(words, k=2000))) for i in range(60)],
+                                 "doc_id long, text string").repartition(4)
+    docs = docs.select("text")
+    few, many = start_model(docs.limit(0), None)[0], start_model(docs, None)[0]
+    assert few.shape.symbols == 4 and len(few.words) == 0
+    assert FIRST == 960 and 960 <= len(many.words) < 3000
+    more = start_model(docs.selectExpr("concat_ws(' ', text, text, text, text) text"), None)[0]
+    assert len(more.words) > 2900 and more.shape == shape_for(len(more.words))
+    assert more.shape.symbols - more.shape.buckets == len(more.words)
