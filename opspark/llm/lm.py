@@ -13,11 +13,14 @@ does not hold. The counts are a stored table that Spark joins with the documents
 words. The output is two-level (a class, then a member of it; as many classes as
 members), which costs two short softmaxes in place of one over all symbols.
 
-Training: from common start values, each task makes one pass over all its rows by
-stochastic gradient steps in numpy (Adagrad). The tasks' parameters are averaged by
-token count in Spark, one row per parameter; only the average, of the model's fixed
-size, reaches the driver. ``rounds`` repeats that from the average. Nothing is
-sampled: all rows are counted, trained on and scored.
+Training: the rows, as symbols, are dealt by a hash of id and text into parts of about
+``PART`` tokens, in the order of the hash, so the model does not depend on the files.
+In a round each part makes one pass from common values by stochastic gradient steps
+in numpy (Adagrad). The parts' parameters and step sums are averaged by token count
+in Spark, block by block; only the average reaches the driver. Rounds go on from the
+average until the mean log-likelihood of the tokens, each measured before its step,
+rises by less than ``TOLERANCE`` of its size. Nothing is sampled: all rows are
+counted, trained on and scored.
 """
 
 from __future__ import annotations
@@ -26,11 +29,13 @@ import hashlib
 import math
 import zlib
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field, replace
+from itertools import groupby
 
 import numpy as np
 import pyarrow as pa
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -38,6 +43,8 @@ from opspark.llm.common import batch_of, slices, stored, worker_cache
 
 SIDE = 2  # words on each side
 LEAST, FIRST = 8, 960
+PART, TOLERANCE = 1_000_000, 0.01
+BLOCK = 8192  # parameters in one row
 
 
 @dataclass(frozen=True)
@@ -165,7 +172,7 @@ class Symbols(dict):
         return Counter(w for w in words_of(text) if w not in self.known)
 
 
-def chunks(texts: list[str | None], symbols: Symbols, shape: Shape):
+def chunks(texts: Iterable[str | bytes | None], symbols: Symbols | Ids, shape: Shape):
     """(contexts, targets, number of the text of each) in chunks of bounded size."""
     pad, held, owner, size = shape.symbols, [], [], 0
     gap = np.full(SIDE, pad, np.int32)
@@ -242,6 +249,8 @@ class Model:
     values: np.ndarray
     totals: np.ndarray
     counts: DataFrame | None = field(default=None, compare=False)  # (word, n); stays on the driver
+    rounds: int = 0
+    likelihood: float | None = None  # mean per token, of the network's symbols, in the last round
 
     def key(self) -> str:
         return hashlib.sha1(self.values.tobytes() + self.totals.tobytes()
@@ -268,40 +277,118 @@ def start_model(texts: DataFrame, shape: Shape | None) -> tuple[Model, int]:
     return Model(shape, words, start_values(shape), totals, many), tokens
 
 
-WEIGHTS = pa.schema([("tokens", pa.int64()), ("part", pa.list_(pa.float32()))])
+class Ids:
+    """Texts that are symbols already, as bytes."""
+
+    def __init__(self, shape: Shape):
+        self.kind = np.dtype("<u2" if shape.symbols < 2**16 else "<u4")
+
+    def of(self, ids: bytes) -> np.ndarray:
+        return np.frombuffer(ids, self.kind).astype(np.int32)
+
+
+IDS = pa.schema([("part", pa.int32()), ("h", pa.int64()), ("ids", pa.binary())])
+WEIGHTS = pa.schema([("part", pa.int32()), ("block", pa.int64()), ("tokens", pa.int64()),
+                     ("logp", pa.float64()), ("v", pa.binary())])
+MEANS = pa.schema([("block", pa.int64()), ("v", pa.binary())])
+
+
+def _weights(part: int, tokens: int, logp: float, *vectors: np.ndarray) -> pa.RecordBatch:
+    both = np.concatenate(vectors)
+    v = [both[at:at + BLOCK].tobytes() for at in range(0, len(both), BLOCK)]
+    n = len(v)
+    return batch_of(WEIGHTS, part=[part] * n, block=range(n), tokens=[tokens] * n, logp=[logp] * n, v=v)
+
+
+def _mean(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The mean of each block's rows (sorted by block), by token count."""
+    block, total, weight = None, 0.0, 0
+
+    def out():
+        return batch_of(MEANS, block=[block], v=[(total / weight).astype(np.float32).tobytes()])
+
+    for batch in slices(batches, 16):
+        for b, tokens, v in zip(*(c.to_pylist() for c in batch.columns)):
+            if b != block:
+                if weight:
+                    yield out()
+                block, total, weight = b, 0.0, 0
+            total = total + np.frombuffer(v, np.float32).astype(np.float64) * tokens
+            weight += tokens
+    if weight:
+        yield out()
+
+
+def deal(docs: DataFrame, model: Model, parts: int, text_col: str, id_col: str) -> DataFrame:
+    """(part, h, ids) of every text, each part on one task and in the order of h; on disk."""
+    source = docs.sparkSession.sparkContext.broadcast(model)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        model = source.value
+        symbols, kind = Symbols(model.words, model.shape), Ids(model.shape).kind
+        for batch in slices(batches):
+            ids = [symbols.of(t).astype(kind).tobytes() for t in batch.column(2).to_pylist()]
+            if ids:
+                yield batch_of(IDS, part=batch.column(0), h=batch.column(1), ids=ids)
+
+    text = F.col(text_col).cast("string")
+    h = F.xxhash64(text, *[F.col(c).cast("string") for c in (id_col,) if c in docs.columns])
+    return (docs.select(F.pmod(h, F.lit(parts)).cast("int").alias("part"), h.alias("h"),
+                        text.alias("text"))
+            .mapInArrow(run, "part int, h long, ids binary").repartitionById(parts, "part")
+            .sortWithinPartitions("part", "h", "ids").persist(StorageLevel.DISK_ONLY))
 
 
 def train(docs: DataFrame, text_col: str = "text", shape: Shape | None = None,
-          rounds: int = 1) -> Model:
+          rounds: int | None = None, id_col: str = "doc_id") -> Model:
     """A model of all texts of ``docs``; without any token it keeps its start values.
 
-    Without a ``shape`` its size follows from the corpus.
+    Without a ``shape`` its size follows from the corpus; without ``rounds`` their
+    number follows from the likelihood. ``id_col``, if ``docs`` has it, sends copies
+    of a text to different parts.
     """
-    texts = docs.select(F.col(text_col).cast("string").alias("text"))
-    model, _ = start_model(texts, shape)
-    for _ in range(rounds):
-        source = docs.sparkSession.sparkContext.broadcast(model)
+    spark = docs.sparkSession
+    model, tokens = start_model(docs.select(F.col(text_col).cast("string").alias("text")), shape)
+    if not tokens:
+        return model
+    dealt = deal(docs, model, math.ceil(tokens / PART), text_col, id_col)
+    square, last = np.full(len(model.values), 1e-4, np.float32), -math.inf
+    while rounds is None or model.rounds < rounds:
+        source = spark.sparkContext.broadcast((model, square))
 
         def run(batches: Iterator[pa.RecordBatch], source=source) -> Iterator[pa.RecordBatch]:
-            model, done = source.value, 0
-            net, symbols = Network(model.shape, model.values.copy()), Symbols(model.words, model.shape)
-            square = np.full(len(net.values), 1e-4, np.float32)
-            for batch in slices(batches):
-                for ctx, target, _ in chunks(batch.column(0).to_pylist(), symbols, model.shape):
-                    _, g = net.forward(ctx, target, grad=True)
-                    square += g * g
+            model, first = source.value
+            part, ids = None, Ids(model.shape)
+
+            def learn(texts: Iterator[bytes]):
+                for ctx, target, _ in chunks(texts, ids, model.shape):
+                    got, g = net.forward(ctx, target, grad=True)
+                    np.add(square, g * g, out=square)
                     net.values -= model.shape.step * g / np.sqrt(square)
-                    done += len(target)
-            if done:
-                yield batch_of(WEIGHTS, tokens=[done], part=[net.values])
-
-        parts = stored(texts.mapInArrow(run, "tokens long, part array<float>"), "parts")
-        total = parts.agg(F.sum("tokens")).first()[0]
-        if not total:
-            return model
-        mean = (parts.select("tokens", F.posexplode("part").alias("i", "v")).groupBy("i")
-                .agg(F.sum(F.col("v") * (F.col("tokens") / total)).alias("v")).orderBy("i"))
-        model = replace(model, values=np.array([r.v for r in mean.collect()], np.float32))
+                    yield len(target), float(got.sum())
+
+            rows = ((p, v) for batch in slices(batches)
+                    for p, v in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()))
+            for part, group in groupby(rows, lambda r: r[0]):
+                net, square = Network(model.shape, model.values.copy()), first.copy()
+                steps = list(learn(v for _, v in group))
+                if steps:
+                    yield _weights(part, sum(s[0] for s in steps), sum(s[1] for s in steps),
+                                   net.values, square)
+
+        trained = stored(dealt.select("part", "ids").mapInArrow(
+            run, "part int, block long, tokens long, logp double, v binary"), "parts")
+        now = trained.filter("block = 0").agg(F.sum("logp") / F.sum("tokens")).first()[0]
+        mean = (trained.repartition("block").sortWithinPartitions("block", "part")
+                .select("block", "tokens", "v").mapInArrow(_mean, "block long, v binary"))
+        both = np.concatenate([np.frombuffer(r.v, np.float32) for r in sorted(
+            mean.collect(), key=lambda r: r.block)])
+        model = replace(model, values=both[:len(square)], rounds=model.rounds + 1, likelihood=now)
+        square = both[len(square):]
+        if rounds is None and now - last < TOLERANCE * abs(now):
+            break
+        last = now
+    dealt.unpersist(blocking=True)
     return model
 
 

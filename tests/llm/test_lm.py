@@ -6,6 +6,7 @@ import zlib
 import numpy as np
 from llm_cases import odd_docs
 
+from opspark.llm import lm
 from opspark.llm.lm import (
     FIRST, SIDE, Network, Shape, Symbols, chunks, score, shape_for, start_model, start_values, train)
 
@@ -112,3 +113,17 @@ def test_the_vocabulary_follows_the_corpus(spark):
     more = start_model(docs.selectExpr("concat_ws(' ', text, text, text, text) text"), None)[0]
     assert len(more.words) > 2900 and more.shape == shape_for(len(more.words))
     assert more.shape.symbols - more.shape.buckets == len(more.words)
+
+
+def test_the_file_layout_does_not_matter_and_training_goes_on_until_it_is_done(spark, monkeypatch):
+    monkeypatch.setattr(lm, "PART", 20_000)  # two networks
+    rng = random.Random(6)
+    docs = spark.createDataFrame([(i, " ".join(grammar(rng, 200))) for i in range(200)],
+                                 "doc_id long, text string")
+    few, many = train(docs.repartition(2)), train(docs.repartition(200))
+    assert few.rounds == many.rounds > 1 and abs(few.likelihood - many.likelihood) < 1e-4
+    assert np.abs(few.values - many.values).max() < 1e-4
+    fresh = spark.createDataFrame([(i, " ".join(grammar(rng, 200))) for i in range(20)],
+                                  "doc_id long, text string")
+    mean = [np.mean([r.mean_score for r in score(fresh, m).collect()]) for m in (few, many)]
+    assert abs(mean[0] - mean[1]) < 1e-4 and mean[0] > -np.log(8) * 0.7
