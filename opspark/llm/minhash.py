@@ -182,6 +182,18 @@ def full_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield batch_of(SETS, nid=list(out), found=list(out.values()))
 
 
+DIGESTED = pa.schema([("d1", pa.int64()), ("d2", pa.int64()), ("found", pa.binary())])
+
+
+def digested_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in slices(batches):
+        out = {_digest(found): found.tobytes()
+               for found in map(shingles, batch.column(0).to_pylist()) if len(found)}
+        if out:
+            yield batch_of(DIGESTED, d1=[d[0] for d in out], d2=[d[1] for d in out],
+                           found=list(out.values()))
+
+
 LINKS = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 
 
@@ -259,8 +271,13 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                          F.explode("prefix").alias("p")).select("*", "p.cnt", "p.key").drop("p")
 
     wanted = ready.select(F.col("rep").alias("doc_id"), "nid", "d1", "d2")
+    # A node whose texts have no id finds its set by its digests.
+    unnamed = (source.filter("doc_id IS NULL").select("text")
+               .mapInArrow(digested_sets, "d1 long, d2 long, found binary")
+               .dropDuplicates(["d1", "d2"])
+               .join(wanted.filter("doc_id IS NULL"), ["d1", "d2"]).select("nid", "found"))
     sets = stored(source.join(wanted, "doc_id").select("nid", "d1", "d2", "text")
-                  .mapInArrow(full_sets, "nid long, found binary"), "sets")
+                  .mapInArrow(full_sets, "nid long, found binary").unionByName(unnamed), "sets")
 
     first = stored(_meet(posts.withColumn("comp", F.col("nid")), True), "pairs")
     links = stored(_links(first, sets), "links")

@@ -91,6 +91,15 @@ def test_odd_rows_do_not_break_near_duplicates(spark):
     assert near_duplicates(spark.createDataFrame([], "doc_id long, text string")).count() == 0
 
 
+def test_near_copies_without_an_id_are_linked(spark):
+    words = [f"w{i}" for i in range(300)]
+    near = " ".join(words[:-1] + ["other"])
+    rows = [(3, " ".join(words)), (None, near), (None, near), (4, "something else altogether")]
+    got = near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted((r.doc_id or 0, r.component_id, r.kept) for r in got) == [
+        (0, 3, False), (0, 3, False), (3, 3, True), (4, 4, True)]
+
+
 def naive_repeats(rows, size):
     words = {k: SPLIT.findall(t or "") for k, t in rows}
     first = {}
