@@ -9,11 +9,12 @@ Then the information-theoretic step. An entity c is one value (an address, a
 number). Its contexts are the distinct stretches of ``REACH`` characters on both
 sides of its mentions; copies of a passage are one context. A term t stands next to
 c in n(c, t) of them. With n(t), the distinct corpus lines that hold t (or contexts,
-where those are more), p(c|t) = n(c, t) / n(t) estimates how surely t leads to c, and
-p(c) = n(c) / distinct lines. The term discloses the share
-log2(p(c|t) / p(c)) / -log2 p(c) of the entity's information. A term over
-``DISCLOSED`` with ``SUPPORT`` contexts is generalised in every document that names
-the entity.
+where those are more), n(c, t) / n(t) estimates how surely t leads to c. Counts may be low,
+down to a single context, so p(c|t) is the lower end of Wilson's interval of that
+ratio, ``Z`` standard errors wide: 1/2 for 1 of 1, 5/6 for 5 of 5. p(c) = n(c) /
+distinct lines. The term discloses the share log2(p(c|t) / p(c)) / -log2 p(c) of the
+entity's information. A term over ``DISCLOSED`` is generalised in every document that
+names the entity.
 
 Corpus counts are needed only for terms that the contexts alone leave in question, so
 the corpus' words are reduced to those by a join before they are shuffled. Rows
@@ -42,7 +43,7 @@ PATTERNS = {
 CANDIDATE = r"@[A-Za-z0-9-]++\.|[0-9]\.[0-9]++\.[0-9]++\.[0-9]|[0-9](?:[\x20-]?[0-9]){15}|\+[0-9]"
 BYTE = "0*+(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[0-9]{1,2})"
 TERM = r"[\p{L}\p{N}]++"
-REACH, SUPPORT, DISCLOSED = 80, 5, 0.9
+REACH, Z, DISCLOSED = 80, 1.0, 0.9
 SPAN = "array<struct<rank:int,start:long,stop:long,kind:string>>"
 
 
@@ -118,7 +119,13 @@ def entity_of(kind: Column, match: Column) -> Column:
                        .otherwise(F.lower(match)))
 
 
-def disclosing_terms(mentions: DataFrame, texts: DataFrame, support: int = SUPPORT,
+def lower_bound(k: Column, n: Column, z: float = Z) -> Column:
+    """The lower end of Wilson's interval for ``k`` of ``n``; it falls as ``n`` rises."""
+    p = k / n
+    return (p + z * z / (2 * n) - z * F.sqrt(p * (1 - p) / n + z * z / (4 * n * n))) / (1 + z * z / n)
+
+
+def disclosing_terms(mentions: DataFrame, texts: DataFrame,
                      disclosed: float = DISCLOSED) -> DataFrame:
     """(entity, term): terms that disclose an entity, by corpus co-occurrence.
 
@@ -129,15 +136,14 @@ def disclosing_terms(mentions: DataFrame, texts: DataFrame, support: int = SUPPO
     n_entity = contexts.groupBy("entity").agg(F.count_distinct("ctx").alias("n_c"))
     beside = contexts.select("entity", "ctx", F.explode("terms").alias("term"))
     n_beside = beside.groupBy("term").agg(F.count_distinct("ctx").alias("n_m"))
-    both = (beside.groupBy("entity", "term").agg(F.count_distinct("ctx").alias("n_ct"))
-            .filter(F.col("n_ct") >= support))
+    both = beside.groupBy("entity", "term").agg(F.count_distinct("ctx").alias("n_ct"))
     lines = texts.select(F.explode(F.split("text", "\n")).alias("line")).filter(
         F.col("line") != "")
     total = lines.agg(F.count_distinct(F.xxhash64("line"))).first()[0]
     p_c = F.col("n_c") / F.greatest(F.lit(total), F.col("n_c") + 1)
 
     def share(n_t: Column) -> Column:
-        return F.log2((F.col("n_ct") / n_t) / p_c) / -F.log2(p_c)
+        return F.log2(lower_bound(F.col("n_ct"), n_t) / p_c) / -F.log2(p_c)
 
     # n(t) is n_m at least: most terms cannot disclose anything, whatever the corpus holds.
     both = stored(both.join(n_entity, "entity").join(n_beside, "term")

@@ -93,3 +93,16 @@ def test_odd_rows(spark, operator):
     if operator is sanitise:
         assert operator(docs).columns == docs.columns
         assert sorted(map(repr, operator(docs).collect())) == sorted(map(repr, docs.collect()))
+
+
+def test_terms_of_few_contexts_are_found(spark):
+    rng = random.Random(4)
+    rows = [(i, " ".join(f"w{rng.randrange(300)}" for _ in range(30))) for i in range(3000)]
+    rows += [(5000, "w1 Hollowmere w2 ann@corp.example w3"), (5001, "w4 Hollowmere ann@corp.example w5"),
+             (5002, "Larkspur w9 +49 30 12345678 w7"), (5003, "w8 lonely w6")]
+    got = {r.doc_id: r.spans for r in personal_data(
+        spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    texts = dict(rows)
+    terms = {i: [texts[i][s.start:s.stop] for s in got[i] if s.kind == "term"] for i in texts}
+    assert terms[5000] == terms[5001] == ["Hollowmere"] and terms[5002] == ["Larkspur"]
+    assert not any(terms[i] for i in texts if i not in (5000, 5001, 5002))
