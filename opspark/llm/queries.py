@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from opspark.llm.alignment import align
 from opspark.llm.bpe import round_trip
 from opspark.llm.decontaminate import leaks
 from opspark.llm.lm import score, train
@@ -189,3 +190,10 @@ def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op2_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return score(docs, train(docs))
+
+
+@query()
+def op11_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = align(table(spark, sf_dir, "documents"), tokenizer("byte_bpe_50k.json"),
+                  tokenizer("piece_bpe_32k.model"), keep_groups=False)
+    return found.withColumnRenamed("groups", "groups_sha256")
