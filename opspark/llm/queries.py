@@ -11,12 +11,14 @@ from opspark.llm.alignment import align
 from opspark.llm.bpe import round_trip
 from opspark.llm.decontaminate import leaks
 from opspark.llm.lm import score, train
+from opspark.llm.manifest import audit, path_text
 from opspark.llm.minhash import near_duplicates
-from opspark.llm import pii
+from opspark.llm import pii, url_rules
 from opspark.llm.quality_rules import screen
 from opspark.llm.secrets import BASE, find_secrets, span_text
 from opspark.llm.substring import remove_repeats
 from opspark.llm.token_files import check_sequences, write_sequences
+from opspark.llm.url_rules import judge, rule_table
 from opspark.llm.warc import read_archives, write_archives
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -197,3 +199,83 @@ def op11_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = align(table(spark, sf_dir, "documents"), tokenizer("byte_bpe_50k.json"),
                   tokenizer("piece_bpe_32k.model"), keep_groups=False)
     return found.withColumnRenamed("groups", "groups_sha256")
+
+
+# The rules of the query, (verdict, host and path).
+RULES = [("allow", "com/"), ("block", "example.com/en/"), ("allow", "www.example.com/en/"),
+         ("block", "net/es/"), ("block", "net/fr/")]
+
+
+@query(f"""
+WITH p AS (
+  SELECT row_number() OVER () AS u, page_id,
+         CASE WHEN contains(url, '://') THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS text
+  FROM pages),
+h AS (SELECT u, page_id, {LOWER_SQL.replace("text", "regexp_extract(text, '^[^/?#]*')", 1)} AS host,
+             regexp_extract(text, '^[^/?#]*([^?#]*)', 1) AS path FROM p),
+r AS (SELECT *, rh || rp AS rule FROM (VALUES
+  {", ".join("('{}', '/{}', '{}')".format(*r.split("/", 1), v) for v, r in RULES)}) t(rh, rp, verdict)),
+m AS (SELECT u, arg_max(rule, length(rule)) AS rule, arg_max(verdict, length(rule)) AS verdict
+      FROM h JOIN r ON (host = rh OR ends_with(host, '.' || rh)) AND starts_with(path, rp) GROUP BY u)
+SELECT page_id, host, path, rule, coalesce(verdict, 'allow') AS verdict FROM h LEFT JOIN m USING (u)""")
+def op12_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return judge(table(spark, sf_dir, "pages"), rule_table(spark, RULES)).drop("url")
+
+
+# H of a row's fields; the crc32 of the id's digits, from a table made bit by bit; and the
+# levels of a tree of ``base`` (g, idx, n, d) as nodes, then as steps under each run.
+LEAF_SQL = "sha256(" + " || ".join(
+    f"coalesce(octet_length(encode({c}::VARCHAR)) || ':' || {c}::VARCHAR, '-')"
+    for c in ("doc_id", "source", "lang", "n_chars", "{text}")) + ")"
+TREE_SQL = """{0} AS (
+  SELECT 0 AS lvl, g, idx, n, d FROM {1}
+  UNION ALL
+  SELECT lvl + 1, g, idx // 16, (n + 15) // 16, sha256(string_agg(d, '' ORDER BY idx))
+  FROM {0} WHERE n > 1 GROUP BY lvl, g, idx // 16, n),
+{0}_runs AS (SELECT lvl, g, idx // 16 AS run, list(d ORDER BY idx) AS ds FROM {0} WHERE n > 1
+             GROUP BY ALL)"""
+STEP_SQL = """struct_pack(l := array_to_string(ds[:{0}], ''), r := array_to_string(ds[{0} + 2:], ''))"""
+
+
+@query(f"""
+WITH RECURSIVE c AS (
+  SELECT list_transform(range(256), lambda x: list_reduce(range(8), lambda a, b:
+           CASE WHEN a & 1 = 1 THEN xor(a >> 1, 3988292384) ELSE a >> 1 END, x)) AS t),
+f AS (
+  SELECT doc_id, coalesce('g' || source, '') AS g, {LEAF_SQL.format(text="text")} AS leaf,
+         {LEAF_SQL.format(text=LOWER_SQL)} AS low,
+         xor(4294967295, list_reduce(list_transform(string_split(doc_id::VARCHAR, ''), lambda z: ascii(z)::BIGINT),
+             lambda a, b: xor(a >> 8, t[1 + (xor(a, b) & 255)]), 4294967295)) % 5 = 0 AS changed
+  FROM documents, c),
+a AS (SELECT g, row_number() OVER (PARTITION BY g ORDER BY doc_id, leaf) - 1 AS idx,
+             count(*) OVER (PARTITION BY g) AS n, leaf AS d, doc_id, low, changed FROM f),
+{TREE_SQL.format("t1", "a")},
+b AS (SELECT '' AS g, row_number() OVER (ORDER BY g) - 1 AS idx, count(*) OVER () AS n, d, g AS name
+      FROM t1 WHERE n = 1),
+{TREE_SQL.format("t2", "b")},
+s AS (
+  SELECT a.g, a.idx, lvl AS k, {STEP_SQL.format("(a.idx >> (4 * lvl)) % 16")} AS step
+  FROM a JOIN t1_runs r ON r.g = a.g AND r.run = a.idx >> (4 * lvl + 4)
+  UNION ALL
+  SELECT a.g, a.idx, 100 + lvl, {STEP_SQL.format("(b.idx >> (4 * lvl)) % 16")}
+  FROM a JOIN b ON b.name = a.g JOIN t2_runs r ON r.run = b.idx >> (4 * lvl + 4)),
+p AS (SELECT g, idx, list(step ORDER BY k) AS steps FROM s GROUP BY 1, 2),
+z AS (
+  SELECT doc_id, a.d AS leaf, b.d AS subroot, t2.d AS root, coalesce(steps, []) AS steps,
+         CASE WHEN changed THEN low ELSE a.d END AS base
+  FROM a JOIN b ON b.name = a.g JOIN t2 ON t2.n = 1 LEFT JOIN p ON p.g = a.g AND p.idx = a.idx),
+y AS (
+  SELECT *, list_reduce(list_prepend(struct_pack(l := base, r := ''), steps), lambda u, v:
+           struct_pack(l := sha256(v.l || u.l || v.r), r := '')).l AS folded_root
+  FROM z)
+SELECT doc_id, leaf, subroot, root,
+       sha256(array_to_string(list_transform(steps, lambda v: v.l || v.r), '')) AS proof_sha256,
+       folded_root, folded_root = root AS verified
+FROM y""")
+def op13_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    changed = F.crc32(F.col("doc_id").cast("string")) % 5 == 0
+    found = audit(table(spark, sf_dir, "documents"), changed,
+                  F.translate("text", url_rules.UPPER, url_rules.LOWER))
+    return found.select("doc_id", "leaf", "subroot", "root",
+                        F.sha2(path_text(F.col("path")), 256).alias("proof_sha256"),
+                        "folded_root", "verified")
