@@ -22,7 +22,7 @@ import json
 import os
 import re
 from collections.abc import Iterator
-from itertools import accumulate, chain
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -37,6 +37,7 @@ WIDTH = 8192  # documents of a block; a full bitmap has WIDTH / 8 bytes
 BLOCK_LINKS = 16_000_000  # a block is closed at so many links
 FLUSH = 2_000_000  # links held by a task before its bitmaps are written
 MEMO, LONGEST = 120_000, 64  # chunks remembered (two generations), and their greatest length
+TOGETHER = 64  # chunks encoded as one text
 SPACE = "▁"
 
 # A chunk begins with a blank after something that is not white space. A's pieces never
@@ -68,52 +69,65 @@ class Aligner:
         self.blank = self.b.piece_to_id(SPACE)
         self.a_len = np.array(list(map(len, self.a_bytes)), np.int64)
         self.b_len = np.array(list(map(len, self.b_bytes)), np.int64)
+        self.shown = [f"{i}{mark}" for n, marks in ((size, ",|"), (self.n_b, ",;"))
+                      for i in range(n) for mark in marks]
+        self.shown_len = np.array(list(map(len, self.shown)), np.int64)
         self.memo: dict[str, tuple | None] = {}
         self.old: dict[str, tuple | None] = {}
         self.passing: list[str] = []  # chunks too long to be remembered
 
-    def _ids(self, chunks: list[str]) -> tuple[list, list]:
-        a = [e.ids for e in self.a.encode_batch_fast(chunks, add_special_tokens=False)]
-        # B puts a blank before what it is given: the one a chunk begins with.
-        b = self.b.encode([c[1:] for c in chunks], num_threads=1)
-        return a, [ids or [self.blank] for ids in b]
+    def _ids(self, chunks: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """A's and B's ids of the chunks, one after another. Chunks that do not end in white
+        space are encoded joined, ``TOGETHER`` at a time, as they would be in a text."""
+        texts, at = [], 0
+        while at < len(chunks) and not chunks[at][-1].isspace():
+            to = at + 1
+            while to < min(len(chunks), at + TOGETHER) and not chunks[to][-1].isspace():
+                to += 1
+            texts.append("".join(chunks[at:to]))
+            at = to
+        texts += chunks[at:]
+        a = [e.ids for e in self.a.encode_batch_fast(texts, add_special_tokens=False)]
+        # B puts a blank before what it is given: the one a text begins with.
+        b = [ids or [self.blank] for ids in self.b.encode([t[1:] for t in texts], num_threads=1)]
+        return np.array(list(chain.from_iterable(a))), np.array(list(chain.from_iterable(b)))
 
     def _aligned(self, chunks: list[str]) -> list[tuple | None]:
-        """(A tokens, B tokens, groups, links, groups as text) of chunks; None where bytes differ."""
-        a, b = self._ids(chunks)
-        whole = [c.encode() for c in chunks]
-        same = [b"".join(map(self.a_bytes.__getitem__, x)) == w
-                and b"".join(map(self.b_bytes.__getitem__, y)) == w
-                for x, y, w in zip(a, b, whole)]
-        good = [i for i, ok in enumerate(same) if ok]
-        out: list[tuple | None] = [None] * len(chunks)
-        if not good:
-            return out
-        a, b = [a[i] for i in good], [b[i] for i in good]
-        na, nb = list(map(len, a)), list(map(len, b))
-        ia = np.fromiter(chain.from_iterable(a), np.int64, sum(na))
-        ib = np.fromiter(chain.from_iterable(b), np.int64, sum(nb))
+        """(A tokens, B tokens, groups, links, groups as text) of chunks; None where bytes differ.
+
+        Chunks that end in white space have to be last.
+        """
+        ia, ib = self._ids(chunks)
+        whole = "".join(chunks).encode()
+        if b"".join(map(self.a_bytes.__getitem__, ia.tolist())) != whole \
+                or b"".join(map(self.b_bytes.__getitem__, ib.tolist())) != whole:
+            half = len(chunks) // 2
+            return self._aligned(chunks[:half]) + self._aligned(chunks[half:]) if half else [None]
         a_end, b_end = self.a_len[ia].cumsum(), self.b_len[ib].cumsum()
         first = np.searchsorted(b_end, a_end - self.a_len[ia], "right")
         count = np.searchsorted(b_end, a_end, "left") - first + 1
         done = np.concatenate([[0], count.cumsum()])
         met = np.repeat(first - done[:-1], count) + np.arange(done[-1])
-        links = (np.repeat(ia, count) * self.n_b + ib[met]).astype("<i8")
-        a_to = list(accumulate(na))
+        links = (np.repeat(ia, count) * self.n_b + ib[met]).astype("<i8").tobytes()
         cut = np.intersect1d(a_end, b_end, assume_unique=True)
-        a_cut = (np.searchsorted(a_end, cut) + 1).tolist()
-        b_cut = (np.searchsorted(b_end, cut) + 1).tolist()
-        ends = np.searchsorted(cut, a_end[np.array(a_to) - 1], "right").tolist()
-        sa, sb = list(map(str, ia.tolist())), list(map(str, ib.tolist()))
-        texts, x, y = [], 0, 0
-        for i, j in zip(a_cut, b_cut):
-            texts.append((sa[x] if i == x + 1 else ",".join(sa[x:i])) + "|"
-                         + (sb[y] if j == y + 1 else ",".join(sb[y:j])))
-            x, y = i, j
-        g = at = 0
-        for i, n, m, to, end in zip(good, na, nb, done[a_to].tolist(), ends):
-            out[i] = n, m, end - g, links[at:to].tobytes(), ";".join(texts[g:end])
-            g, at = end, to
+        # The groups as text: A's ids of a group, a bar, B's ids, a semicolon.
+        code = np.concatenate([2 * ia + np.isin(a_end, cut, assume_unique=True),
+                               2 * (len(self.a_len) + ib) + np.isin(b_end, cut, assume_unique=True)])
+        group = np.concatenate([2 * np.searchsorted(cut, a_end), 2 * np.searchsorted(cut, b_end) + 1])
+        code = code[np.argsort(group, kind="stable")]
+        text = "".join(map(self.shown.__getitem__, code.tolist()))
+        # Where each chunk ends: in the text's bytes, tokens, groups, links, shown characters.
+        end = np.cumsum([len(c.encode()) for c in chunks])
+        a_to = np.searchsorted(a_end, end, "right")
+        b_to = np.searchsorted(b_end, end, "right")
+        g_to = np.searchsorted(cut, end, "right")
+        shown = np.concatenate([[0], self.shown_len[code].cumsum()])[a_to + b_to]
+        out, was = [], (0, 0, 0, 0, 0)
+        for now in zip(a_to.tolist(), b_to.tolist(), g_to.tolist(), (8 * done[a_to]).tolist(),
+                       shown.tolist()):
+            out.append((now[0] - was[0], now[1] - was[1], now[2] - was[2], links[was[3]:now[3]],
+                        text[was[4]:now[4]]))
+            was = now
         return out
 
     def align(self, texts: list[str | None]) -> Iterator[tuple | None]:
@@ -131,6 +145,7 @@ class Aligner:
             else:
                 fresh.append(chunk)
         self.passing = [chunk for chunk in fresh if len(chunk) > LONGEST]
+        fresh.sort(key=lambda c: c[-1].isspace())
         for at in range(0, len(fresh), 20_000):
             part = fresh[at:at + 20_000]
             memo.update(zip(part, self._aligned(part)))
@@ -140,7 +155,7 @@ class Aligner:
                 yield None
                 continue
             a, b, g, links, text = zip(*parts)
-            yield sum(a), sum(b), sum(g), b"".join(links), ";".join(text)
+            yield sum(a), sum(b), sum(g), b"".join(links), "".join(text)[:-1]
 
 
 def pack(keys: np.ndarray) -> tuple[np.ndarray, pa.Array]:
