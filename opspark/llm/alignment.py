@@ -351,7 +351,7 @@ def post(docs: DataFrame, a_path: str, b_path: str, id_col: str = "doc_id",
     shared = docs.sparkSession.sparkContext.broadcast(_sources(a_path, b_path))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        made = worker_cache(f"aligner-{hash(shared.value[0])}", lambda: Aligner(*shared.value))
+        made = worker_cache("aligner", lambda: Aligner(*shared.value), hash(shared.value))
         poster = Poster(TaskContext.get().partitionId() << 32)
         for batch in slices(batches, 256):
             out: list[list] = [[] for _ in range(1 + len(DOC))]

@@ -8,7 +8,8 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from opspark.session import scratch_path
 
@@ -22,6 +23,19 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def stored_at(df: DataFrame, name: str) -> tuple[DataFrame, str]:
+    """``stored``, and the path, for tables that are removed again."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path), path
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a scratch table that nothing reads any more."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
 def text_of(value: str | None) -> str:
     return value or ""
 
@@ -31,12 +45,43 @@ def split_words(text: str | None) -> list[bytes]:
     return text.encode("utf-8", "replace").split() if text else []
 
 
-def worker_cache(name: str, make):
-    """A value kept for the life of a Python worker, across tasks."""
+def worker_cache(name: str, make, key=None):
+    """A value kept by a Python worker across tasks; another ``key`` takes its place."""
     kept = vars(sys).setdefault("_opspark_worker_cache", {})
-    if name not in kept:
-        kept[name] = make()
-    return kept[name]
+    if name not in kept or kept[name][0] != key:
+        kept.pop(name, None)  # the old value goes before the new one is made
+        kept[name] = key, make()
+    return kept[name][1]
+
+
+ARROW_ROWS = 1000
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Hold the session's Arrow batches to ``ARROW_ROWS`` rows: whole texts are long, and a
+    batch is held by the executor and by its Python worker at once."""
+    setting = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(setting)) <= ARROW_ROWS:
+        spark.conf.set(setting, str(ARROW_ROWS))
+
+
+ROW = "_row"
+
+
+def carried(docs: DataFrame, **columns: Column) -> DataFrame:
+    """Each row of ``docs`` as a struct ``_row``, beside ``columns``: no names can clash."""
+    return docs.select(F.struct("*").alias(ROW), *[c.alias(n) for n, c in columns.items()])
+
+
+def named(name: str) -> Column:
+    """The column of just this name, whatever characters it has."""
+    return F.col("`" + name.replace("`", "``") + "`")
+
+
+def uncarried(rows: DataFrame, columns: list[str], **changed: Column) -> DataFrame:
+    """The columns of ``carried`` rows again; ``changed`` columns take new values."""
+    kept = {c: F.col(f"{ROW}.`" + c.replace("`", "``") + "`") for c in columns}
+    return rows.select(*[(kept | changed)[c].alias(c) for c in columns])
 
 
 class WordHash(dict):

@@ -27,7 +27,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from opspark.llm.common import slices, worker_cache
+from opspark.llm.common import (carried, named, slices, small_batches, uncarried,
+                                worker_cache)
 
 ERROR_PCT = 10
 BLOCK_CHARS = 8_000_000
@@ -188,33 +189,27 @@ def item_blocks(items: DataFrame, id_col: str, text_col: str,
 LEAKS = "array<struct<item_id:long,distance:int,end:int>>"
 
 
-def flag_leaks(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-               item_id: str = "item_id", item_text: str = "text", error_pct: int = ERROR_PCT,
-               block_chars: int = BLOCK_CHARS) -> DataFrame:
-    """``docs`` with a column ``leaks``: the items each whole text holds, by id.
-
-    All rows and columns come back; a column named ``leaks`` before is replaced.
-    A null or empty text holds nothing. Repeated rows are judged alike.
-    """
+def _flagged(docs: DataFrame, items: DataFrame, text_col: str, item_id: str, item_text: str,
+             error_pct: int, block_chars: int) -> DataFrame:
+    """The rows as ``_row``, beside ``leaks``: one pass for each block of items."""
     kind = pa.list_(pa.struct([("item_id", pa.int64()), ("distance", pa.int32()),
                                ("end", pa.int32())]))
-    base = docs.drop("leaks")
-    result = base.withColumn("leaks", F.lit(None).cast(LEAKS))
-    at = base.columns.index(text_col)
+    small_batches(docs.sparkSession)
+    result = carried(docs, text=named(text_col).cast("string"), leaks=F.lit(None).cast(LEAKS))
 
     def passes(source):
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             block, key = source.value
-            finder = worker_cache(f"items-{key}", lambda: Finder(block, error_pct))
+            # One finder in a worker at a time: another block's takes its place.
+            finder = worker_cache("items", lambda: Finder(block, error_pct), key)
             for batch in slices(batches):
-                held = batch.column(batch.num_columns - 1).to_pylist()
                 leaks = []
-                for text, before in zip(batch.column(at).to_pylist(), held):
-                    got = finder.find(str(text)) if text else []
+                for text, before in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist()):
+                    got = finder.find(text) if text else []
                     leaks.append((before or []) + [
                         {"item_id": i, "distance": d, "end": e} for i, d, e in got])
                 yield pa.RecordBatch.from_arrays(
-                    [*batch.columns[:-1], pa.array(leaks, kind)], batch.schema.names)
+                    [*batch.columns[:2], pa.array(leaks, kind)], batch.schema.names)
 
         return run
 
@@ -225,13 +220,34 @@ def flag_leaks(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_c
     return result.withColumn("leaks", F.coalesce("leaks", F.array().cast(LEAKS)))
 
 
-def decontaminate(docs: DataFrame, items: DataFrame, **names) -> DataFrame:
-    """The rows of ``docs`` that hold no item."""
-    return flag_leaks(docs, items, **names).filter(F.size("leaks") == 0).drop("leaks")
+def flag_leaks(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+               item_id: str = "item_id", item_text: str = "text", error_pct: int = ERROR_PCT,
+               block_chars: int = BLOCK_CHARS) -> DataFrame:
+    """``docs`` with a column ``leaks``: the items each whole text holds, by id.
+
+    All rows and columns come back; a column named ``leaks`` before is replaced.
+    A null or empty text holds nothing. Repeated rows are judged alike. Without items
+    nothing is held; an empty table stays empty.
+    """
+    flagged = _flagged(docs, items, text_col, item_id, item_text, error_pct, block_chars)
+    kept = [c for c in docs.columns if c != "leaks"]
+    return uncarried(flagged, [*kept, "leaks"], leaks=F.col("leaks"))
+
+
+def decontaminate(docs: DataFrame, items: DataFrame, text_col: str = "text",
+                  item_id: str = "item_id", item_text: str = "text", error_pct: int = ERROR_PCT,
+                  block_chars: int = BLOCK_CHARS) -> DataFrame:
+    """The rows of ``docs`` that hold no item, with all their columns as they were.
+
+    Null and empty texts stay; repeated rows stay or go together.
+    """
+    flagged = _flagged(docs, items, text_col, item_id, item_text, error_pct, block_chars)
+    return uncarried(flagged.filter(F.size("leaks") == 0), docs.columns)
 
 
-def leaks(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", **names) -> DataFrame:
+def leaks(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+          **names) -> DataFrame:
     """(doc_id, item_id, distance, end): one row per document and item it holds."""
-    found = flag_leaks(docs, items, id_col=id_col, **names)
-    return found.select(F.col(id_col).cast("long").alias("doc_id"),
-                        F.explode("leaks").alias("l")).select("doc_id", "l.*")
+    rows = docs.select(named(id_col).cast("long").alias("doc_id"), named(text_col).alias("text"))
+    return (flag_leaks(rows, items, **names)
+            .select("doc_id", F.explode("leaks").alias("l")).select("doc_id", "l.*"))

@@ -23,10 +23,10 @@ import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from opspark.llm.common import batch_of, grouped, mix, slices, stored, word_hash
+from opspark.llm.common import (ROW, batch_of, carried, grouped, mix, named, slices, small_batches,
+                                stored, uncarried, word_hash)
 from opspark.llm.graph import components
 
 SHINGLE = 5
@@ -236,6 +236,23 @@ def _links(pairs: DataFrame, sets: DataFrame) -> DataFrame:
             .mapInArrow(confirm, "a long, b long"))
 
 
+def _sets(source: DataFrame, nodes: DataFrame, pairs: DataFrame) -> DataFrame:
+    """(nid, found), stored: the full sets of the nodes in ``pairs`` (a, b, or nid)."""
+    ends = pairs if "nid" in pairs.columns else pairs.select(F.explode(F.array("a", "b")).alias("nid"))
+    # Stored, so that Catalyst knows its size: a short list of ids needs no shuffle of texts.
+    wanted = stored(nodes.join(ends.distinct(), "nid", "left_semi")
+                    .select(F.col("rep").alias("doc_id"), "nid", "d1", "d2"), "wanted")
+    sets = (source.join(wanted, "doc_id").select("nid", "d1", "d2", "text")
+            .mapInArrow(full_sets, "nid long, found binary"))
+    unnamed = wanted.filter("doc_id IS NULL")
+    if not unnamed.isEmpty():  # a node whose texts have no id finds its set by its digests
+        sets = sets.unionByName(
+            source.filter("doc_id IS NULL").select("text")
+            .mapInArrow(digested_sets, "d1 long, d2 long, found binary")
+            .dropDuplicates(["d1", "d2"]).join(unnamed, ["d1", "d2"]).select("nid", "found"))
+    return stored(sets, "sets")
+
+
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, n_shingles, component_id and kept for every row of ``docs``.
 
@@ -244,8 +261,9 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     but cannot name its component (its component_id may be null, it is then kept
     only if it is alone). Further columns are ignored.
     """
-    source = docs.select(F.col(id_col).cast("long").alias("doc_id"),
-                         F.col(text_col).cast("string").alias("text"))
+    small_batches(docs.sparkSession)
+    source = docs.select(named(id_col).cast("long").alias("doc_id"),
+                         named(text_col).cast("string").alias("text"))
     signed = stored(source.mapInArrow(
         sign, "doc_id long, n_shingles long, d1 long, d2 long, sig binary"), "signed")
     nodes = stored(signed.filter("n_shingles > 0").groupBy("d1", "d2").agg(
@@ -270,16 +288,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     posts = ready.select("nid", "n_shingles", "sig", "mask",
                          F.explode("prefix").alias("p")).select("*", "p.cnt", "p.key").drop("p")
 
-    wanted = ready.select(F.col("rep").alias("doc_id"), "nid", "d1", "d2")
-    # A node whose texts have no id finds its set by its digests.
-    unnamed = (source.filter("doc_id IS NULL").select("text")
-               .mapInArrow(digested_sets, "d1 long, d2 long, found binary")
-               .dropDuplicates(["d1", "d2"])
-               .join(wanted.filter("doc_id IS NULL"), ["d1", "d2"]).select("nid", "found"))
-    sets = stored(source.join(wanted, "doc_id").select("nid", "d1", "d2", "text")
-                  .mapInArrow(full_sets, "nid long, found binary").unionByName(unnamed), "sets")
-
     first = stored(_meet(posts.withColumn("comp", F.col("nid")), True), "pairs")
+    sets = _sets(source, ready, first)
     links = stored(_links(first, sets), "links")
     joined = components(links).withColumnRenamed("node", "nid")
     labelled = (posts.join(joined, "nid", "left")
@@ -287,6 +297,10 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     mixed = (labelled.groupBy("key").agg(F.min("comp").alias("c1"), F.max("comp").alias("c2"))
              .filter("c1 <> c2").select("key"))
     second = stored(_meet(labelled.join(mixed, "key", "left_semi"), False), "pairs")
+    more = second.select(F.explode(F.array("a", "b")).alias("nid")).distinct().join(
+        sets, "nid", "left_anti")
+    if not more.isEmpty():
+        sets = sets.unionByName(_sets(source, ready, more))
     links = links.unionByName(_links(second, sets))
     final = components(links).withColumnRenamed("node", "nid")
 
@@ -305,13 +319,15 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 def keep_first(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` without near duplicates: of each group the least id stays.
 
-    Of rows that share an id the one with the least text stays. Rows without an id
-    cannot be told apart and stay.
+    Of rows that share an id the one with the least text stays (of equal texts any one).
+    Rows without an id cannot be told apart and stay, as do null and empty texts. An empty
+    table stays empty, and all columns stay as they are, whatever their names.
     """
-    named = docs.filter(F.col(id_col).isNotNull())
-    kept = near_duplicates(named, id_col, text_col).filter("kept").select(
-        F.col("doc_id").alias(id_col)).distinct()
-    rank = F.row_number().over(W.partitionBy(id_col).orderBy(text_col))
-    first = (named.join(kept, id_col, "left_semi").withColumn("_rank", rank)
-             .filter("_rank = 1").drop("_rank"))
-    return first.select(*docs.columns).unionByName(docs.filter(F.col(id_col).isNull()))
+    unnamed = docs.filter(named(id_col).isNull())
+    rows = carried(docs.filter(named(id_col).isNotNull()), doc_id=named(id_col).cast("long"),
+                   text=named(text_col).cast("string"))
+    kept = near_duplicates(rows).filter("kept").select("doc_id").distinct()
+    # One row per id before the shuffle: an id of very many rows is combined map-side.
+    one = rows.groupBy("doc_id").agg(F.min_by(ROW, "text").alias(ROW), F.first(ROW).alias("any"))
+    first = one.join(kept, "doc_id", "left_semi").withColumn(ROW, F.coalesce(ROW, "any"))
+    return uncarried(first, docs.columns).unionByName(unnamed)

@@ -23,7 +23,8 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from opspark.llm.common import batch_of, mix, slices, stored, word_hash
+from opspark.llm.common import (ROW, batch_of, carried, mix, named, slices, small_batches, stored,
+                                uncarried, word_hash)
 from opspark.llm.substring import M1, M2
 
 SYMBOLS = b"#*$%&|<>"
@@ -106,8 +107,8 @@ def _lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def frequent_lines(docs: DataFrame, host_col: str, text_col: str, rules: Rules) -> DataFrame:
     """(host, lines array<long>): each host's lines above the limits, stored."""
-    rows = docs.select(F.coalesce(F.col(host_col).cast("string"), F.lit("")).alias("host"),
-                       F.col(text_col).cast("string").alias("text"))
+    rows = docs.select(F.coalesce(named(host_col).cast("string"), F.lit("")).alias("host"),
+                       named(text_col).cast("string").alias("text"))
     rows = rows.mapInArrow(_lines, "host string, copy long, line long").distinct()
     counts = stored(rows.groupBy("host", "line").agg(F.count("*").alias("n")), "lines")
     size = counts.filter("line IS NULL").select("host", F.col("n").alias("size"))
@@ -144,6 +145,7 @@ def screen(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     fails; a null host is the host ''; repeated rows are judged alike. Further
     columns are ignored.
     """
+    small_batches(docs.sparkSession)
     frequent = frequent_lines(docs, host_col, text_col, rules)
     schema = pa.schema([
         ("doc_id", pa.int64()), ("n_words", pa.int64()), ("word_chars", pa.int64()),
@@ -173,22 +175,24 @@ def keep_good(docs: DataFrame, text_col: str = "text", host_col: str = "source",
               rules: Rules = Rules()) -> DataFrame:
     """The rows of ``docs`` that pass, with the frequent lines taken out of their text.
 
-    Columns stay as they are; rows are judged as in ``screen``.
+    Columns stay as they are, whatever their names; rows are judged as in ``screen``, so
+    null and empty texts go, repeated rows stay or go together, and an empty table stays
+    empty.
     """
-    frequent = frequent_lines(docs, host_col, text_col, rules).select(
-        F.col("host").alias("_host"), F.col("lines").alias("_lines"))
-    at, n = docs.columns.index(text_col), len(docs.columns)
-    joined = docs.join(frequent, F.coalesce(F.col(host_col).cast("string"), F.lit(""))
-                       == F.col("_host"), "left").drop("_host")
+    small_batches(docs.sparkSession)
+    rows = carried(docs, text=named(text_col).cast("string"),
+                   host=F.coalesce(named(host_col).cast("string"), F.lit("")))
+    frequent = frequent_lines(rows, "host", "text", rules)
+    joined = rows.join(frequent, "host", "left").select(ROW, "text", "lines")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
-            text = batch.column(at)
             done = [judge(t, lines, rules) for t, lines in zip(
-                text.to_pylist(), batch.column(n).to_pylist())]
-            columns = [*batch.columns[:n]]
-            columns[at] = pa.array([d[4] for d in done], text.type)
-            out = pa.RecordBatch.from_arrays(columns, batch.schema.names[:n])
+                batch.column(1).to_pylist(), batch.column(2).to_pylist())]
+            out = pa.RecordBatch.from_arrays(
+                [batch.column(0), pa.array([d[4] for d in done], pa.string())], [ROW, "text"])
             yield out.filter(pa.array([d[3] for d in done], pa.bool_()))
 
-    return joined.mapInArrow(run, docs.schema)
+    kept = joined.mapInArrow(run, joined.select(ROW, "text").schema)
+    text = F.col("text").cast(docs.schema[text_col].dataType)
+    return uncarried(kept, docs.columns, **{text_col: text})

@@ -1,6 +1,8 @@
 import sys
 from pathlib import Path
 
+from pyspark.sql import functions as F
+
 sys.path.insert(0, str(Path(__file__).resolve().parents[2]))
 
 ODD_TEXTS = [
@@ -17,3 +19,10 @@ def odd_docs(spark):
     rows += [(None, "no id here", None, None, None), (3, "\n\n", "n", 3, "t"), (3, "other", "n", 3, "t")]
     return spark.createDataFrame(
         rows, "doc_id long, text string, n_words string, start long, spans string")
+
+
+def clashing(docs):
+    """``docs`` with every name that an operator might use inside."""
+    names = ["_rank", "_host", "_lines", "_uid", "_row", "leaks", "host", "lines", "uid", "any", "a.b",
+             "kept", "component_id", "block", "t`k"]
+    return docs.select("*", *[F.col("doc_id").cast("string").alias(n) for n in names])

@@ -3,8 +3,11 @@
 import hashlib
 import random
 import re
+from collections import Counter
 
 import public_tokenizers
+from llm_cases import clashing, odd_docs
+from pyspark.sql import functions as F
 from test_decontaminate import plain as distance
 from test_documents import copies, naive_figures, prose, shingle_set
 from test_pii import plain as personal
@@ -88,3 +91,32 @@ def test_stages_keep_the_columns_and_take_an_empty_or_odd_table(spark, tmp_path)
             assert re.sub(" ", "", COLUMNS) == "".join(
                 f"{c}{t.replace('bigint', 'long')}," for c, t in docs.dtypes)[:-1], name
         assert corpus_pipeline.STAGES[-1][1](spark, docs, str(tmp_path)).count() == left
+
+
+def test_stages_keep_clashing_columns_as_they_are(spark, tmp_path):
+    """Null, empty, tied and repeated rows, with names that the stages use inside."""
+    items = [(0, "one two three four five six seven eight nine ten eleven twelve")]
+    spark.createDataFrame(items, "item_id long, text string").write.parquet(
+        f"{tmp_path}/benchmark.parquet")
+    long = " ".join(f"q{i}" for i in range(70))
+    other = spark.createDataFrame(
+        [(50, long, "s", 1, "t"), (50, long, "s", 1, "t"), (51, long + " end", "s", 1, "t"),
+         (None, long.replace("q", "z"), "s", 1, "t"),
+         (52, long.replace("q", "y") + " " + items[0][1], "s", 1, "t")],
+        "doc_id long, text string, n_words string, start long, spans string")
+    docs = clashing(odd_docs(spark).unionByName(other).withColumn("source", F.lit("s"))
+                    .withColumn("lang", F.lit("en")).withColumn("n_chars", F.length("text").cast("long")))
+    given = Counter(map(tuple, docs.drop("text", "n_chars").collect()))
+    left = docs
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        alone, left = stage(spark, docs, str(tmp_path)), stage(spark, left, str(tmp_path))
+        for found in (alone, left):
+            assert found.columns == docs.columns and found.dtypes == docs.dtypes, name
+            rows = Counter(map(tuple, found.select(*[
+                F.col("`" + c.replace("`", "``") + "`") for c in docs.columns
+                if c not in ("text", "n_chars")]).collect()))
+            assert not rows - given, name
+        assert stage(spark, docs.limit(0), str(tmp_path)).count() == 0
+        if name == "pii":
+            assert alone.count() == docs.count()
+    assert sorted(r.doc_id or 0 for r in left.collect()) == [0, 50]
