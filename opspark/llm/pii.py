@@ -9,16 +9,21 @@ Then the information-theoretic step. An entity c is one value (an address, a
 number). Its contexts are the distinct stretches of ``REACH`` characters on both
 sides of its mentions; copies of a passage are one context. A term t stands next to
 c in n(c, t) of them. With n(t), the distinct corpus lines that hold t (or contexts,
-where those are more), n(c, t) / n(t) estimates how surely t leads to c. Counts may be low,
-down to a single context, so p(c|t) is the lower end of Wilson's interval of that
-ratio, ``Z`` standard errors wide: 1/2 for 1 of 1, 5/6 for 5 of 5. p(c) = n(c) /
-distinct lines. The term discloses the share log2(p(c|t) / p(c)) / -log2 p(c) of the
-entity's information. A term over ``DISCLOSED`` is generalised in every document that
-names the entity.
-
-Corpus counts are needed only for terms that the contexts alone leave in question, so
-the corpus' words are reduced to those by a join before they are shuffled. Rows
-without any candidate character sequence are never split at all.
+where those are more), n(c, t) / n(t) estimates how surely t leads to c. p(c|t) is the
+lower end of Wilson's interval of that ratio, ``Z`` standard errors wide: 1/2 for 1 of
+1, 5/6 for 5 of 5. -log2 p(c|t) bits of the entity stay unknown to who reads t; the
+term is strong where p(c|t) is ``DISCLOSED`` at least (one bit at most), whatever the
+corpus' size.
+
+A rare word may stand beside an entity by chance. So a random place of every text is
+treated as an entity too. Terms are classed by contexts (``MANY`` and more are one
+class) and by log2 n(t), and a class discloses only where random places show at most
+``CHANCE`` of the strong terms a context that mentions show. Words seen once are thus
+taken only where they gather around entities. Such terms are generalised in every
+document that names the entity.
+
+Lines are made distinct before their words are counted, so words reach the shuffle as
+one row each and task. Rows without any candidate are never split at all.
 """
 
 from __future__ import annotations
@@ -27,7 +32,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from opspark.llm.common import stored
+from opspark.llm.common import ROW, carried, named, stored, uncarried
 
 # The kinds in their order and what they match.
 KINDS = ("email", "ip", "card", "phone")
@@ -43,7 +48,7 @@ PATTERNS = {
 CANDIDATE = r"@[A-Za-z0-9-]++\.|[0-9]\.[0-9]++\.[0-9]++\.[0-9]|[0-9](?:[\x20-]?[0-9]){15}|\+[0-9]"
 BYTE = "0*+(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[0-9]{1,2})"
 TERM = r"[\p{L}\p{N}]++"
-REACH, Z, DISCLOSED = 80, 1.0, 0.9
+REACH, Z, DISCLOSED, CHANCE, MANY = 80, 1.0, 0.5, 0.1, 3
 SPAN = "array<struct<rank:int,start:long,stop:long,kind:string>>"
 
 
@@ -125,34 +130,64 @@ def lower_bound(k: Column, n: Column, z: float = Z) -> Column:
     return (p + z * z / (2 * n) - z * F.sqrt(p * (1 - p) / n + z * z / (4 * n * n))) / (1 + z * z / n)
 
 
-def disclosing_terms(mentions: DataFrame, texts: DataFrame,
-                     disclosed: float = DISCLOSED) -> DataFrame:
+def random_places(texts: DataFrame) -> DataFrame:
+    """(entity, before, after) of one place in every text that is not empty.
+
+    The place follows from a hash of the text, so copies of a text give one place.
+    Words that the place cuts in two are left out.
+    """
+    at = F.pmod(F.xxhash64("text"), F.length("text")).cast("int")
+    first = F.greatest(at - REACH, F.lit(0))
+    cut = texts.filter("text <> ''").select(
+        F.concat(F.lit("~"), F.xxhash64("text")).alias("entity"),
+        F.substring("text", first + 1, at - first).alias("before"),
+        F.substring("text", at + 1, F.lit(REACH)).alias("after"))
+    return cut.select("entity", F.regexp_replace("before", r"(?<![\p{L}\p{N}])[\p{L}\p{N}]++$", "")
+                      .alias("before"),
+                      F.regexp_replace("after", r"^[\p{L}\p{N}]++", "").alias("after"))
+
+
+def disclosing_terms(mentions: DataFrame, places: DataFrame, texts: DataFrame,
+                     disclosed: float = DISCLOSED, chance: float = CHANCE) -> DataFrame:
     """(entity, term): terms that disclose an entity, by corpus co-occurrence.
 
-    ``mentions``: (entity, before, after); ``texts``: (text), the whole corpus.
+    ``mentions``: (entity, before, after); ``places``: the same of random places, each an
+    entity of its own; ``texts``: (text), the whole corpus.
     """
-    contexts = mentions.select("entity", F.xxhash64("before", "after").alias("ctx"),
-                               _context_terms(F.col("before"), F.col("after")).alias("terms"))
-    n_entity = contexts.groupBy("entity").agg(F.count_distinct("ctx").alias("n_c"))
-    beside = contexts.select("entity", "ctx", F.explode("terms").alias("term"))
-    n_beside = beside.groupBy("term").agg(F.count_distinct("ctx").alias("n_m"))
-    both = beside.groupBy("entity", "term").agg(F.count_distinct("ctx").alias("n_ct"))
+    both = mentions.select(F.lit(True).alias("real"), "entity", "before", "after").unionByName(
+        places.select(F.lit(False).alias("real"), "entity", "before", "after"))
+    contexts = both.select("real", "entity", "before", "after").distinct()
+    sizes = {r.real: r.n for r in contexts.groupBy("real").agg(F.count("*").alias("n")).collect()}
+    pairs = stored(contexts.select("real", "entity", F.explode(_context_terms(
+        F.col("before"), F.col("after"))).alias("term"))
+        .groupBy("real", "entity", "term").agg(F.count("*").alias("n_ct")), "cooccurrence")
+    # n(t) is at least the contexts of t: terms beside many entities are out before the join.
+    likely = pairs.filter("real").groupBy("term").agg(
+        F.max("n_ct").alias("best"), F.sum("n_ct").alias("n_m")).filter(
+        lower_bound(F.col("best"), F.col("n_m")) >= disclosed)
+    unlikely = pairs.filter("NOT real").groupBy("term").agg(F.sum("n_ct").alias("n_m")).filter(
+        lower_bound(F.lit(1), F.col("n_m")) >= disclosed)
+    beside = pairs.join(likely.select(F.lit(True).alias("real"), "term", "n_m").unionByName(
+        unlikely.select(F.lit(False).alias("real"), "term", "n_m")), ["real", "term"])
+    # Distinct lines first: then a term is one row a task, and copies count once.
     lines = texts.select(F.explode(F.split("text", "\n")).alias("line")).filter(
-        F.col("line") != "")
-    total = lines.agg(F.count_distinct(F.xxhash64("line"))).first()[0]
-    p_c = F.col("n_c") / F.greatest(F.lit(total), F.col("n_c") + 1)
-
-    def share(n_t: Column) -> Column:
-        return F.log2(lower_bound(F.col("n_ct"), n_t) / p_c) / -F.log2(p_c)
-
-    # n(t) is n_m at least: most terms cannot disclose anything, whatever the corpus holds.
-    both = stored(both.join(n_entity, "entity").join(n_beside, "term")
-                  .filter(share(F.col("n_m")) >= disclosed), "cooccurrence")
-    held = lines.select(F.xxhash64("line").alias("h"), F.explode(_terms(F.col("line"))).alias("term"))
-    wanted = stored(both.select("term").distinct(), "terms")  # its size is known from here on
-    n_term = held.join(wanted, "term").groupBy("term").agg(F.count_distinct("h").alias("n_l"))
-    return (both.join(n_term, "term")
-            .filter(share(F.greatest("n_l", "n_m")) >= disclosed).select("entity", "term"))
+        F.col("line") != "").distinct()
+    n_term = (lines.select(F.explode(_terms(F.col("line"))).alias("term"))
+              .groupBy("term").agg(F.count("*").alias("n_l")))
+    n_t = F.greatest("n_l", "n_m")
+    strong = stored(beside.join(n_term, "term").withColumn("n_t", n_t)
+                    .filter(lower_bound(F.col("n_ct"), F.col("n_t")) >= disclosed)
+                    .select("real", "entity", "term", "n_ct", "n_t"), "strong")
+    if not sizes.get(True):
+        return strong.select("entity", "term")
+    # What random places of the corpus show as strongly is no evidence.
+    kind = [F.least("n_ct", F.lit(MANY)).alias("few"), F.floor(F.log2("n_t")).alias("size")]
+    share = F.sum(F.when(F.col("real"), 1.0 / sizes[True]).otherwise(0.0))
+    by_chance = F.sum(F.when(F.col("real"), 0.0).otherwise(1.0 / max(1, sizes.get(False, 0))))
+    good = strong.groupBy(*kind).agg(share.alias("seen"), by_chance.alias("chance")).filter(
+        F.col("chance") <= chance * F.col("seen")).select("few", "size")
+    return (strong.filter("real").select("entity", "term", *kind).join(good, ["few", "size"])
+            .select("entity", "term"))
 
 
 def find_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -177,7 +212,8 @@ def find_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         "kind").alias("s"))
     if with_terms:
         corpus = docs.select(text.alias("text"))
-        pairs = disclosing_terms(found.select("entity", "before", "after"), corpus)
+        pairs = disclosing_terms(found.select("entity", "before", "after"),
+                                 random_places(corpus), corpus)
         todo = (found.select("uid", "entity").distinct().join(pairs, "entity")
                 .select("uid", "term").distinct())
         todo = stored(todo, "todo")
@@ -231,11 +267,12 @@ def sanitise(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     """``docs`` with personal data and disclosing terms generalised to their kind.
 
     Rows and columns stay as they are, but for the text (a null stays null). A
-    column named ``spans`` or ``_uid`` is kept as it is.
+    column named ``spans`` or ``_uid`` is kept as it is. Repeated rows are treated alike;
+    an empty table stays empty.
     """
-    columns = docs.columns
-    inner = docs.select(F.struct("*").alias("_row"), F.col(text_col).cast("string").alias("text"))
-    clean, rows = find_spans(inner, text_col="text")
-    clean, rows = (x.select(*[F.col(f"_row.`{c}`") for c in columns if c != text_col], t.alias(text_col))
-                   for x, t in ((clean, F.col("text")), (rows, _masked(F.col("text"), "spans"))))
-    return clean.unionByName(rows).select(*columns)
+    rows = carried(docs, text=named(text_col).cast("string"))
+    clean, hit = find_spans(rows, text_col="text")
+    both = clean.select(ROW, "text").unionByName(
+        hit.select(ROW, _masked(F.col("text"), "spans").alias("text")))
+    text = F.col("text").cast(docs.schema[text_col].dataType)
+    return uncarried(both, docs.columns, **{text_col: text})
