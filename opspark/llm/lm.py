@@ -13,14 +13,17 @@ does not hold. The counts are a stored table that Spark joins with the documents
 words. The output is two-level (a class, then a member of it; as many classes as
 members), which costs two short softmaxes in place of one over all symbols.
 
-Training: the rows, as symbols, are dealt by a hash of id and text into parts of about
-``PART`` tokens, in the order of the hash, so the model does not depend on the files.
-In a round each part makes one pass from common values by stochastic gradient steps
-in numpy (Adagrad). The parts' parameters and step sums are averaged by token count
-in Spark, block by block; only the average reaches the driver. Rounds go on from the
-average until the mean log-likelihood of the tokens, each measured before its step,
-rises by less than ``TOLERANCE`` of its size. Nothing is sampled: all rows are
-counted, trained on and scored.
+Training: the rows, as symbols, are dealt by a hash of id and text into parts of at
+least ``PART`` tokens (and eight tokens for each parameter), and each part into
+``ROUNDS`` equal shares, so the model does not depend on the files. The network starts
+at the frequencies of the words. In a round each part passes over one share by
+stochastic gradient steps in numpy (Adagrad); the parts' parameters and step sums are
+averaged by token count in Spark, block by block, and only the average reaches the
+driver. ``ROUNDS`` rounds pass over all rows. Rounds go on from the average at least
+so long, and until the mean log-likelihood of the tokens, each measured before its
+step, has twice in a row risen by less than ``TOLERANCE`` of its size (or has so from one
+pass over all rows to the next). Nothing is
+sampled: all rows are counted, trained on and scored.
 """
 
 from __future__ import annotations
@@ -35,15 +38,17 @@ from itertools import groupby
 
 import numpy as np
 import pyarrow as pa
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from opspark.llm.common import batch_of, slices, stored, worker_cache
+from opspark.llm.common import (batch_of, remove, slices, small_batches, stored, stored_at,
+                                worker_cache)
+from opspark.session import scratch_path
 
 SIDE = 2  # words on each side
 LEAST, FIRST = 8, 960
-PART, TOLERANCE = 1_000_000, 0.01
+PART, ROUNDS, TOLERANCE = 4_000_000, 4, 0.01
+HIGHEST = 60.0  # of a logit: its exponential is a float32, so none needs to be subtracted
 BLOCK = 8192  # parameters in one row
 
 
@@ -95,6 +100,16 @@ class Network:
             self.part[name] = self.values[at:at + n].reshape(size)
             at += n
 
+        self._ones = np.ones(max(shape.chunk * 5, shape.classes, shape.members), np.float32)
+
+    def _shares(self, logits: np.ndarray, bias: np.ndarray) -> np.ndarray:
+        """Softmax of each row, in place. Sums over short rows are products with ones."""
+        logits += bias
+        np.minimum(logits, HIGHEST, out=logits)
+        np.exp(logits, out=logits)
+        logits *= (1 / (logits @ self._ones[:logits.shape[1]]))[:, None]
+        return logits
+
     def forward(self, ctx: np.ndarray, target: np.ndarray, grad: bool = False):
         """(log-probability of each target, gradient of the mean loss or None)."""
         p, n, size = self.part, len(target), self.shape.members
@@ -104,30 +119,24 @@ class Network:
         x = p["embed"][ctx].reshape(n, -1)
         h = np.tanh(x @ p["w1"] + p["b1"])
         rows = np.arange(n)
-        out = h @ p["wc"] + p["bc"]
-        out -= out.max(axis=1, keepdims=True)
-        np.exp(out, out=out)
-        out /= out.sum(axis=1, keepdims=True)
+        out = self._shares(h @ p["wc"], p["bc"])
         logp = np.log(out[rows, cls] + 1e-20)
         edges = np.searchsorted(cls, np.arange(self.shape.classes + 1))
         if grad:
             g = {k: np.zeros_like(v) for k, v in p.items()}
             out[rows, cls] -= 1
-            g["wc"][:], g["bc"][:] = h.T @ out, out.sum(axis=0)
+            g["wc"][:], g["bc"][:] = h.T @ out, self._ones[:n] @ out
             dh = out @ p["wc"].T
         for c in range(self.shape.classes):
             a, b = edges[c], edges[c + 1]
             if a == b:
                 continue
-            sub = h[a:b] @ p["wm"][c] + p["bm"][c]
-            sub -= sub.max(axis=1, keepdims=True)
-            np.exp(sub, out=sub)
-            sub /= sub.sum(axis=1, keepdims=True)
+            sub = self._shares(h[a:b] @ p["wm"][c], p["bm"][c])
             mine = np.arange(b - a), member[a:b]
             logp[a:b] += np.log(sub[mine] + 1e-20)
             if grad:
                 sub[mine] -= 1
-                g["wm"][c], g["bm"][c] = h[a:b].T @ sub, sub.sum(axis=0)
+                g["wm"][c], g["bm"][c] = h[a:b].T @ sub, self._ones[:b - a] @ sub
                 dh[a:b] += sub @ p["wm"][c].T
         back = np.empty_like(logp)
         back[order] = logp
@@ -232,12 +241,26 @@ def word_counts(texts: DataFrame) -> DataFrame:
     return stored(counts, "words")
 
 
-def vocabulary(counts: DataFrame, size: int | None, tokens: int) -> list[bytes]:
-    """The ``size`` most frequent words; ties by word. Without a size as the module states."""
+def vocabulary(counts: DataFrame, size: int | None, tokens: int) -> tuple[list[bytes], list[int]]:
+    """The ``size`` most frequent words, ties by word, and their counts. Without a size as the
+    module states."""
     if size is None:
         least = max(2, math.ceil(math.sqrt(tokens) / LEAST))
         size = max(FIRST, counts.filter(F.col("n") >= least).count())
-    return [bytes(r.word) for r in counts.orderBy(F.desc("n"), "word").limit(size).collect()]
+    top = counts.orderBy(F.desc("n"), "word").limit(size).collect()
+    return [bytes(r.word) for r in top], [r.n for r in top]
+
+
+def frequency_biases(model: Model, times: list[int]) -> None:
+    """Set the output biases to the logarithms of the symbols' shares."""
+    shape, part = model.shape, Network(model.shape, model.values)
+    n = np.full(shape.symbols, 0.5)
+    n[:len(times)] += times
+    n[shape.symbols - shape.buckets:] += model.totals
+    n = n.reshape(shape.classes, shape.members)
+    part.part["bc"][:] = np.log(n.sum(axis=1) / n.sum())
+    part.part["bm"][:] = np.log(n / n.sum(axis=1, keepdims=True))
+    model.values = part.values
 
 
 @dataclass
@@ -264,7 +287,7 @@ def start_model(texts: DataFrame, shape: Shape | None) -> tuple[Model, int]:
     """A model with its vocabulary and counts, the network at its start values; all tokens."""
     counts = word_counts(texts)
     tokens = counts.agg(F.sum("n")).first()[0] or 0
-    words = vocabulary(counts, shape and shape.symbols - shape.buckets, tokens)
+    words, times = vocabulary(counts, shape and shape.symbols - shape.buckets, tokens)
     shape = shape or shape_for(len(words))
     known = stored(counts.sparkSession.createDataFrame([(w,) for w in words], "word binary"), "known")
     rare = counts.join(known, "word", "left_anti")
@@ -274,7 +297,10 @@ def start_model(texts: DataFrame, shape: Shape | None) -> tuple[Model, int]:
         totals[r.b] = r.n
     # A word of one occurrence has the logarithm 0, as one that is not in the table.
     many = stored(rare.filter("n > 1"), "rare")
-    return Model(shape, words, start_values(shape), totals, many), tokens
+    model = Model(shape, words, start_values(shape), totals, many)
+    if tokens:
+        frequency_biases(model, times)
+    return model, tokens
 
 
 class Ids:
@@ -288,16 +314,15 @@ class Ids:
 
 
 IDS = pa.schema([("part", pa.int32()), ("h", pa.int64()), ("ids", pa.binary())])
-WEIGHTS = pa.schema([("part", pa.int32()), ("block", pa.int64()), ("tokens", pa.int64()),
-                     ("logp", pa.float64()), ("v", pa.binary())])
+WEIGHTS = pa.schema([("block", pa.int64()), ("tokens", pa.int64()), ("logp", pa.float64()),
+                     ("v", pa.binary())])
 MEANS = pa.schema([("block", pa.int64()), ("v", pa.binary())])
 
 
-def _weights(part: int, tokens: int, logp: float, *vectors: np.ndarray) -> pa.RecordBatch:
-    both = np.concatenate(vectors)
+def _weights(tokens: int, logp: float, both: np.ndarray) -> pa.RecordBatch:
     v = [both[at:at + BLOCK].tobytes() for at in range(0, len(both), BLOCK)]
     n = len(v)
-    return batch_of(WEIGHTS, part=[part] * n, block=range(n), tokens=[tokens] * n, logp=[logp] * n, v=v)
+    return batch_of(WEIGHTS, block=range(n), tokens=[tokens] * n, logp=[logp] * n, v=v)
 
 
 def _mean(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -320,7 +345,7 @@ def _mean(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def deal(docs: DataFrame, model: Model, parts: int, text_col: str, id_col: str) -> DataFrame:
-    """(part, h, ids) of every text, each part on one task and in the order of h; on disk."""
+    """(part, ids, share) of every text, stored by share, each part in one file in the order of h."""
     source = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -331,12 +356,28 @@ def deal(docs: DataFrame, model: Model, parts: int, text_col: str, id_col: str)
             if ids:
                 yield batch_of(IDS, part=batch.column(0), h=batch.column(1), ids=ids)
 
+    spark = docs.sparkSession
     text = F.col(text_col).cast("string")
     h = F.xxhash64(text, *[F.col(c).cast("string") for c in (id_col,) if c in docs.columns])
-    return (docs.select(F.pmod(h, F.lit(parts)).cast("int").alias("part"), h.alias("h"),
+    rows = (docs.select(F.pmod(h, F.lit(parts)).cast("int").alias("part"), h.alias("h"),
                         text.alias("text"))
             .mapInArrow(run, "part int, h long, ids binary").repartitionById(parts, "part")
-            .sortWithinPartitions("part", "h", "ids").persist(StorageLevel.DISK_ONLY))
+            .withColumn("share", F.pmod(F.xxhash64("h"), F.lit(ROUNDS)).cast("int"))
+            .sortWithinPartitions("share", "part", "h", "ids").select("part", "ids", "share"))
+    path = scratch_path(spark, "dealt")
+    rows.write.partitionBy("share").parquet(path)
+    return spark.read.schema(rows.schema).parquet(path)
+
+
+def done(seen: list[float]) -> bool:
+    """Whether the likelihoods of the rounds have stopped rising: in the last two rounds, or, as
+    rounds of few tokens go up and down, from one pass over all rows to the next."""
+    def small(a: float, b: float) -> bool:
+        return b - a < TOLERANCE * abs(b)
+
+    last, before = seen[-ROUNDS:], seen[-2 * ROUNDS:-ROUNDS]
+    return all(small(a, b) for a, b in zip(seen[-3:], seen[-2:])) or (
+        len(before) == ROUNDS and small(sum(before), sum(last)))
 
 
 def train(docs: DataFrame, text_col: str = "text", shape: Shape | None = None,
@@ -348,17 +389,19 @@ def train(docs: DataFrame, text_col: str = "text", shape: Shape | None = None,
     of a text to different parts.
     """
     spark = docs.sparkSession
+    small_batches(spark)
     model, tokens = start_model(docs.select(F.col(text_col).cast("string").alias("text")), shape)
     if not tokens:
         return model
-    dealt = deal(docs, model, math.ceil(tokens / PART), text_col, id_col)
-    square, last = np.full(len(model.values), 1e-4, np.float32), -math.inf
+    parts = math.ceil(tokens / max(PART, 8 * len(model.values)))
+    dealt = deal(docs, model, parts, text_col, id_col)
+    square, seen = np.full(len(model.values), 1e-4, np.float32), []
     while rounds is None or model.rounds < rounds:
         source = spark.sparkContext.broadcast((model, square))
 
         def run(batches: Iterator[pa.RecordBatch], source=source) -> Iterator[pa.RecordBatch]:
             model, first = source.value
-            part, ids = None, Ids(model.shape)
+            ids, total, tokens, logp = Ids(model.shape), 0.0, 0, 0.0
 
             def learn(texts: Iterator[bytes]):
                 for ctx, target, _ in chunks(texts, ids, model.shape):
@@ -369,26 +412,31 @@ def train(docs: DataFrame, text_col: str = "text", shape: Shape | None = None,
 
             rows = ((p, v) for batch in slices(batches)
                     for p, v in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()))
-            for part, group in groupby(rows, lambda r: r[0]):
+            for _, group in groupby(rows, lambda r: r[0]):
                 net, square = Network(model.shape, model.values.copy()), first.copy()
                 steps = list(learn(v for _, v in group))
-                if steps:
-                    yield _weights(part, sum(s[0] for s in steps), sum(s[1] for s in steps),
-                                   net.values, square)
-
-        trained = stored(dealt.select("part", "ids").mapInArrow(
-            run, "part int, block long, tokens long, logp double, v binary"), "parts")
+                n = sum(s[0] for s in steps)
+                total = total + np.concatenate([net.values, square]).astype(np.float64) * n
+                tokens, logp = tokens + n, logp + sum(s[1] for s in steps)
+            if tokens:  # the parts of a task are one row a block
+                yield _weights(tokens, logp, (total / tokens).astype(np.float32))
+
+        share = dealt.filter(F.col("share") == model.rounds % ROUNDS).select("part", "ids")
+        trained, path = stored_at(
+            share.mapInArrow(run, "block long, tokens long, logp double, v binary"), "parts")
         now = trained.filter("block = 0").agg(F.sum("logp") / F.sum("tokens")).first()[0]
-        mean = (trained.repartition("block").sortWithinPartitions("block", "part")
-                .select("block", "tokens", "v").mapInArrow(_mean, "block long, v binary"))
-        both = np.concatenate([np.frombuffer(r.v, np.float32) for r in sorted(
-            mean.collect(), key=lambda r: r.block)])
-        model = replace(model, values=both[:len(square)], rounds=model.rounds + 1, likelihood=now)
-        square = both[len(square):]
-        if rounds is None and now - last < TOLERANCE * abs(now):
+        if now is not None:  # a share may be empty
+            mean = (trained.repartition("block").sortWithinPartitions("block", "tokens", "v")
+                    .select("block", "tokens", "v").mapInArrow(_mean, "block long, v binary"))
+            both = np.concatenate([np.frombuffer(r.v, np.float32) for r in sorted(
+                mean.collect(), key=lambda r: r.block)])
+            model, square = replace(model, values=both[:len(square)]), both[len(square):]
+            seen.append(now)
+        model = replace(model, rounds=model.rounds + 1, likelihood=seen[-1] if seen else None)
+        source.destroy()
+        remove(spark, path)
+        if rounds is None and model.rounds >= ROUNDS and done(seen):
             break
-        last = now
-    dealt.unpersist(blocking=True)
     return model
 
 
@@ -408,8 +456,8 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id",
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = source.value
-        net, symbols = worker_cache(f"lm-{model.key()}", lambda: (
-            Network(model.shape, model.values), Symbols(model.words, model.shape)))
+        net, symbols = worker_cache("lm", lambda: (
+            Network(model.shape, model.values), Symbols(model.words, model.shape)), model.key())
         # The bucket's part of log p(word | bucket); log n(word) comes from the table.
         within = np.concatenate([np.zeros(symbols.first), -np.log(model.totals + 1)])
         for batch in slices(batches):
