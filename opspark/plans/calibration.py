@@ -4,11 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.regression import IsotonicRegression
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from opspark.operators.isotonic import apply_pools, isotonic_pools
 from opspark.operators.ranking import reliability
 from opspark.plans.models import FULL_SIZE, fit_classifier, score
 from opspark.session import cut
@@ -17,17 +16,8 @@ TOLERANCE = 0.03
 
 
 def isotonic(train: DataFrame, df: DataFrame, label: str, p: str, out: str) -> DataFrame:
-    """A monotone map from score to observed rate, learned on ``train`` only.
-
-    Equal scores are merged into one weighted point before the fit, so its input
-    is the distinct scores, not the rows.
-    """
-    points = train.groupBy(p).agg(F.avg(label).alias("_rate"), F.count("*").cast("double")
-                                  .alias("_weight"))
-    vector = VectorAssembler(inputCols=[p], outputCol="_v")
-    model = IsotonicRegression(featuresCol="_v", labelCol="_rate", weightCol="_weight",
-                               predictionCol=out).fit(vector.transform(points))
-    return model.transform(vector.transform(df)).drop("_v")
+    """A monotone map from score to observed rate, learned on ``train`` only."""
+    return apply_pools(df, isotonic_pools(train, p, label), p, out)
 
 
 def calibrate(df: DataFrame, label: str, key: Sequence[str], cols: Sequence[str],

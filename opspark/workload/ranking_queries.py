@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from opspark.operators.isotonic import isotonic_pools
 from opspark.operators.metrics import class_weights as weights_of
 from opspark.operators.metrics import confusion as confuse
 from opspark.operators.metrics import task_scorecard, threshold_sweep as sweep
@@ -280,3 +281,19 @@ def scorecard(spark, sf_dir):
     return task_scorecard({
         "lapse": (precision(F.col("risk") >= 0.2), "score", "floor"),
         "recency": (precision(F.col("recency") >= 2), "score", "floor")})
+
+
+# The rising fit by its minimax form: the greatest, over the starts, of the least mean to any end.
+@query(BOOK_SQL + """,
+p AS (SELECT risk_pct AS x, sum(lapsed) AS s, count(*) AS w FROM book GROUP BY 1),
+c AS (SELECT *, sum(s) OVER (ORDER BY x) AS cs, sum(w) OVER (ORDER BY x) AS cw FROM p),
+m AS (SELECT p.x, l.x AS l, min((r.cs - l.cs + l.s)::DOUBLE / (r.cw - l.cw + l.w)) AS low
+      FROM p JOIN c l ON l.x <= p.x JOIN c r ON r.x >= p.x GROUP BY 1, 2),
+v AS (SELECT x, max(low) AS v FROM m GROUP BY 1)
+SELECT min(x)::DOUBLE AS lo, max(x)::DOUBLE AS hi, sum(s)::BIGINT AS lapsed, sum(w)::BIGINT AS entities
+FROM p JOIN v USING (x) GROUP BY v""")
+def isotonic_fit(spark, sf_dir):
+    """The pools of the rising fit of the label on the risk, pooled in range blocks."""
+    pools = isotonic_pools(book(spark, sf_dir), "risk_pct", "lapsed")
+    return pools.select("lo", "hi", F.col("total").cast("long").alias("lapsed"),
+                        F.col("weight").cast("long").alias("entities"))
