@@ -307,9 +307,9 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     own = nodes.select("nid", "d1", "d2", "rep").join(final, "nid", "left")
     least = (own.filter(F.col("root").isNotNull()).groupBy("root")
              .agg(F.min("rep").alias("least")))
-    named = own.join(least, "root", "left").select(
+    called = own.join(least, "root", "left").select(
         "d1", "d2", F.coalesce("least", "rep").alias("component_id"))
-    return (signed.select("doc_id", "n_shingles", "d1", "d2").join(named, ["d1", "d2"], "left")
+    return (signed.select("doc_id", "n_shingles", "d1", "d2").join(called, ["d1", "d2"], "left")
             .select("doc_id", "n_shingles",
                     F.when(F.col("n_shingles") > 0, F.col("component_id"))
                     .otherwise(F.col("doc_id")).alias("component_id"))
