@@ -3,16 +3,19 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 
 from pyspark.ml import Pipeline
 from pyspark.ml.clustering import BisectingKMeans, KMeans
 from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from opspark.operators.joins import label_pairs
-from opspark.operators.segments import agreement
+from opspark.operators.segments import agreement, name_by_rules
 from opspark.plans.models import as_doubles, numeric_pipeline
+from opspark.session import cut, measured
 
 SEED = 42
 
@@ -70,3 +73,63 @@ def compare(df: DataFrame, k: int, key: Sequence[str], features: str = "features
         F.lit(k).alias("k"), F.lit(sa).cast("double").alias("kmeans_silhouette"),
         F.lit(sb).cast("double").alias("bisecting_silhouette"),
         (F.lit(sb is None)).alias("collapsed"), "agreement", "n")
+
+
+@dataclass(frozen=True)
+class View:
+    """One way to look at entities: features, clusters, and how clusters are told apart.
+
+    ``order`` says which mean orders the clusters (the first is the highest); ``rules``
+    name them in turn by the highest mean of a column, ``rest`` names the others.
+    ``where`` leaves out entities that the view's features say nothing about.
+    """
+
+    name: str
+    features: Sequence[str]
+    k: int
+    order: str
+    rules: Sequence[tuple[str, str]]
+    rest: str
+    where: str | None = None  # a condition in SQL
+
+
+def canonical(labelled: DataFrame, cluster: str, view: View) -> DataFrame:
+    """One row per cluster: rank (1 is the highest mean of ``view.order``), name, n, share, means.
+
+    A fit numbers its clusters as it happens to find them. The rank and the name follow
+    from the profile, so they mean the same in another fit. Ties go to the lower number.
+    """
+    profile = labelled.groupBy(cluster).agg(
+        F.count("*").alias("n"), *[F.avg(c).alias(c) for c in view.features])
+    named = name_by_rules(profile, cluster, view.rules, view.rest)
+    # One row per cluster: small windows.
+    rank = F.row_number().over(W.orderBy(F.desc_nulls_last(view.order), cluster))
+    return named.withColumn("rank", rank).withColumn(
+        "share", F.col("n") / F.sum("n").over(W.partitionBy()))
+
+
+def segment_view(df: DataFrame, view: View, key: Sequence[str],
+                 max_iter: int = 50) -> tuple[DataFrame, DataFrame]:
+    """(key, segment, segment name of every entity of the view; the clusters' profile)."""
+    inside = df if view.where is None else df.filter(view.where)
+    ready = cut(prepare(inside, view.features, [*key, *view.features]))
+    labelled = cluster(ready, view.k, max_iter=max_iter).transform(ready).drop("features")
+    labelled = cut(labelled)
+    profile = measured(canonical(labelled, "prediction", view))
+    found = labelled.select(*key, "prediction").join(
+        profile.select("prediction", F.col("rank").alias(view.name),
+                       F.col("name").alias(f"{view.name}_name")), "prediction").drop("prediction")
+    return found, profile
+
+
+def segment_entities(df: DataFrame, views: Sequence[View], key: Sequence[str], scores: DataFrame,
+                     keep: Sequence[str], max_iter: int = 50) -> tuple[DataFrame, dict[str, DataFrame]]:
+    """(one row per entity: ``keep``, its score and its segment in each view; profiles by view).
+
+    An entity that a view leaves out has null segments there; without a score, a null score.
+    """
+    out, profiles = df.select(*key, *keep).join(scores, list(key), "left"), {}
+    for view in views:
+        found, profiles[view.name] = segment_view(df, view, key, max_iter)
+        out = out.join(found, list(key), "left")
+    return cut(out), profiles

@@ -14,7 +14,8 @@ from pyspark.ml.regression import (
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from opspark.functions.columns import positive_probability
+from opspark.functions.columns import invert_log, log_target, positive_probability
+from opspark.operators.joins import group_mean_baseline
 from opspark.operators.metrics import class_weights, confusion, skill
 from opspark.operators.ranking import best_f1, budget_curve, rank_auc
 from opspark.session import cut, measured
@@ -223,3 +224,33 @@ def ablation(df: DataFrame, label: str, key: Sequence[str],
             "roc_auc", "avg_precision")
         out = row if out is None else out.unionByName(row)
     return out
+
+
+def target_models(df: DataFrame, targets: Mapping[str, str], cols: Sequence[str], group: str,
+                  kind: str = "gbt", size: Mapping[str, tuple[int, int]] = FULL_REGRESSION,
+                  keep: Sequence[str] = ()) -> DataFrame:
+    """Test rows in long form, one per target: task, group, truth, pred, baseline.
+
+    ``df`` has a fold column and ``targets`` names each task's column. A task is fitted on
+    the logarithm (of one plus the target) of the train rows that have a target of zero or
+    more, and its predictions are turned back and held inside what train had. The baseline
+    is the group's mean in train, or the mean of all where train lacks the group: nothing of
+    a test row is used but its features.
+    """
+    prep, _ = numeric_pipeline(cols, scale=kind == "linear")
+    ready = as_doubles(df, cols)
+    ready = cut(prep.fit(ready.filter("fold = 'train'")).transform(ready))
+    out = None
+    for task, target in targets.items():
+        rows = ready.filter(F.col(target) >= 0).withColumns(
+            {"task": F.lit(task), "truth": F.col(target).cast("double"), "_log": log_target(target)})
+        train, test = rows.filter("fold = 'train'"), rows.filter("fold = 'test'")
+        span = train.agg(F.min("_log").alias("lo"), F.max("_log").alias("hi")).first()
+        if span.lo is None:
+            continue
+        model = regressor(kind, size, "_log", reg=0.1 if kind == "linear" else 0.0).fit(train)
+        pred = model.transform(test).withColumn("pred", invert_log("prediction", *span))
+        based = group_mean_baseline(train, pred, [group], "truth")
+        part = based.select("task", group, *keep, "truth", "pred", "baseline")
+        out = part if out is None else out.unionByName(part)
+    return out

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from pyspark.ml import PipelineModel
 from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from opspark.functions.columns import log_target, invert_log
@@ -16,19 +17,20 @@ from opspark.operators.joins import group_mean_baseline
 from opspark.operators.quality import null_indicators, one_hot, recorded_share
 from opspark.operators.ranking import rank_auc
 from opspark.operators.scan import Measure, running
-from opspark.operators.split import hash_fold
-from opspark.operators.metrics import confusion
+from opspark.operators.rollup import outcome_matrix
+from opspark.operators.split import hash_fold, time_split
+from opspark.operators.metrics import confusion, skill
 from opspark.plans.calibration import calibrate as calibrate_scores, isotonic
-from opspark.plans.clustering import compare, prepare, sweep_k
+from opspark.plans.clustering import View, compare, prepare, segment_entities, sweep_k
 from opspark.plans.models import (
     ablation, as_doubles, category_pipeline, classifier, evaluate_regression, fit_classifier,
     importance as importance_of, importance_by_source, numeric_pipeline, regressor, score,
-    scorecard as card_of, vector_slots)
+    scorecard as card_of, target_models, vector_slots)
 from opspark.session import cut
 from opspark.workload.activity_queries import PRIOR_SQL
-from opspark.workload.bindings import KEYS, LIFETIME, PRIOR, act, book, table
+from opspark.workload.bindings import ACT_SQL, KEYS, LIFETIME, PRIOR, act, book, table
 from opspark.workload.quality_queries import MIN_ROWS
-from opspark.workload.registry import query
+from opspark.workload.registry import fixed, fixed_sql, query
 
 REFERENCE_SITE = "view"
 CORE, RICH = PRIOR.tagged("core"), PRIOR.tagged("rich")
@@ -231,6 +233,140 @@ def calibrate(spark, sf_dir):
     return report
 
 
+STYLE = ["p_voluntary_rate", "p_raise_rate", "p_fold_rate", "p_show_rate", "p_aggression",
+         "p_avg_invested", "p_distinct_stakes", "p_max_stake"]
+INTENSITY = ["p_rows", "p_days_active", "p_rows_per_active_day", "p_active_day_share",
+             "p_late_share", "p_weekend_share"]
+SITES = ["click", "error", "purchase", "signup", "view"]
+# The second view has nothing to say about the site without recorded stacks.
+VIEWS = [
+    View("style", STYLE, 4, "p_voluntary_rate",
+         [("pushing", "p_aggression"), ("open", "p_voluntary_rate"), ("waiting", "p_fold_rate")],
+         "middling"),
+    View("intensity", INTENSITY, 4, "p_rows_per_active_day",
+         [("heavy", "p_rows"), ("regular", "p_active_day_share"), ("returning", "p_late_share")],
+         "occasional", "site <> 'error'")]
+
+
+def _fitted_segments(spark, sf_dir):
+    g, indicators, dummies = _features(spark, sf_dir)
+    model, _ = fit_classifier(g.filter("fold = 'train'"), "logistic", CORE, indicators, dummies,
+                              forbidden=LEAKS)
+    return segment_entities(g, VIEWS, KEYS, score(model, g, KEYS), ["lapsed", "p_rows"])
+
+
+@query()
+def fitted_segments(spark, sf_dir):
+    """Each entity's cluster in two fitted views, ranked and named by profile, and its score."""
+    return _fitted_segments(spark, sf_dir)[0]
+
+
+@query()
+def fitted_segment_matrix(spark, sf_dir):
+    """Share lapsed and mean risk of every fitted segment, all together and at every site."""
+    found, _ = _fitted_segments(spark, sf_dir)
+    whole = found.groupBy("style", "style_name").agg(
+        F.count("*").alias("n"), F.avg("risk").alias("risk"), F.avg("lapsed").alias("all"))
+    return whole.join(outcome_matrix(found, "style", "site", SITES, F.col("lapsed")), "style")
+
+
+SEEN_SQL = "WITH f AS (WITH " + PRIOR_SQL.replace("WITH ", "", 1) + ")"
+
+
+@query(SEEN_SQL + """
+SELECT 'entities' AS "check", count(*) AS got, count(*) AS want FROM f
+UNION ALL SELECT 'distinct entities', count(*), count(*) FROM f
+UNION ALL SELECT 'scores', count(*), count(*) FROM f
+UNION ALL SELECT 'style labels', count(*), count(*) FROM f
+UNION ALL SELECT 'intensity labels', count(*) FILTER (site <> 'error'), count(*) FILTER (site <> 'error') FROM f
+UNION ALL SELECT v || ' profile entities', count(*) FILTER (v = 'style' OR site <> 'error'),
+                 count(*) FILTER (v = 'style' OR site <> 'error')
+          FROM f, (VALUES ('style'), ('intensity')) t(v) GROUP BY v
+UNION ALL SELECT v || ' shares', 1000000, 1000000 FROM (VALUES ('style'), ('intensity')) t(v)
+UNION ALL SELECT v || ' ranks out of order', 0, 0 FROM (VALUES ('style'), ('intensity')) t(v)
+UNION ALL SELECT v || ' clusters without a name of their own', 0, 0 FROM (VALUES ('style'), ('intensity')) t(v)
+UNION ALL SELECT 'lapsed in the matrix', sum(lapsed)::BIGINT, sum(lapsed)::BIGINT FROM f""")
+def check_segments(spark, sf_dir):
+    """What any fit of the segments has to satisfy."""
+    found, profiles = _fitted_segments(spark, sf_dir)
+    n = found.agg(
+        F.count("*").alias("entities"), F.count("risk").alias("scores"), F.sum("lapsed").alias("lapsed"),
+        F.count("style").alias("style"), F.count("intensity").alias("intensity"),
+        F.count(F.when(F.col("site") != "error", 1)).alias("covered")).first()
+    rows = [("entities", n.entities, n.entities), ("scores", n.scores, n.entities),
+            ("distinct entities", found.select(*KEYS).distinct().count(), n.entities),
+            ("style labels", n["style"], n.entities), ("intensity labels", n.intensity, n.covered)]
+    for view in VIEWS:
+        p = profiles[view.name].orderBy("rank").collect()  # one row per cluster
+        means = [r[view.order] for r in p]
+        rows += [
+            (f"{view.name} profile entities", sum(r.n for r in p),
+             n.entities if view.where is None else n.covered),
+            (f"{view.name} shares", round(sum(r.share for r in p) * 1e6), 1_000_000),
+            (f"{view.name} ranks out of order", sum(a < b for a, b in zip(means, means[1:])), 0),
+            (f"{view.name} clusters without a name of their own", len(p) - len({r.name for r in p}), 0)]
+    matrix = found.groupBy("style", "site").agg(F.avg("lapsed").alias("rate"), F.count("*").alias("n"))
+    lapsed = matrix.agg(F.round(F.sum(F.col("rate") * F.col("n"))).cast("long")).first()[0]
+    return spark.createDataFrame([*rows, ("lapsed in the matrix", lapsed, n.lapsed)],
+                                 "check string, got long, want long")
+
+
+TARGETS = {"value": "value", "volume": "volume", "size": "size"}
+LAG_FEATURES = ["last_value", "last_volume", "gap", "mean_value", "mean_volume", "days_before"]
+
+
+def _target_rows(spark, sf_dir):
+    """Entity days with three targets, what was known before, and a time split per site."""
+    days = act(spark, sf_dir).groupBy(*KEYS, "day").agg(
+        F.sum("cents").alias("value"), F.count("*").alias("volume")).withColumn(
+        "size", F.col("value") / F.col("volume"))
+    # An entity has one row per day at most: a small window.
+    w = W.partitionBy(*KEYS).orderBy("day")
+    before = w.rowsBetween(W.unboundedPreceding, -1)
+    days = days.select(
+        "*", F.lag("value").over(w).alias("last_value"), F.lag("volume").over(w).alias("last_volume"),
+        (F.col("day") - F.lag("day").over(w)).alias("gap"), F.avg("value").over(before).alias("mean_value"),
+        F.avg("volume").over(before).alias("mean_volume"), F.count("*").over(before).alias("days_before"))
+    return time_split(days, "site", "day")
+
+
+TARGET_SQL = "WITH " + ACT_SQL + """,
+d AS (SELECT site, player, day, sum(cents)::DOUBLE AS value, count(*)::DOUBLE AS volume,
+             sum(cents)::DOUBLE / count(*) AS size FROM act GROUP BY 1, 2, 3),
+s AS (SELECT d.*, day > last - 4 AS test FROM d JOIN (SELECT site, max(day) AS last FROM d GROUP BY 1) USING (site)),
+l AS (UNPIVOT s ON value, volume, size INTO NAME task VALUE truth),
+k AS (SELECT * FROM l WHERE truth >= 0),
+m AS (SELECT task, site, avg(truth) AS base, count(*) AS train_rows FROM k WHERE NOT test GROUP BY 1, 2),
+g AS (SELECT task, avg(truth) AS grand FROM k WHERE NOT test GROUP BY 1)
+"""
+
+
+@query(TARGET_SQL + f"""
+SELECT task, site, coalesce(max(train_rows), 0) AS train_rows, count(*) AS test_rows,
+       {fixed_sql("sqrt(avg(power(truth - coalesce(base, grand), 2)))", 1000)} AS baseline_rmse
+FROM k JOIN g USING (task) LEFT JOIN m USING (task, site) WHERE test GROUP BY 1, 2""")
+def target_baselines(spark, sf_dir):
+    """The folds of three fitted targets and the baseline each has to beat, per site."""
+    rows = cut(_target_rows(spark, sf_dir))
+    pred = target_models(rows, TARGETS, LAG_FEATURES, "site", "linear")
+    held = None
+    for task, target in TARGETS.items():
+        part = rows.filter((F.col("fold") == "train") & (F.col(target) >= 0)).groupBy("site").agg(
+            F.count("*").alias("train_rows")).withColumn("task", F.lit(task))
+        held = part if held is None else held.unionByName(part)
+    return skill(pred, "truth", "baseline", "pred", ["task", "site"]).join(
+        held, ["task", "site"], "left").select(
+        "task", "site", F.coalesce("train_rows", F.lit(0)).alias("train_rows"),
+        F.col("n").alias("test_rows"), fixed("baseline_rmse", 1000).alias("baseline_rmse"))
+
+
+@query()
+def target_skill(spark, sf_dir):
+    """Three targets by a forest each: skill per site against the site's mean in train."""
+    pred = target_models(cut(_target_rows(spark, sf_dir)), TARGETS, LAG_FEATURES, "site", "forest")
+    return skill(pred, "truth", "baseline", "pred", ["task", "site"], 10)
+
+
 def _vectors(spark, sf_dir):
     return cut(table(spark, sf_dir, "embeddings").select("vec_id", array_to_vector(
         F.col("embedding").cast("array<double>")).alias("features")))
@@ -246,6 +382,4 @@ def kmeans_sweep(spark, sf_dir):
 def kmeans_compare(spark, sf_dir):
     """K-means beside bisecting k-means on the style features of the entities."""
     g, _, _ = _features(spark, sf_dir)
-    style = ["p_voluntary_rate", "p_raise_rate", "p_fold_rate", "p_show_rate", "p_aggression",
-             "p_avg_invested", "p_distinct_stakes", "p_max_stake"]
-    return compare(cut(prepare(g, style, KEYS)), 4, KEYS)
+    return compare(cut(prepare(g, STYLE, KEYS)), 4, KEYS)
