@@ -80,3 +80,42 @@ def append_increment(df: DataFrame, key: str, path: str):
 def write_metrics(metrics: DataFrame, path: str) -> None:
     """The run log as JSON lines."""
     metrics.write.mode("overwrite").json(path)
+
+
+def part_manifest(df: DataFrame, key: str, parts: int) -> DataFrame:
+    """(part, lo): ranges of ``key`` with about equal numbers of rows, for several tables.
+
+    Part p holds the keys from its ``lo`` up to the next one's; the first begins at null,
+    so that it takes smaller keys too. Few rows by construction: ``parts`` at most.
+    """
+    cuts = [i / parts for i in range(1, parts)]
+    if not cuts:
+        return df.sparkSession.createDataFrame([(0, None)], f"part int, lo {df.schema[key].dataType.simpleString()}")
+    found = df.agg(F.percentile_approx(key, cuts).alias("cuts"))
+    ends = found.select(F.explode(F.array_sort(F.array_distinct(F.concat(
+        F.array(F.lit(None).cast(df.schema[key].dataType)), "cuts")))).alias("lo"))
+    bounds = [r.lo for r in ends.collect()]
+    bounds = [None, *sorted(b for b in bounds if b is not None)]
+    return df.sparkSession.createDataFrame(
+        list(enumerate(bounds)), f"part int, lo {df.schema[key].dataType.simpleString()}")
+
+
+def write_parts(df: DataFrame, key: str, manifest: DataFrame, path: str) -> None:
+    """Write a table in the parts of a manifest, one folder each; null keys are in part 0."""
+    part = F.lit(0)
+    for r in manifest.filter("lo IS NOT NULL").orderBy("part").collect():
+        part = F.when(F.col(key) >= F.lit(r.lo), r.part).otherwise(part)
+    (df.withColumn("part", part).repartition("part").sortWithinPartitions("part").write
+     .mode("overwrite").partitionBy("part").parquet(path))
+
+
+def scan_parts(spark: SparkSession, path: str, schema: T.StructType, parts: int | None = None,
+               cols: Sequence[str] | None = None) -> DataFrame:
+    """The first ``parts`` parts of such a table (all without a number); others are not read.
+
+    Tables written by one manifest give the same keys for the same number.
+    """
+    df = spark.read.schema(T.StructType([*schema, T.StructField("part", T.IntegerType())])).parquet(path)
+    if parts is not None:
+        df = df.filter(F.col("part") < parts)
+    return df.select(*(cols or schema.names))

@@ -3,14 +3,23 @@
 A log file is a TOML document with one table per transaction. The same field is
 an integer in one record and a float in the next, so no schema is inferred:
 every value is coerced to a declared type where it is read.
+
+A file of any size is read by many tasks. Spark's text source deals byte ranges of
+whole lines; a task owns the records whose header lies in its range. It starts as if
+its range began outside strings and arrays, and sends its first lines (up to a header)
+and its last record on, to be put together with the ranges beside it. It also says
+where reading leads to from inside a string, so a short pass over one row per range
+finds the ranges that did begin inside one; only those are read again.
 """
 
 from __future__ import annotations
 
+import re
 import sys
 import tomllib
 from collections.abc import Iterator
 
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -18,7 +27,8 @@ from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
 from opspark.functions.columns import coerce_value
-from opspark.session import ship
+from opspark.operators.scan import Measure, running
+from opspark.session import scratch_path, ship
 
 ship(sys.modules[__name__])
 
@@ -53,6 +63,11 @@ RAW_SCHEMA = T.StructType([
     T.StructField("problem", T.StringType()),
     T.StructField("seats", T.ArrayType(SEAT)),
     T.StructField("actions", T.ArrayType(ACTION)),
+    # Where the range began; then, of parts of records and of ranges only, their lines or state.
+    T.StructField("start", T.LongType()),
+    T.StructField("lines", T.BinaryType()),
+    T.StructField("leads", T.ArrayType(T.StructType([
+        T.StructField("mode", T.IntegerType()), T.StructField("depth", T.IntegerType())]))),
 ])
 _ARROW = to_arrow_schema(RAW_SCHEMA)
 DOCS_PER_BATCH = 2_000
@@ -116,20 +131,117 @@ def _record(path: str, local_id: str, doc: dict) -> dict:
     return row
 
 
-def _parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+# Fixed pattern: what matters outside strings: strings, comments, brackets.
+TOKEN = re.compile(r"""'''|\"\"\"|'[^']*'|"(?:\\.|[^"\\])*"|\#.*|[\[\]]""")
+HEADER = re.compile(r"""\s*\[\s*("(?:\\.|[^"\\])*"|'[^']*'|[A-Za-z0-9_-]+)\s*\]\s*(?:\#.*)?$""")
+MODES = ("", "'''", '"""')  # outside strings, and inside the two kinds that span lines
+CLOSE = {"'''": re.compile("'{3,5}"), '"""': re.compile(r'(?:\\.|[^"\\]|"(?!""))*"{3,5}')}
+
+
+def line_state(line: str, mode: str) -> tuple[str, int]:
+    """(mode after the line, brackets opened less those closed)."""
+    at = depth = 0
+    while True:
+        if mode:
+            end = CLOSE[mode].search(line, at) if mode == "'''" else CLOSE[mode].match(line, at)
+            if not end:
+                return mode, depth
+            at, mode = end.end(), ""
+        token = TOKEN.search(line, at)
+        if not token:
+            return mode, depth
+        at, text = token.end(), token.group()
+        if text in MODES:
+            mode = text
+        elif text in "[]":
+            depth += 1 if text == "[" else -1
+
+
+def _documents(path: str, lines: list[bytes]) -> list[dict]:
+    """The rows of one record's lines; what cannot be read is one ``range`` row."""
+    try:
+        docs = tomllib.loads(b"\n".join(lines).decode("utf-8"))
+        return [_record(path, k, d) for k, d in docs.items()]
+    except (ValueError, TypeError, AttributeError, IndexError, RecursionError) as error:
+        return [{"path": path, "record": "range", "problem": f"unreadable: {type(error).__name__}"}]
+
+
+class Range:
+    """Reads the lines of one byte range that begins in a given state."""
+
+    def __init__(self, path: str, start: int, mode: str = "", depth: int = 0):
+        self.path, self.start = path, start
+        self.mode, self.depth = mode, depth  # where reading is, as the range is said to begin
+        self.others = {m: [m, 0] for m in MODES}  # and from each mode it could have begun in
+        self.held: list[bytes] = []
+        self.owner = False
+
+    def add(self, raw: bytes) -> list[dict]:
+        """Rows of the record that this line ends, if it begins another."""
+        line, rows = raw.decode("utf-8", "replace"), []
+        if not self.mode and self.depth == 0 and HEADER.match(line):
+            rows = self._ended()
+            self.owner = True
+        self.held.append(raw)
+        steps = {m: line_state(line, m) for m in {self.mode, *(o[0] for o in self.others.values())}}
+        self.mode, opened = steps[self.mode]
+        self.depth += opened
+        for other in self.others.values():
+            other[0], opened = steps[other[0]]
+            other[1] += opened
+        return rows
+
+    def _ended(self) -> list[dict]:
+        lines, self.held = self.held, []
+        if self.owner:
+            return [row | {"start": self.start} for row in _documents(self.path, lines)]
+        return [self._part("head", lines)] if lines else []
+
+    def _part(self, kind: str, lines: list[bytes]) -> dict:
+        return {"path": self.path, "record": kind, "start": self.start, "lines": b"\n".join(lines)}
+
+    def end(self) -> list[dict]:
+        rows = [self._part("tail" if self.owner else "head", self.held)] if self.held else []
+        leads = [{"mode": MODES.index(m), "depth": d} for m, d in self.others.values()]
+        return [*rows, {"path": self.path, "record": "state", "start": self.start, "leads": leads}]
+
+
+def _read_ranges(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows of lines (path, start, mode, depth, value) that come range by range, in order."""
+    now, out = None, []
+    for batch in batches:
+        for path, start, mode, depth, value in zip(*(c.to_pylist() for c in batch.columns)):
+            if now is None or (path, start) != (now.path, now.start):
+                out += now.end() if now else []
+                now = Range(path, start, MODES[mode], depth)
+            out += now.add(value)
+            if len(out) >= DOCS_PER_BATCH:
+                yield pa.RecordBatch.from_pylist(out, schema=_ARROW)
+                out = []
+    out += now.end() if now else []
+    if out:
+        yield pa.RecordBatch.from_pylist(out, schema=_ARROW)
+
+
+def _join_parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows of records put together from their parts (path, parts)."""
     for batch in batches:
-        for path, content in zip(batch["path"], batch["content"]):
-            path = path.as_py()
-            # A file is all or nothing, as one that cannot be read has no records.
-            try:
-                docs = tomllib.loads(content.as_py().decode("utf-8"))
-                rows = [_record(path, k, d) for k, d in docs.items()]
-            except (ValueError, TypeError, AttributeError, IndexError) as error:
-                rows = [{"path": path, "record": "file",
-                         "problem": f"unreadable: {type(error).__name__}"}]
-            for start in range(0, len(rows), DOCS_PER_BATCH):
-                yield pa.RecordBatch.from_pylist(rows[start:start + DOCS_PER_BATCH],
-                                                 schema=_ARROW)
+        rows = []
+        for path, parts in zip(*(c.to_pylist() for c in batch.columns)):
+            text = b"\n".join(p["lines"] for p in parts)
+            rows += _documents(path, [text]) if text.strip() else []
+        for at in range(0, len(rows), DOCS_PER_BATCH):
+            yield pa.RecordBatch.from_pylist(rows[at:at + DOCS_PER_BATCH], schema=_ARROW)
+
+
+def _starts(rows: pd.DataFrame) -> pd.DataFrame:
+    """The state each range of one file begins in, from where the ranges before it lead."""
+    mode = depth = 0
+    out = []
+    for path, start, leads in rows.sort_values("start").itertuples(index=False):
+        out.append((path, start, mode, depth))
+        mode, depth = leads[mode]["mode"], depth + leads[mode]["depth"]
+    return pd.DataFrame(out, columns=["path", "start", "mode", "depth"])
 
 
 def with_path_meta(df: DataFrame, path: str = "path") -> DataFrame:
@@ -149,15 +261,45 @@ def with_path_meta(df: DataFrame, path: str = "path") -> DataFrame:
         "stake": coerce_value(F.regexp_replace(parent, "^stake=", ""), "double")})
 
 
+def _stored(df: DataFrame, name: str) -> DataFrame:
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def read_logs(spark: SparkSession, path: str, pattern: str = "*") -> DataFrame:
     """Every document of every file under ``path``, one row each, with path columns.
 
-    Files are the unit of work: executors stream them, and each yields its rows
-    in bounded batches. A file that cannot be read becomes one ``file`` row.
+    Ranges of ``spark.sql.files.maxPartitionBytes`` are the unit of work, so one large
+    file is read by many tasks; the rows do not depend on the size. A record that cannot
+    be read becomes one ``range`` row, as does text before a file's first record; a string
+    that is never closed takes all that follows it along. Empty files have no rows.
     """
-    files = (spark.read.format("binaryFile").option("recursiveFileLookup", "true")
-             .option("pathGlobFilter", pattern).load(path).select("path", "content"))
-    raw = files.mapInArrow(_parse, RAW_SCHEMA)
+    lines = (spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", pattern)
+             .text(path).select(
+                 F.col("_metadata.file_path").alias("path"),
+                 F.col("_metadata.file_block_start").alias("start"), F.lit(0).alias("mode"),
+                 F.lit(0).alias("depth"), F.col("value").cast("binary").alias("value")))
+    read = _stored(lines.mapInArrow(_read_ranges, RAW_SCHEMA), "ranges")
+    # One row per range from here on. A file's first range begins outside of everything.
+    states = read.filter("record = 'state'").select("path", "start", "leads")
+    wrong = _stored(states.groupBy("path").applyInPandas(
+        lambda rows: _starts(rows), "path string, start long, mode int, depth int")
+        .filter("mode <> 0 OR depth <> 0"), "inside")
+    if not wrong.isEmpty():
+        # The join may deal a range's lines out: back together, in order.
+        again = (lines.drop("mode", "depth").withColumn("row", F.monotonically_increasing_id())
+                 .join(wrong, ["path", "start"]).repartition("path", "start")
+                 .sortWithinPartitions("path", "start", "row").select(*lines.columns))
+        read = read.join(wrong, ["path", "start"], "left_anti").select(*read.columns).unionByName(
+            _stored(again.mapInArrow(_read_ranges, RAW_SCHEMA), "ranges"))
+    parts = read.filter("record IN ('head', 'tail')").select(
+        "path", "start", (F.col("record") == "tail").cast("int").alias("tail"), "lines")
+    placed = running(parts, ["start", "tail"], [Measure("number", "sum", "tail")], by=["path"])
+    whole = (placed.groupBy("path", "number")
+             .agg(F.sort_array(F.collect_list(F.struct("start", "tail", "lines"))).alias("parts"))
+             .select("path", "parts").mapInArrow(_join_parts, RAW_SCHEMA))
+    raw = read.filter("record IN ('txn', 'range')").unionByName(whole).drop("start", "lines", "leads")
     return with_path_meta(raw).withColumn("uid", F.concat_ws(":", "site", "txn_id"))
 
 

@@ -36,6 +36,22 @@ def write_layout(df: DataFrame, table: str, by: str, bucket: str, buckets: int,
     return df.sparkSession.table(table)
 
 
+def write_bucketed(df: DataFrame, table: str, key: str, buckets: int, path: str) -> DataFrame:
+    """A table in so many buckets of ``key``, sorted by it, one file per bucket.
+
+    Tables bucketed alike are joined and grouped by the key bucket by bucket: the rows of
+    a key are in one bucket of each, so nothing is shuffled again.
+    """
+    (df.repartition(buckets, key).write.mode("overwrite").format("parquet").option("path", path)
+     .bucketBy(buckets, key).sortBy(key).saveAsTable(table))
+    return df.sparkSession.table(table)
+
+
+def join_buckets(left: DataFrame, right: DataFrame, key: str, how: str = "inner") -> DataFrame:
+    """The join of two tables bucketed alike: sorted buckets are merged where they are."""
+    return left.hint("merge").join(right, key, how)
+
+
 def partitions(spark: SparkSession, table: str) -> DataFrame:
     return spark.sql(f"SHOW PARTITIONS {table}")
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -66,6 +67,42 @@ def run_available(df: DataFrame, path: str, checkpoint: str,
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def stage_files(df: DataFrame, path: str, files: int) -> str:
+    """Write ``df`` as about so many files, a backlog that a stream takes batch by batch."""
+    df.repartition(files).write.parquet(path)
+    return path
+
+
+class Enough(Exception):
+    """Ends a stream after the batches it was asked for."""
+
+
+def run_batches(df: DataFrame, path: str, checkpoint: str, batches: int,
+                timeout: int | None = None) -> int:
+    """Process so many batches and stop, as a consumer that goes away would.
+
+    The batch after them fails before it writes anything, so its files are not counted;
+    what is done is in the checkpoint, and ``run_available`` on it goes on from there.
+    Returns the batches done (fewer where there is no more data).
+    """
+    done: list[int] = []
+
+    def put(totals: DataFrame, batch: int) -> None:
+        if len(done) == batches:
+            raise Enough
+        totals.write.mode("overwrite").parquet(path)
+        done.append(batch)
+
+    query = (df.writeStream.outputMode("complete").foreachBatch(put)
+             .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
+    try:
+        _finish(query, timeout)
+    except StreamingQueryException:
+        if len(done) < batches:
+            raise
+    return len(done)
+
+
 def run_to_files(df: DataFrame, path: str, checkpoint: str,
                  timeout: int | None = None) -> DataFrame:
     """Process what is there into a Parquet table, each closed row exactly once."""

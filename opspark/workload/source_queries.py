@@ -15,13 +15,14 @@ from opspark.operators.replay import LogColumns
 from opspark.operators.rollup import child_rollup
 from opspark.session import cut, scratch_path
 from opspark.sources.database import split_index
-from opspark.sources.files import append_increment, read_csv, write_csv, write_parquet
+from opspark.sources.files import (
+    append_increment, part_manifest, read_csv, scan_parts, write_csv, write_parquet, write_parts)
 from opspark.sources.files import materialise as materialise_step
 from opspark.sources.logs import ingest_logs as ingest
 from opspark.sources.logs import with_path_meta
 from opspark.sources.tables import attach_table as attach
 from opspark.sources.tables import prefix_scan as scan_prefix
-from opspark.sources.tables import register_table, write_layout
+from opspark.sources.tables import join_buckets, register_table, write_bucketed, write_layout
 from opspark.sources.tables import row_key_view as key_view
 from opspark.sources.text import ACCESS_LOG_FIELDS, ACCESS_LOG_PATTERN, json_table
 from opspark.sources.text import coerce as coerce_columns
@@ -32,7 +33,7 @@ from opspark.workload.registry import query
 
 # Names of this process in the catalog, so that two runs do not overwrite each other.
 _RUN = uuid.uuid4().hex[:8]
-CATALOG = {n: f"opspark_{n}_{_RUN}" for n in ("database", "layout", "external")}
+CATALOG = {n: f"opspark_{n}_{_RUN}" for n in ("database", "layout", "external", "heads", "lines")}
 
 
 def _log_text(orders):
@@ -198,6 +199,56 @@ def partition_pruned(spark, sf_dir):
         FROM {CATALOG["layout"]} WHERE c_mktsegment = 'BUILDING' GROUP BY c_nationkey""")
 
 
+@query("""
+SELECT o_orderkey AS key, max(o_custkey) AS customer, count(*) AS n_lines,
+       sum(CAST(round(l_extendedprice * 100) AS BIGINT))::BIGINT AS cents
+FROM orders JOIN lineitem ON o_orderkey = l_orderkey GROUP BY 1""")
+def bucketed_join(spark, sf_dir):
+    """Two tables bucketed alike, joined and totalled bucket by bucket, without a shuffle."""
+    heads = write_bucketed(
+        table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("key"), "o_custkey"),
+        CATALOG["heads"], "key", 8, scratch_path(spark, "heads"))
+    lines = write_bucketed(
+        table(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("key"),
+                                                to_cents("l_extendedprice").alias("cents")),
+        CATALOG["lines"], "key", 8, scratch_path(spark, "lines"))
+    return join_buckets(lines, heads, "key").groupBy("key").agg(
+        F.max("o_custkey").alias("customer"), F.count("*").alias("n_lines"),
+        F.sum("cents").alias("cents"))
+
+
+@query("""
+WITH o AS (SELECT count(*) AS n FROM orders), l AS (SELECT count(*) AS n FROM lineitem)
+SELECT 'orders in all parts' AS "check", n AS got, n AS want FROM o
+UNION ALL SELECT 'lines in all parts', n, n FROM l
+UNION ALL SELECT 'lines whose order is in no trial part', 0, 0
+UNION ALL SELECT 'orders of the trial, by their keys', 0, 0
+UNION ALL SELECT 'lines of the trial, by their keys', 0, 0
+UNION ALL SELECT 'trial near a third', 1, 1""")
+def shared_parts(spark, sf_dir):
+    """The first parts of two tables, cut by one manifest, hold the same keys."""
+    orders = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("key"), "o_custkey")
+    lines = table(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("key"), "l_linenumber")
+    manifest, few = part_manifest(orders, "key", 9), 3
+    places = {}
+    for name, df in (("orders", orders), ("lines", lines)):
+        places[name] = scratch_path(spark, name)
+        write_parts(df, "key", manifest, places[name])
+    whole = {n: scan_parts(spark, p, (orders if n == "orders" else lines).schema) for n, p in places.items()}
+    some = {n: scan_parts(spark, p, whole[n].schema, few) for n, p in places.items()}
+    end = manifest.filter(F.col("part") == few).first().lo
+    n, total = some["orders"].count(), orders.count()
+    rows = [("orders in all parts", whole["orders"].count(), total),
+            ("lines in all parts", whole["lines"].count(), lines.count()),
+            ("lines whose order is in no trial part",
+             some["lines"].join(some["orders"], "key", "left_anti").count(), 0),
+            ("orders of the trial, by their keys", n - orders.filter(F.col("key") < end).count(), 0),
+            ("lines of the trial, by their keys",
+             some["lines"].count() - lines.filter(F.col("key") < end).count(), 0),
+            ("trial near a third", int(abs(n / total - few / 9) < 0.02), 1)]
+    return spark.createDataFrame(rows, "check string, got long, want long")
+
+
 @query("""
 SELECT o_orderstatus, count(*) AS n, max(o_orderkey) AS last_key FROM orders GROUP BY 1""")
 def attach_table(spark, sf_dir):

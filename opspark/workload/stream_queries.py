@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 from opspark.functions.columns import to_cents
 from opspark.session import scratch_path
 from opspark.streaming.streams import (
-    run_available, run_to_files, running_agg, stream_json, stream_source, windowed_agg)
+    run_available, run_batches, run_to_files, running_agg, stage_files, stream_json, stream_source,
+    windowed_agg)
 from opspark.workload.bindings import ACT_SQL
 from opspark.workload.registry import query
 
@@ -65,3 +66,42 @@ def stream_daily_all(spark, sf_dir):
                          [F.count("*").alias("n"), F.sum(to_cents("value")).alias("cents")])
     return _run(spark, daily.select(F.date_format("window.start", "yyyy-MM-dd").alias("day"),
                                     "event_type", "n", "cents"), "daily_all")
+
+
+STAGED_SQL = """
+SELECT event_type, count(*) AS n, sum(CAST(round(value * 100) AS BIGINT))::BIGINT AS cents
+FROM events GROUP BY 1"""
+
+
+@query(STAGED_SQL)
+def stream_staged(spark, sf_dir):
+    """A stream of many files in batches of two, stopped half-way and started again."""
+    staged = stage_files(spark.read.schema(EVENTS).parquet(f"{sf_dir}/events*.parquet"),
+                         scratch_path(spark, "staged"), 6)
+    totals = running_agg(stream_source(spark, staged, EVENTS, files_per_batch=2), ["event_type"], [
+        F.count("*").alias("n"), F.sum(to_cents("value")).alias("cents")])
+    place, state = scratch_path(spark, "totals"), scratch_path(spark, "totals-state")
+    run_batches(totals, place, state, 1)
+    return run_available(totals, place, state)
+
+
+@query("WITH t AS (" + STAGED_SQL + """)
+SELECT c AS consumer, event_type, n, CASE WHEN c = 'money' THEN cents END AS cents
+FROM t, (VALUES ('counts'), ('money')) v(c)""")
+def stream_consumers(spark, sf_dir):
+    """Two consumers of one source, each from its own checkpoint: one is stopped and resumed,
+    the other starts only when the first is done, and reads all from the beginning."""
+    staged = stage_files(spark.read.schema(EVENTS).parquet(f"{sf_dir}/events*.parquet"),
+                         scratch_path(spark, "staged"), 4)
+    source = stream_source(spark, staged, EVENTS, files_per_batch=1)
+    both = {"counts": [F.count("*").alias("n"), F.lit(None).cast("long").alias("cents")],
+            "money": [F.count("*").alias("n"), F.sum(to_cents("value")).alias("cents")]}
+    out = None
+    for name, aggs in both.items():
+        place, state = scratch_path(spark, name), scratch_path(spark, f"{name}-state")
+        totals = running_agg(source, ["event_type"], aggs)
+        if name == "counts":
+            run_batches(totals, place, state, 2)
+        part = run_available(totals, place, state).select(F.lit(name).alias("consumer"), "*")
+        out = part if out is None else out.unionByName(part)
+    return out

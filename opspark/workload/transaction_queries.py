@@ -17,6 +17,7 @@ from opspark.operators.estimate import (
 from opspark.operators.joins import value_table
 from opspark.operators.replay import derive_fee, net_result, return_excess
 from opspark.operators.value import expected_loss, naive_value
+from opspark.operators.value import sensitivity as vary
 from opspark.functions.keys import hash_percent
 from opspark.session import cut
 from opspark.workload.bindings import POT_SQL, pot, table
@@ -246,6 +247,33 @@ def value_at_risk(spark, sf_dir):
                     fixed(F.col("naive_value") / 100, 1).alias("naive"))
 
 
+# Name, entities that count, and amount of each variant of the total; the first is the base.
+VARIANTS = [("base", "true", "risk * p_fee"), ("probability by rule", "true", "rule * p_fee"),
+            ("measured fees only", "true", "risk * p_fee_observed"),
+            ("equal split", "true", "risk * p_fee_equal"), ("last week", "true", "risk * w1_fee"),
+            ("well measured entities", "p_rows_observed >= 25", "risk * p_fee")]
+
+
+@query(FEE_SQL + f""",
+e AS (SELECT *, {RISK_SQL} AS risk, CASE WHEN w1_rows = 0 THEN 0.9 ELSE 0.3 END AS rule
+      FROM fees WHERE p_rows > 0),
+b AS (SELECT sum({VARIANTS[0][2]}) AS base FROM e)
+""" + " UNION ALL ".join(f"""
+SELECT '{name}' AS variant, count(*) FILTER ({keep}) AS entities,
+       {fixed_sql(f"sum({amount}) FILTER ({keep}) / 10000", 1)} AS total,
+       {fixed_sql(f"sum({amount}) FILTER ({keep}) / max(base)", 1000)} AS vs_base FROM e, b"""
+                         for name, keep, amount in VARIANTS))
+def fee_sensitivities(spark, sf_dir):
+    """The loss by probability source, fee estimator, attribution rule, window and coverage:
+    every variant from one table that holds them all."""
+    wide = fees_by_player(spark, sf_dir).filter("p_rows > 0").withColumns({
+        "risk": hash_percent(["site", "player"], 7) / 100,
+        "rule": F.when(F.col("w1_rows") == 0, 0.9).otherwise(0.3)})
+    return vary(wide, {n: (F.expr(keep), F.expr(amount)) for n, keep, amount in VARIANTS}).select(
+        "variant", "entities", fixed(F.col("total") / 10000, 1).alias("total"),
+        fixed("vs_first", 1000).alias("vs_base"))
+
+
 @query("WITH " + POT_SQL + """,
 c AS (SELECT txn, player, sum(cents)::BIGINT AS paid FROM seats GROUP BY ALL),
 r AS (SELECT *, row_number() OVER (PARTITION BY txn ORDER BY paid DESC, player) AS rn,

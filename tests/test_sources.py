@@ -1,6 +1,8 @@
 """Files, logs, tables, databases and streams on small fixtures."""
 
+import random
 import sqlite3
+import tomllib
 
 import pytest
 from conftest import rows
@@ -9,12 +11,15 @@ from pyspark.sql import functions as F
 from opspark.session import cut, measured, scratch_path, shared_folder
 from opspark.sources.database import export, split_ranges, split_read
 from opspark.sources.files import (
-    append_increment, incremental, materialise, read_csv, scan, write_csv, write_parquet)
+    append_increment, incremental, materialise, part_manifest, read_csv, scan, scan_parts, write_csv,
+    write_parquet, write_parts)
 from opspark.sources.logs import ingest_logs, seat_flags, with_path_meta
-from opspark.sources.tables import key_layout, partitions, prefix_scan, row_key_view, write_layout
+from opspark.sources.tables import (
+    join_buckets, key_layout, partitions, prefix_scan, row_key_view, write_bucketed, write_layout)
 from opspark.sources.text import (
     ACCESS_LOG_FIELDS, ACCESS_LOG_PATTERN, coerce, json_table, regex_table)
-from opspark.streaming.streams import run_available, running_agg, stream_source
+from opspark.streaming.streams import (
+    run_available, run_batches, running_agg, stage_files, stream_source)
 
 GOOD = """
 [1]
@@ -70,6 +75,53 @@ def test_ingest_logs(spark, tmp_path):
     assert flags == [(1, True, False, False), (2, False, True, True)]
 
 
+def one_large_log():
+    """Records whose strings and arrays hold what looks like headers, and some bad ones."""
+    docs, rng = [], random.Random(4)
+    for i in range(45):
+        lines = [f"[{i}]" if i % 3 else f"[ 'id {i}' ]  # note", f"hand = {i}", "blinds_or_straddles = [1, 2]",
+                 "players = ['ann', \"b[ob\"]", "starting_stacks = [10, 20.5]", "winnings = [3, 0]",
+                 "actions = ['p1 cbr 4', 'd db x', 'p2 f']"]
+        if i % 5 == 0:
+            lines.append("note = '''\n" + "[7]\nhand = 1\n" * rng.randrange(1, 40) + "'''")
+        if i % 7 == 0:
+            lines.append('more = """say \\""" [8]\n[9]\n' + "'" * 3 + '\n"""')
+        if i % 4 == 0:
+            lines.append("deep = [\n[\n1\n],\n[2]\n]")
+        if i % 11 == 0:
+            lines.append("[%s.sub]\nx = 1" % (i if i % 3 else f"'id {i}'"))
+        if i == 20:
+            lines.append("bad = = 1")
+        docs.append("\n".join(lines))
+    return "\n".join(docs) + "\n"
+
+
+@pytest.mark.parametrize("size", [400, 128 << 20])
+def test_one_file_is_read_by_ranges_of_any_size(spark, tmp_path, size):
+    text = one_large_log()
+    (tmp_path / "venue=X" / "stake=1").mkdir(parents=True)
+    (tmp_path / "venue=X" / "stake=1" / "large.toml").write_text(text)
+    (tmp_path / "venue=X" / "stake=1" / "empty.toml").write_text("")
+    (tmp_path / "venue=X" / "stake=1" / "open.toml").write_text("stray = 1\n[1]\nx = '''\n[2]\n")
+    good = tomllib.loads(text.replace("bad = = 1", "bad = 1"))
+    was = {k: spark.conf.get(k) for k in ("spark.sql.files.maxPartitionBytes",
+                                          "spark.sql.files.openCostInBytes")}
+    try:
+        for k in was:
+            spark.conf.set(k, size)
+        t = ingest_logs(spark, str(tmp_path), stage=scratch_path(spark, "stage"))
+        txns = t["txns"].collect()
+        assert sorted(int(r.txn_id) for r in txns) == [i for i in range(45) if i != 20]
+        assert len(good) == 45 and all(r.site == "X" and r.n_players == 2 for r in txns)
+        assert rows(t["seats"], "player") == [("ann",)] * 44 + [("b[ob",)] * 44
+        assert t["actions"].count() == 44 * 5
+        assert sorted(r.problem for r in t["quarantined"].collect()) == [
+            "unreadable: AttributeError", "unreadable: TOMLDecodeError", "unreadable: TOMLDecodeError"]
+    finally:
+        for k, v in was.items():
+            spark.conf.set(k, v)
+
+
 def test_path_meta(spark):
     df = spark.createDataFrame([("/d/venue=A/stake=2/f",), ("/d/B-2009-x/0.5/f",),
                                 ("/d/venue=A/stake=n/f",)], "path string")
@@ -193,3 +245,51 @@ def test_large_side_is_not_broadcast(spark):
         side.unpersist()
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+
+
+def test_tables_bucketed_alike_are_joined_without_an_exchange(spark, tmp_path):
+    a = spark.range(2000).select((F.col("id") % 500).alias("key"), F.col("id").alias("a"))
+    b = spark.range(500).select(F.col("id").alias("key"), (F.col("id") * 2).alias("b"))
+    tables = [write_bucketed(df, f"bucketed_{n}_{tmp_path.name}", "key", 4, str(tmp_path / n))
+              for n, df in (("a", a), ("b", b))]
+    total = join_buckets(*tables, "key").groupBy("key").agg(F.sum("a").alias("a"), F.max("b").alias("b"))
+    plan = total._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and "SortMergeJoin" in plan
+    assert rows(total) == rows(a.join(b, "key").groupBy("key").agg(F.sum("a"), F.max("b")))
+
+
+def test_parts_of_one_manifest_hold_the_same_keys(spark, tmp_path):
+    heads = spark.range(1000).select((F.col("id") * F.col("id")).alias("key"), F.lit("h").alias("x"))
+    lines = heads.unionByName(heads).unionByName(spark.createDataFrame(
+        [(None, "none"), (-5, "low"), (10**9, "high")], "key long, x string"))
+    manifest = part_manifest(heads, "key", 8)
+    assert manifest.count() == 8
+    for name, df in (("h", heads), ("l", lines)):
+        write_parts(df, "key", manifest, str(tmp_path / name))
+    for n in (1, 3, 8, None):
+        h, l = (scan_parts(spark, str(tmp_path / t), heads.schema, n) for t in "hl")
+        assert l.filter("x = 'h'").join(h, "key", "left_anti").isEmpty()
+        assert l.filter("x = 'h'").count() == 2 * h.count()
+        assert abs(h.count() - 1000 * (n or 8) / 8) <= 10
+        assert l.filter("x IN ('none', 'low')").count() == 2
+        assert n is None or "PartitionFilters: [isnotnull(part" in h._jdf.queryExecution().toString()
+    assert scan_parts(spark, str(tmp_path / "l"), heads.schema, None, ["x"]).count() == lines.count()
+    one = part_manifest(heads, "key", 1)
+    assert [(r.part, r.lo) for r in one.collect()] == [(0, None)]
+    same = part_manifest(heads.withColumn("key", F.lit(7)), "key", 5)  # one key: no more cuts than it allows
+    assert [r.lo for r in same.orderBy("part").collect()] == [None, 7]
+
+
+def test_a_stopped_consumer_goes_on_and_another_reads_all(spark, tmp_path):
+    df = spark.range(600).select((F.col("id") % 7).alias("k"), F.col("id").alias("v"))
+    staged = stage_files(df, str(tmp_path / "in"), 6)
+    source = stream_source(spark, staged, df.schema, files_per_batch=1)
+    totals = running_agg(source, ["k"], [F.count("*").alias("n"), F.sum("v").alias("v")])
+    want = rows(df.groupBy("k").agg(F.count("*").alias("n"), F.sum("v").alias("v")))
+    place, state = str(tmp_path / "one"), str(tmp_path / "one-state")
+    assert run_batches(totals, place, state, 2) == 2
+    part = spark.read.parquet(place).agg(F.sum("n")).first()[0]
+    assert 0 < part < 600
+    assert rows(run_available(totals, place, state)) == want
+    assert rows(run_available(totals, str(tmp_path / "two"), str(tmp_path / "two-state"))) == want
+    assert run_batches(totals, str(tmp_path / "three"), str(tmp_path / "three-state"), 99) == 6
