@@ -14,6 +14,8 @@ from pyspark.sql import functions as F
 
 from opspark.functions.columns import flag_sum
 from opspark.operators.scan import HOT_ROWS, Measure, running
+from opspark.operators.selection import order_statistics
+from opspark.session import cut
 
 # Shares of the population a team may contact, and the cut-points tried.
 BUDGETS = (0.05, 0.10, 0.20, 0.25, 0.50)
@@ -108,13 +110,29 @@ def rank_auc(df: DataFrame, y: str, p: str, key: Sequence[str], by: Sequence[str
 
 def budget_curve(df: DataFrame, y: str, score: str, key: Sequence[str],
                  budgets: Sequence[float] = BUDGETS) -> DataFrame:
-    """For each budget: contacted, hits, precision, recall and lift over chance."""
-    ranked = running(df.select(y, score, *key), [F.desc(score), *key], [
-        Measure("_rank", "count"), Measure("_all", "count", total=True)])
-    one = ranked.agg(
-        F.count("*").alias("n"), F.sum(y).alias("positives"),
-        *[flag_sum((F.col("_rank") <= budget_size(b, F.col("_all"))) & (F.col(y) == 1))
-          .alias(f"_hits{i}") for i, b in enumerate(budgets)])
+    """For each budget: contacted, hits, precision, recall and lift over chance.
+
+    The highest scores are contacted first, ties in the order of the key, nulls last.
+    """
+    # The score at the last contacted rank is selected; only rows that tie with it are ordered.
+    rows = cut(df.select(y, F.col(score).cast("double").alias("_s"), *key))
+    size = rows.agg(F.count("*").alias("n"), F.count("_s").alias("known"), F.sum(y).alias("positives")).first()
+    sizes = rows.sparkSession.range(1).select(*[
+        budget_size(b, F.lit(size.n)).alias(f"b{i}") for i, b in enumerate(budgets)]).first()
+    lowest = order_statistics(rows, {"_s": [size.known - k + 1 for k in sizes if k > 0]})
+    marks = [lowest.get(("_s", size.known - k + 1)) for k in sizes]  # null: nulls come last
+    higher = [F.col("_s").isNotNull() if m is None else F.col("_s") > m for m in marks]
+    one = rows.agg(*[flag_sum(h).alias(f"_above{i}") for i, h in enumerate(higher)],
+                   *[flag_sum(h & (F.col(y) == 1)).alias(f"_sure{i}") for i, h in enumerate(higher)]).first()
+    real = [m for m in dict.fromkeys(marks) if m is not None]
+    ties = rows.filter(F.col("_s").isin(real) | (F.lit(None in marks) & F.col("_s").isNull()))
+    ranked = running(ties, list(key), [Measure("_rank", "count")], by=["_s"])
+    tied = ranked.agg(*[flag_sum(
+        F.col("_s").eqNullSafe(F.lit(m).cast("double")) & (F.col("_rank") <= k - one[f"_above{i}"])
+        & (F.col(y) == 1)).alias(f"_tied{i}") for i, (k, m) in enumerate(zip(sizes, marks))])
+    one = tied.select(F.lit(size.n).alias("n"), F.lit(size.positives).alias("positives"), *[
+        (F.coalesce(f"_tied{i}", F.lit(0)) + F.coalesce(F.lit(one[f"_sure{i}"]), F.lit(0))).alias(f"_hits{i}")
+        for i in range(len(sizes))])
     rows = F.explode(F.array(*[
         F.struct(F.lit(float(b)).alias("budget"), F.col(f"_hits{i}").alias("hits"))
         for i, b in enumerate(budgets)]))

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from opspark.functions.columns import as_col, flag_sum
 from opspark.operators.scan import HOT_ROWS, Measure, running
+from opspark.operators.selection import ROOM, column_percentiles
 from opspark.session import measured
 
 
@@ -86,12 +87,10 @@ def group_percentiles(df: DataFrame, keys: Sequence[str], value: str,
         for n, p in points.items()])
 
 
-def summary_stats(df: DataFrame, cols: Sequence[str], hot_rows: int = HOT_ROWS) -> DataFrame:
-    """min, quartiles and max of several columns, one row per column."""
-    long = (df.select(*[F.col(c).cast("double").alias(c) for c in cols])
-            .unpivot([], list(cols), "column", "value"))
-    return group_percentiles(long, ["column"], "value", {
-        "min": 0.0, "p25": 0.25, "p50": 0.5, "p75": 0.75, "max": 1.0}, hot_rows=hot_rows)
+def summary_stats(df: DataFrame, cols: Sequence[str], room: int = ROOM) -> DataFrame:
+    """min, quartiles and max of several columns, one row per column; selected, not sorted."""
+    return column_percentiles(df, cols, {
+        "min": 0.0, "p25": 0.25, "p50": 0.5, "p75": 0.75, "max": 1.0}, room)
 
 
 def segment_profile(df: DataFrame, segment: str, cols: Sequence[str],

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from opspark.functions.columns import log_target, invert_log
 from opspark.operators.activity import feature_table
 from opspark.operators.joins import group_mean_baseline
-from opspark.operators.quality import null_indicators, one_hot, recorded_share
+from opspark.operators.quality import MIN_NULL_RATE, null_indicators, one_hot, recorded_share
 from opspark.operators.ranking import rank_auc
 from opspark.operators.scan import Measure, running
 from opspark.operators.rollup import outcome_matrix
@@ -54,21 +54,33 @@ def _joined(vector, n: int):
     return F.array_join(F.transform(slots, lambda x: F.floor(x * 1e4 + 0.37).cast("bigint")), ",")
 
 
+SITES = ["click", "error", "purchase", "signup", "view"]
+DUMMIES = [v for v in SITES if v != REFERENCE_SITE]
+
+
+def _slot(c: str, when: str = "true") -> str:
+    """A standardised slot as a whole number of 1/10000; null, and so left out, unless ``when``."""
+    return (f"CASE WHEN {when} THEN CAST(floor(CASE WHEN s_{c} > 0 THEN ({c} - a_{c}) / s_{c} ELSE 0 END"
+            " * 1e4 + 0.37) AS BIGINT) END")
+
+
 PREP_SQL = "WITH f AS (WITH " + PRIOR_SQL.replace("WITH ", "", 1) + "), m AS (SELECT " + ", ".join(
     f"quantile_disc({c}::DOUBLE, 0.5) AS {c}" for c in CORE) + " FROM f), i AS (SELECT site, player, " + ", ".join(
-    f"coalesce(f.{c}::DOUBLE, m.{c}) AS {c}" for c in CORE) + " FROM f, m), s AS (SELECT " + ", ".join(
-    f"avg({c}) AS a_{c}, stddev_samp({c}) AS s_{c}" for c in CORE) + """ FROM i)
+    [f"coalesce(f.{c}::DOUBLE, m.{c}) AS {c}, CAST(f.{c} IS NULL AS DOUBLE) AS miss_{c}" for c in CORE]
+    + [f"CAST(site = '{v}' AS DOUBLE) AS is_{v}" for v in DUMMIES]) + " FROM f, m), s AS (SELECT " + ", ".join(
+    f"avg({c}) AS a_{c}, stddev_samp({c}) AS s_{c}" for c in [
+        *CORE, *[f"miss_{c}" for c in CORE], *[f"is_{v}" for v in DUMMIES]]) + """ FROM i)
 SELECT site, player, concat_ws(',', """ + ", ".join(
-    f"CAST(floor(CASE WHEN s_{c} > 0 THEN ({c} - a_{c}) / s_{c} ELSE 0 END * 1e4 + 0.37) AS BIGINT)"
-    for c in CORE) + ") AS features FROM i, s"
+    [_slot(c) for c in CORE] + [_slot(f"miss_{c}", f"a_miss_{c} > {MIN_NULL_RATE}") for c in CORE]
+    + [_slot(f"is_{v}", f"a_is_{v} > 0") for v in DUMMIES]) + ") AS features FROM i, s"
 
 
 @query(PREP_SQL)
 def ml_prep(spark, sf_dir):
-    """Median fill, indicators, dummies and standardised vectors; the declared features of each."""
+    """Median fill, indicators, dummies and standardised vectors: every slot of every entity."""
     g, indicators, dummies = _features(spark, sf_dir)
-    prep, _ = numeric_pipeline(CORE, indicators, dummies, scale=True, median_error=1e-7)
-    return prep.fit(g).transform(g).select(*KEYS, _joined("features", len(CORE)).alias("features"))
+    prep, slots = numeric_pipeline(CORE, indicators, dummies, scale=True, median_error=1e-7)
+    return prep.fit(g).transform(g).select(*KEYS, _joined("features", len(slots)).alias("features"))
 
 
 @query("""
@@ -237,7 +249,6 @@ STYLE = ["p_voluntary_rate", "p_raise_rate", "p_fold_rate", "p_show_rate", "p_ag
          "p_avg_invested", "p_distinct_stakes", "p_max_stake"]
 INTENSITY = ["p_rows", "p_days_active", "p_rows_per_active_day", "p_active_day_share",
              "p_late_share", "p_weekend_share"]
-SITES = ["click", "error", "purchase", "signup", "view"]
 # The second view has nothing to say about the site without recorded stacks.
 VIEWS = [
     View("style", STYLE, 4, "p_voluntary_rate",

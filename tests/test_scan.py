@@ -75,7 +75,7 @@ def test_percentiles_match_sorting(spark, hot):
 
 def test_summary_and_sketch(spark):
     df = spark.range(1, 101).select(F.col("id").cast("double").alias("v"))
-    (r,) = summary_stats(df, ["v"], hot_rows=10).collect()
+    (r,) = summary_stats(df, ["v"], room=10).collect()
     assert (r["min"], r["p25"], r["p50"], r["p75"], r["max"]) == (1, 25, 50, 75, 100)
     (a,) = group_percentiles(df.withColumn("g", F.lit(1)), ["g"], "v", {"m": .5},
                              exact=False).collect()
