@@ -145,6 +145,31 @@ def budget_curve(df: DataFrame, y: str, score: str, key: Sequence[str],
             .drop("n", "positives"))
 
 
+def group_budgets(df: DataFrame, y: str, score: str, key: Sequence[str], by: Sequence[str],
+                  budgets: Sequence[float] = BUDGETS, hot_rows: int = HOT_ROWS) -> DataFrame:
+    """``budget_curve`` inside every group: each gets its own share of contacts.
+
+    All groups and budgets are counted in one ranked pass; a group above ``hot_rows`` is
+    ranked in blocks.
+    """
+    by = list(by)
+    ranked = running(df.select(*by, y, score, *[k for k in key if k not in by]),
+                     [F.desc(score), *[F.col(k) for k in key]], [
+        Measure("_rank", "count"), Measure("_all", "count", total=True)], by=by, hot_rows=hot_rows)
+    one = ranked.groupBy(*by).agg(F.max("_all").alias("n"), F.sum(y).alias("positives"), *[
+        flag_sum((F.col("_rank") <= budget_size(b, F.col("_all"))) & (F.col(y) == 1)).alias(f"_hits{i}")
+        for i, b in enumerate(budgets)])
+    rows = F.explode(F.array(*[
+        F.struct(F.lit(float(b)).alias("budget"), F.col(f"_hits{i}").alias("hits"))
+        for i, b in enumerate(budgets)]))
+    pos, share = F.col("positives"), F.col("hits") / F.col("contacted")
+    return (one.select(*by, "n", "positives", rows.alias("r")).select(*by, "n", "positives", "r.*")
+            .withColumn("contacted", budget_size(F.col("budget"), F.col("n")))
+            .withColumn("precision", share)
+            .withColumn("recall", F.when(pos > 0, F.col("hits") / pos))
+            .withColumn("lift", F.when(pos > 0, share / (pos / F.col("n")))).drop("n", "positives"))
+
+
 def _cut_index(score: Column) -> Column:
     """The largest whole percent not above the score, safe against x*100 rounding."""
     guess = F.floor(score * 100)

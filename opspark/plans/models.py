@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from opspark.functions.columns import invert_log, log_target, positive_probability
 from opspark.operators.joins import group_mean_baseline
 from opspark.operators.metrics import class_weights, confusion, skill
-from opspark.operators.ranking import best_f1, budget_curve, rank_auc
+from opspark.operators.ranking import best_f1, budget_curve, group_budgets, rank_auc
 from opspark.session import cut, measured
 
 SEED = 42
@@ -136,7 +136,7 @@ def scorecard(scored: DataFrame, label: str, p: str, key: Sequence[str],
               by: str | None = None) -> DataFrame:
     """Every metric of a scored table in long form (metric, slice, value).
 
-    With ``by`` the ranking metrics also come per group, all in one pass.
+    With ``by`` the same metrics also come per group (a budget's slice is group@budget).
     """
     flat = ("tp", "fp", "tn", "fn", "precision", "recall", "f1", "accuracy", "specificity")
 
@@ -159,7 +159,15 @@ def scorecard(scored: DataFrame, label: str, p: str, key: Sequence[str],
              "", ["no_skill_accuracy"]),
     ]
     if by:
-        parts.append(long(rank_auc(scored, label, p, key, [by]), "site_", ranking, by))
+        flagged = scored.withColumn("_pred", (F.col(p) >= 0.5).cast("int"))
+        budgets = group_budgets(scored, label, p, key, [by]).withColumn(
+            "_slice", F.concat_ws("@", by, "budget"))
+        parts += [
+            long(rank_auc(scored, label, p, key, [by]), "site_", ranking, by),
+            long(confusion(flagged, label, "_pred", [by]), "site_at_half_", flat, by),
+            long(best_f1(scored, label, p, [by]), "site_best_",
+                 ["threshold", "precision", "recall", "f1"], by),
+            long(budgets, "site_budget_", ["contacted", "hits", "precision", "recall", "lift"], "_slice")]
     out = parts[0]
     for part in parts[1:]:
         out = out.unionByName(part)

@@ -9,7 +9,7 @@ from opspark.operators.metrics import class_weights as weights_of
 from opspark.operators.metrics import confusion as confuse
 from opspark.operators.metrics import task_scorecard, threshold_sweep as sweep
 from opspark.operators.ranking import (
-    BUDGETS, best_f1 as pick_f1, budget_curve as curve_of, list_overlap as overlap_of,
+    BUDGETS, best_f1 as pick_f1, budget_curve as curve_of, group_budgets, list_overlap as overlap_of,
     order_dimension, rank_auc as auc_of, ranking_comparison as compare_rankings,
     reach_curve as reach_of, recency_baseline as recency_rules, reliability as bins_of,
     top_k as best_of)
@@ -297,3 +297,35 @@ def isotonic_fit(spark, sf_dir):
     pools = isotonic_pools(book(spark, sf_dir), "risk_pct", "lapsed")
     return pools.select("lo", "hi", F.col("total").cast("long").alias("lapsed"),
                         F.col("weight").cast("long").alias("entities"))
+
+
+@query(BOOK_SQL + f""",
+r AS (SELECT site, lapsed, row_number() OVER (PARTITION BY site ORDER BY risk DESC, player) AS rn FROM book),
+s AS (SELECT site, count(*) AS n, sum(lapsed) AS pos FROM book GROUP BY site),
+g AS (SELECT site, n, pos, b::DOUBLE AS budget, greatest(CAST(floor(b::DOUBLE * n + 0.5) AS BIGINT), 1) AS k
+      FROM s, (SELECT unnest({list(BUDGETS)}) AS b))
+SELECT site, budget, k AS contacted, sum(lapsed) FILTER (rn <= k)::BIGINT AS hits,
+       sum(lapsed) FILTER (rn <= k) / k AS precision,
+       CASE WHEN pos > 0 THEN sum(lapsed) FILTER (rn <= k) / pos END AS recall,
+       CASE WHEN pos > 0 THEN (sum(lapsed) FILTER (rn <= k) / k) / (pos / n) END AS lift
+FROM r JOIN g USING (site) GROUP BY site, budget, k, pos, n""")
+def site_budgets(spark, sf_dir):
+    """Hits, precision, recall and lift when every site contacts its own share."""
+    return group_budgets(book(spark, sf_dir), "lapsed", "risk", KEYS, ["site"])
+
+
+@query(BOOK_SQL + """,
+c AS (SELECT site, t / 100 AS threshold, count(*) FILTER (risk >= t / 100 AND lapsed = 1) AS tp,
+        count(*) FILTER (risk >= t / 100 AND lapsed = 0) AS fp,
+        count(*) FILTER (risk < t / 100 AND lapsed = 0) AS tn,
+        count(*) FILTER (risk < t / 100 AND lapsed = 1) AS fn
+      FROM book, range(5, 96) g(t) GROUP BY site, t),
+p AS (SELECT *, CASE WHEN tp + fp > 0 THEN tp / (tp + fp) ELSE 0 END AS precision,
+             CASE WHEN tp + fn > 0 THEN tp / (tp + fn) ELSE 0 END AS recall FROM c),
+f AS (SELECT *, CASE WHEN precision + recall > 0 THEN 2 * precision * recall / (precision + recall)
+          ELSE 0 END AS f1 FROM p)
+SELECT * EXCLUDE (rn) FROM (SELECT *, row_number() OVER (PARTITION BY site ORDER BY f1 DESC, threshold) AS rn FROM f)
+WHERE rn = 1""")
+def site_best_f1(spark, sf_dir):
+    """The best of 91 cut-points of every site, from one aggregate."""
+    return pick_f1(book(spark, sf_dir), "lapsed", "risk", ["site"])

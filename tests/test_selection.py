@@ -5,7 +5,7 @@ import random
 
 import pytest
 
-from opspark.operators.ranking import budget_curve
+from opspark.operators.ranking import budget_curve, group_budgets
 from opspark.operators.selection import column_percentiles, order_statistics
 
 
@@ -50,3 +50,19 @@ def test_budgets_equal_a_full_ranking(spark, levels):
     for r in budget_curve(df, "y", "p", ["k"], budgets).collect():
         k = max(1, math.floor(r.budget * 700 + 0.5))
         assert (r.contacted, r.hits) == (k, sum(x[0] for x in ranked[:k]))
+
+
+@pytest.mark.parametrize("hot", [10, 10_000])
+def test_budgets_of_every_group_in_one_pass(spark, hot):
+    rng = random.Random(5)
+    rows = [("a" if i % 3 else "b" if i % 2 else None, rng.randrange(2), rng.randrange(9) / 7, i)
+            for i in range(300)] + [("lone", 0, 0.5, 999)]
+    df = spark.createDataFrame(rows, "g string, y int, p double, k int").repartition(4)
+    got = group_budgets(df, "y", "p", ["k"], ["g"], [0.1, 0.5, 1.0], hot).collect()
+    assert len(got) == 12
+    for r in got:
+        mine = sorted((x for x in rows if x[0] == r.g), key=lambda x: (-x[2], x[3]))
+        k = max(1, math.floor(r.budget * len(mine) + 0.5))
+        hits, positives = sum(x[1] for x in mine[:k]), sum(x[1] for x in mine)
+        assert (r.contacted, r.hits, r.precision) == (k, hits, hits / k)
+        assert r.recall == (hits / positives if positives else None)
