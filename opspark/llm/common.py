@@ -46,12 +46,14 @@ def split_words(text: str | None) -> list[bytes]:
 
 
 def worker_cache(name: str, make, key=None):
-    """A value kept by a Python worker across tasks; another ``key`` takes its place."""
+    """A value kept by a Python worker across tasks. It holds one: a worker that goes on with
+    another operator, or the same with another ``key``, lets the old value go first."""
     kept = vars(sys).setdefault("_opspark_worker_cache", {})
-    if name not in kept or kept[name][0] != key:
-        kept.pop(name, None)  # the old value goes before the new one is made
-        kept[name] = key, make()
-    return kept[name][1]
+    if kept.get("of") != (name, key):
+        kept.clear()
+        kept["value"] = make()
+        kept["of"] = name, key
+    return kept["value"]
 
 
 ARROW_ROWS = 1000
