@@ -2,7 +2,8 @@
 
 Each document's distinct normalised lines (lower-case A-Z, single blanks) are
 hashed and counted per host. A line in more than ``line_share`` of the host's
-documents, and in more than ``line_docs`` of them, is boilerplate and is removed.
+documents, and in more than ``line_docs`` of them, is boilerplate and is removed; so
+is a line in more than ``line_most`` of them, however large the host.
 A document that loses more than ``lost_share`` of its words with them is depleted.
 Copies of one text count as one document, so a group of copies is no evidence of
 boilerplate: it is left to the stage that removes duplicates.
@@ -39,6 +40,7 @@ class Rules:
     max_repeat_pct: int = 50
     line_share: float = 0.1
     line_docs: int = 20
+    line_most: int = 10_000
     lost_share: float = 0.5
 
 
@@ -113,7 +115,8 @@ def frequent_lines(docs: DataFrame, host_col: str, text_col: str, rules: Rules)
     counts = stored(rows.groupBy("host", "line").agg(F.count("*").alias("n")), "lines")
     size = counts.filter("line IS NULL").select("host", F.col("n").alias("size"))
     over = (counts.filter((F.col("n") > rules.line_docs) & F.col("line").isNotNull())
-            .join(size, "host").filter(F.col("n") > F.col("size") * rules.line_share))
+            .join(size, "host").filter((F.col("n") > F.col("size") * rules.line_share)
+                                       | (F.col("n") > rules.line_most)))
     return stored(over.groupBy("host").agg(F.collect_list("line").alias("lines")), "frequent")
 
 
@@ -140,7 +143,7 @@ def screen(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     """One row per row of ``docs``: the figures, the verdict and the cleaned text.
 
     Columns: doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
-    base_failed, n_lost (words in removed lines), kept, clean_text (without the
+    base_failed, kept, n_lost (words in removed lines), clean_text (without the
     removed lines; the text itself where none goes). A null text is empty and
     fails; a null host is the host ''; repeated rows are judged alike. Further
     columns are ignored.
@@ -150,7 +153,7 @@ def screen(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     schema = pa.schema([
         ("doc_id", pa.int64()), ("n_words", pa.int64()), ("word_chars", pa.int64()),
         ("n_symbols", pa.int64()), ("n_dup_lines", pa.int64()), ("n_repeat_words", pa.int64()),
-        ("base_failed", pa.bool_()), ("n_lost", pa.int64()), ("kept", pa.bool_()),
+        ("base_failed", pa.bool_()), ("kept", pa.bool_()), ("n_lost", pa.int64()),
         ("clean_text", pa.string())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -158,7 +161,7 @@ def screen(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
             out = []
             for doc_id, text, lines in zip(*(c.to_pylist() for c in batch.columns)):
                 got, failed, lost, kept, clean = judge(text, lines, rules)
-                out.append((doc_id, *got, failed, lost, kept, clean))
+                out.append((doc_id, *got, failed, kept, lost, clean))
             if out:
                 yield batch_of(schema, **dict(zip(schema.names, zip(*out))))
 
@@ -168,7 +171,7 @@ def screen(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     return (rows.join(frequent, "host", "left").select("doc_id", "text", "lines")
             .mapInArrow(run, "doc_id long, n_words long, word_chars long, n_symbols long, "
                         "n_dup_lines long, n_repeat_words long, base_failed boolean, "
-                        "n_lost long, kept boolean, clean_text string"))
+                        "kept boolean, n_lost long, clean_text string"))
 
 
 def keep_good(docs: DataFrame, text_col: str = "text", host_col: str = "source",

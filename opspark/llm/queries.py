@@ -138,7 +138,7 @@ m AS (SELECT *, {LOWER_SQL.replace("text", "array_to_string(ls, ' ')", 1)} AS no
       WHERE len(ls) > 0),
 c AS (SELECT source, norm, count(DISTINCT copy) AS n FROM m GROUP BY 1, 2),
 h AS (SELECT source, count(DISTINCT md5(text)) AS size FROM w GROUP BY 1),
-o AS (SELECT source, norm FROM c JOIN h USING (source) WHERE n > 20 AND n > size * 0.1),
+o AS (SELECT source, norm FROM c JOIN h USING (source) WHERE n > 20 AND (n > size * 0.1 OR n > 10000)),
 x AS (SELECT doc_id, sum(len(ls)) AS lost FROM m SEMI JOIN o USING (source, norm) GROUP BY 1),
 f AS (
   SELECT w.doc_id, len(ws)::BIGINT AS n_words, length(array_to_string(ws, ''))::BIGINT AS word_chars,
@@ -146,8 +146,8 @@ f AS (
          coalesce(d.n, 0)::BIGINT AS n_dup_lines, coalesce(r.n, 0)::BIGINT AS n_repeat_words,
          coalesce(lost, 0)::BIGINT AS n_lost
   FROM w LEFT JOIN d USING (doc_id) LEFT JOIN r USING (doc_id) LEFT JOIN x USING (doc_id))
-SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed,
-       NOT (n_words < 50 OR 100 * n_repeat_words > 50 * n_words) AND n_lost <= 0.5 * n_words AS kept
+SELECT * EXCLUDE (n_lost), n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed,
+       NOT (n_words < 50 OR 100 * n_repeat_words > 50 * n_words) AND n_lost <= 0.5 * n_words AS kept, n_lost
 FROM f""")
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return screen(table(spark, sf_dir, "documents")).drop("clean_text")

@@ -235,6 +235,18 @@ def test_frequent_lines_go_and_depleted_documents_are_rejected(spark):
     assert got[105].kept and got[105].n_lost == 0 and got[200].base_failed
 
 
+def test_a_line_above_the_absolute_limit_goes_however_large_the_host(spark):
+    rng = random.Random(8)
+    line = "one line of a twentieth of this host"
+    for size in (400, 1200):
+        rows = [(i, " ".join(prose(rng, 60)) + ("\n" + line if i < 60 else ""), "h") for i in range(size)]
+        df = spark.createDataFrame(rows, "doc_id long, text string, source string")
+        lost = [r.doc_id for r in screen(df, rules=Rules(line_most=50)).filter("n_lost > 0").collect()]
+        assert sorted(lost) == list(range(60))
+        few = screen(df, rules=Rules(line_most=60)).filter("n_lost > 0").count()
+        assert few == (60 if size == 400 else 0)  # below it the share decides
+
+
 def test_odd_rows_do_not_break_screening(spark):
     docs = odd_docs(spark).selectExpr("*", "n_words AS source")
     assert screen(docs).count() == docs.count()
