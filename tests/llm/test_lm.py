@@ -2,6 +2,7 @@
 
 import random
 import zlib
+from collections import Counter
 
 import numpy as np
 from llm_cases import odd_docs
@@ -127,3 +128,35 @@ def test_the_file_layout_does_not_matter_and_training_goes_on_until_it_is_done(s
                                   "doc_id long, text string")
     mean = [np.mean([r.mean_score for r in score(fresh, m).collect()]) for m in (few, many)]
     assert abs(mean[0] - mean[1]) < 1e-4 and mean[0] > -np.log(8) * 0.7
+
+
+def test_scores_equal_a_plain_version(spark):
+    """Token by token: the network's log-probability, and a rare word's share of its bucket."""
+    rng = random.Random(11)
+    words = [f"W{min(int(rng.expovariate(0.15)), 60)}" for _ in range(3000)]
+    texts = [" ".join(words[i:i + rng.randrange(1, 90)]) for i in range(0, 2900, 60)] + ["", None, "New words w0"]
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(texts[:-1])], "doc_id long, text string")
+    model = train(docs.repartition(3), shape=SMALL, rounds=1)
+    counts = Counter(w for t in texts[:-1] if t for w in t.lower().split())
+    net, first = Network(SMALL, model.values), SMALL.symbols - SMALL.buckets
+    known = {w.decode(): i for i, w in enumerate(model.words)}
+
+    def symbol(w):
+        return known.get(w, first + zlib.crc32(w.encode()) % SMALL.buckets)
+
+    totals = Counter()
+    for w, n in counts.items():
+        if w not in known:
+            totals[symbol(w)] += n
+    everything = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string")
+    got = {r.doc_id: r for r in score(everything, model).collect()}
+    for i, t in enumerate(texts):
+        own = t.lower().split() if t else []
+        ids = [SMALL.symbols] * SIDE + [symbol(w) for w in own] + [SMALL.symbols] * SIDE
+        want = 0.0
+        for k, w in enumerate(own):
+            ctx = np.array([[ids[k], ids[k + 1], ids[k + 3], ids[k + 4]]])
+            want += float(net.forward(ctx, np.array([ids[k + 2]]))[0][0])
+            if w not in known:
+                want += np.log(counts[w] or 1) - np.log(totals[symbol(w)] + 1)
+        assert abs(got[i].score - want) < 1e-3 * max(1, len(own)) and got[i].n_tokens == len(own)
