@@ -176,12 +176,22 @@ class Symbols(dict):
         words = words_of(text)
         return np.fromiter(map(self.__getitem__, words), np.int32, len(words))
 
-    def rare(self, text: str | None) -> Counter:
-        """The words of ``text`` that have no symbol of their own, and how often."""
-        return Counter(w for w in words_of(text) if w not in self.known)
+    def with_rare(self, text: str | None) -> tuple[np.ndarray, Counter]:
+        """The symbols, and the words that have none of their own with how often they stand."""
+        words = words_of(text)
+        ids = np.fromiter(map(self.__getitem__, words), np.int32, len(words))
+        return ids, Counter([words[i] for i in np.flatnonzero(ids >= self.first).tolist()])
+
+
+class Given:
+    """Texts that are arrays of symbols already."""
 
+    @staticmethod
+    def of(ids: np.ndarray) -> np.ndarray:
+        return ids
 
-def chunks(texts: Iterable[str | bytes | None], symbols: Symbols | Ids, shape: Shape):
+
+def chunks(texts: Iterable, symbols: Symbols | Ids | type[Given], shape: Shape):
     """(contexts, targets, number of the text of each) in chunks of bounded size."""
     pad, held, owner, size = shape.symbols, [], [], 0
     gap = np.full(SIDE, pad, np.int32)
@@ -460,17 +470,18 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id",
             Network(model.shape, model.values), Symbols(model.words, model.shape)), model.key())
         # The bucket's part of log p(word | bucket); log n(word) comes from the table.
         within = np.concatenate([np.zeros(symbols.first), -np.log(model.totals + 1)])
-        for batch in slices(batches):
+        for batch in slices(batches, 256):
             n, texts = batch.num_rows, batch.column(2).to_pylist()
             total, count = np.zeros(n), np.zeros(n, np.int64)
-            for ctx, target, own in chunks(texts, symbols, model.shape):
+            found = [symbols.with_rare(t) for t in texts]
+            for ctx, target, own in chunks([ids for ids, _ in found], Given, model.shape):
                 for at in range(0, len(target), model.shape.chunk):
                     cut = slice(at, at + model.shape.chunk)
                     logp, _ = net.forward(ctx[cut], target[cut])
                     total += np.bincount(own[cut], logp + within[target[cut]], n)
                     count += np.bincount(own[cut], minlength=n)
-            rare = [symbols.rare(t) for t in texts]
             if n:
+                rare = [r for _, r in found]
                 yield batch_of(SCORES, uid=batch.column(0), doc_id=batch.column(1), n_tokens=count,
                                score=total, words=[list(r) for r in rare],
                                times=[list(r.values()) for r in rare])
