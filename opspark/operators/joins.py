@@ -140,8 +140,3 @@ def group_mean_baseline(train: DataFrame, test: DataFrame, group: Sequence[str],
     means = measured(train.groupBy(*group).agg(F.avg(target).alias(out)))
     grand = train.agg(F.avg(target).alias("grand")).scalar()
     return test.join(means, group, "left").withColumn(out, F.coalesce(F.col(out), grand))
-
-
-def total_of(df: DataFrame, value: Column) -> Column:
-    """A whole-table aggregate as a scalar subquery: one row by construction."""
-    return df.agg(value.alias("total")).scalar()

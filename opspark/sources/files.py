@@ -77,11 +77,6 @@ def append_increment(df: DataFrame, key: str, path: str):
     return spark.read.parquet(path).agg(F.max(key)).first()[0]
 
 
-def write_metrics(metrics: DataFrame, path: str) -> None:
-    """The run log as JSON lines."""
-    metrics.write.mode("overwrite").json(path)
-
-
 def part_manifest(df: DataFrame, key: str, parts: int) -> DataFrame:
     """(part, lo): ranges of ``key`` with about equal numbers of rows, for several tables.
 
