@@ -138,8 +138,14 @@ MODES = ("", "'''", '"""')  # outside strings, and inside the two kinds that spa
 CLOSE = {"'''": re.compile("'{3,5}"), '"""': re.compile(r'(?:\\.|[^"\\]|"(?!""))*"{3,5}')}
 
 
+PLAIN = re.compile(r"""'[^']*'|"(?:\\.|[^"\\])*"|\#.*""")  # strings of one line, and comments
+
+
 def line_state(line: str, mode: str) -> tuple[str, int]:
     """(mode after the line, brackets opened less those closed)."""
+    if not mode and "'''" not in line and '"""' not in line:
+        line = PLAIN.sub("", line)
+        return mode, line.count("[") - line.count("]")
     at = depth = 0
     while True:
         if mode:
