@@ -8,7 +8,7 @@ from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import (
     DecisionTreeClassifier, GBTClassifier, LogisticRegression, RandomForestClassifier)
 from pyspark.ml.feature import (
-    Imputer, OneHotEncoder, StandardScaler, StringIndexer, VectorAssembler)
+    Bucketizer, Imputer, OneHotEncoder, StandardScaler, StringIndexer, VectorAssembler)
 from pyspark.ml.regression import (
     DecisionTreeRegressor, GBTRegressor, LinearRegression, RandomForestRegressor)
 from pyspark.sql import DataFrame
@@ -25,6 +25,8 @@ SEED = 42
 # Model sizes as (iterations or trees, depth).
 FULL_SIZE = {"gbt": (120, 5), "forest": (150, 8), "tree": (1, 8)}
 FULL_REGRESSION = {"gbt": (60, 5), "forest": (100, 10), "tree": (1, 8)}
+BINS = 32  # values of a feature that MLlib's trees tell apart (its maxBins)
+PIECES = 4  # rows of training, at most, for the rows that fall into the same bins
 
 
 def as_doubles(df: DataFrame, cols: Sequence[str]) -> DataFrame:
@@ -92,10 +94,50 @@ def classifier(kind: str, size: Mapping[str, tuple[int, int]] = FULL_SIZE,
     return _trees("classify", kind, size, **columns)
 
 
+def bin_edges(df: DataFrame, cols: Sequence[str]) -> dict[str, list[float]]:
+    """Where the bins of each column begin: at its values, if they are few, else at quantiles."""
+    inf = float("inf")
+    about = df.agg(*[F.approx_count_distinct(c).alias(c) for c in cols]).first()
+    edges = {}
+    for c in cols:
+        if about[c] <= 2 * BINS:
+            values = sorted(r[0] for r in df.select(c).distinct().dropna().collect())
+            if len(values) <= BINS:
+                edges[c] = values
+                continue
+        edges[c] = df.stat.approxQuantile(c, [i / BINS for i in range(BINS)], 0.001)
+    # The first bin goes on downwards; a column without values has one bin.
+    return {c: [-inf, *sorted({v for v in found[1:] if v == v and abs(v) < inf}), inf]
+            for c, found in edges.items()}
+
+
+def binned(cols: Sequence[str], edges: Mapping[str, Sequence[float]], out: str) -> PipelineModel:
+    """A vector of the numbers of the bins that ``cols`` fall into."""
+    names = {c: f"{c}_bin" for c in cols}
+    return PipelineModel(stages=[
+        Bucketizer(inputCols=list(names), outputCols=list(names.values()), handleInvalid="keep",
+                   splitsArray=[list(edges[c]) for c in cols]),
+        _assemble(list(names.values()), out, handleInvalid="keep")])
+
+
+def bin_cells(train: DataFrame, label: str, features: str = "features") -> DataFrame:
+    """Rows in the same bins as at most ``PIECES`` rows: features, weight w and mean label.
+
+    Trees can't tell rows in the same bins apart, and what the labels of a cell vary by
+    among themselves is the same on both sides of any split: a fit on the cells finds the
+    splits of a fit on all rows. Bootstraps draw pieces, not rows.
+    """
+    piece = F.monotonically_increasing_id() % PIECES
+    return train.groupBy(features, piece.alias("_piece")).agg(
+        F.count(label).cast("double").alias("w"), F.avg(label).alias(label)).drop("_piece")
+
+
 def regressor(kind: str, size: Mapping[str, tuple[int, int]] = FULL_REGRESSION,
-              label: str = "label", features: str = "features", reg: float = 0.0):
+              label: str = "label", features: str = "features", reg: float = 0.0,
+              weight: str | None = None):
     """linear (ridge with ``reg``), gbt, forest or tree."""
-    columns = {"featuresCol": features, "labelCol": label}
+    columns = {"featuresCol": features, "labelCol": label,
+               **({"weightCol": weight} if weight else {})}
     if kind == "linear":
         return LinearRegression(regParam=reg, **columns)
     return _trees("predict", kind, size, **columns)
@@ -243,11 +285,16 @@ def target_models(df: DataFrame, targets: Mapping[str, str], cols: Sequence[str]
     the logarithm (of one plus the target) of the train rows that have a target of zero or
     more, and its predictions are turned back and held inside what train had. The baseline
     is the group's mean in train, or the mean of all where train lacks the group: nothing of
-    a test row is used but its features.
+    a test row is used but its features. Trees are fitted on cells of binned features
+    (``bin_cells``), so that their work follows the cells and not the rows.
     """
-    prep, _ = numeric_pipeline(cols, scale=kind == "linear")
+    prep, slots = numeric_pipeline(cols, scale=kind == "linear")
     ready = as_doubles(df, cols)
     ready = cut(prep.fit(ready.filter("fold = 'train'")).transform(ready))
+    trees = kind != "linear"
+    if trees:
+        edges = bin_edges(ready.filter("fold = 'train'"), slots)
+        ready = binned(slots, edges, "features").transform(ready.drop("features"))
     out = None
     for task, target in targets.items():
         rows = ready.filter(F.col(target) >= 0).withColumns(
@@ -256,8 +303,16 @@ def target_models(df: DataFrame, targets: Mapping[str, str], cols: Sequence[str]
         span = train.agg(F.min("_log").alias("lo"), F.max("_log").alias("hi")).first()
         if span.lo is None:
             continue
-        model = regressor(kind, size, "_log", reg=0.1 if kind == "linear" else 0.0).fit(train)
-        pred = model.transform(test).withColumn("pred", invert_log("prediction", *span))
+        if trees:
+            model = regressor(kind, size, "_log", weight="w").fit(cut(bin_cells(train, "_log")))
+        else:
+            model = regressor(kind, size, "_log", reg=0.1).fit(train)
+        if trees:  # a cell's rows have one prediction
+            seen = model.transform(test.select("features").distinct())
+            pred = test.join(seen, "features")
+        else:
+            pred = model.transform(test)
+        pred = pred.withColumn("pred", invert_log("prediction", *span))
         based = group_mean_baseline(train, pred, [group], "truth")
         part = based.select("task", group, *keep, "truth", "pred", "baseline")
         out = part if out is None else out.unionByName(part)

@@ -5,7 +5,8 @@ from pyspark.sql import functions as F
 
 from opspark.plans import clustering
 from opspark.plans.clustering import View, canonical, segment_entities
-from opspark.plans.models import target_models
+from opspark.plans.models import (
+    BINS, PIECES, bin_cells, bin_edges, binned, regressor, target_models)
 
 
 @pytest.fixture(scope="module")
@@ -63,3 +64,39 @@ def test_targets_learn_from_train_rows_only(spark):
     off = [abs(r.pred - r.truth) for r in got if r.task == "t" and r.site == "a"]
     base = [abs(r.baseline - r.truth) for r in got if r.task == "t" and r.site == "a"]
     assert sum(off) < sum(base) / 5
+
+
+def test_trees_are_fitted_on_cells_of_all_rows(spark):
+    rows = [(float(i % 3), float(i) if i % 50 else None, float(i % 7)) for i in range(4000)]
+    df = spark.createDataFrame(rows, "few double, many double, y double").repartition(3).cache()
+    edges = bin_edges(df, ["few", "many"])
+    assert edges["few"] == [float("-inf"), 1.0, 2.0, float("inf")]
+    assert len(edges["many"]) == BINS + 1
+    ready = binned(["few", "many"], edges, "features").transform(df)
+    cells = bin_cells(ready, "y").collect()
+    # 32 bins and one for rows without a value, beside each of three values
+    assert len(cells) <= 3 * 33 * PIECES < len(rows)
+    assert sum(r.w for r in cells) == len(rows)
+    assert abs(sum(r.w * r.y for r in cells) - sum(r[2] for r in rows)) < 1e-6
+    seen = sorted(df.filter("many >= 0").select("many").rdd.map(lambda r: r[0]).collect())
+    assert seen[0] < edges["many"][1] < edges["many"][-2] <= seen[-1]
+
+
+def test_a_tree_on_cells_predicts_as_one_on_rows(spark):
+    rows = [(float(i % 4), float(i % 9), (i % 4) * 10.0 + (i % 9 > 4) * 3 + i % 2) for i in range(1800)]
+    df = spark.createDataFrame(rows, "a double, b double, y double")
+    ready = binned(["a", "b"], bin_edges(df, ["a", "b"]), "features").transform(df).cache()
+    size = {"tree": (1, 3)}
+    plain = regressor("tree", size, "y").fit(ready)
+    cells = regressor("tree", size, "y", weight="w").fit(bin_cells(ready, "y"))
+    one, two = (m.transform(ready.select("features").distinct()).select(
+        "features", "prediction").rdd.map(tuple).collectAsMap() for m in (plain, cells))
+    assert len(one) == 36 and all(abs(one[k] - two[k]) < 1e-9 for k in one)
+
+
+def test_predictions_of_a_cell_reach_each_of_its_rows(spark):
+    rows = [("a", float(i % 2), float(i % 2), "train") for i in range(40)]
+    rows += [("a", float(i % 2), 5.0, "test") for i in range(60)]
+    df = spark.createDataFrame(rows, "site string, x double, t double, fold string")
+    got = target_models(df, {"t": "t"}, ["x"], "site", "tree", {"tree": (1, 3)}).collect()
+    assert sorted(round(r.pred, 6) for r in got) == [0.0] * 30 + [1.0] * 30
