@@ -1,6 +1,7 @@
 """Files, logs, tables, databases and streams on small fixtures."""
 
 import random
+import re
 import sqlite3
 import tomllib
 
@@ -9,6 +10,7 @@ from conftest import rows
 from pyspark.sql import functions as F
 
 from opspark.session import cut, measured, scratch_path, shared_folder
+from opspark.sources import logs
 from opspark.sources.database import export, split_ranges, split_read
 from opspark.sources.files import (
     append_increment, incremental, materialise, part_manifest, read_csv, scan, scan_parts, write_csv,
@@ -293,3 +295,56 @@ def test_a_stopped_consumer_goes_on_and_another_reads_all(spark, tmp_path):
     assert rows(run_available(totals, place, state)) == want
     assert rows(run_available(totals, str(tmp_path / "two"), str(tmp_path / "two-state"))) == want
     assert run_batches(totals, str(tmp_path / "three"), str(tmp_path / "three-state"), 99) == 6
+
+
+def test_simple_records_read_as_toml_reads_them(monkeypatch):
+    simple = [
+        b'[h1]\nhand = 7\nx = -0\ny = -0.0\nz = 1.50\nok = true\ns = "inf # [a] = \xc3\xa9"\n'
+        b'a = []\nb = [inf, 100, -2.5]\nc = ["inf", "d,db"]\nd = inf\n\n', b"[h-2]\n\nx = 1"]
+    odd = [b"[h1]\nx = 1\nx = 2", b"[h1]\nx = Infinity", b"[h1]\nx = null", b"[h1]\nx = 01",
+           b"[h1]\nx = 1_0", b"[h1]\nx = 1 # c", b'[h1]\nx = "a\\u0041"', b'[h1]\nx = "a\tb"',
+           b'[h1]\nx = "\x7f"', b'[h1]\nx = ["a", 1]', b"[h1]\nx = [1, 2,]", b"[h1]\nx = -inf",
+           b"[h.g]\nx = 1", b'["h 1"]\nx = 1', b"x = 1", b"[h1]", b"[h1]\nx = {a = 1}",
+           b'[h1]\nx = "\xff"', b"[h1]\nx = 1e3", b"[h1]\ntrue = 1\nx = [[1], [2]]"]
+
+    def read(load, text):
+        try:
+            return repr(load(text))
+        except ValueError as error:
+            return type(error).__name__
+
+    for text in simple + odd:
+        assert read(logs._loads, text) == read(lambda t: tomllib.loads(t.decode("utf-8")), text), text
+    monkeypatch.setattr(logs.tomllib, "loads", lambda text: {})
+    assert all(logs._loads(text) for text in simple)  # without the slow reader
+
+
+def test_lines_without_brackets_are_not_looked_into(monkeypatch):
+    seen = []
+    found = logs.line_state
+    monkeypatch.setattr(logs, "line_state", lambda line, mode: seen.append(line) or found(line, mode))
+    one = logs.Range("p", 0)
+    for line in (b"[h1]", b"x = 1", b'y = "a', b"z = [", b"1]", b"t = '''[", b"]", b"'''"):
+        one.add(line)
+    assert (one.mode, one.depth) == ("", 0)
+    assert one.others == {"": ["", 0], "'''": ["'''", 0], '"""': ['"""', 0]}
+    assert "x = 1" not in seen and seen.count("z = [") == 1
+
+
+def test_path_columns_where_folders_lack(spark):
+    paths = ["/l/venue=a/stake=2/f", "/l/b-2009/0.5/f", "2/f", "f", "/2/f", "b//f", "b/2/", "", "//", None]
+    got = with_path_meta(spark.createDataFrame([(i, p) for i, p in enumerate(paths)], "i int, path string"))
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert "regexp_extract" not in plan  # tries every place of a path
+    old = {i: (re.search("([^/]+)/[^/]+$", p), re.search("([^/]+)/[^/]+/[^/]+$", p))
+           for i, p in enumerate(paths) if p is not None}
+    for r in got.collect():
+        if r.path is None:
+            assert (r.site, r.venue_dir, r.stake) == (None, None, None)
+            continue
+        parent, grand = (m.group(1) if m else "" for m in old[r.i])
+        if grand.startswith("venue="):
+            assert (r.site, r.venue_dir) == (grand[6:], None)
+        else:
+            assert (r.site, r.venue_dir) == (grand.split("-")[0], grand)
+        assert r.stake == {"stake=2": 2.0, "0.5": 0.5, "2": 2.0}.get(parent)
