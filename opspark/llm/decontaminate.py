@@ -239,10 +239,10 @@ def decontaminate(docs: DataFrame, items: DataFrame, text_col: str = "text",
                   block_chars: int = BLOCK_CHARS) -> DataFrame:
     """The rows of ``docs`` that hold no item, with all their columns as they were.
 
-    Null and empty texts stay; repeated rows stay or go together.
+    As in ``flag_leaks``, a column named ``leaks`` before does not come back. Null and empty texts stay; repeated rows stay or go together.
     """
     flagged = _flagged(docs, items, text_col, item_id, item_text, error_pct, block_chars)
-    return uncarried(flagged.filter(F.size("leaks") == 0), docs.columns)
+    return uncarried(flagged.filter(F.size("leaks") == 0), [c for c in docs.columns if c != "leaks"])
 
 
 def leaks(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text",
