@@ -70,7 +70,8 @@ class Chunks:
             self.memo, self.old = {}, self.memo
         memo, old = self.memo, self.old
         cuts = [None if any(s in t for s in self.special) else self.CUT.findall(t) for t in texts]
-        unseen = set().union(*filter(None, cuts)) - memo.keys()
+        # Not ``- memo.keys()``, which goes through the whole memo.
+        unseen = set().union(*filter(None, cuts)).difference(memo)
         fresh = []
         for chunk in unseen:
             if chunk in old:
@@ -149,7 +150,7 @@ def write_sequences(docs: DataFrame, tokenizer_path: str, folder: str | None = N
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         chunks = worker_cache(f"chunks-{hash(source.value)}", lambda: Chunks(source.value))
-        end = np.array([end_id], chunks.dtype)
+        end = np.array([end_id], chunks.dtype).tobytes()
         part, out = TaskContext.get().partitionId(), None
         name = f"{folder}/part-{part:06d}-{uuid.uuid4().hex}.arrow"
         for batch in batches:
@@ -157,7 +158,7 @@ def write_sequences(docs: DataFrame, tokenizer_path: str, folder: str | None = N
                 rows = batch.slice(at, 256)
                 found = chunks.encode([t or "" for t in rows.column(1).to_pylist()])
                 out = out or SequenceWriter(name, chunks.dtype, seq_len)
-                out.add([(i, np.concatenate([np.frombuffer(b, chunks.dtype), end]))
+                out.add([(i, np.frombuffer(b + end, chunks.dtype))
                          for i, b in zip(rows.column(0).to_pylist(), found)])
         if out:
             out.close()
