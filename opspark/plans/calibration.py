@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import partial
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from opspark.operators.isotonic import apply_pools, isotonic_pools
 from opspark.operators.ranking import reliability
-from opspark.plans.models import FULL_SIZE, fit_classifier, score
+from opspark.plans.models import FULL_SIZE, fit_classifier, score, side_by_side
 from opspark.session import cut
 
 TOLERANCE = 0.03
@@ -32,10 +33,12 @@ def calibrate(df: DataFrame, label: str, key: Sequence[str], cols: Sequence[str]
     """
     train = df.filter("fold = 'train'")
     keep = [*key, "fold", label]
-    weighted, _ = fit_classifier(train, "gbt", cols, indicators, dummies, label, True, size,
-                                 forbidden=forbidden)
-    plain, _ = fit_classifier(train, "gbt", cols, indicators, dummies, label, False, size,
-                              forbidden=forbidden)
+
+    def fit(balanced):
+        return fit_classifier(train, "gbt", cols, indicators, dummies, label, balanced, size,
+                              forbidden=forbidden)[0]
+
+    weighted, plain = side_by_side(df, [partial(fit, True), partial(fit, False)])
     both = score(plain, weighted_scores(weighted, df), [*keep, "risk_weighted"], "risk_uncal")
     both = cut(both)
     test = both.filter("fold = 'test'")

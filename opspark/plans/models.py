@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
+from functools import partial
+from multiprocessing.pool import ThreadPool
 
+from pyspark import inheritable_thread_target
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import (
     DecisionTreeClassifier, GBTClassifier, LogisticRegression, RandomForestClassifier)
@@ -168,6 +171,15 @@ def fit_classifier(train: DataFrame, kind: str, cols: Sequence[str],
     return Pipeline(stages=[*prep.getStages(), est]).fit(train), slots
 
 
+def side_by_side(df: DataFrame, jobs: Sequence[Callable]) -> list:
+    """What each job returns. They run at once, as fits in a cross-validation do: a fit is many
+    short stages, and while one waits for its last task the others use the free cores."""
+    if not jobs:
+        return []
+    with ThreadPool(len(jobs)) as pool:
+        return pool.map(lambda job: inheritable_thread_target(df.sparkSession)(job)(), jobs)
+
+
 def score(model: PipelineModel, df: DataFrame, keep: Sequence[str],
           out: str = "risk") -> DataFrame:
     """One row per entity with its probability, not rounded."""
@@ -263,15 +275,18 @@ def ablation(df: DataFrame, label: str, key: Sequence[str],
     ``df`` has a fold column. One fit per set, a handful of them. Only the sets
     named in ``leaky`` may use forbidden columns.
     """
-    out = None
     train, test = df.filter("fold = 'train'"), df.filter("fold = 'test'")
-    for name, cols in feature_sets.items():
+
+    def one(name: str, cols: Sequence[str]) -> DataFrame:
         model, _ = fit_classifier(train, kind, cols, label=label, size=size,
                                   forbidden=() if name in leaky else forbidden)
         scored = cut(score(model, test, [*key, label]))
-        row = rank_auc(scored, label, "risk", key).select(
+        return rank_auc(scored, label, "risk", key).select(
             F.lit(name).alias("features"), F.lit(len(cols)).alias("n_features"),
             "roc_auc", "avg_precision")
+
+    out = None
+    for row in side_by_side(df, [partial(one, *named) for named in feature_sets.items()]):
         out = row if out is None else out.unionByName(row)
     return out
 

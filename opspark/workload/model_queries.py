@@ -6,6 +6,8 @@ within one.
 
 from __future__ import annotations
 
+from functools import partial
+
 from pyspark.ml import PipelineModel
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import Window as W
@@ -25,7 +27,7 @@ from opspark.plans.clustering import View, compare, prepare, segment_entities, s
 from opspark.plans.models import (
     ablation, as_doubles, category_pipeline, classifier, evaluate_regression, fit_classifier,
     importance as importance_of, importance_by_source, numeric_pipeline, regressor, score,
-    scorecard as card_of, target_models, vector_slots)
+    scorecard as card_of, side_by_side, target_models, vector_slots)
 from opspark.session import cut
 from opspark.workload.activity_queries import PRIOR_SQL
 from opspark.workload.bindings import ACT_SQL, KEYS, LIFETIME, PRIOR, act, book, table
@@ -38,9 +40,13 @@ HINDSIGHT = LIFETIME.tagged("lifetime")
 LEAKS = [*PRIOR.later(), *LIFETIME.later()]
 
 
-def _features(spark, sf_dir):
-    """(features as doubles with label and fold, indicators, site dummies); stored for the fits."""
-    g = feature_table(act(spark, sf_dir), PRIOR, "p_rows", MIN_ROWS)
+def _features(spark, sf_dir, columns=None):
+    """(features as doubles with label and fold, indicators, site dummies); stored for the fits.
+
+    With ``columns`` only these and the label are worked out.
+    """
+    spec = PRIOR if columns is None else PRIOR.only([*columns, "p_rows", "lapsed"])
+    g = feature_table(act(spark, sf_dir), spec, "p_rows", MIN_ROWS)
     g = hash_fold(g.withColumn("label", F.col("lapsed").cast("double")), KEYS)
     g = cut(as_doubles(g, CORE))
     g, indicators = null_indicators(g, CORE)
@@ -141,15 +147,17 @@ def check_models(spark, sf_dir):
 @query()
 def lapse_models(spark, sf_dir):
     """Four classifiers beside the recency ranking that needs no training."""
-    g, indicators, dummies = _features(spark, sf_dir)
+    g, indicators, dummies = _features(spark, sf_dir, CORE)
     train, test = g.filter("fold = 'train'"), g.filter("fold = 'test'")
     out = rank_auc(test, "lapsed", "p_recency_days", KEYS).withColumn("model", F.lit("recency"))
-    for kind in ("logistic", "tree", "forest", "gbt"):
-        model, _ = fit_classifier(train, kind, CORE, indicators, dummies,
-                                  forbidden=LEAKS)
+
+    def one(kind):
+        model, _ = fit_classifier(train, kind, CORE, indicators, dummies, forbidden=LEAKS)
         scored = cut(score(model, test, [*KEYS, "lapsed"]))
-        out = out.unionByName(rank_auc(scored, "lapsed", "risk", KEYS).withColumn(
-            "model", F.lit(kind)))
+        return rank_auc(scored, "lapsed", "risk", KEYS).withColumn("model", F.lit(kind))
+
+    for row in side_by_side(g, [partial(one, kind) for kind in ("logistic", "tree", "forest", "gbt")]):
+        out = out.unionByName(row)
     return out
 
 
@@ -227,8 +235,8 @@ def importance(spark, sf_dir):
 @query()
 def leakage_ablation(spark, sf_dir):
     """One model on a floor, on lifetime rates that saw the label week, and on prior features."""
-    g, _, _ = _features(spark, sf_dir)
-    life = feature_table(act(spark, sf_dir), LIFETIME, "rows", 1).select(
+    g, _, _ = _features(spark, sf_dir, CORE)
+    life = feature_table(act(spark, sf_dir), LIFETIME.only([*HINDSIGHT, "rows"]), "rows", 1).select(
         *KEYS, *HINDSIGHT)
     both = cut(as_doubles(g.join(life, KEYS, "left"), HINDSIGHT))
     return ablation(both, "label", KEYS, {
@@ -239,7 +247,7 @@ def leakage_ablation(spark, sf_dir):
 @query()
 def calibrate(spark, sf_dir):
     """Weighted, unweighted and isotonic probabilities: how far each is off, per fold."""
-    g, indicators, dummies = _features(spark, sf_dir)
+    g, indicators, dummies = _features(spark, sf_dir, CORE)
     _, report = calibrate_scores(g, "label", KEYS, CORE, indicators, dummies,
                                  forbidden=LEAKS)
     return report

@@ -11,7 +11,7 @@ from opspark.operators.split import hash_fold
 from opspark.plans.calibration import calibrate
 from opspark.plans.clustering import compare, prepare, sweep_k
 from opspark.plans.models import (
-    assert_no_leak, fit_classifier, importance, score, scorecard)
+    assert_no_leak, fit_classifier, importance, score, scorecard, side_by_side)
 
 
 SMALL_SIZE = {"gbt": (5, 3), "forest": (8, 4), "tree": (1, 4)}  # for the tests' speed
@@ -73,3 +73,16 @@ def test_clusters(spark):
     assert c["agreement"] == 1.0 and not c["collapsed"]
     one = spark.range(20).select("id", F.lit(1.0).alias("a"), F.lit(2.0).alias("b"))
     assert compare(prepare(one, ["a", "b"], ["id"]), 2, ["id"]).first()["collapsed"]
+
+
+def test_jobs_run_at_once_and_answer_in_order(table):
+    from threading import Barrier
+
+    both = Barrier(2)  # passed only if the two jobs run at the same time
+
+    def job(side):
+        both.wait(60)
+        return table.filter(F.col("site") == side).count()
+
+    assert side_by_side(table, [lambda: job("a"), lambda: job("b")]) == [300, 300]
+    assert side_by_side(table, []) == []

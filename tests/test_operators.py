@@ -316,3 +316,19 @@ def test_fold_is_stable(spark):
     df = hash_fold(spark.range(1000), ["id"])
     n = df.filter("fold = 'test'").count()
     assert 200 < n < 300 and rows(df) == rows(hash_fold(spark.range(1000), ["id"]))
+
+
+def test_only_the_declarations_that_are_needed(spark, sf):
+    whole = {tuple(r): r for r in feature_table(act(spark, sf), PRIOR, "p_rows", 5).select(
+        "site", "player", "lapsed", *PRIOR.tagged("core")).collect()}
+    spec = PRIOR.only([*PRIOR.tagged("core"), "p_rows", "lapsed"])
+    part = feature_table(act(spark, sf), spec, "p_rows", 5)
+    assert {tuple(r) for r in part.select("site", "player", "lapsed", *PRIOR.tagged("core")).collect()} == set(whole)
+    assert "p_avg_stack" not in part.columns and "p_max_resources" not in part.columns
+
+
+def test_conditions_that_differ_in_signs_alone_are_two_figures(spark):
+    spec = activity.Spec(figures=[activity.Figure("low", where="x < 2"), activity.Figure("high", where="x > 2")])
+    df = spark.createDataFrame([("s", "a", 1, 1), ("s", "a", 1, 3), ("s", "a", 2, 4)],
+                               "site string, player string, day int, x int")
+    assert rows(entity_figures(df, spec), "low", "high") == [(1, 2)]
