@@ -236,13 +236,42 @@ def _links(pairs: DataFrame, sets: DataFrame) -> DataFrame:
             .mapInArrow(confirm, "a long, b long"))
 
 
+MOST_BITS = 28  # the bit table's size is at most 2^28 bits (32 MB), whatever the corpus' size
+BITMAP = 1 << 15  # bits in one of Spark's bitmaps
+
+
+def may_hold(source: DataFrame, wanted: DataFrame) -> DataFrame:
+    """The rows of ``source`` (doc_id, text) whose doc_id has its bit in a table of the wanted ones.
+
+    None of these is lost, and at sixteen bits for each wanted id few others stay, so a join
+    with ``wanted`` has no need to shuffle all texts.
+    """
+    bits = 1 << min(MOST_BITS, max(15, (16 * wanted.count()).bit_length()))
+    at = F.pmod(F.xxhash64("doc_id"), F.lit(bits))
+    table = np.zeros(bits // 8, np.uint8)
+    found = wanted.select((at + 1).alias("at")).groupBy(F.bitmap_bucket_number("at").alias("part")).agg(
+        F.bitmap_construct_agg(F.bitmap_bit_position("at")).alias("v"))
+    for r in found.toLocalIterator():  # at most 4 kB a row, and the table in all
+        first = (r.part - 1) * BITMAP // 8
+        table[first:first + len(r.v)] = np.frombuffer(r.v, np.uint8)
+    held = source.sparkSession.sparkContext.broadcast(table)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            place = batch.column(2).to_numpy()
+            kept = (held.value[place >> 3] >> (place & 7).astype(np.uint8)) & 1
+            yield batch.select([0, 1]).filter(pa.array(kept.astype(bool)))
+
+    return source.select("doc_id", "text", at.alias("at")).mapInArrow(run, "doc_id long, text string")
+
+
 def _sets(source: DataFrame, nodes: DataFrame, pairs: DataFrame) -> DataFrame:
     """(nid, found), stored: the full sets of the nodes in ``pairs`` (a, b, or nid)."""
     ends = pairs if "nid" in pairs.columns else pairs.select(F.explode(F.array("a", "b")).alias("nid"))
-    # Stored, so that Catalyst knows its size: a short list of ids needs no shuffle of texts.
+    # Stored, as it is read three times.
     wanted = stored(nodes.join(ends.distinct(), "nid", "left_semi")
                     .select(F.col("rep").alias("doc_id"), "nid", "d1", "d2"), "wanted")
-    sets = (source.join(wanted, "doc_id").select("nid", "d1", "d2", "text")
+    sets = (may_hold(source, wanted).join(wanted, "doc_id").select("nid", "d1", "d2", "text")
             .mapInArrow(full_sets, "nid long, found binary"))
     unnamed = wanted.filter("doc_id IS NULL")
     if not unnamed.isEmpty():  # a node whose texts have no id finds its set by its digests
