@@ -28,7 +28,7 @@ from opspark.plans.models import (
     ablation, as_doubles, category_pipeline, classifier, evaluate_regression, fit_classifier,
     importance as importance_of, importance_by_source, numeric_pipeline, regressor, score,
     scorecard as card_of, side_by_side, target_models, vector_slots)
-from opspark.session import cut
+from opspark.session import cut, packed
 from opspark.workload.activity_queries import PRIOR_SQL
 from opspark.workload.bindings import ACT_SQL, KEYS, LIFETIME, PRIOR, act, book, table
 from opspark.workload.quality_queries import MIN_ROWS
@@ -48,7 +48,7 @@ def _features(spark, sf_dir, columns=None):
     spec = PRIOR if columns is None else PRIOR.only([*columns, "p_rows", "lapsed"])
     g = feature_table(act(spark, sf_dir), spec, "p_rows", MIN_ROWS)
     g = hash_fold(g.withColumn("label", F.col("lapsed").cast("double")), KEYS)
-    g = cut(as_doubles(g, CORE))
+    g = packed(cut(as_doubles(g, CORE)))
     g, indicators = null_indicators(g, CORE)
     g, dummies = one_hot(g, "site", REFERENCE_SITE)
     return g, indicators, dummies
@@ -238,7 +238,7 @@ def leakage_ablation(spark, sf_dir):
     g, _, _ = _features(spark, sf_dir, CORE)
     life = feature_table(act(spark, sf_dir), LIFETIME.only([*HINDSIGHT, "rows"]), "rows", 1).select(
         *KEYS, *HINDSIGHT)
-    both = cut(as_doubles(g.join(life, KEYS, "left"), HINDSIGHT))
+    both = packed(cut(as_doubles(g.join(life, KEYS, "left"), HINDSIGHT)))
     return ablation(both, "label", KEYS, {
         "floor": ["p_rows", "p_tenure_days"], "lifetime": HINDSIGHT,
         "prior": CORE}, forbidden=LEAKS, leaky=["lifetime"])

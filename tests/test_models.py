@@ -3,7 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from opspark.workload.model_queries import CORE, LEAKS, RICH
+from opspark.workload.model_queries import CORE, LEAKS, RICH, SITES, _features
 from opspark.operators.metrics import class_weights
 from opspark.operators.quality import null_indicators
 from opspark.operators.ranking import rank_auc
@@ -12,6 +12,7 @@ from opspark.plans.calibration import calibrate
 from opspark.plans.clustering import compare, prepare, sweep_k
 from opspark.plans.models import (
     assert_no_leak, fit_classifier, importance, score, scorecard, side_by_side)
+from opspark.session import LEAST_ROWS, packed
 
 
 SMALL_SIZE = {"gbt": (5, 3), "forest": (8, 4), "tree": (1, 4)}  # for the tests' speed
@@ -86,3 +87,22 @@ def test_jobs_run_at_once_and_answer_in_order(table):
 
     assert side_by_side(table, [lambda: job("a"), lambda: job("b")]) == [300, 300]
     assert side_by_side(table, []) == []
+
+
+def test_fits_read_few_partitions(spark, tmp_path):
+    """A fit's table has the partitions that its rows call for, not those of the shuffle before it."""
+    ts = F.timestamp_seconds(F.lit(1704067200) + F.col("id") % 30 * 86400 + F.col("id") % 23 * 3600)
+    spark.range(6000).select(
+        F.col("id").alias("event_id"), ts.alias("ts"), (F.col("id") % 37).alias("user_id"),
+        F.element_at(F.array(*map(F.lit, SITES)), (F.col("id") % 5 + 1).cast("int")).alias("event_type"),
+        (F.col("id") % 91).cast("double").alias("value"),
+        F.concat(F.lit('{"k": '), (F.col("id") % 97).cast("string"), F.lit("}")).alias("props")
+    ).write.parquet(str(tmp_path / "events.parquet"))
+    g, _, _ = _features(spark, str(tmp_path), CORE)
+    assert g.count() == 185 and g.rdd.getNumPartitions() == 1
+    cores = spark.sparkContext.defaultParallelism
+    for rows, parts in ((0, 1), (LEAST_ROWS - 1, 1), (3 * LEAST_ROWS, min(3, cores)),
+                        (2 * cores * LEAST_ROWS, cores)):
+        df = packed(spark.range(0, rows, 1, 50))
+        assert df.rdd.getNumPartitions() == parts
+        assert df.agg(F.count("*"), F.sum("id")).first() == (rows, sum(range(rows)) if rows else None)
