@@ -34,7 +34,7 @@ import zlib
 from collections import Counter
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field, replace
-from itertools import groupby
+from itertools import compress, groupby
 
 import numpy as np
 import pyarrow as pa
@@ -93,62 +93,90 @@ class Network:
     """Parameters as views of one vector; log-probabilities and gradients of chunks."""
 
     def __init__(self, shape: Shape, values: np.ndarray):
-        self.shape, self.values, at = shape, values.astype(np.float32), 0
-        self.part: dict[str, np.ndarray] = {}
-        for name, size in shape.sizes().items():
-            n = int(np.prod(size))
-            self.part[name] = self.values[at:at + n].reshape(size)
-            at += n
-
+        self.shape, self.values = shape, values.astype(np.float32)
+        self.part = self.views(self.values)
         self._ones = np.ones(max(shape.chunk * 5, shape.classes, shape.members), np.float32)
 
-    def _shares(self, logits: np.ndarray, bias: np.ndarray) -> np.ndarray:
-        """Softmax of each row, in place. Sums over short rows are products with ones."""
+    def views(self, values: np.ndarray) -> dict[str, np.ndarray]:
+        parts, at = {}, 0
+        for name, size in self.shape.sizes().items():
+            n = int(np.prod(size))
+            parts[name] = values[at:at + n].reshape(size)
+            at += n
+        return parts
+
+    def _bounded(self) -> tuple[bool, list[bool]]:
+        """Whether the logits of the classes, and of each class' members, stay below ``HIGHEST``
+        whatever the context: the hidden values are between -1 and 1."""
+        p, most = self.part, HIGHEST - 1
+        return (bool((np.abs(p["wc"]).sum(axis=0) + p["bc"]).max() < most),
+                ((np.abs(p["wm"]).sum(axis=1) + p["bm"]).max(axis=1) < most).tolist())
+
+    def _powers(self, logits: np.ndarray, bias: np.ndarray, bounded: bool):
+        """(exponentials of the logits, in place; what makes each row's sum one). Sums over
+        short rows are products with ones."""
         logits += bias
-        np.minimum(logits, HIGHEST, out=logits)
+        if not bounded:
+            np.minimum(logits, HIGHEST, out=logits)
         np.exp(logits, out=logits)
-        logits *= (1 / (logits @ self._ones[:logits.shape[1]]))[:, None]
-        return logits
+        return logits, 1 / (logits @ self._ones[:logits.shape[1]])
 
     def forward(self, ctx: np.ndarray, target: np.ndarray, grad: bool = False):
         """(log-probability of each target, gradient of the mean loss or None)."""
-        p, n, size = self.part, len(target), self.shape.members
-        order = np.argsort(target // size, kind="stable")
-        ctx, target = ctx[order], target[order]
-        cls, member = target // size, target % size
-        x = p["embed"][ctx].reshape(n, -1)
-        h = np.tanh(x @ p["w1"] + p["b1"])
+        p, n, size, classes = self.part, len(target), self.shape.members, self.shape.classes
+        cls = target // size
+        # Few classes: numbers of 16 bits, which numpy sorts by their digits.
+        order = np.argsort(cls.astype(np.uint16) if classes < 2**16 else cls, kind="stable")
+        ctx, target, cls = ctx.take(order, axis=0), target[order], cls[order]
+        x = p["embed"].take(ctx, axis=0).reshape(n, -1)
+        h = x @ p["w1"]
+        h += p["b1"]
+        np.tanh(h, out=h)
         rows = np.arange(n)
-        out = self._shares(h @ p["wc"], p["bc"])
-        logp = np.log(out[rows, cls] + 1e-20)
-        edges = np.searchsorted(cls, np.arange(self.shape.classes + 1))
+        low, lows = self._bounded()
+        out, scale = self._powers(h @ p["wc"], p["bc"], low)
+        at = rows * classes + cls
+        logp = out.take(at) * scale
+        edges = np.searchsorted(cls, np.arange(classes + 1)).tolist()
         if grad:
-            g = {k: np.zeros_like(v) for k, v in p.items()}
-            out[rows, cls] -= 1
-            g["wc"][:], g["bc"][:] = h.T @ out, self._ones[:n] @ out
+            flat = np.empty_like(self.values)
+            g = self.views(flat)
+            g["wm"][:] = 0
+            g["bm"][:] = 0
+            out *= scale[:, None]
+            out.reshape(-1)[at] -= 1
+            np.matmul(h.T, out, out=g["wc"])
+            np.matmul(self._ones[:n], out, out=g["bc"])
             dh = out @ p["wc"].T
-        for c in range(self.shape.classes):
+        # Where a row's target stands among the rows of its class.
+        at = (rows - np.take(edges, cls)) * size + (target - cls * size)
+        mine = np.empty_like(logp)
+        for c in range(classes):
             a, b = edges[c], edges[c + 1]
             if a == b:
                 continue
-            sub = self._shares(h[a:b] @ p["wm"][c], p["bm"][c])
-            mine = np.arange(b - a), member[a:b]
-            logp[a:b] += np.log(sub[mine] + 1e-20)
+            here, own = h[a:b], at[a:b]
+            sub, scale = self._powers(here @ p["wm"][c], p["bm"][c], lows[c])
+            np.multiply(sub.take(own), scale, out=mine[a:b])
             if grad:
-                sub[mine] -= 1
-                g["wm"][c], g["bm"][c] = h[a:b].T @ sub, self._ones[:b - a] @ sub
+                sub *= scale[:, None]
+                sub.reshape(-1)[own] -= 1
+                np.matmul(here.T, sub, out=g["wm"][c])
+                np.matmul(self._ones[:b - a], sub, out=g["bm"][c])
                 dh[a:b] += sub @ p["wm"][c].T
         back = np.empty_like(logp)
-        back[order] = logp
+        back[order] = np.log(logp + 1e-20) + np.log(mine + 1e-20)
         if not grad:
             return back, None
         dz = dh * (1 - h * h)
-        g["w1"][:], g["b1"][:] = x.T @ dz, dz.sum(axis=0)
-        dx = (dz @ p["w1"].T).reshape(-1, self.shape.width)
-        flat = ctx.ravel()
+        np.matmul(x.T, dz, out=g["w1"])
+        g["b1"][:] = dz.sum(axis=0)
+        dx = np.ascontiguousarray((dz @ p["w1"].T).reshape(-1, self.shape.width).T, np.float64)
+        seen = ctx.ravel()
         for k in range(self.shape.width):
-            g["embed"][:, k] = np.bincount(flat, dx[:, k], self.shape.symbols + 1)
-        return back, np.concatenate([v.ravel() for v in g.values()]) / n
+            g["embed"][:, k] = np.bincount(seen, dx[k], self.shape.symbols + 1)
+        flat /= n
+        return back, flat
 
 
 def words_of(text: str | None) -> list[bytes]:
@@ -180,7 +208,7 @@ class Symbols(dict):
         """The symbols, and the words that have none of their own with how often they stand."""
         words = words_of(text)
         ids = np.fromiter(map(self.__getitem__, words), np.int32, len(words))
-        return ids, Counter([words[i] for i in np.flatnonzero(ids >= self.first).tolist()])
+        return ids, Counter(compress(words, (ids >= self.first).tobytes()))
 
 
 class Given:
@@ -475,11 +503,9 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id",
             total, count = np.zeros(n), np.zeros(n, np.int64)
             found = [symbols.with_rare(t) for t in texts]
             for ctx, target, own in chunks([ids for ids, _ in found], Given, model.shape):
-                for at in range(0, len(target), model.shape.chunk):
-                    cut = slice(at, at + model.shape.chunk)
-                    logp, _ = net.forward(ctx[cut], target[cut])
-                    total += np.bincount(own[cut], logp + within[target[cut]], n)
-                    count += np.bincount(own[cut], minlength=n)
+                logp, _ = net.forward(ctx, target)
+                total += np.bincount(own, logp + within[target], n)
+                count += np.bincount(own, minlength=n)
             if n:
                 rare = [r for _, r in found]
                 yield batch_of(SCORES, uid=batch.column(0), doc_id=batch.column(1), n_tokens=count,

@@ -9,7 +9,8 @@ from llm_cases import odd_docs
 
 from opspark.llm import lm
 from opspark.llm.lm import (
-    FIRST, SIDE, Network, Shape, Symbols, chunks, score, shape_for, start_model, start_values, train)
+    FIRST, HIGHEST, SIDE, Network, Shape, Symbols, chunks, score, shape_for, start_model,
+    start_values, train)
 
 SMALL = Shape(classes=4, members=4, buckets=4, width=3, hidden=5, chunk=64, step=0.3)
 
@@ -160,3 +161,35 @@ def test_scores_equal_a_plain_version(spark):
             if w not in known:
                 want += np.log(counts[w] or 1) - np.log(totals[symbol(w)] + 1)
         assert abs(got[i].score - want) < 1e-3 * max(1, len(own)) and got[i].n_tokens == len(own)
+
+
+def test_limit_of_logits_is_skipped_only_where_none_reaches_it():
+    shape = Shape(5, 4, 3)
+    rng = np.random.default_rng(4)
+    ctx = rng.integers(0, shape.symbols + 1, (300, 2 * SIDE))
+    target = rng.integers(0, shape.symbols, 300)
+    some = np.concatenate([target % 4, np.full(50, 17)])  # classes without a target
+    for scale, bounded in ((1, True), (60, False)):
+        net = Network(shape, start_values(shape) * scale)
+        p = net.part
+        low, lows = net._bounded()
+        assert (low and all(lows)) == bounded
+        h = np.tanh(p["embed"][ctx].reshape(300, -1) @ p["w1"] + p["b1"])
+
+        def logs(logits, bounded):
+            assert not bounded or logits.max() < HIGHEST
+            e = np.exp(np.minimum(logits, HIGHEST).astype(np.float64))
+            return np.log(e / e.sum(axis=-1, keepdims=True) + 1e-20)
+
+        first = logs(h @ p["wc"] + p["bc"], low)
+        rest = np.stack([logs(h @ p["wm"][c] + p["bm"][c], lows[c]) for c in range(shape.classes)], axis=1)
+        plain = (first[:, :, None] + rest).reshape(300, -1)
+        got, none = net.forward(ctx, target)
+        assert none is None and np.allclose(got, plain[np.arange(300), target], rtol=1e-4, atol=1e-4)
+        both, g = net.forward(ctx, target, grad=True)
+        assert np.array_equal(got, both) and g.shape == net.values.shape
+        few, g = net.forward(ctx[:1].repeat(350, 0), some, grad=True)
+        assert np.allclose(few, plain[0, some], rtol=1e-4, atol=1e-4)
+        g = net.views(g)
+        for c in set(range(shape.classes)) - set((some // shape.members).tolist()):
+            assert not g["wm"][c].any() and not g["bm"][c].any()
