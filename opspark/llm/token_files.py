@@ -31,7 +31,7 @@ from opspark.llm.common import batch_of, stored, worker_cache
 from opspark.llm.files import file_system
 from opspark.session import scratch_path
 
-SEQ_LEN, ROWS, MEMO = 2048, 128, 200_000
+SEQ_LEN, ROWS, MEMO = 2048, 128, 500_000
 
 
 class Chunks:

@@ -10,7 +10,7 @@ from llm_cases import odd_docs
 from tokenizers import Tokenizer as Library
 
 from opspark.llm.bpe import Tokenizer, decode, encode, round_trip, tokenizer_source
-from opspark.llm.token_files import (check_sequences, open_sequences, sequence, write_sequences)
+from opspark.llm.token_files import (Chunks, check_sequences, open_sequences, sequence, write_sequences)
 
 WORD = public_tokenizers.path("word_bpe_49k.json")
 BYTE = public_tokenizers.path("byte_bpe_50k.json")
@@ -64,6 +64,18 @@ def test_files_hold_every_document_in_order(docs):
     assert sorted(map(tuple, got), key=lambda x: x[1]) == want
 
 
+def test_words_that_come_back_are_not_encoded_again(monkeypatch):
+    """The distinct words of some tens of thousands of texts."""
+    chunks = Chunks(tokenizer_source(BYTE))
+    sent, whole = [], chunks._whole
+    monkeypatch.setattr(chunks, "_whole", lambda t: sent.append(len(t)) or whole(t))
+    texts = ["".join(f" {k:x}" for k in range(i, i + 30_000)) for i in range(10**6, 10**6 + 480_000, 30_000)]
+    once = [chunks.encode([t]) for t in texts]
+    assert sum(sent) == 480_000
+    assert [chunks.encode([t]) for t in texts] == once and sum(sent) == 480_000
+    assert once[0] == whole(texts[:1])
+
+
 def test_sequences_are_equal_length_views(spark, docs):
     row = write_sequences(docs.coalesce(1), BYTE, seq_len=32).orderBy("part").first()
     data, _ = open_sequences(row.path)
