@@ -31,13 +31,13 @@ from __future__ import annotations
 import hashlib
 import math
 import zlib
-from collections import Counter
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field, replace
-from itertools import compress, groupby
+from itertools import groupby
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -183,12 +183,25 @@ def words_of(text: str | None) -> list[bytes]:
     return text.lower().encode("utf-8", "replace").split() if text else []
 
 
+def words_of_all(texts: list[str | None]) -> tuple[pa.Array, np.ndarray]:
+    """The words of all texts as ``words_of`` has them, and the number of each word's text."""
+    lists = pc.ascii_split_whitespace(pa.array([t.lower() if t else "" for t in texts], pa.large_string()))
+    words, own = lists.flatten(), pc.list_parent_indices(lists)
+    some = pc.not_equal(words, "")  # blanks at a text's ends leave an empty one
+    return words.filter(some), own.filter(some).to_numpy().astype(np.int64)
+
+
+def as_bytes(words: pa.Array) -> pa.Array:
+    return words.cast(pa.large_binary()).cast(pa.binary())
+
+
 class Symbols(dict):
     """Word -> symbol; words beyond the vocabulary by hash. A bounded memo."""
 
     def __init__(self, words: list[bytes], shape: Shape, limit: int = 300_000):
         super().__init__()
         self.known = {w: i for i, w in enumerate(words)}
+        self.table = pa.array([w.decode() for w in words], pa.large_string())
         self.buckets, self.first, self.limit = shape.buckets, shape.symbols - shape.buckets, limit
 
     def __missing__(self, word: bytes) -> int:
@@ -204,11 +217,42 @@ class Symbols(dict):
         words = words_of(text)
         return np.fromiter(map(self.__getitem__, words), np.int32, len(words))
 
-    def with_rare(self, text: str | None) -> tuple[np.ndarray, Counter]:
-        """The symbols, and the words that have none of their own with how often they stand."""
-        words = words_of(text)
-        ids = np.fromiter(map(self.__getitem__, words), np.int32, len(words))
-        return ids, Counter(compress(words, (ids >= self.first).tobytes()))
+    def of_all(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, Rare]:
+        """The symbols of all texts' words, the number of each word's text, and the words that
+        have no symbol of their own. A batch's words are looked up at once."""
+        words, own = words_of_all(texts)
+        at = pc.index_in(words, value_set=self.table)
+        other = pc.is_null(at).to_numpy(zero_copy_only=False)
+        ids = pc.fill_null(at, 0).to_numpy().astype(np.int32)
+        coded = words.filter(pa.array(other)).dictionary_encode()
+        names = as_bytes(coded.dictionary)
+        forms = names.to_numpy(zero_copy_only=False).tolist()  # to_pylist() takes ten times as long
+        bucket = np.fromiter(map(zlib.crc32, forms), np.int64, len(forms)) % self.buckets
+        codes = coded.indices.to_numpy()
+        ids[other] = self.first + bucket[codes]
+        return ids, own, Rare(names, codes, own[other])
+
+
+@dataclass
+class Rare:
+    """Words without a symbol: their distinct forms, and form and text of each."""
+
+    names: pa.Array
+    codes: np.ndarray
+    own: np.ndarray
+
+    def per_text(self, n: int) -> tuple[pa.Array, pa.Array]:
+        """Lists of the distinct words of each of ``n`` texts, and how often each stands there."""
+        size = max(1, len(self.names))
+        both, times = np.unique(self.own * size + self.codes, return_counts=True)
+        ends = pa.array(np.searchsorted(both // size, np.arange(n + 1)), pa.int32())
+        return (pa.ListArray.from_arrays(ends, self.names.take(pa.array(both % size))),
+                pa.ListArray.from_arrays(ends, pa.array(times, pa.int32())))
+
+
+def by_text(ids: np.ndarray, own: np.ndarray, n: int) -> list[np.ndarray]:
+    """The symbols of each of ``n`` texts."""
+    return np.split(ids, np.searchsorted(own, np.arange(1, n)))
 
 
 class Given:
@@ -259,17 +303,25 @@ def chunks(texts: Iterable, symbols: Symbols | Ids | type[Given], shape: Shape):
 COUNTS = pa.schema([("word", pa.binary()), ("n", pa.int64())])
 
 
+COUNTED = 2_000_000  # words that a task counts at once, a longer one as several
+
+
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    seen: Counter = Counter()
+    words, size = [], 0
+
+    def out() -> pa.RecordBatch:
+        seen = pc.value_counts(pa.chunked_array(words))
+        return pa.RecordBatch.from_arrays([as_bytes(seen.field("values")), seen.field("counts")], schema=COUNTS)
+
     for batch in slices(batches):
-        for text in batch.column(0).to_pylist():
-            if text:
-                seen.update(text.lower().encode("utf-8", "replace").split())
-            if len(seen) > 200_000:
-                yield batch_of(COUNTS, word=list(seen), n=list(seen.values()))
-                seen.clear()
-    if seen:
-        yield batch_of(COUNTS, word=list(seen), n=list(seen.values()))
+        found, _ = words_of_all(batch.column(0).to_pylist())
+        words.append(found)
+        size += max(len(found), found.nbytes // 16)
+        if size >= COUNTED:
+            yield out()
+            words, size = [], 0
+    if size:
+        yield out()
 
 
 def word_counts(texts: DataFrame) -> DataFrame:
@@ -390,8 +442,9 @@ def deal(docs: DataFrame, model: Model, parts: int, text_col: str, id_col: str)
         model = source.value
         symbols, kind = Symbols(model.words, model.shape), Ids(model.shape).kind
         for batch in slices(batches):
-            ids = [symbols.of(t).astype(kind).tobytes() for t in batch.column(2).to_pylist()]
-            if ids:
+            if batch.num_rows:
+                found, own, _ = symbols.of_all(batch.column(2).to_pylist())
+                ids = [v.astype(kind).tobytes() for v in by_text(found, own, batch.num_rows)]
                 yield batch_of(IDS, part=batch.column(0), h=batch.column(1), ids=ids)
 
     spark = docs.sparkSession
@@ -499,18 +552,18 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id",
         # The bucket's part of log p(word | bucket); log n(word) comes from the table.
         within = np.concatenate([np.zeros(symbols.first), -np.log(model.totals + 1)])
         for batch in slices(batches, 256):
-            n, texts = batch.num_rows, batch.column(2).to_pylist()
+            n = batch.num_rows
+            if not n:
+                continue
             total, count = np.zeros(n), np.zeros(n, np.int64)
-            found = [symbols.with_rare(t) for t in texts]
-            for ctx, target, own in chunks([ids for ids, _ in found], Given, model.shape):
+            found, texts, rare = symbols.of_all(batch.column(2).to_pylist())
+            for ctx, target, own in chunks(by_text(found, texts, n), Given, model.shape):
                 logp, _ = net.forward(ctx, target)
                 total += np.bincount(own, logp + within[target], n)
                 count += np.bincount(own, minlength=n)
-            if n:
-                rare = [r for _, r in found]
-                yield batch_of(SCORES, uid=batch.column(0), doc_id=batch.column(1), n_tokens=count,
-                               score=total, words=[list(r) for r in rare],
-                               times=[list(r.values()) for r in rare])
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), batch.column(1), pa.array(count), pa.array(total), *rare.per_text(n)],
+                schema=SCORES)
 
     rows = stored(docs.select(F.monotonically_increasing_id().alias("uid"),
                               F.col(id_col).cast("long").alias("doc_id"),

@@ -5,12 +5,13 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 from llm_cases import odd_docs
 
 from opspark.llm import lm
 from opspark.llm.lm import (
-    FIRST, HIGHEST, SIDE, Network, Shape, Symbols, chunks, score, shape_for, start_model,
-    start_values, train)
+    FIRST, HIGHEST, SIDE, Network, Shape, Symbols, by_text, chunks, score, shape_for, start_model,
+    start_values, train, words_of, words_of_all)
 
 SMALL = Shape(classes=4, members=4, buckets=4, width=3, hidden=5, chunk=64, step=0.3)
 
@@ -50,6 +51,31 @@ def test_chunks_hold_every_token_with_its_neighbours():
         assert got.get(number, []) == want
 
 
+def test_words_of_a_batch_are_those_of_each_text(monkeypatch):
+    rng = random.Random(4)
+    parts = ["a", "B", "c", "Éa", "ΑΣ", "İ", "ß", "\u4e2d", "\x1c", "\x85", "\xa0", "\u2003", "\x00", " ", "  ", "\n", "\t\x0b\x0c\r"]
+    texts = [None, "", " ", " a", "a "] + ["".join(rng.choices(parts, k=rng.randrange(40))) for _ in range(400)]
+    words, own = words_of_all(texts)
+    assert [w.encode() for w in words.to_pylist()] == [w for t in texts for w in words_of(t)]
+    assert own.tolist() == [i for i, t in enumerate(texts) for _ in words_of(t)]
+    symbols = Symbols([b"a", b"b", "éa".encode()], SMALL)
+    ids, own, rare = symbols.of_all(texts)
+    assert [v.tolist() for v in by_text(ids, own, len(texts))] == [symbols.of(t).tolist() for t in texts]
+    names, times = rare.per_text(len(texts))
+    assert [Counter(dict(zip(*p))) for p in zip(names.to_pylist(), times.to_pylist())] == [
+        Counter(w for w in words_of(t) if w not in symbols.known) for t in texts]
+    none, _, rare = symbols.of_all([None, ""])
+    assert len(none) == 0 and [len(x) for x in rare.per_text(2)] == [2, 2]
+    for limit in (7, 10**6):
+        monkeypatch.setattr(lm, "COUNTED", limit)
+        got = Counter()
+        for b in lm._count(pa.record_batch({"text": texts[i:i + 50]}) for i in range(0, len(texts), 50)):
+            assert b.schema == lm.COUNTS
+            for w, n in zip(*(c.to_pylist() for c in b.columns)):
+                got[w] += n
+        assert got == Counter(w for t in texts for w in words_of(t))
+
+
 def grammar(rng, n):
     """Each word decides the next, most of the time."""
     w = [rng.randrange(8)]
